@@ -291,3 +291,29 @@ FROM ({ids_sql})
 
 EVENT_IDS = "SELECT CAST(event_id AS BIGINT) AS i FROM events"
 ORDER_IDS = "SELECT CAST(o_orderkey AS BIGINT) AS i FROM orders"
+
+# ---------------------------------------------------------------------------
+# ingest, ledger, audit
+# ---------------------------------------------------------------------------
+
+INGEST_USERS_REPLACE = RAW_USERS
+
+# two landed batches of the same rows: append keeps both copies
+INGEST_APPEND_TWICE = f"SELECT * FROM ({RAW_EVENTS}) UNION ALL SELECT * FROM ({RAW_EVENTS})"
+
+_COUNT_SOURCES = {
+    "users": "customer",
+    "events": "events",
+    "invoices": "orders",
+    "support_tickets": f"events WHERE event_type = {q(A.TICKET_SOURCE_EVENT)}",
+}
+
+ROW_COUNT_AUDIT = "\nUNION ALL\n".join(
+    f"SELECT {q(t)} AS table_name, count(*) AS row_count FROM {src}"
+    for t, src in _COUNT_SOURCES.items())
+
+# two full runs: users replaced twice, every activity table appended twice
+LOAD_LEDGER = "\nUNION ALL\n".join(
+    f"SELECT {q(t)} AS table_name, {q('replace' if t == 'users' else 'append')} AS load_mode, "
+    f"2 * count(*) AS rows_loaded FROM {src}"
+    for t, src in _COUNT_SOURCES.items())

@@ -13,10 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saasmart import oracle as O
+from saasmart import schemas
+from saasmart.plans import audit
+from saasmart.plans import catalog as C
 from saasmart.plans import models as M
+from saasmart.plans import pipeline as PL
 from saasmart.plans import staging as S
 from saasmart.sources import adapters as A
+from saasmart.sources import landing as L
 from saasmart.sources import synth
+from saasmart.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +92,76 @@ def synth_tickets_batch(spark: SparkSession, sf: str) -> DataFrame:
     return synth.tickets_from_ids(_ids(spark, sf, "events", "event_id"), O.SYNTH_SEED)
 
 
+def _raw_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {t: A.RAW_ADAPTERS[t](spark, sf) for t in schemas.RAW_TABLES}
+
+
+def ingest_users_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Land and load users twice by replace: one copy remains."""
+    lake = I.Lake.fresh(spark, "ingest-replace")
+    users = A.users(spark, sf)
+    for _ in range(2):
+        L.write_users(users, lake.landing)
+        I.replace_load(spark, lake, "users")
+    return I.read_raw(spark, lake, "users")
+
+
+def ingest_append_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches of events, drained by the file stream (with a rerun in between)."""
+    lake = I.Lake.fresh(spark, "ingest-append")
+    events = A.events(spark, sf)
+    for n in range(2):
+        L.write_batch(events, lake.landing, "events", L.batch_tag(n))
+        I.append_incremental(spark, lake, "events")
+        I.append_incremental(spark, lake, "events")  # nothing new: loads nothing
+    return I.read_raw(spark, lake, "events")
+
+
+def ingest_append_mtime(spark: SparkSession, sf: str) -> DataFrame:
+    """Same two batches through the modification-time cursor (batch form)."""
+    lake = I.Lake.fresh(spark, "ingest-mtime")
+    events = A.events(spark, sf)
+    for n in range(2):
+        L.write_batch(events, lake.landing, "events", L.batch_tag(n))
+        I.append_by_mtime(spark, lake, "events")
+        I.append_by_mtime(spark, lake, "events")  # nothing newer: loads nothing
+    return I.read_raw(spark, lake, "events")
+
+
+def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Two full ingests of all four tables; rows loaded per table and mode."""
+    lake = I.Lake.fresh(spark, "ledger")
+    raw = _raw_tables(spark, sf)
+    for n in range(2):
+        PL.land(spark, lake, raw_tables=raw, tag=L.batch_tag(n))
+        I.ingest_all(spark, lake)
+    return audit.ledger_totals(I.read_ledger(spark, lake))
+
+
+def row_count_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.row_counts(_raw_tables(spark, sf))
+
+
+def mart_materialize(spark: SparkSession, sf: str) -> DataFrame:
+    """Layers, views and mart tables; marts rebuilt twice, read back from the catalog."""
+    lake = I.Lake.fresh(spark, "marts")
+    layers = C.Layers.suffixed(lake.root.rsplit("-", 1)[-1])
+    PL.land(spark, lake, raw_tables=_raw_tables(spark, sf))
+    I.ingest_all(spark, lake)
+    PL.build(spark, lake, layers, O.TEST_DAU_EVENTS)
+    PL.build(spark, lake, layers, O.TEST_DAU_EVENTS)  # full refresh replaces each table
+    return spark.table(f"`{layers.marts}`.`fct_revenue`")
+
+
+def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Land -> ingest -> build; the daily-active-users mart."""
+    lake = I.Lake.fresh(spark, "pipeline")
+    layers = C.Layers.suffixed(lake.root.rsplit("-", 1)[-1])
+    marts = PL.run(spark, lake, layers, raw_tables=_raw_tables(spark, sf),
+                   dau_events=O.TEST_DAU_EVENTS)
+    return marts["fct_daily_active_users"]
+
+
 QUERIES: dict[str, Query] = {
     "stg_users": stg_users,
     "stg_events": stg_events,
@@ -102,6 +178,13 @@ QUERIES: dict[str, Query] = {
     "synth_events_batch": synth_events_batch,
     "synth_invoices_batch": synth_invoices_batch,
     "synth_tickets_batch": synth_tickets_batch,
+    "ingest_users_replace": ingest_users_replace,
+    "ingest_append_incremental": ingest_append_incremental,
+    "ingest_append_mtime": ingest_append_mtime,
+    "load_ledger": load_ledger,
+    "row_count_audit": row_count_audit,
+    "mart_materialize": mart_materialize,
+    "pipeline_end_to_end": pipeline_end_to_end,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -120,4 +203,11 @@ ORACLE_SQL: dict[str, str] = {
     "synth_events_batch": O.synth_events_sql(O.EVENT_IDS),
     "synth_invoices_batch": O.synth_invoices_sql(O.ORDER_IDS),
     "synth_tickets_batch": O.synth_tickets_sql(O.EVENT_IDS),
+    "ingest_users_replace": O.INGEST_USERS_REPLACE,
+    "ingest_append_incremental": O.INGEST_APPEND_TWICE,
+    "ingest_append_mtime": O.INGEST_APPEND_TWICE,
+    "load_ledger": O.LOAD_LEDGER,
+    "row_count_audit": O.ROW_COUNT_AUDIT,
+    "mart_materialize": O.FCT_REVENUE,
+    "pipeline_end_to_end": O.DAILY_ACTIVE_USERS,
 }
