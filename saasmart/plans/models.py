@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saasmart.functions import count_where, sum_where_or_zero
@@ -114,3 +114,21 @@ def dim_users(stg_users: DataFrame, revenue: DataFrame, tickets: DataFrame) -> D
                     "first_invoice_at", "last_invoice_at",
                     F.coalesce("total_tickets", zero).alias("total_tickets"),
                     F.coalesce("resolved_tickets", zero).alias("resolved_tickets")))
+
+
+def sql_model(spark: SparkSession, text: str, **upstream: DataFrame) -> DataFrame:
+    """A model written in SQL: ``{name}`` placeholders bind upstream DataFrames.
+
+    Same plan as the DataFrame form; Catalyst optimizes across the boundary.
+    """
+    return spark.sql(text, **upstream)
+
+
+# tickets_by_user written as a SQL model (the two forms are tested to agree)
+TICKETS_BY_USER_SQL = """
+SELECT user_id,
+       count(*) AS total_tickets,
+       count_if(status IN ('resolved', 'closed')) AS resolved_tickets
+FROM {stg_tickets}
+GROUP BY user_id
+"""

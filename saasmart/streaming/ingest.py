@@ -137,10 +137,17 @@ def replace_load(spark: SparkSession, lake: Lake, table: str = "users") -> int:
     return rows
 
 
-def append_incremental(spark: SparkSession, lake: Lake, table: str) -> None:
+# Upper bound on files per micro-batch: a large backlog drains as several
+# bounded batches instead of one huge one.
+MAX_FILES_PER_TRIGGER = 1000
+
+
+def append_incremental(spark: SparkSession, lake: Lake, table: str,
+                       max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> None:
     """Drain new ``batch_*.parquet`` files of one table into its raw folder."""
     schema = schemas.nullable(schemas.RAW_TABLES[table])
     stream = _with_mtime(spark.readStream.schema(schema)
+                         .option("maxFilesPerTrigger", str(max_files_per_trigger))
                          .parquet(L.batch_glob(lake.landing, table)), schema)
 
     def sink(batch: DataFrame, batch_id: int) -> None:

@@ -96,3 +96,24 @@ def test_conservation_on_test_tables(spark):
     per_user = sess.groupBy("user_id").agg(F.max("session_number").alias("m"),
                                            F.count("*").alias("n"))
     assert per_user.where(F.col("m") > F.col("n")).count() == 0
+
+
+def test_sql_model_matches_dataframe_model(spark):
+    t = registry.stg_tickets(spark, SF01)
+    a = M.sql_model(spark, M.TICKETS_BY_USER_SQL, stg_tickets=t)
+    b = M.tickets_by_user(t)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_small_trigger_splits_backlog(spark):
+    from saasmart.sources import adapters as A
+    from saasmart.sources import landing as L
+    from saasmart.streaming import ingest as I
+    from tests.conftest import SF001
+    lake = I.Lake.fresh(spark, "t-trigger")
+    ev = A.events(spark, SF001)
+    for n in range(3):
+        L.write_batch(ev.where(F.col("id") % 3 == n).coalesce(1), lake.landing, "events", str(n))
+    I.append_incremental(spark, lake, "events", max_files_per_trigger=1)
+    assert I.read_raw(spark, lake, "events").count() == ev.count()
+    assert I.read_ledger(spark, lake).count() == 3
