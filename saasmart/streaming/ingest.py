@@ -34,6 +34,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,9 +143,9 @@ def replace_load(spark: SparkSession, lake: Lake, table: str = "users") -> int:
 MAX_FILES_PER_TRIGGER = 1000
 
 
-def append_incremental(spark: SparkSession, lake: Lake, table: str,
-                       max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> None:
-    """Drain new ``batch_*.parquet`` files of one table into its raw folder."""
+def start_incremental(spark: SparkSession, lake: Lake, table: str,
+                      max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
+    """Start draining new ``batch_*.parquet`` files of one table into its raw folder."""
     schema = schemas.nullable(schemas.RAW_TABLES[table])
     stream = _with_mtime(spark.readStream.schema(schema)
                          .option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -157,11 +158,17 @@ def append_incremental(spark: SparkSession, lake: Lake, table: str,
         if rows:
             _ledger_row(spark, lake, table, "append", load_id, rows, mtime)
 
-    query = (stream.writeStream.foreachBatch(sink)
-             .option("checkpointLocation", f"{lake.checkpoints}/{table}")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+    return (stream.writeStream.foreachBatch(sink)
+            .option("checkpointLocation", f"{lake.checkpoints}/{table}")
+            .trigger(availableNow=True)
+            .queryName(f"ingest_{table}_{uuid.uuid4().hex[:8]}")
+            .start())
+
+
+def append_incremental(spark: SparkSession, lake: Lake, table: str,
+                       max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> None:
+    """Drain new files of one table and wait until they are loaded."""
+    start_incremental(spark, lake, table, max_files_per_trigger).awaitTermination()
 
 
 def append_by_mtime(spark: SparkSession, lake: Lake, table: str) -> int:
@@ -184,7 +191,10 @@ def append_by_mtime(spark: SparkSession, lake: Lake, table: str) -> int:
 
 
 def ingest_all(spark: SparkSession, lake: Lake) -> None:
-    """Users by replace, then every activity table by its own incremental cursor."""
-    replace_load(spark, lake, "users")
-    for table in schemas.ACTIVITY_TABLES:
-        append_incremental(spark, lake, table)
+    """Users by replace; every activity table by its own cursor, drained concurrently."""
+    queries = [start_incremental(spark, lake, t) for t in schemas.ACTIVITY_TABLES]
+    try:
+        replace_load(spark, lake, "users")
+    finally:
+        for q in queries:
+            q.awaitTermination()

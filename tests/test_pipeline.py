@@ -29,3 +29,17 @@ def test_run_synthetic_then_incremental_batch(spark):
     s = out["int_user_events_sessionized"]
     assert s.count() == 2 * R.EVENTS_PER_BATCH
     assert s.agg(F.min("session_number")).first()[0] == 1
+
+
+def test_drop_then_rebuild_recreates_mart(spark):
+    from saasmart.sources import adapters as A
+    from tests.conftest import SF001
+    lake = I.Lake.fresh(spark, "t-drop")
+    layers = C.Layers.suffixed("tdrop")
+    raw = {t: A.RAW_ADAPTERS[t](spark, SF001) for t in A.RAW_ADAPTERS}
+    PL.run(spark, lake, layers, raw_tables=raw)
+    n = spark.table(f"{layers.marts}.dim_users").count()
+    C.drop_table(spark, layers.marts, "dim_users")
+    assert not C.table_exists(spark, layers.marts, "dim_users")
+    out = PL.build(spark, lake, layers)
+    assert out["dim_users"].count() == n
