@@ -20,7 +20,9 @@ recomputation after a lost executor, assigns the same slice):
 1. Per-key stats (count, min ts, max ts): a partial aggregation.
 2. Hot keys: count > L, where L = max(N / (2P), floor) for N rows and P the
    target parallelism. Since counts sum to N there are at most 2P hot keys,
-   a size bound by construction, so the hot table is broadcast.
+   a size bound by construction: the table is collected (one small job) and
+   broadcast. With no hot key every key has at most L rows and the plain
+   one-window plan (one exchange on the key) is already balanced.
 3. A hot key with c rows gets 4 * ceil(c / L) equal-width time cells over
    [min ts, max ts]; NULL timestamps get one extra, last cell. Other keys
    keep slice -1 (the whole key, at most L rows).
@@ -69,6 +71,20 @@ def _hot_keys(df: DataFrame, key: str, ts: str, parallelism: int,
                     F.greatest(F.ceil(span / cells), F.lit(1)).cast("long").alias("_w")))
 
 
+def hot_key_table(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
+                  parallelism: int | None = None, slice_rows: int | None = None) -> DataFrame:
+    """The hot keys with their time-cell layout, as a small driver-side relation.
+
+    At most 2P rows by default (counts sum to N, each hot count exceeds N/2P),
+    so collecting it is bounded; as a local relation it is computed once and
+    is identical for every branch and every recomputation of the plan.
+    """
+    spark = df.sparkSession
+    p = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = _hot_keys(df, key, ts, p, slice_rows)
+    return spark.createDataFrame(hot.collect(), hot.schema)
+
+
 def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                tiebreak: str = "event_id", gap_seconds: int = SESSION_GAP_SECONDS,
                parallelism: int | None = None, slice_rows: int | None = None,
@@ -79,12 +95,15 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
     ``slice_rows`` fixes the hot-key threshold (tests use a small one to
     force splitting); by default it follows the data size.
     """
-    spark = df.sparkSession
-    p = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ts_order = [F.col(ts).asc_nulls_last(), F.col(tiebreak).asc_nulls_last()]
 
-    # 1-3. slice label: -1 for ordinary keys, a time cell for hot keys
-    hot = _hot_keys(df, key, ts, p, slice_rows)
+    # 1-2. hot keys (bounded); none -> every key fits a task, one window suffices
+    hot = hot_key_table(df, key, ts, parallelism, slice_rows)
+    if hot.isEmpty():
+        return sessionize_plain(df, key, ts, tiebreak, gap_seconds, prev_col, flag_col,
+                                number_col)
+
+    # 3. slice label: -1 for ordinary keys, a time cell for hot keys
     cell = F.least(
         F.floor(F.timestamp_diff("MICROSECOND", F.col("_lo"), F.col(ts)) / F.col("_w")),
         F.col("_g") - 1)
