@@ -3,6 +3,7 @@ from saasmart.functions.columns import (
     date_plus_days,
     dec,
     gap_exceeds,
+    micros_between,
     pick,
     timestamp_plus_seconds,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "date_plus_days",
     "dec",
     "gap_exceeds",
+    "micros_between",
     "pick",
     "timestamp_plus_seconds",
 ]

@@ -37,3 +37,18 @@ def timestamp_plus_seconds(ts_text: str, seconds: Column) -> Column:
 def gap_exceeds(ts: Column, prev: Column, gap_seconds: int) -> Column:
     """``ts - prev > interval`` with SQL three-valued logic (NULL if either is NULL)."""
     return (ts - prev) > F.make_dt_interval(secs=F.lit(gap_seconds))
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """``end - start`` in microseconds, independent of the session time zone.
+
+    Subtracting two TIMESTAMP_NTZ values gives a day-time interval on wall
+    clock values; its fields are summed exactly. (Functions that cast
+    TIMESTAMP_NTZ to TIMESTAMP would pass through the session zone, where a
+    DST gap makes the mapping non-monotonic.)
+    """
+    d = end - start
+    whole = (F.extract(F.lit("DAY"), d).cast("long") * 86_400_000_000
+             + F.extract(F.lit("HOUR"), d).cast("long") * 3_600_000_000
+             + F.extract(F.lit("MINUTE"), d).cast("long") * 60_000_000)
+    return whole + (F.extract(F.lit("SECOND"), d) * 1_000_000).cast("long")

@@ -41,7 +41,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saasmart.functions import gap_exceeds
+from saasmart.functions import gap_exceeds, micros_between
 from saasmart.sources.rules import SESSION_GAP_SECONDS
 
 # A key is split only when it has more rows than this floor, whatever the
@@ -64,7 +64,7 @@ def _hot_keys(df: DataFrame, key: str, ts: str, parallelism: int,
     else:
         limit = F.lit(int(slice_rows))
     cells = F.ceil(F.col("_c") / limit) * CELLS_PER_SLICE
-    span = F.timestamp_diff("MICROSECOND", F.col("_lo"), F.col("_hi")) + 1
+    span = micros_between(F.col("_lo"), F.col("_hi")) + 1
     return (stats.where(F.col("_c") > limit)
             .select(F.col(key).alias("_hk"), F.lit(True).alias("_hot"), "_lo",
                     cells.cast("long").alias("_g"),
@@ -105,7 +105,7 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
 
     # 3. slice label: -1 for ordinary keys, a time cell for hot keys
     cell = F.least(
-        F.floor(F.timestamp_diff("MICROSECOND", F.col("_lo"), F.col(ts)) / F.col("_w")),
+        F.floor(micros_between(F.col("_lo"), F.col(ts)) / F.col("_w")),
         F.col("_g") - 1)
     label = (F.when(F.col("_hot").isNull(), F.lit(-1))
              .when(F.col(ts).isNull(), F.col("_g"))

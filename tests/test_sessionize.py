@@ -87,3 +87,16 @@ def test_null_keys_and_duplicates(spark):
             (5, 5, None), (6, 5, at(2))]
     df = spark.createDataFrame(rows, SCHEMA)
     assert _as_set(sessionize(df, slice_rows=1)) == _as_set(sessionize_plain(df))
+
+
+def test_dst_gap_session_zone(spark):
+    """Wall-clock cells stay ordered in a zone with a DST gap (NTZ values)."""
+    base = dt.datetime(2025, 3, 9, 1, 0)
+    rows = [(i, 1, base + dt.timedelta(minutes=7 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert _as_set(sessionize(df, slice_rows=3)) == _as_set(sessionize_plain(df))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
