@@ -14,7 +14,8 @@ are tables (``plans.catalog``). Every mart is rebuilt in full on each run.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,13 +28,22 @@ from saasmart.streaming import ingest as I
 MART_TABLES = ("dim_users", "fct_daily_active_users", "fct_revenue")
 
 
+def _concurrently(tasks: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Submit independent Spark jobs from driver threads (they share the cluster)."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def land(spark: SparkSession, lake: I.Lake, raw_tables: Mapping[str, DataFrame] | None = None,
          seeds: Sequence[int] | None = None, tag: str | None = None) -> None:
     """Write a landing batch: from given raw-shaped DataFrames, or synthesized."""
     if raw_tables is not None:
-        L.write_users(raw_tables["users"], lake.landing)
-        activity = {t: raw_tables[t] for t in schemas.ACTIVITY_TABLES}
-        L.land_tables(lake.landing, activity, tag or L.batch_tag(0))
+        tag = tag or L.batch_tag(0)
+        jobs = {t: (lambda t=t: L.write_batch(raw_tables[t], lake.landing, t, tag))
+                for t in schemas.ACTIVITY_TABLES}
+        jobs["users"] = lambda: L.write_users(raw_tables["users"], lake.landing)
+        _concurrently(jobs)
     else:
         L.land_synthetic(spark, lake.landing, seeds or [0])
 
@@ -51,17 +61,18 @@ def build(spark: SparkSession, lake: I.Lake, layers: C.Layers = C.Layers(),
                                   layers.intermediate, "int_user_events_sessionized")
     tickets = M.tickets_by_user(stg["stg_tickets"])
 
+    marts = {
+        "dim_users": M.dim_users(stg["stg_users"], revenue, tickets),
+        "fct_daily_active_users": M.daily_active_users(stg["stg_events"], dau_events),
+        "fct_revenue": M.fct_revenue(stg["stg_invoices"], stg["stg_users"]),
+    }
     out = dict(stg)
     out["int_revenue_by_user"] = revenue
     out["int_user_events_sessionized"] = sessions
-    out["dim_users"] = C.materialize_table(M.dim_users(stg["stg_users"], revenue, tickets),
-                                           layers.marts, "dim_users", lake.warehouse)
-    out["fct_daily_active_users"] = C.materialize_table(
-        M.daily_active_users(stg["stg_events"], dau_events),
-        layers.marts, "fct_daily_active_users", lake.warehouse)
-    out["fct_revenue"] = C.materialize_table(
-        M.fct_revenue(stg["stg_invoices"], stg["stg_users"]),
-        layers.marts, "fct_revenue", lake.warehouse)
+    out.update(_concurrently({
+        name: (lambda name=name, df=df: C.materialize_table(df, layers.marts, name,
+                                                            lake.warehouse))
+        for name, df in marts.items()}))
     return out
 
 

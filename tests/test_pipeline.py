@@ -43,3 +43,25 @@ def test_drop_then_rebuild_recreates_mart(spark):
     assert not C.table_exists(spark, layers.marts, "dim_users")
     out = PL.build(spark, lake, layers)
     assert out["dim_users"].count() == n
+
+
+def test_layer_names_and_view_kinds(spark):
+    from saasmart import schemas
+    assert schemas.layer_name("  custom_marts ", "stg") == "custom_marts"
+    assert schemas.layer_name(None, "stg") == "stg"
+    layers = C.Layers.named(marts=" gold ")
+    assert layers.marts == "gold" and layers.raw == "raw" and layers.staging == "stg"
+    from saasmart.sources import adapters as A
+    from tests.conftest import SF001
+    lake = I.Lake.fresh(spark, "t-kinds")
+    layers = C.Layers.suffixed("tkinds")
+    raw = {t: A.RAW_ADAPTERS[t](spark, SF001) for t in A.RAW_ADAPTERS}
+    PL.run(spark, lake, layers, raw_tables=raw)
+    stg_kinds = {t.name: t.tableType for t in spark.catalog.listTables(layers.staging)
+                 if not t.isTemporary}
+    assert set(stg_kinds) == {"stg_users", "stg_events", "stg_invoices", "stg_tickets"}
+    assert set(stg_kinds.values()) == {"VIEW"}
+    raw_kinds = {t.name: t.tableType for t in spark.catalog.listTables(layers.raw)
+                 if not t.isTemporary}
+    assert set(raw_kinds.values()) == {"EXTERNAL"}
+    assert spark.table(f"{layers.raw}.events").count() == raw["events"].count()
