@@ -25,7 +25,12 @@ recomputation after a lost executor, assigns the same slice):
    one-window plan (one exchange on the key) is already balanced.
 3. A hot key with c rows gets 4 * ceil(c / L) equal-width time cells over
    [min ts, max ts]; NULL timestamps get one extra, last cell. Other keys
-   keep slice -1 (the whole key, at most L rows).
+   keep slice -1 (the whole key, at most L rows). Up to three rounds of a
+   bounded histogram pass find slices still holding more than L rows
+   (bursts) and cut them again, by finer time sub-cells, or by a tiebreak
+   hash when the whole slice is one timestamp (``heavy_cells``); a round
+   that finds nothing ends the loop. Exact copies (same key, ts and
+   tiebreak) and the NULL-timestamp cell are never cut.
 4. Window over (key, slice): lag and running sum inside each slice; one
    hash exchange on (key, slice), balanced by construction.
 5. For hot keys only: one summary row per (key, slice) (first ts, last ts,
@@ -38,7 +43,7 @@ recomputation after a lost executor, assigns the same slice):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saasmart.functions import gap_exceeds, micros_between
@@ -49,6 +54,13 @@ from saasmart.sources.rules import SESSION_GAP_SECONDS
 MIN_SLICE_ROWS = 1_000_000
 CELLS_PER_SLICE = 4
 
+# A heavy cell is cut into this many time sub-cells per L rows it holds, or,
+# at a single timestamp, into this many tiebreak-hash sub-slices per L rows.
+TIME_SPLITS_PER_LIMIT = 4
+TIE_SPLITS_PER_LIMIT = 2
+# Rounds of cutting heavy slices (the last round cuts tie groups only).
+REFINE_ROUNDS = 3
+
 _SLICE = "_ss_slice"
 _RN = "_ss_rn"
 _LOCAL_SN = "_ss_local_sn"
@@ -68,7 +80,8 @@ def _hot_keys(df: DataFrame, key: str, ts: str, parallelism: int,
     return (stats.where(F.col("_c") > limit)
             .select(F.col(key).alias("_hk"), F.lit(True).alias("_hot"), "_lo",
                     cells.cast("long").alias("_g"),
-                    F.greatest(F.ceil(span / cells), F.lit(1)).cast("long").alias("_w")))
+                    F.greatest(F.ceil(span / cells), F.lit(1)).cast("long").alias("_w"),
+                    limit.cast("long").alias("_limit")))
 
 
 def hot_key_table(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
@@ -85,6 +98,64 @@ def hot_key_table(df: DataFrame, key: str = "user_id", ts: str = "event_timestam
     return spark.createDataFrame(hot.collect(), hot.schema)
 
 
+def _cell(ts: str) -> Column:
+    """Time cell of a non-NULL ts inside its hot key's [lo, hi] range."""
+    return F.least(F.floor(micros_between(F.col("_lo"), F.col(ts)) / F.col("_w")),
+                   F.col("_g") - 1)
+
+
+def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id",
+                ts: str = "event_timestamp", tiebreak: str = "event_id",
+                allow_time: bool = True) -> DataFrame:
+    """Slices of hot keys that still hold more than ``limit`` rows, and how to cut them.
+
+    A slice spanning several timestamps is cut into finer equal-width time
+    sub-cells. A slice at one single timestamp (a tie group) is cut by a hash
+    of the tiebreak; the sub-slice holding the smallest tiebreak is ordered
+    first, which is all the session logic needs inside a tie group (every
+    other row of the group continues the session of the first). Counts sum
+    to N, so there are at most N / limit <= 2P heavy slices: the table is
+    collected once, like the hot-key table.
+    """
+    spark = labeled.sparkSession
+    hist = (labeled.where((F.col(label) >= 0) & F.col(ts).isNotNull())
+            .groupBy(F.col(key).alias("_rk"), F.col(label).alias("_rc"))
+            .agg(F.count(F.lit(1)).alias("_n"),
+                 F.min(ts).alias("_cmin"), F.max(ts).alias("_cmax"),
+                 F.min(tiebreak).alias("_tmin")))
+    need = F.ceil(F.col("_n") / F.lit(limit))
+    tie = F.col("_cmin") == F.col("_cmax")
+    span = micros_between(F.col("_cmin"), F.col("_cmax")) + 1
+    w2 = F.greatest(F.ceil(span / (need * TIME_SPLITS_PER_LIMIT)), F.lit(1)).cast("long")
+    parts = F.when(tie, need * TIE_SPLITS_PER_LIMIT).otherwise(F.ceil(span / w2)).cast("long")
+    heavy = hist.where(F.col("_n") > F.lit(limit))
+    if not allow_time:
+        heavy = heavy.where(tie)
+    ref = heavy.select("_rk", "_rc", tie.alias("_tie"), "_cmin",
+                       F.when(~tie, w2).alias("_w2"), parts.alias("_parts"),
+                       F.when(tie, F.pmod(F.xxhash64(F.col("_tmin")), parts))
+                       .otherwise(F.lit(0)).cast("long").alias("_first"))
+    return spark.createDataFrame(ref.collect(), ref.schema)
+
+
+def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
+            tiebreak: str) -> DataFrame:
+    """New label = old label * stride + sub-slice; order between old slices is kept."""
+    stride = heavy.agg(F.max("_parts")).first()[0] + 1
+    by_tie = F.pmod(F.pmod(F.xxhash64(F.col(tiebreak)), F.col("_parts")) - F.col("_first"),
+                    F.col("_parts"))
+    by_time = F.least(F.floor(micros_between(F.col("_cmin"), F.col(ts)) / F.col("_w2")),
+                      F.col("_parts") - 1)
+    sub = (F.when(F.col("_tie").isNull(), F.lit(0))
+           .when(F.col("_tie"), by_tie).otherwise(by_time))
+    return (labeled.join(F.broadcast(heavy),
+                         F.col(key).eqNullSafe(F.col("_rk")) & (F.col(label) == F.col("_rc")),
+                         "left")
+            .withColumn(label, F.when(F.col(label) < 0, F.lit(-1))
+                        .otherwise(F.col(label) * stride + sub).cast("long"))
+            .drop("_rk", "_rc", "_tie", "_cmin", "_w2", "_parts", "_first"))
+
+
 def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                tiebreak: str = "event_id", gap_seconds: int = SESSION_GAP_SECONDS,
                parallelism: int | None = None, slice_rows: int | None = None,
@@ -103,16 +174,21 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
         return sessionize_plain(df, key, ts, tiebreak, gap_seconds, prev_col, flag_col,
                                 number_col)
 
-    # 3. slice label: -1 for ordinary keys, a time cell for hot keys
-    cell = F.least(
-        F.floor(micros_between(F.col("_lo"), F.col(ts)) / F.col("_w")),
-        F.col("_g") - 1)
-    label = (F.when(F.col("_hot").isNull(), F.lit(-1))
-             .when(F.col(ts).isNull(), F.col("_g"))
-             .otherwise(cell)).cast("long")
+    # 3. slice label: -1 for ordinary keys, a time cell for hot keys,
+    #    refined inside heavy cells (cell * stride + sub-slice)
+    cell = (F.when(F.col("_hot").isNull(), F.lit(-1))
+            .when(F.col(ts).isNull(), F.col("_g"))
+            .otherwise(_cell(ts))).cast("long")
+    limit = hot.first()["_limit"]
     labeled = (df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left")
-               .withColumn(_SLICE, label)
-               .drop("_hk", "_hot", "_lo", "_g", "_w"))
+               .withColumn(_SLICE, cell)
+               .drop("_hk", "_hot", "_lo", "_g", "_w", "_limit"))
+    for round_ in range(REFINE_ROUNDS):
+        heavy = heavy_cells(labeled, _SLICE, limit, key, ts, tiebreak,
+                            allow_time=round_ < REFINE_ROUNDS - 1)
+        if heavy.isEmpty():
+            break
+        labeled = _refine(labeled, _SLICE, heavy, key, ts, tiebreak)
 
     # 4. local lag / running sum inside each (key, slice)
     w = Window.partitionBy(key, _SLICE).orderBy(*ts_order)

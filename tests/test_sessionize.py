@@ -100,3 +100,45 @@ def test_dst_gap_session_zone(spark):
         assert _as_set(sessionize(df, slice_rows=3)) == _as_set(sessionize_plain(df))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _burst_frame(spark, same_ts):
+    rows = []
+    for i in range(300):  # the burst: one timestamp, or 300 seconds apart by 1 s
+        t = at(5) if same_ts else at(5, 0, i)
+        rows.append((1000 + i, 1, t))
+    for i in range(120):  # the rest of the hot key, spread over a day
+        rows.append((i, 1, at(0, 12 * i)))
+    rows += [(5000 + i, 2, at(0, 7 * i)) for i in range(30)]  # a small key
+    rows += [(6000, 1, None), (6001, 1, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("same_ts", [True, False])
+def test_bursts_are_cut_and_exact(spark, same_ts):
+    df = _burst_frame(spark, same_ts)
+    out = sessionize(df, slice_rows=40)
+    assert _as_set(out) == _as_set(sessionize_plain(df))
+    # no slice of the split plan holds more than the limit, bar copies / NULL ts
+    from saasmart.operators import sessionize as ss
+    sizes = _slice_sizes(spark, df, 40)
+    assert max(sizes) <= 40 * 2, sizes
+
+
+def _slice_sizes(spark, df, limit):
+    """Row counts of the (key, slice) groups the window would see."""
+    from saasmart.operators import sessionize as ss
+    captured = {}
+    orig = ss._refine
+
+    def spy(labeled, label, heavy, key, ts, tiebreak):
+        out = orig(labeled, label, heavy, key, ts, tiebreak)
+        captured["labeled"] = out
+        return out
+    ss._refine = spy
+    try:
+        ss.sessionize(df, slice_rows=limit)
+    finally:
+        ss._refine = orig
+    lab = captured["labeled"].where(F.col("event_timestamp").isNotNull())
+    return [r[0] for r in lab.groupBy("user_id", ss._SLICE).count().select("count").collect()]

@@ -10,17 +10,30 @@ from tests.test_sessionize import SCHEMA, _as_set
 
 BASE = dt.datetime(2025, 10, 1)
 
-row = st.tuples(
-    st.integers(min_value=0, max_value=40),                       # event id (repeats allowed)
-    st.one_of(st.none(), st.integers(min_value=0, max_value=3)),  # user (NULL allowed)
-    st.one_of(st.none(), st.integers(min_value=0, max_value=240)),  # minute offset (NULL allowed)
-)
 
+def rows_strategy(max_minute):
+    return st.lists(st.tuples(
+        st.integers(min_value=0, max_value=40),                        # event id (repeats)
+        st.one_of(st.none(), st.integers(min_value=0, max_value=3)),   # user (NULL allowed)
+        st.one_of(st.none(), st.integers(min_value=0, max_value=max_minute)),  # minute
+    ), min_size=1, max_size=80)
 
-@settings(max_examples=12, deadline=None,
-          suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=st.lists(row, min_size=1, max_size=60), slice_rows=st.integers(1, 8))
-def test_split_equals_plain(spark, rows, slice_rows):
+
+def _check(spark, rows, slice_rows):
     data = [(i, u, None if m is None else BASE + dt.timedelta(minutes=m)) for i, u, m in rows]
     df = spark.createDataFrame(data, SCHEMA)
     assert _as_set(sessionize(df, slice_rows=slice_rows)) == _as_set(sessionize_plain(df))
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_strategy(240), slice_rows=st.integers(1, 8))
+def test_split_equals_plain(spark, rows, slice_rows):
+    _check(spark, rows, slice_rows)
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_strategy(3), slice_rows=st.integers(1, 6))
+def test_split_equals_plain_with_many_ties(spark, rows, slice_rows):
+    _check(spark, rows, slice_rows)
