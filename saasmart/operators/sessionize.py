@@ -29,8 +29,10 @@ recomputation after a lost executor, assigns the same slice):
    bounded histogram pass find slices still holding more than L rows
    (bursts) and cut them again, by finer time sub-cells, or by a tiebreak
    hash when the whole slice is one timestamp (``heavy_cells``); a round
-   that finds nothing ends the loop. Exact copies (same key, ts and
-   tiebreak) and the NULL-timestamp cell are never cut.
+   that finds nothing ends the loop. A heavy slice of identical records (a
+   copy group) is pre-aggregated instead: its rows become count-carrying
+   chunk rows in separate sub-slices, exploded back after the window. Only
+   the NULL-timestamp cell of a key is never cut.
 4. Window over (key, slice): lag and running sum inside each slice; one
    hash exchange on (key, slice), balanced by construction.
 5. For hot keys only: one summary row per (key, slice) (first ts, last ts,
@@ -62,6 +64,8 @@ TIE_SPLITS_PER_LIMIT = 2
 REFINE_ROUNDS = 3
 
 _SLICE = "_ss_slice"
+_H = "_ss_row_hash"
+_K = "_ss_copies"
 _RN = "_ss_rn"
 _LOCAL_SN = "_ss_local_sn"
 
@@ -110,19 +114,23 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     """Slices of hot keys that still hold more than ``limit`` rows, and how to cut them.
 
     A slice spanning several timestamps is cut into finer equal-width time
-    sub-cells. A slice at one single timestamp (a tie group) is cut by a hash
-    of the tiebreak; the sub-slice holding the smallest tiebreak is ordered
-    first, which is all the session logic needs inside a tie group (every
-    other row of the group continues the session of the first). Counts sum
-    to N, so there are at most N / limit <= 2P heavy slices: the table is
-    collected once, like the hot-key table.
+    sub-cells. A slice at one single timestamp (a tie group) is cut by the
+    row hash; the sub-slice holding the first row of the group (smallest
+    tiebreak, then row hash) is ordered first, which is all the session
+    logic needs inside a tie group (every other row of the group continues
+    the session of the first). A tie group whose rows are all one record
+    (``_copy``) cannot be cut by any row value; ``sessionize`` collapses it.
+    Counts sum to N, so there are at most N / limit <= 2P heavy slices: the
+    table is collected once, like the hot-key table.
     """
     spark = labeled.sparkSession
     hist = (labeled.where((F.col(label) >= 0) & F.col(ts).isNotNull())
             .groupBy(F.col(key).alias("_rk"), F.col(label).alias("_rc"))
             .agg(F.count(F.lit(1)).alias("_n"),
                  F.min(ts).alias("_cmin"), F.max(ts).alias("_cmax"),
-                 F.min(tiebreak).alias("_tmin")))
+                 F.min(F.struct(F.col(tiebreak).isNull(), F.col(tiebreak), F.col(_H)))
+                 .alias("_minrow"),
+                 F.min(_H).alias("_hmin"), F.max(_H).alias("_hmax")))
     need = F.ceil(F.col("_n") / F.lit(limit))
     tie = F.col("_cmin") == F.col("_cmax")
     span = micros_between(F.col("_cmin"), F.col("_cmax")) + 1
@@ -131,10 +139,11 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     heavy = hist.where(F.col("_n") > F.lit(limit))
     if not allow_time:
         heavy = heavy.where(tie)
-    ref = heavy.select("_rk", "_rc", tie.alias("_tie"), "_cmin",
+    ref = heavy.select("_rk", "_rc", "_n", tie.alias("_tie"), "_cmin",
                        F.when(~tie, w2).alias("_w2"), parts.alias("_parts"),
-                       F.when(tie, F.pmod(F.xxhash64(F.col("_tmin")), parts))
-                       .otherwise(F.lit(0)).cast("long").alias("_first"))
+                       F.when(tie, F.pmod(F.col("_minrow").getField(_H), parts))
+                       .otherwise(F.lit(0)).cast("long").alias("_first"),
+                       (tie & (F.col("_hmin") == F.col("_hmax"))).alias("_copy"))
     return spark.createDataFrame(ref.collect(), ref.schema)
 
 
@@ -142,8 +151,7 @@ def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
             tiebreak: str) -> DataFrame:
     """New label = old label * stride + sub-slice; order between old slices is kept."""
     stride = heavy.agg(F.max("_parts")).first()[0] + 1
-    by_tie = F.pmod(F.pmod(F.xxhash64(F.col(tiebreak)), F.col("_parts")) - F.col("_first"),
-                    F.col("_parts"))
+    by_tie = F.pmod(F.pmod(F.col(_H), F.col("_parts")) - F.col("_first"), F.col("_parts"))
     by_time = F.least(F.floor(micros_between(F.col("_cmin"), F.col(ts)) / F.col("_w2")),
                       F.col("_parts") - 1)
     sub = (F.when(F.col("_tie").isNull(), F.lit(0))
@@ -153,7 +161,39 @@ def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
                          "left")
             .withColumn(label, F.when(F.col(label) < 0, F.lit(-1))
                         .otherwise(F.col(label) * stride + sub).cast("long"))
-            .drop("_rk", "_rc", "_tie", "_cmin", "_w2", "_parts", "_first"))
+            .drop("_rk", "_rc", "_n", "_tie", "_cmin", "_w2", "_parts", "_first", "_copy"))
+
+
+def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int) -> DataFrame:
+    """Replace each heavy copy group by chunk rows of at most ``limit // 2`` copies.
+
+    Only rows of the (bounded) copy groups are aggregated; partial
+    aggregation collapses them map-side. Chunk j of a group gets its own
+    sub-slice (group slice * stride + j), so the window spreads the chunks
+    over tasks; each chunk row carries its copy count in ``_K`` and is
+    exploded back after the window.
+    """
+    chunk = max(1, limit // 2)
+    stride = copies.agg(F.max(F.ceil(F.col("_n") / F.lit(chunk)))).first()[0] + 1
+    cols = [c for c in labeled.columns if c != _SLICE]
+    marked = labeled.join(F.broadcast(copies.select("_rk", "_rc")),
+                          F.col(key).eqNullSafe(F.col("_rk")) & (F.col(_SLICE) == F.col("_rc")),
+                          "left")
+    rest = (marked.where(F.col("_rc").isNull())
+            .withColumn(_SLICE, F.when(F.col(_SLICE) < 0, F.lit(-1))
+                        .otherwise(F.col(_SLICE) * stride).cast("long"))
+            .withColumn(_K, F.lit(1).cast("long"))
+            .drop("_rk", "_rc"))
+    groups = (marked.where(F.col("_rc").isNotNull())
+              .groupBy(*cols, _SLICE).agg(F.count(F.lit(1)).alias("_k")))
+    chunks = (groups
+              .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                     F.ceil(F.col("_k") / F.lit(chunk)) - 1)))
+              .withColumn(_K, F.least(F.lit(chunk).cast("long"),
+                                      F.col("_k") - F.col("_j") * chunk))
+              .withColumn(_SLICE, (F.col(_SLICE) * stride + F.col("_j")).cast("long"))
+              .drop("_k", "_j"))
+    return rest.unionByName(chunks)
 
 
 def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
@@ -182,16 +222,23 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
     limit = hot.first()["_limit"]
     labeled = (df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left")
                .withColumn(_SLICE, cell)
+               .withColumn(_H, F.xxhash64(*[F.col(c) for c in df.columns]))
                .drop("_hk", "_hot", "_lo", "_g", "_w", "_limit"))
-    for round_ in range(REFINE_ROUNDS):
+    copies = None
+    for round_ in range(REFINE_ROUNDS + 1):
         heavy = heavy_cells(labeled, _SLICE, limit, key, ts, tiebreak,
                             allow_time=round_ < REFINE_ROUNDS - 1)
-        if heavy.isEmpty():
+        cuttable = heavy.where(~F.col("_copy"))
+        if round_ == REFINE_ROUNDS or cuttable.isEmpty():
+            copies = heavy.where(F.col("_copy"))
             break
-        labeled = _refine(labeled, _SLICE, heavy, key, ts, tiebreak)
+        labeled = _refine(labeled, _SLICE, cuttable, key, ts, tiebreak)
+    has_copies = copies is not None and not copies.isEmpty()
+    if has_copies:
+        labeled = _collapse_copies(labeled, copies, key, limit)
 
-    # 4. local lag / running sum inside each (key, slice)
-    w = Window.partitionBy(key, _SLICE).orderBy(*ts_order)
+    # 4. local lag / running sum inside each (key, slice); ties by the row hash
+    w = Window.partitionBy(key, _SLICE).orderBy(*ts_order, F.col(_H))
     local = (labeled
              .withColumn(_RN, F.row_number().over(w))
              .withColumn(prev_col, F.lag(ts).over(w)))
@@ -229,15 +276,24 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                         & (F.col(_SLICE) == F.col("_fx_slice")),
                         "left")
     continued_first = F.col("_fx_slice").isNotNull() & (F.col(_RN) == 1)
-    return (joined
-            .withColumn(prev_col, F.when(continued_first, F.col("_prev_last"))
-                        .otherwise(F.col(prev_col)))
-            .withColumn(flag_col, F.when(continued_first, F.col("_first_new"))
-                        .otherwise(F.col(flag_col)).cast("int"))
-            .withColumn(number_col, (F.col(_LOCAL_SN)
-                                     + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
-            .drop(_SLICE, _RN, _LOCAL_SN, "_fx_key", "_fx_slice", "_prev_last",
-                  "_first_new", "_off"))
+    out = (joined
+           .withColumn(prev_col, F.when(continued_first, F.col("_prev_last"))
+                       .otherwise(F.col(prev_col)))
+           .withColumn(flag_col, F.when(continued_first, F.col("_first_new"))
+                       .otherwise(F.col(flag_col)).cast("int"))
+           .withColumn(number_col, (F.col(_LOCAL_SN)
+                                    + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
+           .drop(_SLICE, _RN, _LOCAL_SN, _H, "_fx_key", "_fx_slice", "_prev_last",
+                 "_first_new", "_off"))
+    if not has_copies:
+        return out
+    # 6. copies back: the first copy of a chunk keeps its outputs, every other
+    #    copy continues the session at the same (non-NULL) timestamp
+    again = F.col("_copy_no") > 1
+    return (out.withColumn("_copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col(_K))))
+            .withColumn(prev_col, F.when(again, F.col(ts)).otherwise(F.col(prev_col)))
+            .withColumn(flag_col, F.when(again, F.lit(0)).otherwise(F.col(flag_col)))
+            .drop("_copy_no", _K))
 
 
 def sessionize_plain(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",

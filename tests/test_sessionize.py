@@ -142,3 +142,14 @@ def _slice_sizes(spark, df, limit):
         ss._refine = orig
     lab = captured["labeled"].where(F.col("event_timestamp").isNotNull())
     return [r[0] for r in lab.groupBy("user_id", ss._SLICE).count().select("count").collect()]
+
+
+def test_copy_group_of_a_third_is_collapsed_and_exact(spark):
+    rows = [(77, 1, at(3)) for _ in range(200)]               # one record copied 200 times
+    rows += [(i, 1, at(0, 5 * i)) for i in range(100)]        # the rest of the hot key
+    rows += [(500 + i, 2, at(0, 9 * i)) for i in range(300)]  # other keys
+    rows += [(78, 1, at(3)), (76, 1, at(3))]                  # ties beside the copies
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sessionize(df, slice_rows=40)
+    assert got.count() == len(rows)
+    assert _as_set(got) == _as_set(sessionize_plain(df))
