@@ -71,12 +71,12 @@ _LOCAL_SN = "_ss_local_sn"
 
 
 def _hot_keys(df: DataFrame, key: str, ts: str, parallelism: int,
-              slice_rows: int | None) -> DataFrame:
+              slice_rows: int | None, min_slice_rows: int = MIN_SLICE_ROWS) -> DataFrame:
     stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"),
                                 F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     if slice_rows is None:
         total = stats.agg(F.sum("_c")).scalar()
-        limit = F.greatest(F.ceil(total / F.lit(2 * parallelism)), F.lit(MIN_SLICE_ROWS))
+        limit = F.greatest(F.ceil(total / F.lit(2 * parallelism)), F.lit(min_slice_rows))
     else:
         limit = F.lit(int(slice_rows))
     cells = F.ceil(F.col("_c") / limit) * CELLS_PER_SLICE
@@ -89,7 +89,8 @@ def _hot_keys(df: DataFrame, key: str, ts: str, parallelism: int,
 
 
 def hot_key_table(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
-                  parallelism: int | None = None, slice_rows: int | None = None) -> DataFrame:
+                  parallelism: int | None = None, slice_rows: int | None = None,
+                  min_slice_rows: int = MIN_SLICE_ROWS) -> DataFrame:
     """The hot keys with their time-cell layout, as a small driver-side relation.
 
     At most 2P rows by default (counts sum to N, each hot count exceeds N/2P),
@@ -98,7 +99,7 @@ def hot_key_table(df: DataFrame, key: str = "user_id", ts: str = "event_timestam
     """
     spark = df.sparkSession
     p = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = _hot_keys(df, key, ts, p, slice_rows)
+    hot = _hot_keys(df, key, ts, p, slice_rows, min_slice_rows)
     return spark.createDataFrame(hot.collect(), hot.schema)
 
 
@@ -199,17 +200,18 @@ def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int
 def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                tiebreak: str = "event_id", gap_seconds: int = SESSION_GAP_SECONDS,
                parallelism: int | None = None, slice_rows: int | None = None,
-               prev_col: str = "prev_event_at", flag_col: str = "is_new_session",
+               min_slice_rows: int = MIN_SLICE_ROWS, prev_col: str = "prev_event_at", flag_col: str = "is_new_session",
                number_col: str = "session_number") -> DataFrame:
     """Add ``prev_col``, ``flag_col`` (int) and ``number_col`` (bigint) to ``df``.
 
     ``slice_rows`` fixes the hot-key threshold (tests use a small one to
-    force splitting); by default it follows the data size.
+    force splitting); by default it is max(N / (2 * parallelism), min_slice_rows),
+    with ``parallelism`` the session's shuffle partitions unless given.
     """
     ts_order = [F.col(ts).asc_nulls_last(), F.col(tiebreak).asc_nulls_last()]
 
     # 1-2. hot keys (bounded); none -> every key fits a task, one window suffices
-    hot = hot_key_table(df, key, ts, parallelism, slice_rows)
+    hot = hot_key_table(df, key, ts, parallelism, slice_rows, min_slice_rows)
     if hot.isEmpty():
         return sessionize_plain(df, key, ts, tiebreak, gap_seconds, prev_col, flag_col,
                                 number_col)

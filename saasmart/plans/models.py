@@ -52,14 +52,15 @@ def tickets_by_user(stg_tickets: DataFrame) -> DataFrame:
 
 
 def user_events_sessionized(stg_events: DataFrame, gap_seconds: int = R.SESSION_GAP_SECONDS,
-                            with_flags: bool = False) -> DataFrame:
+                            with_flags: bool = False, **split) -> DataFrame:
     """Events with a 1-based session number per user (gap > 30 min starts a new one).
 
     ``event_id`` breaks ties on equal timestamps so the numbering is
     deterministic. ``with_flags`` keeps ``prev_event_at`` and ``is_new_session``.
+    ``split`` passes hot-key settings (``parallelism``, ``min_slice_rows``).
     """
     out = sessionize(stg_events, key="user_id", ts="event_timestamp", tiebreak="event_id",
-                     gap_seconds=gap_seconds)
+                     gap_seconds=gap_seconds, **split)
     cols = ["event_id", "user_id", "event_name", "event_timestamp", "properties"]
     if with_flags:
         return out.select(*cols, "prev_event_at", "is_new_session")

@@ -59,6 +59,15 @@ def sessionize(spark: SparkSession, sf: str) -> DataFrame:
     return M.user_events_sessionized(stg_events(spark, sf))
 
 
+# Split plan as sized for a wide cluster: 512 target tasks and no row floor,
+# so every test user counts as hot and is cut into slices that are fixed up.
+WIDE_SPLIT = {"parallelism": 512, "min_slice_rows": 1}
+
+
+def sessionize_split(spark: SparkSession, sf: str) -> DataFrame:
+    return M.user_events_sessionized(stg_events(spark, sf), **WIDE_SPLIT)
+
+
 def daily_active_users(spark: SparkSession, sf: str) -> DataFrame:
     return M.daily_active_users(stg_events(spark, sf), O.TEST_DAU_EVENTS)
 
@@ -171,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "tickets_by_user": tickets_by_user,
     "sessionize_flags": sessionize_flags,
     "sessionize": sessionize,
+    "sessionize_split": sessionize_split,
     "daily_active_users": daily_active_users,
     "fct_revenue": fct_revenue,
     "dim_users": dim_users,
@@ -196,6 +206,7 @@ ORACLE_SQL: dict[str, str] = {
     "tickets_by_user": O.TICKETS_BY_USER,
     "sessionize_flags": O.SESSIONIZE_FLAGS,
     "sessionize": O.SESSIONIZE,
+    "sessionize_split": O.SESSIONIZE,
     "daily_active_users": O.DAILY_ACTIVE_USERS,
     "fct_revenue": O.FCT_REVENUE,
     "dim_users": O.DIM_USERS,

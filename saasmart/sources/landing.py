@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,18 +64,23 @@ def land_tables(landing: str, activity: Mapping[str, DataFrame], tag: str) -> di
 
 
 def land_synthetic(spark: SparkSession, landing: str, seeds: Sequence[int],
-                   n_users: int | None = None) -> list[str]:
+                   n_users: int | None = None, concurrency: int = 4) -> list[str]:
     """Users plus one batch per seed of every activity table.
 
-    Each table's batches are generated by one ``spark.range`` job; each batch
-    is then written to its own folder (a per-batch filter of that job).
+    Each batch folder is its own write, generated from its own id range (so
+    the work is linear in the number of batches); up to ``concurrency``
+    writes run as concurrent jobs.
     """
     write_users(synth.users(spark) if n_users is None else synth.users(spark, n_users), landing)
     now = dt.datetime.now(dt.timezone.utc)
     tags = [batch_tag(n, now) for n in range(len(seeds))]
-    for table, gen in synth.GENERATORS.items():
-        all_batches = gen(spark, seeds)
-        for n, tag in enumerate(tags):
-            write_batch(all_batches.where(all_batches["batch"] == n).drop("batch"),
-                        landing, table, tag)
+    jobs = [(table, gen, seed, tag) for table, gen in synth.GENERATORS.items()
+            for seed, tag in zip(seeds, tags)]
+
+    def one(job):
+        table, gen, seed, tag = job
+        return write_batch(gen(spark, [seed]).drop("batch"), landing, table, tag)
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+        list(pool.map(one, jobs))
     return tags

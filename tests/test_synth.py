@@ -73,3 +73,19 @@ def test_paid_and_resolved_null_rules(spark):
     # ticket ids of two seeds 1 apart overlap (ids are not unique across batches)
     two = synth.support_tickets(spark, [1, 2])
     assert two.select("id").distinct().count() < two.count()
+
+
+def test_land_synthetic_one_folder_per_batch(spark):
+    from saasmart.sources import landing as L
+    from saasmart.streaming import ingest as I
+    lake = I.Lake.fresh(spark, "t-land")
+    tags = L.land_synthetic(spark, lake.landing, [4, 8], n_users=50)
+    assert len(tags) == 2
+    for table, per_batch in (("events", R.EVENTS_PER_BATCH), ("invoices", R.INVOICES_PER_BATCH),
+                             ("support_tickets", R.TICKETS_PER_BATCH)):
+        for seed, tag in zip([4, 8], tags):
+            got = spark.read.parquet(f"{lake.landing}/{table}/batch_{tag}.parquet")
+            assert got.count() == per_batch
+            exp = synth.GENERATORS[table](spark, [seed]).drop("batch")
+            assert got.exceptAll(exp).count() == 0
+    assert spark.read.parquet(L.users_path(lake.landing)).count() == 50
