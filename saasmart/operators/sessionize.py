@@ -29,12 +29,13 @@ recomputation after a lost executor, assigns the same slice):
    bounded histogram pass find slices still holding more than L rows
    (bursts) and cut them again, by finer time sub-cells, or by a tiebreak
    hash when the whole slice is one timestamp (``heavy_cells``); a round
-   that finds nothing ends the loop. A heavy slice of identical records (a
-   copy group) is pre-aggregated instead: its rows become count-carrying
+   that finds nothing ends the loop. A heavy slice at one timestamp and one
+   tiebreak value (copies of a record) is pre-aggregated instead: its rows become count-carrying
    chunk rows in separate sub-slices, exploded back after the window. Only
    the NULL-timestamp cell of a key is never cut.
 4. Window over (key, slice): lag and running sum inside each slice; one
-   hash exchange on (key, slice), balanced by construction.
+   hash exchange on (key, slice), balanced by construction. A slice label is
+   an array (cell, sub-slice of each round, ...), ordered element by element.
 5. For hot keys only: one summary row per (key, slice) (first ts, last ts,
    local session count); at most 4 * (N / L + 2P) + 2P <= 18P rows. A window
    over those per key gives each later slice the previous slice's last ts
@@ -64,7 +65,6 @@ TIE_SPLITS_PER_LIMIT = 2
 REFINE_ROUNDS = 3
 
 _SLICE = "_ss_slice"
-_H = "_ss_row_hash"
 _K = "_ss_copies"
 _RN = "_ss_rn"
 _LOCAL_SN = "_ss_local_sn"
@@ -103,6 +103,17 @@ def hot_key_table(df: DataFrame, key: str = "user_id", ts: str = "event_timestam
     return spark.createDataFrame(hot.collect(), hot.schema)
 
 
+def _is_hot(label: str) -> Column:
+    """Labels are arrays of longs; ordinary keys carry [-1]."""
+    return F.element_at(F.col(label), 1) >= 0
+
+
+def _append(label: str, sub: Column) -> Column:
+    """Extend hot labels by one sub-slice index; ordinary labels stay [-1]."""
+    return F.when(_is_hot(label), F.concat(F.col(label), F.array(sub.cast("long")))) \
+        .otherwise(F.col(label))
+
+
 def _cell(ts: str) -> Column:
     """Time cell of a non-NULL ts inside its hot key's [lo, hi] range."""
     return F.least(F.floor(micros_between(F.col("_lo"), F.col(ts)) / F.col("_w")),
@@ -115,23 +126,22 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     """Slices of hot keys that still hold more than ``limit`` rows, and how to cut them.
 
     A slice spanning several timestamps is cut into finer equal-width time
-    sub-cells. A slice at one single timestamp (a tie group) is cut by the
-    row hash; the sub-slice holding the first row of the group (smallest
-    tiebreak, then row hash) is ordered first, which is all the session
-    logic needs inside a tie group (every other row of the group continues
-    the session of the first). A tie group whose rows are all one record
-    (``_copy``) cannot be cut by any row value; ``sessionize`` collapses it.
+    sub-cells. A slice at one single timestamp (a tie group) is cut by a
+    hash of the tiebreak; the sub-slice holding the smallest tiebreak is
+    ordered first, which is all the session logic needs inside a tie group
+    (every other row of the group continues the session of the first). A
+    tie group at one tiebreak value too (``_copy``: copies of one record)
+    cannot be cut by any order value; ``sessionize`` collapses it.
+    Only key, ts and tiebreak are read, so this pass scans narrow columns.
     Counts sum to N, so there are at most N / limit <= 2P heavy slices: the
     table is collected once, like the hot-key table.
     """
     spark = labeled.sparkSession
-    hist = (labeled.where((F.col(label) >= 0) & F.col(ts).isNotNull())
+    hist = (labeled.where(_is_hot(label) & F.col(ts).isNotNull())
             .groupBy(F.col(key).alias("_rk"), F.col(label).alias("_rc"))
             .agg(F.count(F.lit(1)).alias("_n"),
                  F.min(ts).alias("_cmin"), F.max(ts).alias("_cmax"),
-                 F.min(F.struct(F.col(tiebreak).isNull(), F.col(tiebreak), F.col(_H)))
-                 .alias("_minrow"),
-                 F.min(_H).alias("_hmin"), F.max(_H).alias("_hmax")))
+                 F.min(tiebreak).alias("_tmin"), F.max(tiebreak).alias("_tmax")))
     need = F.ceil(F.col("_n") / F.lit(limit))
     tie = F.col("_cmin") == F.col("_cmax")
     span = micros_between(F.col("_cmin"), F.col("_cmax")) + 1
@@ -142,17 +152,21 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
         heavy = heavy.where(tie)
     ref = heavy.select("_rk", "_rc", "_n", tie.alias("_tie"), "_cmin",
                        F.when(~tie, w2).alias("_w2"), parts.alias("_parts"),
-                       F.when(tie, F.pmod(F.col("_minrow").getField(_H), parts))
+                       F.when(tie, F.pmod(F.xxhash64(F.col("_tmin")), parts))
                        .otherwise(F.lit(0)).cast("long").alias("_first"),
-                       (tie & (F.col("_hmin") == F.col("_hmax"))).alias("_copy"))
+                       (tie & F.col("_tmin").eqNullSafe(F.col("_tmax"))).alias("_copy"))
     return spark.createDataFrame(ref.collect(), ref.schema)
 
 
 def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
             tiebreak: str) -> DataFrame:
-    """New label = old label * stride + sub-slice; order between old slices is kept."""
-    stride = heavy.agg(F.max("_parts")).first()[0] + 1
-    by_tie = F.pmod(F.pmod(F.col(_H), F.col("_parts")) - F.col("_first"), F.col("_parts"))
+    """Append a sub-slice index to every hot label (0 where the slice is not cut).
+
+    Labels are arrays compared element by element, so the order between old
+    slices is kept and no number grows with the rounds.
+    """
+    by_tie = F.pmod(F.pmod(F.xxhash64(F.col(tiebreak)), F.col("_parts")) - F.col("_first"),
+                    F.col("_parts"))
     by_time = F.least(F.floor(micros_between(F.col("_cmin"), F.col(ts)) / F.col("_w2")),
                       F.col("_parts") - 1)
     sub = (F.when(F.col("_tie").isNull(), F.lit(0))
@@ -160,8 +174,7 @@ def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
     return (labeled.join(F.broadcast(heavy),
                          F.col(key).eqNullSafe(F.col("_rk")) & (F.col(label) == F.col("_rc")),
                          "left")
-            .withColumn(label, F.when(F.col(label) < 0, F.lit(-1))
-                        .otherwise(F.col(label) * stride + sub).cast("long"))
+            .withColumn(label, _append(label, sub))
             .drop("_rk", "_rc", "_n", "_tie", "_cmin", "_w2", "_parts", "_first", "_copy"))
 
 
@@ -170,19 +183,17 @@ def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int
 
     Only rows of the (bounded) copy groups are aggregated; partial
     aggregation collapses them map-side. Chunk j of a group gets its own
-    sub-slice (group slice * stride + j), so the window spreads the chunks
+    sub-slice (the group's label plus j), so the window spreads the chunks
     over tasks; each chunk row carries its copy count in ``_K`` and is
     exploded back after the window.
     """
     chunk = max(1, limit // 2)
-    stride = copies.agg(F.max(F.ceil(F.col("_n") / F.lit(chunk)))).first()[0] + 1
     cols = [c for c in labeled.columns if c != _SLICE]
     marked = labeled.join(F.broadcast(copies.select("_rk", "_rc")),
                           F.col(key).eqNullSafe(F.col("_rk")) & (F.col(_SLICE) == F.col("_rc")),
                           "left")
     rest = (marked.where(F.col("_rc").isNull())
-            .withColumn(_SLICE, F.when(F.col(_SLICE) < 0, F.lit(-1))
-                        .otherwise(F.col(_SLICE) * stride).cast("long"))
+            .withColumn(_SLICE, _append(_SLICE, F.lit(0)))
             .withColumn(_K, F.lit(1).cast("long"))
             .drop("_rk", "_rc"))
     groups = (marked.where(F.col("_rc").isNotNull())
@@ -192,7 +203,7 @@ def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int
                                                      F.ceil(F.col("_k") / F.lit(chunk)) - 1)))
               .withColumn(_K, F.least(F.lit(chunk).cast("long"),
                                       F.col("_k") - F.col("_j") * chunk))
-              .withColumn(_SLICE, (F.col(_SLICE) * stride + F.col("_j")).cast("long"))
+              .withColumn(_SLICE, _append(_SLICE, F.col("_j")))
               .drop("_k", "_j"))
     return rest.unionByName(chunks)
 
@@ -217,14 +228,13 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                                 number_col)
 
     # 3. slice label: -1 for ordinary keys, a time cell for hot keys,
-    #    refined inside heavy cells (cell * stride + sub-slice)
-    cell = (F.when(F.col("_hot").isNull(), F.lit(-1))
-            .when(F.col(ts).isNull(), F.col("_g"))
-            .otherwise(_cell(ts))).cast("long")
+    #    refined inside heavy cells (one more array element per round)
+    cell = F.array((F.when(F.col("_hot").isNull(), F.lit(-1))
+                    .when(F.col(ts).isNull(), F.col("_g"))
+                    .otherwise(_cell(ts))).cast("long"))
     limit = hot.first()["_limit"]
     labeled = (df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left")
                .withColumn(_SLICE, cell)
-               .withColumn(_H, F.xxhash64(*[F.col(c) for c in df.columns]))
                .drop("_hk", "_hot", "_lo", "_g", "_w", "_limit"))
     copies = None
     for round_ in range(REFINE_ROUNDS + 1):
@@ -239,8 +249,8 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
     if has_copies:
         labeled = _collapse_copies(labeled, copies, key, limit)
 
-    # 4. local lag / running sum inside each (key, slice); ties by the row hash
-    w = Window.partitionBy(key, _SLICE).orderBy(*ts_order, F.col(_H))
+    # 4. local lag / running sum inside each (key, slice)
+    w = Window.partitionBy(key, _SLICE).orderBy(*ts_order)
     local = (labeled
              .withColumn(_RN, F.row_number().over(w))
              .withColumn(prev_col, F.lag(ts).over(w)))
@@ -251,7 +261,7 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
     # 5. fix-ups for slices that continue an earlier slice of the same hot key
-    summary = local.where(F.col(_SLICE) >= 0).groupBy(key, _SLICE).agg(
+    summary = local.where(_is_hot(_SLICE)).groupBy(key, _SLICE).agg(
         F.min(ts).alias("_first_ts"),
         F.when(F.count(F.lit(1)) == F.count(ts), F.max(ts)).alias("_last_ts"),
         F.sum(flag_col).cast("long").alias("_n"),
@@ -285,7 +295,7 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                        .otherwise(F.col(flag_col)).cast("int"))
            .withColumn(number_col, (F.col(_LOCAL_SN)
                                     + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
-           .drop(_SLICE, _RN, _LOCAL_SN, _H, "_fx_key", "_fx_slice", "_prev_last",
+           .drop(_SLICE, _RN, _LOCAL_SN, "_fx_key", "_fx_slice", "_prev_last",
                  "_first_new", "_off"))
     if not has_copies:
         return out
