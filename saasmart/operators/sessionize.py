@@ -31,8 +31,9 @@ recomputation after a lost executor, assigns the same slice):
    hash when the whole slice is one timestamp (``heavy_cells``); a round
    that finds nothing ends the loop. A heavy slice at one timestamp and one
    tiebreak value (copies of a record) is pre-aggregated instead: its rows become count-carrying
-   chunk rows in separate sub-slices, exploded back after the window. Only
-   the NULL-timestamp cell of a key is never cut.
+   chunk rows in separate sub-slices, exploded back after the window. The
+   NULL-timestamp cell of a key is ordered by the tiebreak alone and is cut
+   into tiebreak ranges when the tiebreak is integral.
 4. Window over (key, slice): lag and running sum inside each slice; one
    hash exchange on (key, slice), balanced by construction. A slice label is
    an array (cell, sub-slice of each round, ...), ordered element by element.
@@ -48,6 +49,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saasmart.functions import gap_exceeds, micros_between
 from saasmart.sources.rules import SESSION_GAP_SECONDS
@@ -137,21 +139,36 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     table is collected once, like the hot-key table.
     """
     spark = labeled.sparkSession
-    hist = (labeled.where(_is_hot(label) & F.col(ts).isNotNull())
+    integral_tiebreak = isinstance(labeled.schema[tiebreak].dataType,
+                                   (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    hist = (labeled.where(_is_hot(label))
             .groupBy(F.col(key).alias("_rk"), F.col(label).alias("_rc"))
             .agg(F.count(F.lit(1)).alias("_n"),
                  F.min(ts).alias("_cmin"), F.max(ts).alias("_cmax"),
                  F.min(tiebreak).alias("_tmin"), F.max(tiebreak).alias("_tmax")))
     need = F.ceil(F.col("_n") / F.lit(limit))
-    tie = F.col("_cmin") == F.col("_cmax")
+    null_ts = F.col("_cmin").isNull()             # the NULL-timestamp slice of a key
+    tie = F.coalesce(F.col("_cmin") == F.col("_cmax"), F.lit(False))
     span = micros_between(F.col("_cmin"), F.col("_cmax")) + 1
     w2 = F.greatest(F.ceil(span / (need * TIME_SPLITS_PER_LIMIT)), F.lit(1)).cast("long")
-    parts = F.when(tie, need * TIE_SPLITS_PER_LIMIT).otherwise(F.ceil(span / w2)).cast("long")
+    # NULL timestamps are ordered by the tiebreak alone: cut its range (integral
+    # tiebreaks), with one last part for NULL tiebreaks
+    tb_span = F.col("_tmax").cast("long") - F.col("_tmin").cast("long") + 1
+    wtb = F.greatest(F.ceil(tb_span / (need * TIME_SPLITS_PER_LIMIT)), F.lit(1)).cast("long")
+    parts = (F.when(null_ts, F.ceil(tb_span / wtb) + 1)
+             .when(tie, need * TIE_SPLITS_PER_LIMIT)
+             .otherwise(F.ceil(span / w2))).cast("long")
     heavy = hist.where(F.col("_n") > F.lit(limit))
+    if integral_tiebreak:
+        heavy = heavy.where(~null_ts | F.col("_tmin").isNotNull())
+    else:
+        heavy = heavy.where(~null_ts)
     if not allow_time:
-        heavy = heavy.where(tie)
-    ref = heavy.select("_rk", "_rc", "_n", tie.alias("_tie"), "_cmin",
-                       F.when(~tie, w2).alias("_w2"), parts.alias("_parts"),
+        heavy = heavy.where(tie | null_ts)
+    ref = heavy.select("_rk", "_rc", "_n", tie.alias("_tie"), null_ts.alias("_nullts"),
+                       "_cmin", F.col("_tmin").cast("long").alias("_tbmin"),
+                       F.when(null_ts, wtb).alias("_wtb"),
+                       F.when(~tie & ~null_ts, w2).alias("_w2"), parts.alias("_parts"),
                        F.when(tie, F.pmod(F.xxhash64(F.col("_tmin")), parts))
                        .otherwise(F.lit(0)).cast("long").alias("_first"),
                        (tie & F.col("_tmin").eqNullSafe(F.col("_tmax"))).alias("_copy"))
@@ -169,13 +186,18 @@ def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
                     F.col("_parts"))
     by_time = F.least(F.floor(micros_between(F.col("_cmin"), F.col(ts)) / F.col("_w2")),
                       F.col("_parts") - 1)
-    sub = (F.when(F.col("_tie").isNull(), F.lit(0))
+    by_tb = F.when(F.col(tiebreak).isNull(), F.col("_parts") - 1).otherwise(
+        F.least(F.floor((F.col(tiebreak).cast("long") - F.col("_tbmin")) / F.col("_wtb")),
+                F.col("_parts") - 2))
+    sub = (F.when(F.col("_parts").isNull(), F.lit(0))
+           .when(F.col("_nullts"), by_tb)
            .when(F.col("_tie"), by_tie).otherwise(by_time))
     return (labeled.join(F.broadcast(heavy),
                          F.col(key).eqNullSafe(F.col("_rk")) & (F.col(label) == F.col("_rc")),
                          "left")
             .withColumn(label, _append(label, sub))
-            .drop("_rk", "_rc", "_n", "_tie", "_cmin", "_w2", "_parts", "_first", "_copy"))
+            .drop("_rk", "_rc", "_n", "_tie", "_nullts", "_cmin", "_tbmin", "_wtb", "_w2",
+                  "_parts", "_first", "_copy"))
 
 
 def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int) -> DataFrame:

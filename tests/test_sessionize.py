@@ -153,3 +153,27 @@ def test_copy_group_of_a_third_is_collapsed_and_exact(spark):
     got = sessionize(df, slice_rows=40)
     assert got.count() == len(rows)
     assert _as_set(got) == _as_set(sessionize_plain(df))
+
+
+def test_null_timestamp_rows_of_a_hot_key_are_cut(spark):
+    rows = [(1000 + i, 1, None) for i in range(300)]          # NULL timestamps, distinct ids
+    rows += [(None, 1, None), (None, 1, None)]                 # NULL ts and NULL tiebreak
+    rows += [(i, 1, at(0, 9 * i)) for i in range(100)]         # the rest of the hot key
+    rows += [(5000 + i, 2, at(0, 7 * i)) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert _as_set(sessionize(df, slice_rows=40)) == _as_set(sessionize_plain(df))
+    from saasmart.operators import sessionize as ss
+    captured = {}
+    orig = ss._refine
+
+    def spy(*a):
+        captured["l"] = orig(*a)
+        return captured["l"]
+    ss._refine = spy
+    try:
+        ss.sessionize(df, slice_rows=40)
+    finally:
+        ss._refine = orig
+    nulls = captured["l"].where(F.col("event_timestamp").isNull())
+    sizes = [r[0] for r in nulls.groupBy("user_id", ss._SLICE).count().select("count").collect()]
+    assert max(sizes) <= 80 and len(sizes) > 1
