@@ -177,3 +177,14 @@ def test_null_timestamp_rows_of_a_hot_key_are_cut(spark):
     nulls = captured["l"].where(F.col("event_timestamp").isNull())
     sizes = [r[0] for r in nulls.groupBy("user_id", ss._SLICE).count().select("count").collect()]
     assert max(sizes) <= 80 and len(sizes) > 1
+
+
+@pytest.mark.parametrize("seeds,continued", [((1000, 2800), 49995), ((1000, 2801), 0)])
+def test_generated_near_pairs(spark, seeds, continued):
+    """Two batches whose seeds differ by 1,800 s: every event has a partner 30 min later."""
+    from saasmart.plans.staging import stg_events
+    from saasmart.sources import synth
+    ev = stg_events(synth.events(spark, list(seeds)).drop("batch"))
+    out = sessionize(ev)
+    assert out.where(F.col("is_new_session") == 0).count() == continued
+    assert out.count() == 2 * 50000
