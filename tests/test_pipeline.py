@@ -65,3 +65,24 @@ def test_layer_names_and_view_kinds(spark):
                  if not t.isTemporary}
     assert set(raw_kinds.values()) == {"EXTERNAL"}
     assert spark.table(f"{layers.raw}.events").count() == raw["events"].count()
+
+
+def test_cli_steps(spark):
+    from saasmart.__main__ import main
+    lake = I.Lake.fresh(spark, "t-cli")
+    common = ["--root", lake.root, "--marts", "cli_marts", "--raw", "cli_raw",
+              "--staging", "cli_stg", "--intermediate", "cli_int"]
+    rep = main(["generate", "--batches", "1", "--seeds", "3", "--users", "300", *common],
+               spark=spark)
+    assert rep["seeds"] == [3]
+    main(["ingest", *common], spark=spark)
+    rep = main(["build", *common], spark=spark)
+    assert rep["marts"]["cli_marts.dim_users"] == 300
+    rep = main(["audit", *common], spark=spark)
+    assert rep["row_counts"] == {"users": 300, "events": R.EVENTS_PER_BATCH,
+                                 "invoices": R.INVOICES_PER_BATCH,
+                                 "support_tickets": R.TICKETS_PER_BATCH}
+    # a second run with another batch appends activity and replaces users
+    rep = main(["run", "--batches", "1", "--seeds", "8", "--users", "300", *common], spark=spark)
+    assert rep["row_counts"]["events"] == 2 * R.EVENTS_PER_BATCH
+    assert rep["row_counts"]["users"] == 300
