@@ -38,7 +38,9 @@ recomputation after a lost executor, assigns the same slice):
    hash exchange on (key, slice), balanced by construction. A slice label is
    an array (cell, sub-slice of each round, ...), ordered element by element.
 5. For hot keys only: one summary row per (key, slice) (first ts, last ts,
-   local session count); at most 4 * (N / L + 2P) + 2P <= 18P rows. A window
+   local session count). Cells are at most 4 * (N / L + 2P) + 2P <= 18P;
+   each refinement round adds at most about 16P sub-slices and copy chunks
+   at most 4P, so the count is a constant times P, never a function of N. A window
    over those per key gives each later slice the previous slice's last ts
    and the number of sessions before it. Broadcast (bounded) and joined back
    on (key, slice) to correct the first row of each continued slice and the
@@ -233,7 +235,8 @@ def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int
 def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                tiebreak: str = "event_id", gap_seconds: int = SESSION_GAP_SECONDS,
                parallelism: int | None = None, slice_rows: int | None = None,
-               min_slice_rows: int = MIN_SLICE_ROWS, prev_col: str = "prev_event_at", flag_col: str = "is_new_session",
+               min_slice_rows: int = MIN_SLICE_ROWS, prev_col: str = "prev_event_at",
+               flag_col: str = "is_new_session",
                number_col: str = "session_number") -> DataFrame:
     """Add ``prev_col``, ``flag_col`` (int) and ``number_col`` (bigint) to ``df``.
 
@@ -334,7 +337,11 @@ def sessionize_plain(df: DataFrame, key: str = "user_id", ts: str = "event_times
                      tiebreak: str = "event_id", gap_seconds: int = SESSION_GAP_SECONDS,
                      prev_col: str = "prev_event_at", flag_col: str = "is_new_session",
                      number_col: str = "session_number") -> DataFrame:
-    """The direct one-window form (one task per key). Reference for tests only."""
+    """The direct one-window form: one exchange on the key, one task per key.
+
+    Used by ``sessionize`` when no key is hot (every key then has at most L
+    rows), and by the tests as the reference the split form must equal.
+    """
     w = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_last(), F.col(tiebreak).asc_nulls_last())
     out = df.withColumn(prev_col, F.lag(ts).over(w))
     is_new = F.col(prev_col).isNull() | F.coalesce(
