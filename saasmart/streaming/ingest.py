@@ -20,10 +20,13 @@ situation                              file stream (default)    mtime cursor
 =====================================  =======================  ==================
 cursor                                 set of paths             newest mtime
 same path rewritten / touched later    not loaded again         loaded again
-late file carrying an older mtime      loaded                   skipped
+late file carrying an older mtime      loaded (*)               skipped
 rerun with nothing new                 nothing loaded           nothing loaded
 =====================================  =======================  ==================
 
+(*) if within ``maxFileAge`` (7 days by default) of the newest file seen;
+older files are skipped by the stream too.
+
 Appends keep duplicates (ids can repeat across batches); no dedupe.
 """
 

@@ -76,3 +76,26 @@ def test_touched_file_stream_vs_mtime(spark):
     I.append_incremental(spark, lake, "events")
     assert I.read_raw(spark, lake, "events").count() == 10   # path cursor: not again
     assert I.append_by_mtime(spark, mlake, "events") == 10    # mtime cursor: again
+
+
+def test_late_file_with_older_mtime(spark):
+    """A new file whose modification time is older than the cursor (but within the
+    stream's maxFileAge, 7 days by default; older files are skipped by both)."""
+    lake = I.Lake.fresh(spark, "t-late")
+    mlake = I.Lake(lake.root + "-m")
+    for lk in (lake, mlake):
+        L.write_batch(_events(spark, 0, 10), lk.landing, "events", "a")
+    I.append_incremental(spark, lake, "events")
+    assert I.append_by_mtime(spark, mlake, "events") == 10
+    paths = [L.write_batch(_events(spark, 10, 14), lk.landing, "events", "b") for lk in (lake, mlake)]
+    if not all(p.startswith(("file:", "/")) for p in paths):
+        return
+    older = time.time() - 3600  # an hour before the files already loaded
+    for p in paths:
+        local = p.replace("file:", "")
+        for root, _, files in os.walk(local):
+            for f in files:
+                os.utime(os.path.join(root, f), (older, older))
+    I.append_incremental(spark, lake, "events")
+    assert I.read_raw(spark, lake, "events").count() == 14       # path cursor: loaded
+    assert I.append_by_mtime(spark, mlake, "events") == 0         # mtime cursor: skipped
