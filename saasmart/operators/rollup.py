@@ -29,9 +29,9 @@ def _sum_type(dt: T.DataType) -> T.DataType:
 def star_rollup(fact: DataFrame, dim: DataFrame, join_key: str,
                 fact_keys: Sequence[str], dim_keys: Sequence[str],
                 sums: Mapping[str, str],
-                sums_where: Mapping[str, tuple[str, Column]] = {},
+                sums_where: Mapping[str, tuple[str, Column]] | None = None,
                 count_name: str = "row_count",
-                rename: Mapping[str, str] = {}) -> DataFrame:
+                rename: Mapping[str, str] | None = None) -> DataFrame:
     """``fact JOIN dim USING(join_key) GROUP BY fact_keys, dim_keys``.
 
     ``sums``: output name -> fact column summed.
@@ -39,6 +39,8 @@ def star_rollup(fact: DataFrame, dim: DataFrame, join_key: str,
     NULL when no row of the group meets the condition, like SUM ... FILTER.
     ``rename``: group key -> output name.
     """
+    sums_where = sums_where or {}
+    rename = rename or {}
     measures = sorted({c for c in sums.values()} | {c for c, _ in sums_where.values()})
     pre = fact.groupBy(join_key, *fact_keys).agg(
         F.count(F.lit(1)).alias("_pre_n"),
