@@ -117,3 +117,25 @@ def test_small_trigger_splits_backlog(spark):
     I.append_incremental(spark, lake, "events", max_files_per_trigger=1)
     assert I.read_raw(spark, lake, "events").count() == ev.count()
     assert I.read_ledger(spark, lake).count() == 3
+
+
+def test_fct_revenue_with_hot_and_duplicated_user_equals_direct_join(spark):
+    inv = registry.stg_invoices(spark, SF01)
+    inv = inv.withColumn("user_id", F.when(F.col("invoice_id") % 3 == 0, F.lit(1))
+                         .otherwise(F.col("user_id")))            # a third on user 1
+    usr = registry.stg_users(spark, SF01)
+    extra = (usr.where(F.col("user_id") == 1)
+             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(49)))).drop("_copy"))
+    usr = usr.unionByName(extra)                                  # user 1 copied 50 times
+    got = M.fct_revenue(inv, usr)
+    direct = (inv.alias("i").join(usr.alias("u"), "user_id")
+              .groupBy(F.col("issued_at").alias("revenue_date"), "plan", "country_code",
+                       F.col("status").alias("invoice_status"))
+              .agg(F.count(F.lit(1)).alias("invoice_count"),
+                   F.sum("amount").alias("gross_amount"),
+                   F.sum(F.when(F.col("status") == "paid", F.col("amount"))).alias("net_revenue"),
+                   F.sum(F.when(F.col("status") == "refunded", F.col("amount")))
+                   .alias("refunded_amount")))
+    assert sorted(map(tuple, got.collect()), key=repr) == \
+        sorted(map(tuple, direct.select(*got.columns).collect()), key=repr)
+    assert dict(got.dtypes) == dict(direct.select(*got.columns).dtypes)
