@@ -5,6 +5,7 @@
     python -m saasmart ingest   --root R
     python -m saasmart build    --root R [--marts gold ...]
     python -m saasmart audit    --root R
+    python -m saasmart bootstrap --root R   (seed-0 tables straight into raw)
 
 The session comes from the deployment (``getOrCreate``); ``--root`` is any
 Hadoop filesystem URI and defaults to a folder under the cluster's
@@ -33,7 +34,7 @@ from saasmart.streaming import ingest as I
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="saasmart")
-    p.add_argument("step", choices=["generate", "ingest", "build", "run", "audit"])
+    p.add_argument("step", choices=["generate", "ingest", "build", "run", "audit", "bootstrap"])
     p.add_argument("--root", help="lake root (landing/, raw/, ledger/, warehouse/ below it)")
     p.add_argument("--batches", type=int, default=1, help="activity batches to generate")
     p.add_argument("--seeds", type=int, nargs="*", help="one seed per batch")
@@ -56,12 +57,14 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         seeds = args.seeds or [random.randint(0, 1_000_000) for _ in range(args.batches)]
         report["seeds"] = seeds
         report["batches"] = L.land_synthetic(spark, lake.landing, seeds, n_users=args.users)
+    if args.step == "bootstrap":
+        report["written"] = I.bootstrap_raw(spark, lake, (args.seeds or [0])[0], args.users)
     if args.step in ("ingest", "run"):
         I.ingest_all(spark, lake)
     if args.step in ("build", "run"):
         models = PL.build(spark, lake, layers)
         report["marts"] = {f"{layers.marts}.{m}": models[m].count() for m in PL.MART_TABLES}
-    if args.step in ("audit", "run"):
+    if args.step in ("audit", "run", "bootstrap"):
         raw = {t: I.read_raw(spark, lake, t) for t in schemas.RAW_TABLES}
         report["row_counts"] = {r.table_name: r.row_count
                                 for r in audit.row_counts(raw).collect()}

@@ -193,6 +193,31 @@ def append_by_mtime(spark: SparkSession, lake: Lake, table: str) -> int:
     return rows
 
 
+def bootstrap_raw(spark: SparkSession, lake: Lake, seed: int = 0,
+                  n_users: int | None = None) -> dict[str, int]:
+    """Write the four generated tables straight into the raw layer (create or replace).
+
+    No landing zone is involved: each raw table is replaced whole by one
+    batch of seed ``seed`` (users by the fixed user rules), and a ledger row
+    with mode ``replace`` records each write.
+    """
+    from saasmart.sources import synth
+
+    tables = {
+        "users": synth.users(spark) if n_users is None else synth.users(spark, n_users),
+        **{t: gen(spark, [seed]).drop("batch") for t, gen in synth.GENERATORS.items()},
+    }
+    load_id = f"b{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
+    counts = {}
+    for table, df in tables.items():
+        obs = Observation(f"bootstrap_{table}_{uuid.uuid4().hex[:8]}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+            .parquet(lake.raw_path(table))
+        counts[table] = int(obs.get["rows"])
+        _ledger_row(spark, lake, table, "replace", load_id, counts[table], None)
+    return counts
+
+
 def ingest_all(spark: SparkSession, lake: Lake) -> None:
     """Users by replace; every activity table by its own cursor, drained concurrently."""
     queries = [start_incremental(spark, lake, t) for t in schemas.ACTIVITY_TABLES]

@@ -86,3 +86,19 @@ def test_cli_steps(spark):
     rep = main(["run", "--batches", "1", "--seeds", "8", "--users", "300", *common], spark=spark)
     assert rep["row_counts"]["events"] == 2 * R.EVENTS_PER_BATCH
     assert rep["row_counts"]["users"] == 300
+
+
+def test_bootstrap_writes_raw_directly(spark):
+    from saasmart.__main__ import main
+    from saasmart.sources import synth
+    lake = I.Lake.fresh(spark, "t-boot")
+    rep = main(["bootstrap", "--root", lake.root], spark=spark)
+    assert rep["written"] == {"users": R.NUM_USERS, "events": R.EVENTS_PER_BATCH,
+                              "invoices": R.INVOICES_PER_BATCH,
+                              "support_tickets": R.TICKETS_PER_BATCH}
+    assert rep["row_counts"] == rep["written"]
+    assert {r["load_mode"] for r in rep["loaded"]} == {"replace"}
+    raw = I.read_raw(spark, lake, "invoices")
+    assert raw.exceptAll(synth.invoices(spark, [0]).drop("batch")).count() == 0
+    main(["bootstrap", "--root", lake.root], spark=spark)  # replace, not append
+    assert I.read_raw(spark, lake, "events").count() == R.EVENTS_PER_BATCH
