@@ -25,7 +25,9 @@ rerun with nothing new                 nothing loaded           nothing loaded
 =====================================  =======================  ==================
 
 (*) if within ``maxFileAge`` (7 days by default) of the newest file seen;
-older files are skipped by the stream too.
+older files are skipped by the stream too. The mtime cursor is strict
+(``>``): a new file whose modification time equals the newest loaded one is
+skipped, as with any high-water mark on a timestamp.
 
 Appends keep duplicates (ids can repeat across batches); no dedupe.
 """
