@@ -36,7 +36,8 @@ recomputation after a lost executor, assigns the same slice):
    into tiebreak ranges when the tiebreak is integral.
 4. Window over (key, slice): lag and running sum inside each slice; one
    hash exchange on (key, slice), balanced by construction. A slice label is
-   an array (cell, sub-slice of each round, ...), ordered element by element.
+   a long (cell, then cell * parts + sub per round) while its exact bound fits,
+   else an array of levels; either way ordered like the rows it holds.
 5. For hot keys only: one summary row per (key, slice) (first ts, last ts,
    local session count). Cells are at most 4 * (N / L + 2P) + 2P <= 18P;
    each refinement round adds at most about 16P sub-slices and copy chunks
@@ -108,15 +109,48 @@ def hot_key_table(df: DataFrame, key: str = "user_id", ts: str = "event_timestam
     return spark.createDataFrame(hot.collect(), hot.schema)
 
 
-def _is_hot(label: str) -> Column:
-    """Labels are arrays of longs; ordinary keys carry [-1]."""
-    return F.element_at(F.col(label), 1) >= 0
+class _Labels:
+    """Slice labels: longs while their exact bound fits in 62 bits, arrays beyond.
 
+    A label is -1 for ordinary keys and a non-negative position for hot-key
+    slices. Each refinement level maps label -> label * parts + sub (sub in
+    [0, parts)), which keeps the order between old slices. The bound is
+    tracked exactly on the driver; a level that could overflow switches the
+    encoding to an array of longs (one element per level, compared element
+    by element), so no label arithmetic can overflow.
+    """
 
-def _append(label: str, sub: Column) -> Column:
-    """Extend hot labels by one sub-slice index; ordinary labels stay [-1]."""
-    return F.when(_is_hot(label), F.concat(F.col(label), F.array(sub.cast("long")))) \
-        .otherwise(F.col(label))
+    LIMIT = 2 ** 62
+
+    def __init__(self, bound: int) -> None:
+        self.bound = bound          # hot labels lie in [0, bound)
+        self.as_array = False
+
+    def is_hot(self, label: str) -> Column:
+        first = F.element_at(F.col(label), 1) if self.as_array else F.col(label)
+        return first >= 0
+
+    def level(self, parts: int):
+        """Fix the encoding of one more level; returns apply(df, label, sub)."""
+        use_long = not self.as_array and self.bound * parts < self.LIMIT
+        to_array = not use_long and not self.as_array
+        if use_long:
+            self.bound *= parts
+        else:
+            self.as_array = True
+
+        def apply(df: DataFrame, label: str, sub: Column) -> DataFrame:
+            lab = F.col(label)
+            if use_long:
+                return df.withColumn(label, F.when(lab >= 0, lab * parts + sub.cast("long"))
+                                     .otherwise(lab))
+            if to_array:
+                df = df.withColumn(label, F.array(lab))
+                lab = F.col(label)
+            return df.withColumn(label, F.when(F.element_at(lab, 1) >= 0,
+                                               F.concat(lab, F.array(sub.cast("long"))))
+                                 .otherwise(lab))
+        return apply
 
 
 def _cell(ts: str) -> Column:
@@ -127,7 +161,7 @@ def _cell(ts: str) -> Column:
 
 def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id",
                 ts: str = "event_timestamp", tiebreak: str = "event_id",
-                allow_time: bool = True) -> DataFrame:
+                allow_time: bool = True, is_hot: Column | None = None) -> DataFrame:
     """Slices of hot keys that still hold more than ``limit`` rows, and how to cut them.
 
     A slice spanning several timestamps is cut into finer equal-width time
@@ -144,7 +178,7 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     spark = labeled.sparkSession
     integral_tiebreak = isinstance(labeled.schema[tiebreak].dataType,
                                    (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    hist = (labeled.where(_is_hot(label))
+    hist = (labeled.where(F.col(label) >= 0 if is_hot is None else is_hot)
             .groupBy(F.col(key).alias("_rk"), F.col(label).alias("_rc"))
             .agg(F.count(F.lit(1)).alias("_n"),
                  F.min(ts).alias("_cmin"), F.max(ts).alias("_cmax"),
@@ -179,12 +213,8 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
 
 
 def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
-            tiebreak: str) -> DataFrame:
-    """Append a sub-slice index to every hot label (0 where the slice is not cut).
-
-    Labels are arrays compared element by element, so the order between old
-    slices is kept and no number grows with the rounds.
-    """
+            tiebreak: str, labels: _Labels) -> DataFrame:
+    """Extend every hot label by a sub-slice index (0 where the slice is not cut)."""
     by_tie = F.pmod(F.pmod(F.xxhash64(F.col(tiebreak)), F.col("_parts")) - F.col("_first"),
                     F.col("_parts"))
     by_time = F.least(F.floor(micros_between(F.col("_cmin"), F.col(ts)) / F.col("_w2")),
@@ -195,15 +225,17 @@ def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
     sub = (F.when(F.col("_parts").isNull(), F.lit(0))
            .when(F.col("_nullts"), by_tb)
            .when(F.col("_tie"), by_tie).otherwise(by_time))
-    return (labeled.join(F.broadcast(heavy),
-                         F.col(key).eqNullSafe(F.col("_rk")) & (F.col(label) == F.col("_rc")),
-                         "left")
-            .withColumn(label, _append(label, sub))
+    apply = labels.level(heavy.agg(F.max("_parts")).first()[0])
+    joined = labeled.join(F.broadcast(heavy),
+                          F.col(key).eqNullSafe(F.col("_rk")) & (F.col(label) == F.col("_rc")),
+                          "left")
+    return (apply(joined, label, sub)
             .drop("_rk", "_rc", "_n", "_tie", "_nullts", "_cmin", "_tbmin", "_wtb", "_w2",
                   "_parts", "_first", "_copy"))
 
 
-def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int) -> DataFrame:
+def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int,
+                     labels: _Labels) -> DataFrame:
     """Replace each heavy copy group by chunk rows of at most ``limit // 2`` copies.
 
     Only rows of the (bounded) copy groups are aggregated; partial
@@ -213,12 +245,12 @@ def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int
     exploded back after the window.
     """
     chunk = max(1, limit // 2)
+    apply = labels.level(copies.agg(F.max(F.ceil(F.col("_n") / F.lit(chunk)))).first()[0])
     cols = [c for c in labeled.columns if c != _SLICE]
     marked = labeled.join(F.broadcast(copies.select("_rk", "_rc")),
                           F.col(key).eqNullSafe(F.col("_rk")) & (F.col(_SLICE) == F.col("_rc")),
                           "left")
-    rest = (marked.where(F.col("_rc").isNull())
-            .withColumn(_SLICE, _append(_SLICE, F.lit(0)))
+    rest = (apply(marked.where(F.col("_rc").isNull()), _SLICE, F.lit(0))
             .withColumn(_K, F.lit(1).cast("long"))
             .drop("_rk", "_rc"))
     groups = (marked.where(F.col("_rc").isNotNull())
@@ -228,8 +260,8 @@ def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int
                                                      F.ceil(F.col("_k") / F.lit(chunk)) - 1)))
               .withColumn(_K, F.least(F.lit(chunk).cast("long"),
                                       F.col("_k") - F.col("_j") * chunk))
-              .withColumn(_SLICE, _append(_SLICE, F.col("_j")))
-              .drop("_k", "_j"))
+              .drop("_k"))
+    chunks = apply(chunks, _SLICE, F.col("_j")).drop("_j")
     return rest.unionByName(chunks)
 
 
@@ -254,26 +286,28 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                                 number_col)
 
     # 3. slice label: -1 for ordinary keys, a time cell for hot keys,
-    #    refined inside heavy cells (one more array element per round)
-    cell = F.array((F.when(F.col("_hot").isNull(), F.lit(-1))
-                    .when(F.col(ts).isNull(), F.col("_g"))
-                    .otherwise(_cell(ts))).cast("long"))
+    #    refined inside heavy cells (one more level per round, see _Labels)
+    cell = (F.when(F.col("_hot").isNull(), F.lit(-1))
+            .when(F.col(ts).isNull(), F.col("_g"))
+            .otherwise(_cell(ts))).cast("long")
     limit = hot.first()["_limit"]
+    labels = _Labels(hot.agg(F.max("_g")).first()[0] + 1)
     labeled = (df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left")
                .withColumn(_SLICE, cell)
                .drop("_hk", "_hot", "_lo", "_g", "_w", "_limit"))
     copies = None
     for round_ in range(REFINE_ROUNDS + 1):
         heavy = heavy_cells(labeled, _SLICE, limit, key, ts, tiebreak,
-                            allow_time=round_ < REFINE_ROUNDS - 1)
+                            allow_time=round_ < REFINE_ROUNDS - 1,
+                            is_hot=labels.is_hot(_SLICE))
         cuttable = heavy.where(~F.col("_copy"))
         if round_ == REFINE_ROUNDS or cuttable.isEmpty():
             copies = heavy.where(F.col("_copy"))
             break
-        labeled = _refine(labeled, _SLICE, cuttable, key, ts, tiebreak)
+        labeled = _refine(labeled, _SLICE, cuttable, key, ts, tiebreak, labels)
     has_copies = copies is not None and not copies.isEmpty()
     if has_copies:
-        labeled = _collapse_copies(labeled, copies, key, limit)
+        labeled = _collapse_copies(labeled, copies, key, limit, labels)
 
     # 4. local lag / running sum inside each (key, slice)
     w = Window.partitionBy(key, _SLICE).orderBy(*ts_order)
@@ -287,7 +321,7 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
     # 5. fix-ups for slices that continue an earlier slice of the same hot key
-    summary = local.where(_is_hot(_SLICE)).groupBy(key, _SLICE).agg(
+    summary = local.where(labels.is_hot(_SLICE)).groupBy(key, _SLICE).agg(
         F.min(ts).alias("_first_ts"),
         F.when(F.count(F.lit(1)) == F.count(ts), F.max(ts)).alias("_last_ts"),
         F.sum(flag_col).cast("long").alias("_n"),

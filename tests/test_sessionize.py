@@ -131,8 +131,8 @@ def _slice_sizes(spark, df, limit):
     captured = {}
     orig = ss._refine
 
-    def spy(labeled, label, heavy, key, ts, tiebreak):
-        out = orig(labeled, label, heavy, key, ts, tiebreak)
+    def spy(*args):
+        out = orig(*args)
         captured["labeled"] = out
         return out
     ss._refine = spy
@@ -188,3 +188,16 @@ def test_generated_near_pairs(spark, seeds, continued):
     out = sessionize(ev)
     assert out.where(F.col("is_new_session") == 0).count() == continued
     assert out.count() == 2 * 50000
+
+
+@pytest.mark.parametrize("limit", [1, 50])
+def test_array_labels_when_long_labels_could_overflow(spark, limit, monkeypatch):
+    """Force the array encoding (tiny bound) at the start or after the first level."""
+    from saasmart.operators import sessionize as ss
+    monkeypatch.setattr(ss._Labels, "LIMIT", limit)
+    rows = [(77, 1, at(3)) for _ in range(120)]                  # copy group
+    rows += [(1000 + i, 1, at(5)) for i in range(150)]           # single-timestamp burst
+    rows += [(i, 1, at(0, 5 * i)) for i in range(100)]
+    rows += [(500 + i, 2, at(0, 9 * i)) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert _as_set(ss.sessionize(df, slice_rows=40)) == _as_set(sessionize_plain(df))
