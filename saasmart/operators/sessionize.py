@@ -33,7 +33,9 @@ recomputation after a lost executor, assigns the same slice):
    tiebreak value (copies of a record) is pre-aggregated instead: its rows become count-carrying
    chunk rows in separate sub-slices, exploded back after the window. The
    NULL-timestamp cell of a key is ordered by the tiebreak alone and is cut
-   into tiebreak ranges when the tiebreak is integral.
+   into tiebreak ranges when the tiebreak is integral; copies at a NULL
+   timestamp are collapsed the same way (each copy after the first starts a
+   session, which the window counts through the copy count).
 4. Window over (key, slice): lag and running sum inside each slice; one
    hash exchange on (key, slice), balanced by construction. A slice label is
    a long (cell, then cell * parts + sub per round) while its exact bound fits,
@@ -190,25 +192,30 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     w2 = F.greatest(F.ceil(span / (need * TIME_SPLITS_PER_LIMIT)), F.lit(1)).cast("long")
     # NULL timestamps are ordered by the tiebreak alone: cut its range (integral
     # tiebreaks), with one last part for NULL tiebreaks
-    tb_span = F.col("_tmax").cast("long") - F.col("_tmin").cast("long") + 1
-    wtb = F.greatest(F.ceil(tb_span / (need * TIME_SPLITS_PER_LIMIT)), F.lit(1)).cast("long")
-    parts = (F.when(null_ts, F.ceil(tb_span / wtb) + 1)
+    if integral_tiebreak:
+        tbmin = F.col("_tmin").cast("long")
+        tb_span = F.col("_tmax").cast("long") - tbmin + 1
+        wtb = F.greatest(F.ceil(tb_span / (need * TIME_SPLITS_PER_LIMIT)),
+                         F.lit(1)).cast("long")
+        tb_parts = F.ceil(tb_span / wtb) + 1
+    else:  # a non-integral tiebreak has no range to cut
+        tbmin = wtb = tb_parts = F.lit(None).cast("long")
+    # one record at one timestamp (or at NULL), copied: no order value can cut it
+    copy = (tie | null_ts) & F.col("_tmin").eqNullSafe(F.col("_tmax"))
+    parts = (F.when(null_ts, tb_parts)
              .when(tie, need * TIE_SPLITS_PER_LIMIT)
              .otherwise(F.ceil(span / w2))).cast("long")
     heavy = hist.where(F.col("_n") > F.lit(limit))
-    if integral_tiebreak:
-        heavy = heavy.where(~null_ts | F.col("_tmin").isNotNull())
-    else:
-        heavy = heavy.where(~null_ts)
+    heavy = heavy.where(~null_ts | copy | F.lit(integral_tiebreak) & F.col("_tmin").isNotNull())
     if not allow_time:
         heavy = heavy.where(tie | null_ts)
     ref = heavy.select("_rk", "_rc", "_n", tie.alias("_tie"), null_ts.alias("_nullts"),
-                       "_cmin", F.col("_tmin").cast("long").alias("_tbmin"),
+                       "_cmin", tbmin.alias("_tbmin"),
                        F.when(null_ts, wtb).alias("_wtb"),
                        F.when(~tie & ~null_ts, w2).alias("_w2"), parts.alias("_parts"),
                        F.when(tie, F.pmod(F.xxhash64(F.col("_tmin")), parts))
                        .otherwise(F.lit(0)).cast("long").alias("_first"),
-                       (tie & F.col("_tmin").eqNullSafe(F.col("_tmax"))).alias("_copy"))
+                       copy.alias("_copy"))
     return spark.createDataFrame(ref.collect(), ref.schema)
 
 
@@ -316,15 +323,20 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
              .withColumn(prev_col, F.lag(ts).over(w)))
     is_new = (F.col(prev_col).isNull()
               | F.coalesce(gap_exceeds(F.col(ts), F.col(prev_col), gap_seconds), F.lit(False)))
+    # a chunk row of copies at a NULL timestamp stands for _K rows that each
+    # start a session (their previous ts is NULL): count the extra ones
+    extra = (F.when(F.col(ts).isNull(), F.col(_K) - 1).otherwise(F.lit(0))
+             if has_copies else F.lit(0))
     local = (local.withColumn(flag_col, is_new.cast("int"))
-             .withColumn(_LOCAL_SN, F.sum(flag_col).over(
-                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+             .withColumn("_ss_step", F.col(flag_col) + extra)
+             .withColumn(_LOCAL_SN, F.sum("_ss_step").over(
+                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - extra))
 
     # 5. fix-ups for slices that continue an earlier slice of the same hot key
     summary = local.where(labels.is_hot(_SLICE)).groupBy(key, _SLICE).agg(
         F.min(ts).alias("_first_ts"),
         F.when(F.count(F.lit(1)) == F.count(ts), F.max(ts)).alias("_last_ts"),
-        F.sum(flag_col).cast("long").alias("_n"),
+        F.sum("_ss_step").cast("long").alias("_n"),
     )
     by_key = Window.partitionBy(key).orderBy(_SLICE)
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
@@ -355,16 +367,21 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
                        .otherwise(F.col(flag_col)).cast("int"))
            .withColumn(number_col, (F.col(_LOCAL_SN)
                                     + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
-           .drop(_SLICE, _RN, _LOCAL_SN, "_fx_key", "_fx_slice", "_prev_last",
+           .drop(_SLICE, _RN, _LOCAL_SN, "_ss_step", "_fx_key", "_fx_slice", "_prev_last",
                  "_first_new", "_off"))
     if not has_copies:
         return out
-    # 6. copies back: the first copy of a chunk keeps its outputs, every other
-    #    copy continues the session at the same (non-NULL) timestamp
+    # 6. copies back: the first copy of a chunk keeps its outputs; every other
+    #    copy continues the session at the same timestamp, or, at a NULL
+    #    timestamp, starts the next one (its previous ts is NULL)
     again = F.col("_copy_no") > 1
+    null = F.col(ts).isNull()
     return (out.withColumn("_copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col(_K))))
             .withColumn(prev_col, F.when(again, F.col(ts)).otherwise(F.col(prev_col)))
-            .withColumn(flag_col, F.when(again, F.lit(0)).otherwise(F.col(flag_col)))
+            .withColumn(flag_col, F.when(again, F.when(null, F.lit(1)).otherwise(F.lit(0)))
+                        .otherwise(F.col(flag_col)).cast("int"))
+            .withColumn(number_col, (F.col(number_col) + F.when(null, F.col("_copy_no") - 1)
+                                     .otherwise(F.lit(0))).cast("long"))
             .drop("_copy_no", _K))
 
 

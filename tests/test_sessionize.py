@@ -201,3 +201,31 @@ def test_array_labels_when_long_labels_could_overflow(spark, limit, monkeypatch)
     rows += [(500 + i, 2, at(0, 9 * i)) for i in range(60)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert _as_set(ss.sessionize(df, slice_rows=40)) == _as_set(sessionize_plain(df))
+
+
+def test_null_timestamp_copy_group_is_collapsed_and_exact(spark):
+    rows = [(9, 1, None) for _ in range(150)]                   # one NULL-ts record copied
+    rows += [(5, 1, None), (10, 1, None), (None, 1, None)]       # neighbours in tiebreak order
+    rows += [(i, 1, at(0, 7 * i)) for i in range(100)]
+    rows += [(800 + i, 2, at(0, 3 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sessionize(df, slice_rows=40)
+    assert got.count() == len(rows)
+    assert _as_set(got) == _as_set(sessionize_plain(df))
+
+
+def test_string_tiebreak_hot_key(spark):
+    schema = T.StructType([T.StructField("event_id", T.StringType()),
+                           T.StructField("user_id", T.LongType()),
+                           T.StructField("event_timestamp", T.TimestampNTZType())])
+    rows = [(f"e{i:04d}", 1, at(2)) for i in range(120)]           # tie burst
+    rows += [(f"n{i:04d}", 1, None) for i in range(90)]            # NULL timestamps
+    rows += [(f"c{i:04d}", 1, at(0, 4 * i)) for i in range(100)]
+    rows += [("same", 1, at(4)) for _ in range(60)]                # copies
+    df = spark.createDataFrame(rows, schema)
+
+    def keyed(d):
+        return sorted((tuple(r) for r in d.select(
+            "event_id", "user_id", "prev_event_at", "is_new_session", "session_number")
+            .collect()), key=repr)
+    assert keyed(sessionize(df, slice_rows=30)) == keyed(sessionize_plain(df))
