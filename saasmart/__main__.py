@@ -26,7 +26,7 @@ from pyspark.sql import SparkSession
 from saasmart import schemas
 from saasmart.plans import audit
 from saasmart.plans import catalog as C
-from saasmart.plans import pipeline as PL
+from saasmart.plans import runner as PL
 from saasmart.session import shared_root
 from saasmart.sources import landing as L
 from saasmart.streaming import ingest as I

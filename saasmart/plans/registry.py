@@ -17,7 +17,7 @@ from saasmart import schemas
 from saasmart.plans import audit
 from saasmart.plans import catalog as C
 from saasmart.plans import models as M
-from saasmart.plans import pipeline as PL
+from saasmart.plans import runner as PL
 from saasmart.plans import staging as S
 from saasmart.sources import adapters as A
 from saasmart.sources import landing as L
@@ -162,9 +162,9 @@ def mart_materialize(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"`{layers.marts}`.`fct_revenue`")
 
 
-def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+def run_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Land -> ingest -> build; the daily-active-users mart."""
-    lake = I.Lake.fresh(spark, "pipeline")
+    lake = I.Lake.fresh(spark, "run")
     layers = C.Layers.suffixed(lake.root.rsplit("-", 1)[-1])
     marts = PL.run(spark, lake, layers, raw_tables=_raw_tables(spark, sf),
                    dau_events=O.TEST_DAU_EVENTS)
@@ -194,7 +194,7 @@ QUERIES: dict[str, Query] = {
     "load_ledger": load_ledger,
     "row_count_audit": row_count_audit,
     "mart_materialize": mart_materialize,
-    "pipeline_end_to_end": pipeline_end_to_end,
+    "run_end_to_end": run_end_to_end,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -220,5 +220,5 @@ ORACLE_SQL: dict[str, str] = {
     "load_ledger": O.LOAD_LEDGER,
     "row_count_audit": O.ROW_COUNT_AUDIT,
     "mart_materialize": O.FCT_REVENUE,
-    "pipeline_end_to_end": O.DAILY_ACTIVE_USERS,
+    "run_end_to_end": O.DAILY_ACTIVE_USERS,
 }

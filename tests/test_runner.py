@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from saasmart.plans import catalog as C
-from saasmart.plans import pipeline as PL
+from saasmart.plans import runner as PL
 from saasmart.sources import rules as R
 from saasmart.streaming import ingest as I
 
