@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id
+from . import language_id, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +22,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "found.*")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 4-word shingles, 4 differing bits."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op6_simhash": op6_simhash,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
