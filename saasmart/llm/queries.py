@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, simhash
+from . import decontaminate, language_id, secret_scan, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +29,33 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it contains to 0.8 or more, in 5-word shingles."""
+    found = decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_shared", "n_shingles", "containment")
+
+
+def _joined(spans: str) -> Column:
+    return F.array_join(F.transform(F.col(spans), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def _count_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(F.col(spans), lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base spans, and all spans."""
+    docs = _table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secret_scan.scan(F.col("text")).alias("found"))
+    return found.select("doc_id", *(_count_kind("found.spans", k) for k in ("assign", "access", "hex")),
+                        "found.base_sha256", _joined("found.spans").alias("spans"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op6_simhash": op6_simhash,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
