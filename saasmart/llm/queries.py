@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, secret_scan, simhash
+from . import bpe, decontaminate, language_id, secret_scan, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,20 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "found.*")
 
 
+def tokenizer() -> tuple[list[bytes], str]:
+    """Ranks and pattern of the public multilingual byte-level vocabulary."""
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and of the decoded bytes of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select("doc_id", bpe.encode(F.col("text"), *tokenizer()).alias("found")) \
+        .select("doc_id", "found.n_tokens", "found.ids_sha256", "found.decoded_sha256")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, 4 differing bits."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -53,6 +67,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_byte_bpe": op2_byte_bpe,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_secret_scan": op8_secret_scan,
