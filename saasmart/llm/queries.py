@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language_id, secret_scan, simhash
+from . import bpe, decontaminate, language_id, quality, secret_scan, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,12 +65,23 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "found.base_sha256", _joined("found.spans").alias("spans"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every document, and the verdict of rules and n-gram ratio; trusted: quality 1."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ratio = quality.fit(docs, labels.where("quality = 1"))
+    found = docs.select("doc_id", quality.measure(F.col("text"), ratio).alias("x")).select("doc_id", "x.*")
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return found.withColumn("base_failed", failed) \
+        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= ratio.threshold))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_secret_scan": op8_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
