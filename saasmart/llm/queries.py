@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language_id, quality, secret_scan, simhash
+from . import bpe, decontaminate, difference_cover, language_id, quality, secret_scan, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= ratio.threshold))
 
 
+def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word windows that start in a document with a smaller id, too."""
+    found = difference_cover.remove_repeats(_table(spark, sf_dir, "documents"), words=50, keep=False)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -82,6 +88,7 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
+    "op10_difference_cover": op10_difference_cover,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
