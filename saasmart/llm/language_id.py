@@ -1,9 +1,9 @@
 """Language identification with interpolated Kneser-Ney character models.
 
-Fit: Spark counts the character 5-grams of every labelled text, per language. A
-5-gram is packed in 60 bits (12 bits a character; letters in lower case, every run
+Fit: Spark counts the character 4-grams of every labelled text, per language. A
+4-gram is packed in 48 bits (12 bits a character; letters in lower case, every run
 of other characters is one boundary) and falls into one of ``2**bits`` slots; the
-counts of a slot are pooled. ``bits`` follows from the number of languages alone,
+counts of a slot are pooled under its most frequent key. ``bits`` follows from the number of languages alone,
 so that the model has a proven size bound (``MODEL_BYTES``) whatever the corpus.
 From the slots the lower orders' continuation counts, the discounts and the
 interpolation weights follow on the driver, as sorted hash arrays.
@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 
 from .storage import cut
 
-ORDER = 5
+ORDER = 4
 CHAR_BITS = 12
 #: Most that the arrays of a model may take, whatever the corpus.
-MODEL_BYTES = 1 << 28
-MAX_SLOT_BITS = 20
+MODEL_BYTES = 1 << 26
+MAX_SLOT_BITS = 18
 #: Labelled texts that calibrate the rejection; they are left out of the counts.
 CALIBRATION_ROWS = 2000
 CALIBRATION_SHARE = 20
@@ -65,7 +65,7 @@ def _classes_of_chars() -> np.ndarray:
 
 
 def _stream(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the 5-grams that end at each kept character, and the characters per text."""
+    """Keys of the n-grams that end at each kept character, and the characters per text."""
     points = [np.frombuffer(t.lower().encode("utf-32-le", "replace"), np.uint32) for t in texts]
     size = np.array([len(p) for p in points], dtype=np.int64)
     joined = np.concatenate(points) if points else np.zeros(0, np.uint32)
@@ -178,9 +178,9 @@ class Model:
 
     langs: list[str]
     bits: int
-    grams: list[tuple[np.ndarray, np.ndarray]]     # per order: slots, log probabilities (slots x languages)
-    contexts: list[tuple[np.ndarray, np.ndarray]]  # per order: slots, log interpolation weights
-    floor: float                                   # log probability of an unknown character
+    grams: list[tuple]     # per order: slots (sorted), their keys, log probabilities (slots x languages)
+    contexts: list[tuple]  # per order: slots (sorted), their keys, log interpolation weights
+    floor: float           # log probability of an unknown character
     mean: np.ndarray = None                        # calibration, per language
     spread: np.ndarray = None
     reach: float = 0.0
@@ -198,7 +198,7 @@ def slot_bits(n_langs: int, model_bytes: int = MODEL_BYTES) -> int:
 
 
 def _smooth(langs: list[str], bits: int, lang: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model:
-    """Interpolated Kneser-Ney from the pooled 5-grams (lang: index, key, count)."""
+    """Interpolated Kneser-Ney from the pooled n-grams (lang: index, key, count)."""
     by_order = {ORDER: (lang, key, count.astype(np.float64))}
     for order in range(ORDER - 1, 0, -1):
         # the continuation count of a gram: in how many longer gram types it is the suffix
@@ -238,7 +238,7 @@ def _smooth(langs: list[str], bits: int, lang: np.ndarray, key: np.ndarray, coun
             slots = _slot(k, bits)
             sort = np.lexsort((k, slots))
             once = np.append(True, np.diff(slots[sort]) != 0) if len(sort) else np.zeros(0, bool)
-            out.append((slots[sort][once], np.ascontiguousarray(values[:, sort][:, once].T.astype(np.float32))))
+            out.append((slots[sort][once], k[sort][once], np.ascontiguousarray(values[:, sort][:, once].T.astype(np.float32))))
     return Model(langs, bits, grams, contexts, floor)
 
 
@@ -249,11 +249,18 @@ class Scorer:
         self.model = model
         self.classes = _classes_of_chars()
         self.rank = []
-        for slots, _ in (*model.grams, *model.contexts):
+        for slots, _, _ in (*model.grams, *model.contexts):
             where = np.full(1 << model.bits, -1, dtype=np.int32)
             where[slots] = np.arange(len(slots), dtype=np.int32)
             self.rank.append(where)
 
+    def find(self, table: int, key: np.ndarray) -> np.ndarray:
+        """Rows of the keys in the sorted arrays of grams (0..) or contexts (ORDER..); -1: not there."""
+        m = self.model
+        row = self.rank[table][_slot(key, m.bits)]
+        keys = (m.grams[table] if table < ORDER else m.contexts[table - ORDER])[1]
+        return np.where(keys[row] == key, row, -1) if len(keys) else row
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: cross-entropy for each language, characters, if it has a letter."""
         m = self.model
@@ -262,23 +269,23 @@ class Scorer:
         open_at, left = None, key
         for order in range(ORDER, 0, -1):
             k = left if order == ORDER else left & np.uint64((1 << CHAR_BITS * order) - 1)
-            row = self.rank[order - 1][_slot(k, m.bits)]
+            row = self.find(order - 1, k)
             hit = row >= 0
             if open_at is None:
                 if hit.all():
-                    log = m.grams[order - 1][1][row]
+                    log = m.grams[order - 1][2][row]
                     left = left[:0]
                     break
                 open_at = np.arange(len(key))
-            log[open_at[hit]] += m.grams[order - 1][1][row[hit]]
+            log[open_at[hit]] += m.grams[order - 1][2][row[hit]]
             miss = ~hit
             open_at, left, k = open_at[miss], left[miss], k[miss]
             if not len(left):
                 break
             context = k >> np.uint64(CHAR_BITS) if order > 1 else np.zeros_like(k)
-            row = self.rank[ORDER + order - 1][_slot(context, m.bits)]
+            row = self.find(ORDER + order - 1, context)
             seen = row >= 0
-            log[open_at[seen]] += m.contexts[order - 1][1][row[seen]]
+            log[open_at[seen]] += m.contexts[order - 1][2][row[seen]]
         if len(left):
             log[open_at] += np.float32(m.floor)
         out = np.zeros((len(texts), len(m.langs)))
@@ -345,12 +352,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str |
         return None
     bits = slot_bits(len(langs), model_bytes)
     pooled = grams.withColumn("slot", F.shiftright("slot", MAX_SLOT_BITS - bits))
-    one_key = pooled.groupBy("slot").agg(F.min("key").alias("key"))
+    one_key = pooled.groupBy("slot").agg(F.max(F.struct("n", "key")).alias("most")).select("slot", "most.key")
+    names = F.array(*map(F.lit, langs))
     pooled = pooled.groupBy("slot", "lang").agg(F.sum("n").alias("n")).join(one_key, "slot") \
-        .select("lang", "key", "n").toPandas()
-    who = pooled["lang"].map({name: i for i, name in enumerate(langs)}).to_numpy(dtype=np.int64)
-    keys = pooled["key"].to_numpy(dtype=np.int64).view(np.uint64)
-    model = _smooth(langs, bits, who, keys, pooled["n"].to_numpy())
+        .select((F.array_position(names, F.col("lang")) - 1).alias("lang"), "key", "n").toArrow()
+    who, key, count = (pooled.column(i).to_numpy() for i in range(3))
+    model = _smooth(langs, bits, who, key.astype(np.uint64), count)
+    del pooled, who, key, count
     sample = rows.where(aside & F.col("lang").isin(langs)).orderBy("dice", "lang", "text").limit(calibration_rows)
     sample = sample.select("lang", _entropies(model, F.col("text")).alias("x")).select("lang", "x.*").collect()
     return _calibrate(model, [(langs.index(r.lang), r.entropy, r.n_chars) for r in sample if r.n_chars])
