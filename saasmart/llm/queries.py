@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, difference_cover, language_id, quality, secret_scan, simhash
+from . import bpe, decontaminate, difference_cover, language_id, quality, secret_scan, simhash, suffix_array
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "found.n_tokens", "found.ids_sha256", "found.decoded_sha256")
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run of 50 words or more of a document that another document has, too."""
+    found = suffix_array.repeated_spans(_table(spark, sf_dir, "documents"), words=50)
+    return found.select(F.col("id").alias("doc_id"), "first_word", "end_word",
+                        (F.col("end_word") - F.col("first_word")).alias("n_words"), F.col("other").alias("other_doc_id"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, 4 differing bits."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -84,6 +91,7 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_suffix_array": op4_suffix_array,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_secret_scan": op8_secret_scan,
