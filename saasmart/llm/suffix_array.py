@@ -11,7 +11,9 @@ the partitions' edges are compared in a step of their own). Each suffix is compa
 the nearest suffixes of other documents on both sides; a match is extended right along
 the suffix and left along the words before it. If it comes to ``words`` words, it is a
 span of both documents. Consecutive minimisers are at most ``SPAN`` words apart, so the
-spans of a long run join up.
+spans of a long run join up. Every run that the suffix order brings next to another
+document's is found; at its left end up to ``SPAN - 1`` words may lack that only a
+document farther off in the order shares as well.
 
 Equal suffixes within a task are settled there: one row goes on for all of them, so
 that copies, however many, don't meet in one task.
