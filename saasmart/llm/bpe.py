@@ -255,8 +255,8 @@ RESULT = T.StructType([
 ])
 
 
-def encode(text: Column, tokens: list[bytes], pattern: str, keep: bool = False) -> Column:
-    """A struct per text: n_tokens, digests, and with ``keep`` the ids (little-endian unsigned 32-bit) and decoded bytes.
+def encode(text: Column, tokens: list[bytes], pattern: str, keep_ids: bool = False, keep_decoded: bool = False) -> Column:
+    """A struct per text: n_tokens, digests, and if kept the ids (little-endian unsigned 32-bit) and the decoded bytes.
 
     The vocabulary has a fixed size; it goes to the tasks as it is.
     """
@@ -271,9 +271,9 @@ def encode(text: Column, tokens: list[bytes], pattern: str, keep: bool = False)
             out: list[list] = [[], [], [], [], []]
             for _, ids, decoded in encoder(column):
                 out[0] += [len(x) // 4 for x in ids]
-                out[1] += ids if keep else [None] * len(ids)
+                out[1] += ids if keep_ids else [None] * len(ids)
                 out[2] += [hashlib.sha256(x).hexdigest() for x in ids]
-                out[3] += decoded if keep else [None] * len(ids)
+                out[3] += decoded if keep_decoded else [None] * len(ids)
                 out[4] += [hashlib.sha256(x).hexdigest() for x in decoded]
             kinds = [pa.int64(), pa.binary(), pa.string(), pa.binary(), pa.string()]
             yield pa.StructArray.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=RESULT.names)

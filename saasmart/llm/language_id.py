@@ -359,7 +359,10 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str |
     who, key, count = (pooled.column(i).to_numpy() for i in range(3))
     model = _smooth(langs, bits, who, key.astype(np.uint64), count)
     del pooled, who, key, count
-    sample = rows.where(aside & F.col("lang").isin(langs)).orderBy("dice", "lang", "text").limit(calibration_rows)
+    # thin the set-aside rows first, so that no task gets a full sample from every partition
+    thin = max(1, labelled.where(F.col(lang).isNotNull()).count() // (CALIBRATION_SHARE * calibration_rows))
+    sample = rows.where((F.pmod("dice", F.lit(CALIBRATION_SHARE * thin)) == 0) & F.col("lang").isin(langs)) \
+        .orderBy("dice", "lang", "text").limit(calibration_rows)
     sample = sample.select("lang", _entropies(model, F.col("text")).alias("x")).select("lang", "x.*").collect()
     return _calibrate(model, [(langs.index(r.lang), r.entropy, r.n_chars) for r in sample if r.n_chars])
 

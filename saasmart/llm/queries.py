@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, difference_cover, language_id, quality, secret_scan, simhash, suffix_array
+from . import bpe, chat, decontaminate, difference_cover, language_id, pii, quality, secret_scan, simhash, suffix_array
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "found.n_tokens", "found.ids_sha256", "found.decoded_sha256")
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations, rendered."""
+    return chat.format_chats(_table(spark, sf_dir, "conversations")).withColumnRenamed("id", "conv_id")
+
+
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run of 50 words or more of a document that another document has, too."""
     found = suffix_array.repeated_spans(_table(spark, sf_dir, "documents"), words=50)
@@ -43,6 +48,17 @@ def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("end_word") - F.col("first_word")).alias("n_words"), F.col("other").alias("other_doc_id"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans."""
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    order = F.array(*(F.lit(k) for k in pii.KINDS))
+    every = F.array_sort(F.concat("spans", "added"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
+                         .otherwise(F.array_position(order, a["kind"]) - F.array_position(order, b["kind"])).cast("int"))
+    return found.withColumn("every", every).select(
+        F.col("id").alias("doc_id"), *(_count_kind("spans", k) for k in pii.KINDS[:4]),
+        F.sha2(_joined("spans"), 256).alias("base_sha256"), _joined("every").alias("spans"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, 4 differing bits."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -91,7 +107,9 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_chat_format": op3_chat_format,
     "op4_suffix_array": op4_suffix_array,
+    "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_secret_scan": op8_secret_scan,
@@ -100,4 +118,23 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_format": """
+        with turns as (
+            select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+            from conversations where conv_id is not null),
+        placed as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos,
+                   count(*) over (partition by conv_id) as n
+            from turns),
+        upto as (
+            select conv_id, pos, n, list(struct_pack(role := role, text := text)) over (partition by conv_id order by pos) as so_far
+            from placed),
+        whole as (select min(conv_id) as conv_id, n, so_far from upto where pos = n group by n, so_far),
+        kept as (
+            select conv_id from whole w
+            where not exists (select 1 from upto u where u.pos = w.n and u.n > u.pos and u.so_far = w.so_far))
+        select conv_id, count(*) as n_turns,
+               string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by pos) as chat
+        from placed semi join kept using (conv_id) group by conv_id""",
+}

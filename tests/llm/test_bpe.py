@@ -30,7 +30,7 @@ def test_odd_texts_match_the_library(spark, library):
     texts = odd_texts()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     tokens, pattern = tokenizer()
-    for r in df.select("doc_id", "text", bpe.encode(df.text, tokens, pattern, keep=True).alias("x")).collect():
+    for r in df.select("doc_id", "text", bpe.encode(df.text, tokens, pattern, keep_ids=True, keep_decoded=True).alias("x")).collect():
         want = library.encode_ordinary(r.text or "")
         assert np.frombuffer(bytes(r.x.ids), "<u4").tolist() == want
         assert bytes(r.x.decoded) == (r.text or "").encode()
