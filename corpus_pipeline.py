@@ -2,15 +2,20 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 stage's result as Parquet in the shared folder and reads it back as the next one's
-``docs``.
+``docs``. All stages but the last return the columns of ``docs``.
+
+Defined results: rows with a null id pass near-dedup and are otherwise treated as any;
+rows that repeat an id are one document to near-dedup; null and empty texts go at the
+language stage, as they have no language; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from saasmart.llm import language_id
+from saasmart.llm import bpe, decontaminate, language_id, secret_scan, simhash
+from saasmart.llm.queries import tokenizer
 from saasmart.llm.storage import cut, free_name
 
 
@@ -22,8 +27,44 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         .where(F.col(f"{found}.accepted")).drop(found)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup: of each component the document with the smallest id stays."""
+    found = simhash.near_duplicates(docs, shingle=4, distance=4)
+    firsts = found.where("id = component").select(F.col("id").alias("doc_id")).distinct()
+    place = free_name(docs.columns, "_place")
+    # the window takes over the join's partitioning by id
+    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    kept = docs.join(firsts, "doc_id", "left_semi").withColumn(place, F.row_number().over(once)) \
+        .where(F.col(place) == 1).select(*docs.columns)
+    return kept.union(docs.where(F.col("doc_id").isNull()))
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that contain a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return docs.where(~decontaminate.contaminated(F.col("text"), items))
+
+
+def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: secrets are replaced in the texts; no document goes."""
+    found = free_name(docs.columns, "_found")
+    clean = docs.withColumn(found, secret_scan.scan(F.col("text"), keep_text=True))
+    new = {"text": F.col(f"{found}.redacted"), "n_chars": F.length(f"{found}.redacted").cast("long")}
+    return clean.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE: the ids (little-endian unsigned 32-bit) with what decoding them gives."""
+    return docs.select("doc_id", "lang", "source", bpe.encode(F.col("text"), *tokenizer(), keep_ids=True).alias("x")) \
+        .select("doc_id", "lang", "source", "x.n_tokens", "x.ids", "x.ids_sha256", "x.decoded_sha256")
+
+
 STAGES = [
     ("language_id", known_language),
+    ("simhash", one_of_each),
+    ("decontaminate", no_benchmark),
+    ("secret_scan", no_secrets),
+    ("byte_bpe", tokens),
 ]
 
 #: SQL can't express the language models, fingerprints and lexers of the stages.
