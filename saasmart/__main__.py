@@ -8,8 +8,8 @@
     python -m saasmart bootstrap --root R   (seed-0 tables straight into raw)
 
 The session comes from the deployment (``getOrCreate``); ``--root`` is any
-Hadoop filesystem URI and defaults to a folder under the cluster's
-``spark.checkpoint.dir``. Without ``--seeds`` each batch draws a random seed
+Hadoop filesystem URI and defaults to a fixed folder under the cluster's
+``spark.checkpoint.dir``, the same for every step. Without ``--seeds`` each batch draws a random seed
 (printed, so a run can be reproduced).
 """
 

@@ -4,14 +4,14 @@
   default; a custom name is used verbatim, trimmed), created with an
   explicit LOCATION under the lake root so repeated runs never collide with
   leftover managed-table folders.
-* Raw tables are external parquet tables over the raw folders.
-* Staging models are persistent SQL views over raw tables.
-* Intermediate models are DataFrame plans (sessionize is not a plain SQL
-  view), registered as session temp views named ``<layer>__<model>``.
-* Mart tables are written to a fresh versioned folder, then the table is
-  pointed at it (CREATE, or ALTER TABLE ... SET LOCATION). Readers see the
-  old or the new version, never a missing table, and a failed write leaves
-  the previous version in place.
+* Raw tables and the load ledger are external parquet tables; every build
+  points them at the folders of the lake it is given.
+* Staging models and SQL intermediates are persistent SQL views.
+* Marts, and intermediates that are no plain SQL view (sessions), are tables:
+  written to a fresh versioned folder, then the table is pointed at it (CREATE,
+  or ALTER TABLE ... SET LOCATION; recreated if the columns changed). A failed
+  write leaves the previous version in place. Folders of older versions go,
+  but for the last ``keep_versions``.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saasmart import schemas
 from saasmart.plans import staging
+from saasmart.session import child_folders, remove_folder
+from saasmart.streaming.ingest import LEDGER_SCHEMA, Lake, current_path
+
+LEDGER_TABLE = "_load_ledger"
 
 
 @dataclass(frozen=True)
@@ -60,13 +64,39 @@ def create_layers(spark: SparkSession, layers: Layers, warehouse: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{warehouse}/{db}.db'")
 
 
-def register_raw_tables(spark: SparkSession, layers: Layers, raw_root: str) -> None:
-    """External parquet tables over ``<raw_root>/<table>`` (all load folders)."""
+def _location(spark: SparkSession, ident: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {ident}").where("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else ""
+
+
+def _plain(path: str) -> str:
+    """A path without what Hadoop adds to it for a local file."""
+    return path.removeprefix("file:").replace("//", "/").rstrip("/")
+
+
+def _columns(schema) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
+def _point_table(spark: SparkSession, layer: str, name: str, schema, path: str, options: str = "") -> DataFrame:
+    """Make ``layer.name`` a parquet table with these columns over ``path``."""
+    ident = f"`{layer}`.`{name}`"
+    if table_exists(spark, layer, name):
+        if _columns(spark.table(ident).schema) != _columns(schema):
+            spark.sql(f"DROP TABLE {ident}")  # external: its files stay
+        elif _plain(_location(spark, ident)) != _plain(path):
+            spark.sql(f"ALTER TABLE {ident} SET LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {ident} ({_ddl_columns(schema)}) USING parquet {options} LOCATION '{path}'")
+    spark.sql(f"REFRESH TABLE {ident}")
+    return spark.table(ident)
+
+
+def register_raw_tables(spark: SparkSession, layers: Layers, lake: Lake) -> None:
+    """External tables over the current generation of each raw table, and over the load ledger."""
+    files = "OPTIONS (recursiveFileLookup 'true')"
     for table, schema in schemas.RAW_TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{layers.raw}`.`{table}` ({_ddl_columns(schema)}) "
-                  f"USING parquet OPTIONS (recursiveFileLookup 'true') "
-                  f"LOCATION '{raw_root}/{table}'")
-        spark.sql(f"REFRESH TABLE `{layers.raw}`.`{table}`")
+        _point_table(spark, layers.raw, table, schemas.nullable(schema), current_path(spark, lake, table), files)
+    _point_table(spark, layers.raw, LEDGER_TABLE, LEDGER_SCHEMA, lake.ledger, files)
 
 
 def create_staging_views(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
@@ -78,29 +108,31 @@ def create_staging_views(spark: SparkSession, layers: Layers) -> dict[str, DataF
     return out
 
 
-def materialize_view(df: DataFrame, layer: str, name: str) -> DataFrame:
-    view = f"{layer}__{name}"
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.table(view)
+def create_sql_view(spark: SparkSession, layer: str, name: str, model: str, **upstream: str) -> DataFrame:
+    """A persistent view from a SQL model; ``{name}`` placeholders stand for tables by their full names."""
+    spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS {model.format(**upstream)}")
+    return spark.table(f"`{layer}`.`{name}`")
 
 
 def table_exists(spark: SparkSession, layer: str, name: str) -> bool:
     return spark.catalog.tableExists(f"`{layer}`.`{name}`")
 
 
-def materialize_table(df: DataFrame, layer: str, name: str, warehouse: str) -> DataFrame:
-    """Write a new version, then swap the table's location to it."""
+def materialize_table(df: DataFrame, layer: str, name: str, warehouse: str, keep_versions: int = 2) -> DataFrame:
+    """Write a new version, then point the table at it; all but the last versions go."""
     spark = df.sparkSession
-    path = f"{warehouse}/{layer}.db/{name}/v_{uuid.uuid4().hex}"
+    folder = f"{warehouse}/{layer}.db/{name}"
+    path = f"{folder}/v_{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    ident = f"`{layer}`.`{name}`"
-    if table_exists(spark, layer, name):
-        spark.sql(f"ALTER TABLE {ident} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {ident}")
-    else:
-        spark.sql(f"CREATE TABLE {ident} USING parquet LOCATION '{path}'")
-    return spark.table(ident)
+    table = _point_table(spark, layer, name, schemas.nullable(df.schema), path)
+    for old in child_folders(spark, folder)[:-max(1, keep_versions)]:
+        if _plain(old) != _plain(path):
+            remove_folder(spark, old)
+    return table
 
 
-def drop_table(spark: SparkSession, layer: str, name: str) -> None:
+def drop_table(spark: SparkSession, layer: str, name: str, warehouse: str | None = None) -> None:
+    """Drop the table if it exists; with ``warehouse``, its versions' folders as well."""
     spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{name}`")
+    if warehouse is not None:
+        remove_folder(spark, f"{warehouse}/{layer}.db/{name}")

@@ -12,8 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saasmart.functions import count_where, sum_where_or_zero
-from saasmart.operators.rollup import star_rollup
+from saasmart.functions import count_where, sum_where, sum_where_or_zero
 from saasmart.operators.sessionize import sessionize
 from saasmart.sources import rules as R
 
@@ -82,20 +81,17 @@ def fct_revenue(stg_invoices: DataFrame, stg_users: DataFrame) -> DataFrame:
     """Invoices by issue date x plan x country x status (inner join: unknown users drop).
 
     ``net_revenue`` is the paid sum and ``refunded_amount`` the refunded sum;
-    both are NULL on groups of any other status.
+    both are NULL on groups of any other status. With users broadcast only the
+    partial sums are shuffled; else AQE splits the join's partition of a hot user.
     """
-    status = F.col("status")
-    out = star_rollup(
-        stg_invoices, stg_users, join_key="user_id",
-        fact_keys=["issued_at", "status"], dim_keys=["plan", "country_code"],
-        sums={"gross_amount": "amount"},
-        sums_where={"net_revenue": ("amount", status == PAID),
-                    "refunded_amount": ("amount", status == REFUNDED)},
-        count_name="invoice_count",
-        rename={"issued_at": "revenue_date", "status": "invoice_status"},
-    )
-    return out.select("revenue_date", "plan", "country_code", "invoice_status",
-                      "invoice_count", "gross_amount", "net_revenue", "refunded_amount")
+    status, amount = F.col("status"), F.col("amount")
+    users = stg_users.select("user_id", "plan", "country_code")
+    return stg_invoices.join(users, "user_id").groupBy(
+        F.col("issued_at").alias("revenue_date"), "plan", "country_code", F.col("status").alias("invoice_status")).agg(
+        F.count(F.lit(1)).alias("invoice_count"),
+        F.sum("amount").alias("gross_amount"),
+        sum_where(amount, status == PAID).alias("net_revenue"),
+        sum_where(amount, status == REFUNDED).alias("refunded_amount"))
 
 
 def dim_users(stg_users: DataFrame, revenue: DataFrame, tickets: DataFrame) -> DataFrame:
@@ -125,6 +121,19 @@ def sql_model(spark: SparkSession, text: str, **upstream: DataFrame) -> DataFram
     return spark.sql(text, **upstream)
 
 
+# int_revenue_by_user as the SQL model that the build makes a view of
+REVENUE_BY_USER_SQL = """
+SELECT user_id,
+       count(*) AS total_invoices,
+       count_if(status = 'paid') AS paid_invoices,
+       coalesce(sum(amount) FILTER (WHERE status = 'paid'), 0) AS total_revenue,
+       coalesce(sum(amount) FILTER (WHERE status = 'refunded'), 0) AS total_refunded,
+       min(issued_at) AS first_invoice_at,
+       max(issued_at) AS last_invoice_at
+FROM {stg_invoices}
+GROUP BY user_id
+"""
+
 # tickets_by_user written as a SQL model (the two forms are tested to agree)
 TICKETS_BY_USER_SQL = """
 SELECT user_id,

@@ -137,35 +137,72 @@ def ingest_append_mtime(spark: SparkSession, sf: str) -> DataFrame:
     return I.read_raw(spark, lake, "events")
 
 
-def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    """Two full ingests of all four tables; rows loaded per table and mode."""
-    lake = I.Lake.fresh(spark, "ledger")
+def _new_lake(spark: SparkSession, name: str) -> tuple[I.Lake, C.Layers]:
+    lake = I.Lake.fresh(spark, name)
+    return lake, C.Layers.suffixed(lake.root.rsplit("-", 1)[-1])
+
+
+def _loaded(spark: SparkSession, sf: str, name: str, batches: int = 1) -> tuple[I.Lake, C.Layers]:
+    """A new lake with all four tables landed and ingested, so many times."""
+    lake, layers = _new_lake(spark, name)
     raw = _raw_tables(spark, sf)
-    for n in range(2):
+    for n in range(batches):
         PL.land(spark, lake, raw_tables=raw, tag=L.batch_tag(n))
         I.ingest_all(spark, lake)
-    return audit.ledger_totals(I.read_ledger(spark, lake))
+    C.create_layers(spark, layers, lake.warehouse)
+    C.register_raw_tables(spark, layers, lake)
+    return lake, layers
+
+
+def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Two full ingests of all four tables; rows per table and mode from the ledger table."""
+    _, layers = _loaded(spark, sf, "ledger", batches=2)
+    return audit.ledger_totals(spark.table(f"`{layers.raw}`.`{C.LEDGER_TABLE}`"))
 
 
 def row_count_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.row_counts(_raw_tables(spark, sf))
+    """Land and ingest, then count the raw tables of the catalog."""
+    _, layers = _loaded(spark, sf, "audit")
+    return audit.row_counts({t: spark.table(f"`{layers.raw}`.`{t}`") for t in schemas.RAW_TABLES})
 
 
 def mart_materialize(spark: SparkSession, sf: str) -> DataFrame:
-    """Layers, views and mart tables; marts rebuilt twice, read back from the catalog."""
-    lake = I.Lake.fresh(spark, "marts")
-    layers = C.Layers.suffixed(lake.root.rsplit("-", 1)[-1])
-    PL.land(spark, lake, raw_tables=_raw_tables(spark, sf))
-    I.ingest_all(spark, lake)
-    PL.build(spark, lake, layers, O.TEST_DAU_EVENTS)
-    PL.build(spark, lake, layers, O.TEST_DAU_EVENTS)  # full refresh replaces each table
+    """A mart table, first with fewer columns, then replaced: read back from the catalog."""
+    lake, layers = _loaded(spark, sf, "marts")
+    stg = C.create_staging_views(spark, layers)
+    early = M.fct_revenue(stg["stg_invoices"], stg["stg_users"]).drop("net_revenue")
+    C.materialize_table(early, layers.marts, "fct_revenue", lake.warehouse)
+    PL.build(spark, lake, layers, O.TEST_DAU_EVENTS, tables=["fct_revenue"])
     return spark.table(f"`{layers.marts}`.`fct_revenue`")
 
 
+def mart_drop_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart dropped (twice: the second time there is none) and built again."""
+    lake, layers = _loaded(spark, sf, "drop")
+    PL.build(spark, lake, layers, tables=["dim_users"])
+    for _ in range(2):
+        C.drop_table(spark, layers.marts, "dim_users", lake.warehouse)
+    PL.build(spark, lake, layers, tables=["dim_users"])
+    return spark.table(f"`{layers.marts}`.`dim_users`")
+
+
+def int_revenue_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The revenue-by-user view of the intermediate layer, from the catalog."""
+    lake, layers = _loaded(spark, sf, "int-view")
+    PL.build(spark, lake, layers, tables=[])
+    return spark.table(f"`{layers.intermediate}`.`int_revenue_by_user`")
+
+
+def int_sessions_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The sessions table of the intermediate layer, from the catalog."""
+    lake, layers = _loaded(spark, sf, "int-table")
+    PL.build(spark, lake, layers, tables=[PL.SESSIONS])
+    return spark.table(f"`{layers.intermediate}`.`{PL.SESSIONS}`")
+
+
 def run_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """Land -> ingest -> build; the daily-active-users mart."""
-    lake = I.Lake.fresh(spark, "run")
-    layers = C.Layers.suffixed(lake.root.rsplit("-", 1)[-1])
+    """Land -> ingest -> build all; the daily-active-users mart."""
+    lake, layers = _new_lake(spark, "run")
     marts = PL.run(spark, lake, layers, raw_tables=_raw_tables(spark, sf),
                    dau_events=O.TEST_DAU_EVENTS)
     return marts["fct_daily_active_users"]
@@ -194,6 +231,9 @@ QUERIES: dict[str, Query] = {
     "load_ledger": load_ledger,
     "row_count_audit": row_count_audit,
     "mart_materialize": mart_materialize,
+    "mart_drop_rebuild": mart_drop_rebuild,
+    "int_revenue_view": int_revenue_view,
+    "int_sessions_table": int_sessions_table,
     "run_end_to_end": run_end_to_end,
 }
 
@@ -220,5 +260,8 @@ ORACLE_SQL: dict[str, str] = {
     "load_ledger": O.LOAD_LEDGER,
     "row_count_audit": O.ROW_COUNT_AUDIT,
     "mart_materialize": O.FCT_REVENUE,
+    "mart_drop_rebuild": O.DIM_USERS,
+    "int_revenue_view": O.REVENUE_BY_USER,
+    "int_sessions_table": O.SESSIONIZE,
     "run_end_to_end": O.DAILY_ACTIVE_USERS,
 }

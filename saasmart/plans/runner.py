@@ -8,8 +8,9 @@ Model DAG (built in this order)::
     raw.events           -> stg_events   -> int_user_events_sessionized
                                          -> fct_daily_active_users
 
-Staging models are persistent views, intermediates are temp views and marts
-are tables (``plans.catalog``). Every mart is rebuilt in full on each run.
+Staging models and ``int_revenue_by_user`` are persistent views; sessions and
+marts are tables (``plans.catalog``), rebuilt in full on each run. ``build`` takes
+the names of the tables to build.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from saasmart.sources import landing as L
 from saasmart.streaming import ingest as I
 
 MART_TABLES = ("dim_users", "fct_daily_active_users", "fct_revenue")
+SESSIONS = "int_user_events_sessionized"
+TABLES = (SESSIONS, *MART_TABLES)
 
 
 def _concurrently(tasks: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -49,37 +52,35 @@ def land(spark: SparkSession, lake: I.Lake, raw_tables: Mapping[str, DataFrame]
 
 
 def build(spark: SparkSession, lake: I.Lake, layers: C.Layers = C.Layers(),
-          dau_events: Mapping[str, str] = M.DAU_EVENTS) -> dict[str, DataFrame]:
-    """Create layers and views, then rebuild every mart table."""
+          dau_events: Mapping[str, str] = M.DAU_EVENTS, tables: Sequence[str] = TABLES) -> dict[str, DataFrame]:
+    """Create layers and views, then rebuild the named tables."""
     C.create_layers(spark, layers, lake.warehouse)
-    C.register_raw_tables(spark, layers, lake.raw)
-    stg = C.create_staging_views(spark, layers)
-
-    revenue = C.materialize_view(M.revenue_by_user(stg["stg_invoices"]),
-                                 layers.intermediate, "int_revenue_by_user")
-    sessions = C.materialize_view(M.user_events_sessionized(stg["stg_events"]),
-                                  layers.intermediate, "int_user_events_sessionized")
-    tickets = M.tickets_by_user(stg["stg_tickets"])
-
-    marts = {
-        "dim_users": M.dim_users(stg["stg_users"], revenue, tickets),
-        "fct_daily_active_users": M.daily_active_users(stg["stg_events"], dau_events),
-        "fct_revenue": M.fct_revenue(stg["stg_invoices"], stg["stg_users"]),
+    C.register_raw_tables(spark, layers, lake)
+    out = dict(stg := C.create_staging_views(spark, layers))
+    revenue = out["int_revenue_by_user"] = C.create_sql_view(
+        spark, layers.intermediate, "int_revenue_by_user", M.REVENUE_BY_USER_SQL,
+        stg_invoices=f"`{layers.staging}`.`stg_invoices`")
+    tickets = M.sql_model(spark, M.TICKETS_BY_USER_SQL, stg_tickets=stg["stg_tickets"])
+    models = {
+        # a table, not a view: the hot-key slices of sessionize hold for the events they were made from
+        SESSIONS: (layers.intermediate, lambda: M.user_events_sessionized(stg["stg_events"])),
+        "dim_users": (layers.marts, lambda: M.dim_users(stg["stg_users"], revenue, tickets)),
+        "fct_daily_active_users": (layers.marts, lambda: M.daily_active_users(stg["stg_events"], dau_events)),
+        "fct_revenue": (layers.marts, lambda: M.fct_revenue(stg["stg_invoices"], stg["stg_users"])),
     }
-    out = dict(stg)
-    out["int_revenue_by_user"] = revenue
-    out["int_user_events_sessionized"] = sessions
-    out.update(_concurrently({
-        name: (lambda name=name, df=df: C.materialize_table(df, layers.marts, name,
-                                                            lake.warehouse))
-        for name, df in marts.items()}))
+
+    def table(name: str) -> DataFrame:
+        layer, model = models[name]
+        return C.materialize_table(model(), layer, name, lake.warehouse)
+
+    out.update(_concurrently({name: (lambda name=name: table(name)) for name in tables}))
     return out
 
 
 def run(spark: SparkSession, lake: I.Lake, layers: C.Layers = C.Layers(),
         raw_tables: Mapping[str, DataFrame] | None = None, seeds: Sequence[int] | None = None,
-        dau_events: Mapping[str, str] = M.DAU_EVENTS) -> dict[str, DataFrame]:
+        dau_events: Mapping[str, str] = M.DAU_EVENTS, tables: Sequence[str] = TABLES) -> dict[str, DataFrame]:
     """Land one batch, ingest everything new, rebuild the models."""
     land(spark, lake, raw_tables=raw_tables, seeds=seeds)
     I.ingest_all(spark, lake)
-    return build(spark, lake, layers, dau_events)
+    return build(spark, lake, layers, dau_events, tables)

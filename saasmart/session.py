@@ -5,8 +5,8 @@ creates one.  ``local_session`` is for tests, the bench and local runs.
 
 Every folder this library writes to (landing zones, raw tables, streaming
 checkpoints, marts) lives under the shared folder the cluster names in
-``spark.checkpoint.dir``.  Only when the session names none (tests, local
-runs) do we create one and register it with the SparkContext.
+``spark.checkpoint.dir``.  Only a local session that names none (tests) gets
+one of its own.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "saasmart") -> SparkSession:
     """A local session with the settings the tests and the bench rely on."""
@@ -37,17 +40,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set one only where it is unset."""
+    """The cluster's shared folder: the value of ``spark.checkpoint.dir`` itself.
+
+    The same in every application of a cluster, so that one step finds what
+    another left. Only a local session may leave it unset; it then gets a folder
+    of its own, for the life of the session.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached where the session names no shared folder (tests, local runs).
-        configured = tempfile.mkdtemp(prefix="saasmart-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir().rstrip("/")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share, or name a root")
+        configured = _LOCAL_ROOTS.get(sc.applicationId)
+        if configured is None:
+            configured = _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="saasmart-")
+    return configured.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -55,9 +62,39 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/saasmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _filesystem(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Driver-side existence check through the path's Hadoop filesystem."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _filesystem(spark, path)
     return bool(fs.exists(hpath))
+
+
+def glob_exists(spark: SparkSession, pattern: str) -> bool:
+    """If any path matches a glob."""
+    fs, hpath = _filesystem(spark, pattern)
+    found = fs.globStatus(hpath)
+    return found is not None and len(found) > 0
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below ``path``, oldest first."""
+    fs, hpath = _filesystem(spark, path)
+    if not fs.exists(hpath):
+        return []
+    found = [(s.getModificationTime(), s.getPath().toString()) for s in fs.listStatus(hpath) if s.isDirectory()]
+    return [p for _, p in sorted(found)]
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, hpath = _filesystem(spark, source)
+    if not fs.rename(hpath, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _filesystem(spark, path)
+    fs.delete(hpath, True)

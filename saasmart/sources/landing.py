@@ -14,11 +14,13 @@ files of that name). The root may be any Hadoop filesystem URI.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from saasmart.session import path_exists, remove_folder, rename
 from saasmart.sources import synth
 
 USERS_DIR = "users"
@@ -58,29 +60,31 @@ def write_batch(df: DataFrame, landing: str, table: str, tag: str) -> str:
     return path
 
 
-def land_tables(landing: str, activity: Mapping[str, DataFrame], tag: str) -> dict[str, str]:
-    """Write one batch of each activity table under the same tag."""
-    return {t: write_batch(df, landing, t, tag) for t, df in activity.items()}
+def land_batches(df: DataFrame, landing: str, table: str, tags: Sequence[str], batch: str = "batch") -> list[str]:
+    """Add one folder per batch number 0..n-1 in column ``batch``, all in one job.
 
-
-def land_synthetic(spark: SparkSession, landing: str, seeds: Sequence[int],
-                   n_users: int | None = None, concurrency: int = 4) -> list[str]:
-    """Users plus one batch per seed of every activity table.
-
-    Each batch folder is its own write, generated from its own id range (so
-    the work is linear in the number of batches); up to ``concurrency``
-    writes run as concurrent jobs.
+    The job writes below a hidden folder; each batch then appears whole, by a rename.
     """
+    spark = df.sparkSession
+    staged = f"{table_dir(landing, table)}/_staged_{uuid.uuid4().hex}"
+    df.write.partitionBy(batch).parquet(staged)
+    paths = []
+    for n, tag in enumerate(tags):
+        source, target = f"{staged}/{batch}={n}", f"{table_dir(landing, table)}/batch_{tag}.parquet"
+        if path_exists(spark, target):
+            raise FileExistsError(target)
+        if path_exists(spark, source):
+            rename(spark, source, target)
+            paths.append(target)
+    remove_folder(spark, staged)
+    return paths
+
+
+def land_synthetic(spark: SparkSession, landing: str, seeds: Sequence[int], n_users: int | None = None) -> list[str]:
+    """Users plus one batch per seed of every activity table: one job per table."""
     write_users(synth.users(spark) if n_users is None else synth.users(spark, n_users), landing)
     now = dt.datetime.now(dt.timezone.utc)
     tags = [batch_tag(n, now) for n in range(len(seeds))]
-    jobs = [(table, gen, seed, tag) for table, gen in synth.GENERATORS.items()
-            for seed, tag in zip(seeds, tags)]
-
-    def one(job):
-        table, gen, seed, tag = job
-        return write_batch(gen(spark, [seed]).drop("batch"), landing, table, tag)
-
-    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-        list(pool.map(one, jobs))
+    with ThreadPoolExecutor(max_workers=len(synth.GENERATORS)) as pool:
+        list(pool.map(lambda x: land_batches(x[1](spark, seeds), landing, x[0], tags), synth.GENERATORS.items()))
     return tags

@@ -61,15 +61,30 @@ def users(spark: SparkSession, n: int = R.NUM_USERS) -> DataFrame:
 # activity batches
 # ---------------------------------------------------------------------------
 
+# Rows of one generated file: a task makes whole batches up to this, or a
+# part of one larger batch.
+ROWS_PER_FILE = 1_000_000
+MIN_ROWS_PER_TASK = 50_000
+
+
+def _tasks(rows_per_batch: int, batches: int) -> int:
+    """Tasks so that each makes at least MIN_ROWS_PER_TASK rows and large batches split evenly."""
+    if rows_per_batch >= MIN_ROWS_PER_TASK:
+        return batches * -(-rows_per_batch // ROWS_PER_FILE)
+    return max(1, batches * rows_per_batch // MIN_ROWS_PER_TASK)
+
+
 def batch_ids(spark: SparkSession, rows_per_batch: int, seeds: Sequence[int]) -> DataFrame:
-    """(batch, seed, i) for every batch: i runs 1..rows_per_batch within a batch."""
+    """(batch, seed, i) for every batch: i runs 1..rows_per_batch within a batch.
+
+    The seeds are a table of one row per batch, joined on the batch number.
+    """
     n = len(seeds)
-    seed_array = F.array(*[F.lit(int(s)).cast("long") for s in seeds])
-    batch = (F.col("id") / rows_per_batch).cast("long")
-    return (spark.range(0, n * rows_per_batch)
-            .select(batch.alias("batch"),
-                    (F.col("id") % rows_per_batch + 1).alias("i"))
-            .withColumn("seed", F.element_at(seed_array, (F.col("batch") + 1).cast("int"))))
+    by_batch = spark.createDataFrame(list(enumerate(map(int, seeds))), "batch long, seed long")
+    ids = spark.range(0, n * rows_per_batch, 1, _tasks(rows_per_batch, n)).select(
+        F.floor(F.col("id") / rows_per_batch).alias("batch"), (F.col("id") % rows_per_batch + 1).alias("i"))
+    # one row per batch asked for: tiny beside the rows that the batches make
+    return ids.join(F.broadcast(by_batch), "batch").select("batch", "i", "seed")
 
 
 def _properties(k: Column) -> Column:

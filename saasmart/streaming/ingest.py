@@ -1,34 +1,37 @@
 """Landing zone -> raw layer.
 
-* ``replace_load``: users are read whole and overwrite the raw table.
+* ``replace_load``: users are read whole into a new generation of the raw table.
 * ``append_incremental``: each activity table is a file-source stream over
   ``<table>/batch_*.parquet`` drained with ``trigger(availableNow=True)``;
   the stream checkpoint (one per table, so cursors are independent)
   remembers which files were loaded, so a rerun loads only new files.
-* ``append_by_mtime``: the batch form with a modification-time cursor read
-  from the load ledger (files newer than the newest file already loaded).
+* ``append_by_mtime``: the batch form with a modification-time cursor over
+  whole batches, kept in the load ledger.
 
-Every load writes its rows to ``<raw>/<table>/load_<id>/`` with mode
-overwrite and its ledger row to ``<ledger>/<table>/<id>/`` the same way, so
-a micro-batch that Spark re-executes after a failure rewrites the same
-folders instead of duplicating rows (idempotent on the batch id).
+Layout: ``<raw>/<table>/<generation>/load_<id>/``. A replace writes a new
+generation and then its ledger rows; the ledger names the current generation,
+so readers have the old rows until the new ones are complete, and a failed
+write changes nothing. An append writes its load folder in the current
+generation, then its ledger rows, both with mode overwrite under an id that
+follows from what was loaded before: a load that is repeated after a failure
+rewrites the same folders instead of duplicating rows.
+
+The ledger has one row per file loaded (table, load, batch, file, rows).
 
 Cursor differences, stated once:
 
 =====================================  =======================  ==================
 situation                              file stream (default)    mtime cursor
 =====================================  =======================  ==================
-cursor                                 set of paths             newest mtime
+cursor                                 set of paths             newest mtime and the
+                                                                batches at it
 same path rewritten / touched later    not loaded again         loaded again
-late file carrying an older mtime      loaded (*)               skipped
+late batch carrying an older mtime     loaded                   skipped
+new batch with the newest mtime        loaded                   loaded
+batch of several files                 file by file             whole or not at all
 rerun with nothing new                 nothing loaded           nothing loaded
 =====================================  =======================  ==================
 
-(*) if within ``maxFileAge`` (7 days by default) of the newest file seen;
-older files are skipped by the stream too. The mtime cursor is strict
-(``>``): a new file whose modification time equals the newest loaded one is
-skipped, as with any high-water mark on a timestamp.
-
 Appends keep duplicates (ids can repeat across batches); no dedupe.
 """
 
@@ -38,25 +41,33 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from saasmart import schemas
-from saasmart.session import path_exists, scratch_dir
+from saasmart.session import child_folders, glob_exists, path_exists, remove_folder, scratch_dir
 from saasmart.sources import landing as L
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("load_mode", T.StringType()),
     T.StructField("load_id", T.StringType()),
+    T.StructField("batch", T.StringType()),
+    T.StructField("file", T.StringType()),
     T.StructField("rows_loaded", T.LongType()),
-    T.StructField("max_file_mtime", T.TimestampType()),
+    T.StructField("file_mtime", T.TimestampType()),
     T.StructField("loaded_at", T.TimestampType()),
 ])
 
-_MTIME = "_file_mtime"
+FIRST_GENERATION = "g0"
+#: Generations of a replaced raw table that are kept: the current one and the one before.
+KEEP_GENERATIONS = 2
+#: Ledger folders of a table beyond which ingest writes them anew as one.
+COMPACT_AT = 64
+
+_FILE, _MTIME = "_source_file", "_file_mtime"
 
 
 @dataclass(frozen=True)
@@ -85,83 +96,120 @@ class Lake:
     def warehouse(self) -> str:
         return f"{self.root}/warehouse"
 
-    def raw_path(self, table: str) -> str:
-        return f"{self.raw}/{table}"
+    def raw_path(self, table: str, generation: str = FIRST_GENERATION) -> str:
+        return f"{self.raw}/{table}/{generation}"
 
     @staticmethod
     def fresh(spark: SparkSession, name: str = "lake") -> Lake:
         return Lake(scratch_dir(spark, name))
 
 
-def _with_mtime(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*schema.fieldNames(),
+def _with_source(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*schema.fieldNames(), F.col("_metadata.file_path").alias(_FILE),
                      F.col("_metadata.file_modification_time").alias(_MTIME))
 
 
-def _write_observed(df: DataFrame, path: str, name: str) -> tuple[int, dt.datetime | None]:
-    """Write ``df`` (minus the mtime column) and return (rows, newest file mtime)."""
-    obs = Observation(name)
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(_MTIME).alias("mtime"))
-     .drop(_MTIME)
-     .write.mode("overwrite").parquet(path))
-    got = obs.get
-    return int(got["rows"]), got["mtime"]
+def _batch_of(path: str) -> Column:
+    """The batch that a file belongs to: its landing folder or file name."""
+    return F.regexp_extract(path, r"/((?:batch_|users)[^/]*\.parquet)", 1)
+
+
+def _load(df: DataFrame, path: str, lake: Lake, table: str, mode: str, load_id: str) -> int:
+    """Write the rows, then one ledger row per source file; rows in all."""
+    df.drop(_FILE, _MTIME).write.mode("overwrite").parquet(path)
+    files = (df.groupBy(_FILE, _MTIME).agg(F.count(F.lit(1)).alias("rows_loaded"))
+             .select(F.lit(table).alias("table_name"), F.lit(mode).alias("load_mode"), F.lit(load_id).alias("load_id"),
+                     _batch_of(_FILE).alias("batch"), F.col(_FILE).alias("file"), "rows_loaded",
+                     F.col(_MTIME).alias("file_mtime"), F.lit(dt.datetime.now(dt.timezone.utc)).alias("loaded_at")))
+    folder = f"{lake.ledger}/{table}/{load_id}"
+    files.coalesce(1).write.mode("overwrite").parquet(folder)
+    written = df.sparkSession.read.schema(LEDGER_SCHEMA).parquet(folder)
+    return int(written.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0])
+
+
+def read_ledger(spark: SparkSession, lake: Lake, table: str | None = None) -> DataFrame:
+    """One row per file loaded; a compaction cut short leaves repeats, which count once."""
+    path = f"{lake.ledger}/{table}" if table else lake.ledger
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return (spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+            .dropDuplicates(["table_name", "load_id", "file"]))
+
+
+def compact_ledger(spark: SparkSession, lake: Lake, table: str, at: int = COMPACT_AT) -> bool:
+    """Write a table's ledger anew as one folder if it has over ``at`` folders."""
+    folders = child_folders(spark, f"{lake.ledger}/{table}")
+    if len(folders) <= at:
+        return False
+    read_ledger(spark, lake, table).coalesce(1).write.parquet(f"{lake.ledger}/{table}/compact-{uuid.uuid4().hex}")
+    for folder in folders:
+        remove_folder(spark, folder)
+    return True
+
 
+def generation(spark: SparkSession, lake: Lake, table: str) -> str:
+    """The generation that the last complete replace wrote."""
+    last = (read_ledger(spark, lake, table).where("load_mode = 'replace'")
+            .agg(F.max(F.struct("loaded_at", "load_id")).alias("last")).first().last)
+    return last.load_id if last else FIRST_GENERATION
 
-def _ledger_row(spark: SparkSession, lake: Lake, table: str, mode: str, load_id: str,
-                rows: int, mtime: dt.datetime | None) -> None:
-    now = dt.datetime.now(dt.timezone.utc)
-    (spark.createDataFrame([(table, mode, load_id, rows, mtime, now)], LEDGER_SCHEMA)
-     .coalesce(1).write.mode("overwrite").parquet(f"{lake.ledger}/{table}/{load_id}"))
+
+def current_path(spark: SparkSession, lake: Lake, table: str) -> str:
+    return lake.raw_path(table, generation(spark, lake, table))
 
 
 def read_raw(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """The raw table: every load folder under ``<raw>/<table>``."""
+    """The raw table: every load folder of its current generation."""
     return (spark.read.schema(schemas.nullable(schemas.RAW_TABLES[table]))
-            .option("recursiveFileLookup", "true")
-            .parquet(lake.raw_path(table)))
+            .option("recursiveFileLookup", "true").parquet(current_path(spark, lake, table)))
 
 
-def read_ledger(spark: SparkSession, lake: Lake) -> DataFrame:
-    if not path_exists(spark, lake.ledger):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return (spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true")
-            .parquet(lake.ledger))
+def _stamp() -> str:
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
+
+
+def _replace(df: DataFrame, lake: Lake, table: str, prefix: str) -> int:
+    """A new generation of a raw table; older ones than the one before go."""
+    load_id = f"{prefix}{_stamp()}"
+    rows = _load(df, f"{lake.raw_path(table, load_id)}/load_{load_id}", lake, table, "replace", load_id)
+    for old in child_folders(df.sparkSession, f"{lake.raw}/{table}")[:-KEEP_GENERATIONS]:
+        remove_folder(df.sparkSession, old)
+    return rows
 
 
 def replace_load(spark: SparkSession, lake: Lake, table: str = "users") -> int:
-    """Read ``<landing>/users/*.parquet`` whole and overwrite the raw table."""
+    """Read ``<landing>/users/*.parquet`` whole into a new generation of the raw table.
+
+    The glob is flat: a file, or a folder of part files, right below ``users/``.
+    """
     schema = schemas.nullable(schemas.RAW_TABLES[table])
-    src = (spark.read.schema(schema)
-           .option("pathGlobFilter", "*.parquet")
-           .option("recursiveFileLookup", "true")
-           .parquet(f"{lake.landing}/{L.USERS_DIR}"))
-    load_id = f"r{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
-    rows, mtime = _write_observed(_with_mtime(src, schema), lake.raw_path(table),
-                                  f"replace_{table}_{uuid.uuid4().hex[:8]}")
-    _ledger_row(spark, lake, table, "replace", load_id, rows, mtime)
-    return rows
+    src = spark.read.schema(schema).parquet(f"{lake.landing}/{L.USERS_DIR}/*.parquet")
+    return _replace(_with_source(src, schema), lake, table, "r")
 
 
 # Upper bound on files per micro-batch: a large backlog drains as several
 # bounded batches instead of one huge one.
 MAX_FILES_PER_TRIGGER = 1000
+# A file is new by its path, however old: the file source's age limit is set
+# beyond any real age.
+MAX_FILE_AGE = "36500d"
 
 
 def start_incremental(spark: SparkSession, lake: Lake, table: str,
-                      max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
-    """Start draining new ``batch_*.parquet`` files of one table into its raw folder."""
+                      max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery | None:
+    """Start draining new ``batch_*.parquet`` files of one table; None before the first batch."""
+    if not glob_exists(spark, L.batch_glob(lake.landing, table)):
+        return None
     schema = schemas.nullable(schemas.RAW_TABLES[table])
-    stream = _with_mtime(spark.readStream.schema(schema)
-                         .option("maxFilesPerTrigger", str(max_files_per_trigger))
-                         .parquet(L.batch_glob(lake.landing, table)), schema)
+    stream = _with_source(spark.readStream.schema(schema)
+                          .option("maxFilesPerTrigger", str(max_files_per_trigger))
+                          .option("maxFileAge", MAX_FILE_AGE)
+                          .parquet(L.batch_glob(lake.landing, table)), schema)
+    folder = current_path(spark, lake, table)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         load_id = f"s{batch_id:010d}"
-        rows, mtime = _write_observed(batch, f"{lake.raw_path(table)}/load_{load_id}",
-                                      f"append_{table}_{batch_id}_{uuid.uuid4().hex[:8]}")
-        if rows:
-            _ledger_row(spark, lake, table, "append", load_id, rows, mtime)
+        _load(batch, f"{folder}/load_{load_id}", lake, table, "append", load_id)
 
     return (stream.writeStream.foreachBatch(sink)
             .option("checkpointLocation", f"{lake.checkpoints}/{table}")
@@ -173,25 +221,38 @@ def start_incremental(spark: SparkSession, lake: Lake, table: str,
 def append_incremental(spark: SparkSession, lake: Lake, table: str,
                        max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> None:
     """Drain new files of one table and wait until they are loaded."""
-    start_incremental(spark, lake, table, max_files_per_trigger).awaitTermination()
+    query = start_incremental(spark, lake, table, max_files_per_trigger)
+    if query is not None:
+        query.awaitTermination()
+        compact_ledger(spark, lake, table)
 
 
 def append_by_mtime(spark: SparkSession, lake: Lake, table: str) -> int:
-    """Batch form: load files modified after the newest file already loaded."""
-    schema = schemas.nullable(schemas.RAW_TABLES[table])
-    cursor = (read_ledger(spark, lake).where(F.col("table_name") == table)
-              .agg(F.max("max_file_mtime")).first()[0])
-    if not path_exists(spark, L.table_dir(lake.landing, table)):
+    """Batch form: load whole batches that are as new as the newest one loaded, and not loaded.
+
+    A batch's time is that of its newest file. Only the names of the new batches come
+    to the driver, which lists their files to read them in any case.
+    """
+    pattern = L.batch_glob(lake.landing, table)
+    if not glob_exists(spark, pattern):
+        return 0
+    ledger = read_ledger(spark, lake, table).where("load_mode = 'append'")
+    loaded = ledger.groupBy("batch").agg(F.max("file_mtime").alias("newest"))
+    state = ledger.agg(F.max("file_mtime").alias("cursor"), F.count_distinct("load_id").alias("loads")).first()
+    listed = (spark.read.format("binaryFile").load(pattern)
+              .groupBy(_batch_of("path").alias("batch")).agg(F.max("modificationTime").alias("newest")))
+    if state.cursor is not None:
+        listed = listed.where(F.col("newest") >= F.lit(state.cursor))
+    new = sorted(r.batch for r in listed.join(loaded, ["batch", "newest"], "left_anti").select("batch").collect())
+    if not new:
         return 0
-    src = _with_mtime(spark.read.schema(schema).parquet(L.batch_glob(lake.landing, table)),
-                      schema)
-    if cursor is not None:
-        src = src.where(F.col(_MTIME) > F.lit(cursor))
-    load_id = f"m{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
-    rows, mtime = _write_observed(src, f"{lake.raw_path(table)}/load_{load_id}",
-                                  f"mtime_{table}_{uuid.uuid4().hex[:8]}")
-    if rows:
-        _ledger_row(spark, lake, table, "append", load_id, rows, mtime)
+    schema = schemas.nullable(schemas.RAW_TABLES[table])
+    src = _with_source(spark.read.schema(schema).parquet(*(f"{L.table_dir(lake.landing, table)}/{b}" for b in new)), schema)
+    # from what was loaded before alone: a repeated load has the same id
+    stamp = f"{state.cursor:%Y%m%dT%H%M%S%f}" if state.cursor is not None else "0"
+    load_id = f"m{stamp}_{state.loads}"
+    rows = _load(src, f"{current_path(spark, lake, table)}/load_{load_id}", lake, table, "append", load_id)
+    compact_ledger(spark, lake, table)
     return rows
 
 
@@ -199,25 +260,22 @@ def bootstrap_raw(spark: SparkSession, lake: Lake, seed: int = 0,
                   n_users: int | None = None) -> dict[str, int]:
     """Write the four generated tables straight into the raw layer (create or replace).
 
-    No landing zone is involved: each raw table is replaced whole by one
-    batch of seed ``seed`` (users by the fixed user rules), and a ledger row
-    with mode ``replace`` records each write.
+    No landing zone is involved: each raw table becomes a new generation of one
+    batch of seed ``seed`` (users by the fixed user rules). Refuses a lake whose
+    activity was appended: its cursors say that those batches are loaded.
     """
     from saasmart.sources import synth
 
+    for table in schemas.ACTIVITY_TABLES:
+        if not read_ledger(spark, lake, table).where("load_mode = 'append'").isEmpty():
+            raise ValueError(f"{table} has appended batches; bootstrap a new lake")
     tables = {
         "users": synth.users(spark) if n_users is None else synth.users(spark, n_users),
         **{t: gen(spark, [seed]).drop("batch") for t, gen in synth.GENERATORS.items()},
     }
-    load_id = f"b{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
-    counts = {}
-    for table, df in tables.items():
-        obs = Observation(f"bootstrap_{table}_{uuid.uuid4().hex[:8]}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-            .parquet(lake.raw_path(table))
-        counts[table] = int(obs.get["rows"])
-        _ledger_row(spark, lake, table, "replace", load_id, counts[table], None)
-    return counts
+    made = F.lit(f"generated:{seed}"), F.lit(None).cast("timestamp")
+    return {table: _replace(df.withColumns({_FILE: made[0], _MTIME: made[1]}), lake, table, "b")
+            for table, df in tables.items()}
 
 
 def ingest_all(spark: SparkSession, lake: Lake) -> None:
@@ -227,4 +285,7 @@ def ingest_all(spark: SparkSession, lake: Lake) -> None:
         replace_load(spark, lake, "users")
     finally:
         for q in queries:
-            q.awaitTermination()
+            if q is not None:
+                q.awaitTermination()
+    for t in schemas.RAW_TABLES:
+        compact_ledger(spark, lake, t)
