@@ -33,7 +33,8 @@ recomputation after a lost executor, assigns the same slice):
    tiebreak value (copies of a record) is pre-aggregated instead: its rows become count-carrying
    chunk rows in separate sub-slices, exploded back after the window. The
    NULL-timestamp cell of a key is ordered by the tiebreak alone and is cut
-   into tiebreak ranges when the tiebreak is integral; copies at a NULL
+   into tiebreak ranges: equal-width ranges of an integral tiebreak, else by
+   the next character after the slice's common prefix; copies at a NULL
    timestamp are collapsed the same way (each copy after the first starts a
    session, which the window counts through the copy count).
 4. Window over (key, slice): lag and running sum inside each slice; one
@@ -45,13 +46,19 @@ recomputation after a lost executor, assigns the same slice):
    each refinement round adds at most about 16P sub-slices and copy chunks
    at most 4P, so the count is a constant times P, never a function of N. A window
    over those per key gives each later slice the previous slice's last ts
-   and the number of sessions before it. Broadcast (bounded) and joined back
-   on (key, slice) to correct the first row of each continued slice and the
-   running number.
+   and the number of sessions before it. Joined back on (key, slice) to
+   correct the first row of each continued slice and the running number;
+   broadcast only if the slices counted while cutting fit the session's
+   broadcast threshold.
+
+The slices hold for the data they were made from: build a table from the result,
+not a view over a table that goes on growing.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,8 +75,15 @@ CELLS_PER_SLICE = 4
 # at a single timestamp, into this many tiebreak-hash sub-slices per L rows.
 TIME_SPLITS_PER_LIMIT = 4
 TIE_SPLITS_PER_LIMIT = 2
-# Rounds of cutting heavy slices (the last round cuts tie groups only).
-REFINE_ROUNDS = 3
+# Every round cuts each heavy slice further, so few rounds are needed; beyond
+# this many the slices are left as they are (results don't depend on them).
+MOST_ROUNDS = 64
+# Bytes of one fix-up row in a broadcast table, rounded up.
+FIX_ROW_BYTES = 128
+
+# Spans of 64-bit ids.
+WIDE = T.DecimalType(20, 0)
+CODE_POINTS = 0x110000
 
 _SLICE = "_ss_slice"
 _K = "_ss_copies"
@@ -155,15 +169,22 @@ class _Labels:
         return apply
 
 
+def _bytes(setting: str) -> int:
+    """Bytes that a size setting says (``10485760``, ``10485760b``, ``256k``, ``10m``, ..; -1: none)."""
+    number = setting.strip().lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1:], 0)
+    return int(number[:-1] if unit else number) << unit
+
+
 def _cell(ts: str) -> Column:
     """Time cell of a non-NULL ts inside its hot key's [lo, hi] range."""
-    return F.least(F.floor(micros_between(F.col("_lo"), F.col(ts)) / F.col("_w")),
-                   F.col("_g") - 1)
+    return F.greatest(F.lit(0), F.least(F.floor(micros_between(F.col("_lo"), F.col(ts)) / F.col("_w")),
+                                        F.col("_g") - 1))
 
 
 def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id",
                 ts: str = "event_timestamp", tiebreak: str = "event_id",
-                allow_time: bool = True, is_hot: Column | None = None) -> DataFrame:
+                is_hot: Column | None = None, round_: int = 0) -> DataFrame:
     """Slices of hot keys that still hold more than ``limit`` rows, and how to cut them.
 
     A slice spanning several timestamps is cut into finer equal-width time
@@ -172,7 +193,8 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     ordered first, which is all the session logic needs inside a tie group
     (every other row of the group continues the session of the first). A
     tie group at one tiebreak value too (``_copy``: copies of one record)
-    cannot be cut by any order value; ``sessionize`` collapses it.
+    cannot be cut by any order value; ``sessionize`` collapses it. ``round_``
+    salts the tiebreak hash, so that values which fell together part later.
     Only key, ts and tiebreak are read, so this pass scans narrow columns.
     Counts sum to N, so there are at most N / limit <= 2P heavy slices: the
     table is collected once, like the hot-key table.
@@ -190,45 +212,54 @@ def heavy_cells(labeled: DataFrame, label: str, limit: int, key: str = "user_id"
     tie = F.coalesce(F.col("_cmin") == F.col("_cmax"), F.lit(False))
     span = micros_between(F.col("_cmin"), F.col("_cmax")) + 1
     w2 = F.greatest(F.ceil(span / (need * TIME_SPLITS_PER_LIMIT)), F.lit(1)).cast("long")
-    # NULL timestamps are ordered by the tiebreak alone: cut its range (integral
-    # tiebreaks), with one last part for NULL tiebreaks
+    # NULL timestamps are ordered by the tiebreak alone: cut its range, with one
+    # last part for NULL tiebreaks. Wide ids: the span may not fit a long
     if integral_tiebreak:
-        tbmin = F.col("_tmin").cast("long")
-        tb_span = F.col("_tmax").cast("long") - tbmin + 1
-        wtb = F.greatest(F.ceil(tb_span / (need * TIME_SPLITS_PER_LIMIT)),
-                         F.lit(1)).cast("long")
+        tbmin = F.col("_tmin").cast(WIDE)
+        tb_span = F.col("_tmax").cast(WIDE) - tbmin + 1
+        wtb = F.greatest(F.ceil(tb_span / (need * TIME_SPLITS_PER_LIMIT)), F.lit(1)).cast(WIDE)
         tb_parts = F.ceil(tb_span / wtb) + 1
-    else:  # a non-integral tiebreak has no range to cut
-        tbmin = wtb = tb_parts = F.lit(None).cast("long")
+    else:  # by the character that follows the common prefix: its code point + 1, 0 at the end
+        tbmin = wtb = F.lit(None).cast(WIDE)
+        tb_parts = F.lit(CODE_POINTS + 2)
     # one record at one timestamp (or at NULL), copied: no order value can cut it
     copy = (tie | null_ts) & F.col("_tmin").eqNullSafe(F.col("_tmax"))
     parts = (F.when(null_ts, tb_parts)
              .when(tie, need * TIE_SPLITS_PER_LIMIT)
              .otherwise(F.ceil(span / w2))).cast("long")
     heavy = hist.where(F.col("_n") > F.lit(limit))
-    heavy = heavy.where(~null_ts | copy | F.lit(integral_tiebreak) & F.col("_tmin").isNotNull())
-    if not allow_time:
-        heavy = heavy.where(tie | null_ts)
+    if not integral_tiebreak and not isinstance(labeled.schema[tiebreak].dataType, T.StringType):
+        heavy = heavy.where(~null_ts | copy)  # no range and no characters to cut by
     ref = heavy.select("_rk", "_rc", "_n", tie.alias("_tie"), null_ts.alias("_nullts"),
                        "_cmin", tbmin.alias("_tbmin"),
                        F.when(null_ts, wtb).alias("_wtb"),
                        F.when(~tie & ~null_ts, w2).alias("_w2"), parts.alias("_parts"),
-                       F.when(tie, F.pmod(F.xxhash64(F.col("_tmin")), parts))
+                       F.when(tie, F.pmod(F.xxhash64(F.col("_tmin"), F.lit(round_)), parts))
                        .otherwise(F.lit(0)).cast("long").alias("_first"),
-                       copy.alias("_copy"))
-    return spark.createDataFrame(ref.collect(), ref.schema)
+                       copy.alias("_copy"),
+                       F.col("_tmin").cast("string").alias("_least"), F.col("_tmax").cast("string").alias("_most"))
+    # few rows: the common prefixes are found on the driver
+    rows = [(*r[:-2], len(os.path.commonprefix([r._least or "", r._most or ""])) if r._nullts and not integral_tiebreak else 0)
+            for r in ref.collect()]
+    schema = T.StructType([*ref.drop("_least", "_most").schema.fields, T.StructField("_prefix", T.IntegerType())])
+    return spark.createDataFrame(rows, schema)
 
 
 def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
-            tiebreak: str, labels: _Labels) -> DataFrame:
+            tiebreak: str, labels: _Labels, round_: int) -> DataFrame:
     """Extend every hot label by a sub-slice index (0 where the slice is not cut)."""
-    by_tie = F.pmod(F.pmod(F.xxhash64(F.col(tiebreak)), F.col("_parts")) - F.col("_first"),
+    by_tie = F.pmod(F.pmod(F.xxhash64(F.col(tiebreak), F.lit(round_)), F.col("_parts")) - F.col("_first"),
                     F.col("_parts"))
-    by_time = F.least(F.floor(micros_between(F.col("_cmin"), F.col(ts)) / F.col("_w2")),
-                      F.col("_parts") - 1)
-    by_tb = F.when(F.col(tiebreak).isNull(), F.col("_parts") - 1).otherwise(
-        F.least(F.floor((F.col(tiebreak).cast("long") - F.col("_tbmin")) / F.col("_wtb")),
-                F.col("_parts") - 2))
+    within = lambda x, most: F.greatest(F.lit(0), F.least(x, most))
+    by_time = within(F.floor(micros_between(F.col("_cmin"), F.col(ts)) / F.col("_w2")), F.col("_parts") - 1)
+    if isinstance(labeled.schema[tiebreak].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        place = within(F.floor((F.col(tiebreak).cast(WIDE) - F.col("_tbmin")) / F.col("_wtb")).cast("long"),
+                       F.col("_parts") - 2)
+    else:
+        text = F.col(tiebreak).cast("string")
+        after = F.ascii(F.substr(text, F.col("_prefix") + 1, F.lit(1)))
+        place = F.when(F.length(text) <= F.col("_prefix"), F.lit(0)).otherwise(after + 1)
+    by_tb = F.when(F.col(tiebreak).isNull(), F.col("_parts") - 1).otherwise(place)
     sub = (F.when(F.col("_parts").isNull(), F.lit(0))
            .when(F.col("_nullts"), by_tb)
            .when(F.col("_tie"), by_tie).otherwise(by_time))
@@ -238,7 +269,7 @@ def _refine(labeled: DataFrame, label: str, heavy: DataFrame, key: str, ts: str,
                           "left")
     return (apply(joined, label, sub)
             .drop("_rk", "_rc", "_n", "_tie", "_nullts", "_cmin", "_tbmin", "_wtb", "_w2",
-                  "_parts", "_first", "_copy"))
+                  "_parts", "_first", "_copy", "_prefix"))
 
 
 def _collapse_copies(labeled: DataFrame, copies: DataFrame, key: str, limit: int,
@@ -302,18 +333,19 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
     labeled = (df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left")
                .withColumn(_SLICE, cell)
                .drop("_hk", "_hot", "_lo", "_g", "_w", "_limit"))
-    copies = None
-    for round_ in range(REFINE_ROUNDS + 1):
-        heavy = heavy_cells(labeled, _SLICE, limit, key, ts, tiebreak,
-                            allow_time=round_ < REFINE_ROUNDS - 1,
-                            is_hot=labels.is_hot(_SLICE))
+    slices = hot.agg(F.sum(F.col("_g") + 1)).first()[0]
+    for round_ in range(MOST_ROUNDS):
+        heavy = heavy_cells(labeled, _SLICE, limit, key, ts, tiebreak, labels.is_hot(_SLICE), round_)
         cuttable = heavy.where(~F.col("_copy"))
-        if round_ == REFINE_ROUNDS or cuttable.isEmpty():
-            copies = heavy.where(F.col("_copy"))
+        if cuttable.isEmpty():
             break
-        labeled = _refine(labeled, _SLICE, cuttable, key, ts, tiebreak, labels)
-    has_copies = copies is not None and not copies.isEmpty()
+        # a part by characters exists only if a row has its character
+        slices += cuttable.agg(F.sum(F.least("_parts", "_n"))).first()[0]
+        labeled = _refine(labeled, _SLICE, cuttable, key, ts, tiebreak, labels, round_)
+    copies = heavy.where(F.col("_copy"))
+    has_copies = not copies.isEmpty()
     if has_copies:
+        slices += copies.agg(F.sum(F.ceil(F.col("_n") / max(1, limit // 2)))).first()[0]
         labeled = _collapse_copies(labeled, copies, key, limit, labels)
 
     # 4. local lag / running sum inside each (key, slice)
@@ -355,7 +387,10 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "event_timestamp",
            .select(F.col(key).alias("_fx_key"), F.col(_SLICE).alias("_fx_slice"),
                    "_prev_last", "_first_new", "_off"))
 
-    joined = local.join(F.broadcast(fix),
+    threshold = local.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if slices * FIX_ROW_BYTES <= _bytes(threshold):
+        fix = F.broadcast(fix)
+    joined = local.join(fix,
                         F.col(key).eqNullSafe(F.col("_fx_key"))
                         & (F.col(_SLICE) == F.col("_fx_slice")),
                         "left")
