@@ -3,6 +3,7 @@
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from saasmart.sources import adapters as A
@@ -78,24 +79,124 @@ def test_touched_file_stream_vs_mtime(spark):
     assert I.append_by_mtime(spark, mlake, "events") == 10    # mtime cursor: again
 
 
-def test_late_file_with_older_mtime(spark):
-    """A new file whose modification time is older than the cursor (but within the
-    stream's maxFileAge, 7 days by default; older files are skipped by both)."""
+def _set_times(path, when):
+    for root, _, files in os.walk(path.replace("file:", "")):
+        for f in files:
+            os.utime(os.path.join(root, f), (when, when))
+
+
+def test_late_batch_with_older_mtime(spark):
+    """Ten days older than what is loaded: new to the path cursor, old to the mtime cursor."""
     lake = I.Lake.fresh(spark, "t-late")
     mlake = I.Lake(lake.root + "-m")
     for lk in (lake, mlake):
         L.write_batch(_events(spark, 0, 10), lk.landing, "events", "a")
     I.append_incremental(spark, lake, "events")
     assert I.append_by_mtime(spark, mlake, "events") == 10
-    paths = [L.write_batch(_events(spark, 10, 14), lk.landing, "events", "b") for lk in (lake, mlake)]
-    if not all(p.startswith(("file:", "/")) for p in paths):
-        return
-    older = time.time() - 3600  # an hour before the files already loaded
-    for p in paths:
-        local = p.replace("file:", "")
-        for root, _, files in os.walk(local):
-            for f in files:
-                os.utime(os.path.join(root, f), (older, older))
+    for lk in (lake, mlake):
+        _set_times(L.write_batch(_events(spark, 10, 25), lk.landing, "events", "b"), time.time() - 10 * 86400)
     I.append_incremental(spark, lake, "events")
-    assert I.read_raw(spark, lake, "events").count() == 14       # path cursor: loaded
-    assert I.append_by_mtime(spark, mlake, "events") == 0         # mtime cursor: skipped
+    assert I.read_raw(spark, lake, "events").count() == 25
+    assert I.append_by_mtime(spark, mlake, "events") == 0
+
+
+def test_mtime_cursor_loads_a_batch_of_equal_time(spark):
+    lake, now = I.Lake.fresh(spark, "t-equal"), time.time()
+    _set_times(L.write_batch(_events(spark, 0, 10), lake.landing, "events", "a"), now)
+    assert I.append_by_mtime(spark, lake, "events") == 10
+    _set_times(L.write_batch(_events(spark, 10, 25), lake.landing, "events", "b"), now)
+    assert I.append_by_mtime(spark, lake, "events") == 15
+    _set_times(L.write_batch(_events(spark, 25, 30), lake.landing, "events", "c"), now)
+    assert I.append_by_mtime(spark, lake, "events") == 5
+    assert I.append_by_mtime(spark, lake, "events") == 0
+    assert I.read_raw(spark, lake, "events").count() == 30
+
+
+def test_mtime_cursor_loads_a_straddling_batch_whole(spark):
+    lake, now = I.Lake.fresh(spark, "t-straddle"), time.time()
+    _set_times(L.write_batch(_events(spark, 0, 10), lake.landing, "events", "a"), now)
+    assert I.append_by_mtime(spark, lake, "events") == 10
+    path = L.write_batch(_events(spark, 10, 30).repartition(2), lake.landing, "events", "b").replace("file:", "")
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert len(parts) == 2
+    for f, when in zip(parts, (now - 60, now + 60)):
+        os.utime(os.path.join(path, f), (when, when))
+    assert I.append_by_mtime(spark, lake, "events") == 20
+    assert I.read_raw(spark, lake, "events").count() == 30
+
+
+def test_mtime_load_repeated_after_a_crash(spark, monkeypatch):
+    """The rows are written, the ledger isn't: the next run rewrites the same load."""
+    lake = I.Lake.fresh(spark, "t-crash")
+    L.write_batch(_events(spark, 0, 10), lake.landing, "events", "a")
+    ledger = I.Lake.ledger
+    with monkeypatch.context() as m:
+        m.setattr(I.Lake, "ledger", property(lambda self: "nosuchscheme://x/ledger" if m.armed else ledger.fget(self)))
+        m.armed = False
+        real = I.current_path
+
+        def arm(*args):
+            path = real(*args)
+            m.armed = True
+            return path
+
+        m.setattr(I, "current_path", arm)
+        with pytest.raises(Exception):
+            I.append_by_mtime(spark, lake, "events")
+    assert I.append_by_mtime(spark, lake, "events") == 10
+    assert I.read_raw(spark, lake, "events").count() == 10
+
+
+def test_idle_runs_write_nothing_and_no_batch_is_no_error(spark):
+    lake = I.Lake.fresh(spark, "t-idle")
+    os.makedirs(L.table_dir(lake.landing, "events").replace("file:", ""))
+    assert I.append_by_mtime(spark, lake, "events") == 0
+    I.append_incremental(spark, lake, "events")
+    L.write_batch(_events(spark, 0, 10), lake.landing, "events", "a")
+    assert I.append_by_mtime(spark, lake, "events") == 10
+    for _ in range(3):
+        assert I.append_by_mtime(spark, lake, "events") == 0
+    assert len(os.listdir(lake.raw_path("events").replace("file:", ""))) == 1
+
+
+def test_users_glob_is_flat_and_a_failed_replace_changes_nothing(spark):
+    lake = I.Lake.fresh(spark, "t-users")
+    users = A.users(spark, SF001)
+    L.write_users(users.limit(5), lake.landing)
+    users.limit(7).write.parquet(f"{lake.landing}/users/archive/old.parquet")
+    assert I.replace_load(spark, lake) == 5
+    for f in os.listdir(L.users_path(lake.landing).replace("file:", "")):
+        if f.endswith(".parquet"):
+            with open(os.path.join(L.users_path(lake.landing).replace("file:", ""), f), "wb") as broken:
+                broken.write(b"no parquet")
+    with pytest.raises(Exception):
+        I.replace_load(spark, lake)
+    assert I.read_raw(spark, lake, "users").count() == 5
+    for _ in range(3):
+        L.write_users(users.limit(6), lake.landing)
+        assert I.replace_load(spark, lake) == 6
+    assert I.read_raw(spark, lake, "users").count() == 6
+    assert len(os.listdir(f"{lake.raw}/users".replace("file:", ""))) == I.KEEP_GENERATIONS
+
+
+def test_bootstrap_refuses_a_lake_with_appended_batches(spark):
+    lake = I.Lake.fresh(spark, "t-refuse")
+    L.write_batch(_events(spark, 0, 10), lake.landing, "events", "a")
+    I.append_incremental(spark, lake, "events")
+    with pytest.raises(ValueError):
+        I.bootstrap_raw(spark, lake)
+    assert I.read_raw(spark, lake, "events").count() == 10
+
+
+def test_ledger_has_a_row_per_file_and_compacts(spark):
+    lake = I.Lake.fresh(spark, "t-ledger")
+    for n in range(3):
+        L.write_batch(_events(spark, 10 * n, 10 * n + 10).repartition(2), lake.landing, "events", f"{n}")
+        I.append_by_mtime(spark, lake, "events")
+    before = sorted(map(str, I.read_ledger(spark, lake, "events").collect()))
+    assert len(before) == 6 and sum(r.rows_loaded for r in I.read_ledger(spark, lake).collect()) == 30
+    assert {r.batch for r in I.read_ledger(spark, lake).collect()} == {"batch_0.parquet", "batch_1.parquet", "batch_2.parquet"}
+    assert I.compact_ledger(spark, lake, "events", at=2)
+    assert sorted(map(str, I.read_ledger(spark, lake, "events").collect())) == before
+    assert not I.compact_ledger(spark, lake, "events", at=2)
+    assert I.append_by_mtime(spark, lake, "events") == 0

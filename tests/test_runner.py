@@ -1,5 +1,9 @@
 """End to end: synthesized landing batches -> ingest -> layered models."""
 
+import json
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from saasmart.plans import catalog as C
@@ -45,6 +49,126 @@ def test_drop_then_rebuild_recreates_mart(spark):
     assert out["dim_users"].count() == n
 
 
+def _lake_of(spark, name, rows):
+    from saasmart.sources import adapters as A
+    from tests.conftest import SF001
+    lake = I.Lake.fresh(spark, name)
+    raw = {t: A.RAW_ADAPTERS[t](spark, SF001) for t in A.RAW_ADAPTERS}
+    raw["events"] = raw["events"].limit(rows)
+    PL.land(spark, lake, raw_tables=raw)
+    I.ingest_all(spark, lake)
+    return lake
+
+
+def test_a_second_lake_under_the_same_names_is_read(spark):
+    layers = C.Layers.suffixed("tsecond")
+    for rows, name in ((50, "t-lake-a"), (70, "t-lake-b")):
+        out = PL.build(spark, _lake_of(spark, name, rows), layers, tables=["fct_daily_active_users", PL.SESSIONS])
+        assert out["fct_daily_active_users"].agg(F.sum("total_events")).first()[0] == rows
+        assert spark.table(f"{layers.intermediate}.{PL.SESSIONS}").count() == rows
+
+
+def test_replaced_table_takes_new_columns_and_types(spark):
+    lake, layers = I.Lake.fresh(spark, "t-schema"), C.Layers.suffixed("tschema")
+    C.create_layers(spark, layers, lake.warehouse)
+    for n, (sql, want) in enumerate([("select 1 as a", [(1,)]), ("select 2 as a, 'x' as b", [(2, "x")]),
+                                     ("select 'y' as a, 'x' as b", [("y", "x")]), ("select 'z' as a, 'x' as b", [("z", "x")])]):
+        C.materialize_table(spark.sql(sql), layers.marts, "m", lake.warehouse)
+        assert [tuple(r) for r in spark.table(f"{layers.marts}.m").collect()] == want
+    folder = f"{lake.warehouse}/{layers.marts}.db/m".replace("file:", "")
+    assert len(os.listdir(folder)) == 2
+    C.drop_table(spark, layers.marts, "m", lake.warehouse)
+    assert not os.path.exists(folder) and not C.table_exists(spark, layers.marts, "m")
+
+
+def test_intermediates_and_ledger_are_in_the_catalog(spark):
+    layers = C.Layers.suffixed("tinter")
+    PL.build(spark, _lake_of(spark, "t-inter", 40), layers)
+    kinds = {t.name: t.tableType for t in spark.catalog.listTables(layers.intermediate) if not t.isTemporary}
+    assert kinds == {"int_revenue_by_user": "VIEW", PL.SESSIONS: "EXTERNAL"}
+    ledger = spark.table(f"{layers.raw}.{C.LEDGER_TABLE}")
+    assert ledger.where("table_name = 'events'").agg(F.sum("rows_loaded")).first()[0] == 40
+
+
+def test_sessions_after_an_append_equal_the_plain_window(spark):
+    from saasmart.operators.sessionize import sessionize_plain
+    from saasmart.plans import models as M
+    layers = C.Layers.suffixed("tappend")
+    lake = _lake_of(spark, "t-append", 60)
+    PL.build(spark, lake, layers, tables=[PL.SESSIONS])
+    early = spark.table(f"{layers.raw}.events").withColumn("event_timestamp", F.expr("event_timestamp - interval 400 days"))
+    early.write.parquet(f"{I.current_path(spark, lake, 'events')}/load_early")
+    for min_rows in (1_000_000, 1):
+        stg = PL.build(spark, lake, layers, tables=[PL.SESSIONS])["stg_events"]
+        got = M.user_events_sessionized(stg, parallelism=64, min_slice_rows=min_rows) if min_rows == 1 \
+            else spark.table(f"{layers.intermediate}.{PL.SESSIONS}")
+        want = sessionize_plain(stg)
+        cols = ["event_id", "user_id", "event_timestamp", "session_number"]
+        assert got.count() == 120 and got.select(cols).exceptAll(want.select(cols)).count() == 0
+
+
+def test_landing_200_batches_takes_one_job_a_table(spark):
+    from saasmart.sources import landing as L
+    from saasmart.sources import synth
+    lake = I.Lake.fresh(spark, "t-200")
+    seeds = list(range(200))
+    tracker = spark.sparkContext.statusTracker()
+    df = synth.events(spark, seeds)
+    assert df.rdd.getNumPartitions() == 200
+    spark.sparkContext.setJobGroup("landing", "landing")
+    tags = [L.batch_tag(n) for n in seeds]
+    paths = L.land_batches(synth.support_tickets(spark, seeds), lake.landing, "support_tickets", tags)
+    L.land_batches(synth.events(spark, seeds[:4]), lake.landing, "events", tags[:4])
+    writes = [j for j in tracker.getJobIdsForGroup("landing")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(writes) <= 4  # a write each, and the broadcast of the seeds
+    assert len(paths) == 200
+    for path in os.listdir(f"{lake.landing}/events".replace("file:", "")):
+        parts = [f for f in os.listdir(f"{lake.landing}/events/{path}".replace("file:", "")) if f.startswith("part-")]
+        assert len(parts) == 1  # a batch's 50,000 rows in one file
+    got = spark.read.parquet(f"{lake.landing}/support_tickets/batch_*.parquet")
+    want = synth.support_tickets(spark, seeds).drop("batch")
+    assert got.count() == 200 * R.TICKETS_PER_BATCH and got.exceptAll(want).count() == 0
+
+
+def test_steps_in_two_applications_share_the_configured_root(tmp_path):
+    """Each step is an application of its own; the root follows from spark.checkpoint.dir."""
+    import subprocess
+    import sys
+    from tests.conftest import ROOT
+    code = ("import sys; from pyspark.sql import SparkSession; from saasmart.__main__ import main;"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+            f".config('spark.checkpoint.dir', '{tmp_path}').config('spark.sql.shuffle.partitions', '2').getOrCreate();"
+            "main(sys.argv[1:], spark=s)")
+    reports = []
+    for step in (["generate", "--seeds", "3", "--users", "20"], ["ingest"], ["audit"]):
+        done = subprocess.run([sys.executable, "-c", code, *step], cwd=ROOT, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-2000:]
+        reports.append(json.loads(done.stdout.strip().splitlines()[-1]))
+    assert len({r["root"] for r in reports}) == 1
+    assert reports[-1]["row_counts"]["events"] == R.EVENTS_PER_BATCH and reports[-1]["row_counts"]["users"] == 20
+
+
+def test_no_root_off_local_is_a_clear_error():
+    from saasmart import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, applicationId = "yarn", "app"
+
+        def getConf(self):
+            return Conf()
+
+    class Spark:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_root(Spark())
+
+
 def test_layer_names_and_view_kinds(spark):
     from saasmart import schemas
     assert schemas.layer_name("  custom_marts ", "stg") == "custom_marts"
