@@ -33,6 +33,7 @@ FULL_NAMES = [
 NAME_SUFFIX_MOD = 200
 
 # users: plan by id % 10: below 5 free, below 8 pro, else enterprise
+PLAN_MOD = 10
 PLAN_FREE_BELOW = 5
 PLAN_PRO_BELOW = 8
 PLANS = ["free", "pro", "enterprise"]
@@ -81,6 +82,7 @@ PROPERTIES_FORMATS = {
 }
 
 # invoices: amount tier by (id + seed) % 5: below 3 low, below 4 mid, else high
+PRICE_TIER_MOD = 5
 PRICE_LOW_BELOW = 3
 PRICE_MID_BELOW = 4
 PRICE_LOW_BASE, PRICE_LOW_MOD, PRICE_LOW_STEP = "9.99", 20, "0.5"
@@ -88,6 +90,7 @@ PRICE_MID_BASE, PRICE_MID_MOD, PRICE_MID_STEP = "49.99", 50, "1"
 PRICE_HIGH_BASE, PRICE_HIGH_MOD, PRICE_HIGH_STEP = "199.99", 100, "2"
 CURRENCY = "USD"
 # invoices: status by (id + seed) % 10: 0 pending, 1 failed, 2 refunded, else paid
+INVOICE_STATUS_MOD = 10
 INVOICE_STATUSES = ["pending", "failed", "refunded"]
 INVOICE_STATUS_OTHERWISE = "paid"
 UNPAID_STATUSES = ["pending", "failed"]  # paid_at is NULL for these

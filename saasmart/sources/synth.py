@@ -36,7 +36,7 @@ def _as_col(seed: int | Column) -> Column:
 
 def users_from_ids(ids: DataFrame, id_col: str = "i") -> DataFrame:
     i = F.col(id_col).cast("long")
-    plan_bucket = i % 10
+    plan_bucket = i % R.PLAN_MOD
     plan = (F.when(plan_bucket < R.PLAN_FREE_BELOW, F.lit(R.PLANS[0]))
             .when(plan_bucket < R.PLAN_PRO_BELOW, F.lit(R.PLANS[1]))
             .otherwise(F.lit(R.PLANS[2])))
@@ -125,7 +125,7 @@ def events_from_ids(ids: DataFrame, seed: int | Column | None = None,
 
 
 def _amount(k: Column) -> Column:
-    tier = k % 5
+    tier = k % R.PRICE_TIER_MOD
     raw = (F.when(tier < R.PRICE_LOW_BELOW,
                   dec(R.PRICE_LOW_BASE) + (k % R.PRICE_LOW_MOD) * dec(R.PRICE_LOW_STEP))
            .when(tier < R.PRICE_MID_BELOW,
@@ -139,7 +139,7 @@ def invoices_from_ids(ids: DataFrame, seed: int | Column | None = None,
     i = F.col(id_col).cast("long")
     s = _as_col(seed if seed is not None else F.col("seed"))
     k = i + s
-    status_bucket = k % 10
+    status_bucket = k % R.INVOICE_STATUS_MOD
     status = (F.when(status_bucket < len(R.INVOICE_STATUSES),
                      pick(R.INVOICE_STATUSES, status_bucket))
               .otherwise(F.lit(R.INVOICE_STATUS_OTHERWISE)))
