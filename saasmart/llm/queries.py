@@ -137,4 +137,37 @@ ORACLE_SQL: dict[str, str] = {
         select conv_id, count(*) as n_turns,
                string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by pos) as chat
         from placed semi join kept using (conv_id) group by conv_id""",
+    "op7_decontaminate": r"""
+        with items as (
+            select item_id, w, least(5, len(w)) as k from (
+                select item_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10FFFF}]+') as w from benchmark where text is not null)
+            where len(w) > 0),
+        wanted as (
+            select distinct item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as shingle
+            from (select *, unnest(range(1, len(w) - k + 2)) as i from items)),
+        docs as (
+            select doc_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10FFFF}]+') as w from documents where text is not null),
+        found as (
+            select distinct doc_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as shingle
+            from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from docs, (select distinct k from items) where len(w) >= k)),
+        totals as (select item_id, count(*) as n_shingles from wanted group by item_id)
+        select doc_id, item_id, count(*) as n_shared, any_value(n_shingles) as n_shingles, count(*) / any_value(n_shingles) as containment
+        from found join wanted using (k, shingle) join totals using (item_id)
+        group by doc_id, item_id having count(*) >= 0.8 * any_value(n_shingles)""",
+    "op10_difference_cover": r"""
+        with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        windows as (
+            select doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') as words
+            from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from docs where len(w) >= 50)),
+        least_id as (select words, min(doc_id) as least_id from windows group by words),
+        gone as (
+            select distinct doc_id, i + k as pos
+            from windows join least_id using (words), (select unnest(range(50)) as k)
+            where least_id < doc_id),
+        placed as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from docs),
+        kept as (
+            select doc_id, string_agg(word, ' ' order by pos) as kept, count(*) as n_kept
+            from placed anti join gone using (doc_id, pos) group by doc_id)
+        select d.doc_id, len(w) as n_words, len(w) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from docs d left join kept k on d.doc_id = k.doc_id""",
 }
