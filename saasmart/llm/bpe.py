@@ -34,8 +34,9 @@ from .textops import byte_values, mix, Powers, text_chunks
 
 #: Distinct pieces that a task keeps encoded; beyond it, it starts anew.
 PIECES = 1 << 20
-#: Bytes of text per run.
-RUN_BYTES = 4 << 20
+#: Bytes of text per run, and per step within it where a byte needs words of memory.
+RUN_BYTES = 2 << 20
+STEP_BYTES = 1 << 18
 
 _NONE = 1 << 30
 _RADIX = 1 << 16
@@ -121,7 +122,7 @@ class Encoder:
         self.values, self.powers = byte_values(11), Powers(0x2545F4914F6CDD1D)
         pairs = [(rank[t[:i]] * _RADIX + rank[t[i:]], r) for t, r in rank.items()
                  for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         merges = np.array(pairs, dtype=np.int64).reshape(-1, 2)
         self.db.register("m", pa.table({"pair": merges[:, 0], "rank": merges[:, 1].astype(np.int32)}))
         self.db.execute("create table merges as select pair, rank from m")
@@ -207,6 +208,19 @@ class Encoder:
             self.known, self.place = known[order], place[order]
         return self.place[np.searchsorted(self.known, hashes)]
 
+    def hashes(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """A hash per piece."""
+        out = np.empty(len(start), dtype=np.uint64)
+        first = 0
+        while first < len(start):
+            last = max(first + 1, int(np.searchsorted(start, start[first] + STEP_BYTES)))
+            own = data[start[first]:stop[last - 1]]
+            at = start[first:last] - start[first]
+            up, down = self.powers.to(len(own))
+            out[first:last] = np.add.reduceat(self.values[own] * up[:len(own)], at) * down[at]
+            first = last
+        return mix(out ^ (stop - start).astype(np.uint64))
+
     def __call__(self, column: pa.Array) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
         """(first row, ids of each text as little-endian 32-bit integers, decoded bytes of each)."""
         for row, end, data, offsets in text_chunks(column, RUN_BYTES):
@@ -228,9 +242,7 @@ class Encoder:
                 mark[lo + self.splitter.slow(data[offsets[t]:offsets[t + 1]].tobytes().decode("utf-8"))] = True
             start = byte_at[mark]
             stop = np.append(start[1:], len(data))
-            up, down = self.powers.to(len(data))
-            hashes = np.add.reduceat(self.values[data] * up[:len(data)], start) * down[start]
-            place = self.learn(mix(hashes ^ (stop - start).astype(np.uint64)), data, start, stop)
+            place = self.learn(self.hashes(data, start, stop), data, start, stop)
             piece_at = np.searchsorted(start, offsets)
             yield row, _joined(self.ids, self.id_at, place, piece_at), _joined(self.back, self.back_at, place, piece_at)
 
@@ -242,11 +254,12 @@ def _ranges(start, size) -> np.ndarray:
 
 
 def _joined(values: np.ndarray, at: np.ndarray, place: np.ndarray, piece_at: np.ndarray) -> list[bytes]:
-    size = at[place + 1] - at[place]
-    flat = values[_ranges(at[place], size)]
-    ends = np.concatenate(([0], np.cumsum(size)))[piece_at] * values.itemsize
-    raw = flat.tobytes()
-    return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    """For each text, the values of its pieces end to end."""
+    out = []
+    for first, last in zip(piece_at[:-1].tolist(), piece_at[1:].tolist()):
+        own = place[first:last]
+        out.append(values[_ranges(at[own], at[own + 1] - at[own])].tobytes())
+    return out
 
 
 RESULT = T.StructType([

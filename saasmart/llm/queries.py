@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontaminate, difference_cover, language_id, pii, quality, secret_scan, simhash, suffix_array
+from .storage import moderate_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    moderate_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

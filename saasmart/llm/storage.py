@@ -40,3 +40,13 @@ def free_name(df_columns: list[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def moderate_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of fewer rows than Spark's default, as a row here is a whole text.
+
+    A session that names a size of its own keeps it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
