@@ -11,14 +11,29 @@ language stage, as they have no language; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saasmart.llm import bpe, decontaminate, language_id, secret_scan, simhash
 from saasmart.llm.queries import tokenizer
-from saasmart.llm.storage import cut, free_name
+from saasmart.llm.storage import cut, free_name, moderate_batches
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(function: Stage) -> Stage:
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        moderate_batches(spark)
+        return function(spark, docs, sf_dir)
+
+    return run
 
 
+@_stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents that it rejects go."""
     model = language_id.fit(docs, key="doc_id")
@@ -27,6 +42,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         .where(F.col(f"{found}.accepted")).drop(found)
 
 
+@_stage
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each component the document with the smallest id stays."""
     found = simhash.near_duplicates(docs, shingle=4, distance=4)
@@ -39,12 +55,14 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.union(docs.where(F.col("doc_id").isNull()))
 
 
+@_stage
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that contain a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return docs.where(~decontaminate.contaminated(F.col("text"), items))
 
 
+@_stage
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans: secrets are replaced in the texts; no document goes."""
     found = free_name(docs.columns, "_found")
@@ -53,6 +71,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: the ids (little-endian unsigned 32-bit) with what decoding them gives."""
     return docs.select("doc_id", "lang", "source", bpe.encode(F.col("text"), *tokenizer(), keep_ids=True).alias("x")) \
