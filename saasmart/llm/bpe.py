@@ -8,6 +8,9 @@ this makes with the merge table, and goes on until no piece has a pair that merg
 ordered aggregation joins the pieces' ids with the vocabulary and puts their bytes back
 together; the decoded text is made of those.
 
+The rare piece of ``LONG`` bytes or more is contracted in arrays, many places of the least
+pair in one step: from the left up to the first that makes a pair of a lesser rank.
+
 Texts are taken in runs of bounded size, and the pieces of ``PIECES`` are kept from one
 run to the next, so a partition's memory doesn't grow with its rows.
 
@@ -38,6 +41,9 @@ PIECES = 1 << 20
 RUN_BYTES = 2 << 20
 STEP_BYTES = 1 << 18
 
+#: Bytes from which a piece is contracted apart: its steps would each copy its whole list.
+LONG = 256
+
 _NONE = 1 << 30
 _RADIX = 1 << 16
 
@@ -122,8 +128,9 @@ class Encoder:
         self.values, self.powers = byte_values(11), Powers(0x2545F4914F6CDD1D)
         pairs = [(rank[t[:i]] * _RADIX + rank[t[i:]], r) for t, r in rank.items()
                  for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        merges = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        merges = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2)
+        self.pairs, self.pair_ranks = merges[:, 0], merges[:, 1]
         self.db.register("m", pa.table({"pair": merges[:, 0], "rank": merges[:, 1].astype(np.int32)}))
         self.db.execute("create table merges as select pair, rank from m")
         self.db.register("v", pa.table({"id": pa.array(range(len(tokens)), pa.int32()), "bytes": pa.array(tokens, pa.binary())}))
@@ -172,6 +179,54 @@ class Encoder:
         back = [bytes.fromhex(x) for x in decoded.to_pylist()]
         return flat, np.diff(ids.offsets.to_numpy()), np.frombuffer(b"".join(back), np.uint8), np.array([len(b) for b in back])
 
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of neighbours, _NONE where they don't merge."""
+        pair = left * _RADIX + right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.pair_ranks[at], _NONE)
+
+    def contract_long(self, piece: bytes) -> np.ndarray:
+        tokens = self.byte[np.frombuffer(piece, np.uint8)].astype(np.int64)
+        ranks = self.ranks_of(tokens[:-1], tokens[1:])
+        while len(ranks) and (least := ranks.min()) < _NONE:
+            at = np.flatnonzero(ranks == least)
+            n = np.arange(len(at))
+            # of places that overlap (aaa) the first, the third, ..
+            opens = np.maximum.accumulate(np.where(np.append(True, np.diff(at) > 1), n, 0))
+            at = at[(n - opens) % 2 == 0]
+            # one after the other from the left, until one makes a pair that goes before the rest
+            left = np.where(at > 0, tokens[at - 1], -1)
+            left[1:][at[1:] == at[:-1] + 2] = least
+            right = np.append(tokens, (-1, -1))[at + 2]
+            made = np.minimum(np.where(left >= 0, self.ranks_of(left, least), _NONE),
+                              np.where(right >= 0, self.ranks_of(least, right), _NONE))
+            if (made < least).any():
+                at = at[:np.argmax(made < least) + 1]
+            tokens[at] = least
+            tokens, ranks = np.delete(tokens, at + 1), np.delete(ranks, at)
+            here = at - np.arange(len(at))
+            for changed in (here[here > 0] - 1, here[here < len(ranks)]):
+                ranks[changed] = self.ranks_of(tokens[changed], tokens[changed + 1])
+        return tokens
+
+    def contract_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``contract``, long pieces apart."""
+        size = np.array([len(p) for p in pieces])
+        if (size < LONG).all():
+            return self.contract(pieces)
+        short = np.flatnonzero(size < LONG)
+        ids = [np.zeros(0, np.uint32)] * len(pieces)
+        back = [b""] * len(pieces)
+        if len(short):
+            flat, width, text, text_width = self.contract([pieces[k] for k in short])
+            for k, x, y in zip(short, np.split(flat, np.cumsum(width)[:-1]), np.split(text, np.cumsum(text_width)[:-1])):
+                ids[k], back[k] = x, y.tobytes()
+        for k in np.flatnonzero(size >= LONG):
+            ids[k] = self.contract_long(pieces[k]).astype(np.uint32)
+            back[k] = b"".join(self.tokens[i] for i in ids[k].tolist())
+        return (np.concatenate(ids), np.array([len(x) for x in ids]), np.frombuffer(b"".join(back), np.uint8),
+                np.array([len(b) for b in back]))
+
     def learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Places of all pieces, given their hashes and where they are in ``data``; new ones are encoded."""
         if len(self.known) > PIECES:
@@ -187,7 +242,7 @@ class Encoder:
             n_ids = np.ones(len(pieces), dtype=np.int64)
             n_back = np.array([len(p) for p in pieces])
             if merge:
-                flat, width, back, back_width = self.contract([pieces[k] for k in merge])
+                flat, width, back, back_width = self.contract_all([pieces[k] for k in merge])
                 n_ids[merge], n_back[merge] = width, back_width
             id_at = np.concatenate(([0], np.cumsum(n_ids)))
             back_at = np.concatenate(([0], np.cumsum(n_back)))

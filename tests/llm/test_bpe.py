@@ -37,6 +37,16 @@ def test_odd_texts_match_the_library(spark, library):
         assert r.x.n_tokens == len(want)
 
 
+def test_long_pieces_match_the_library(library):
+    rng = random.Random(7)
+    texts = ["x" * 100000, "".join(rng.choice("ACGT") for _ in range(50000)), "é" * 500, "=" * 1001, "1" * 30000, "日本語" * 2000]
+    texts += ["".join(rng.choice(rng.choice(["ab", "aeinrst", "xyz"])) for _ in range(rng.randint(250, 600))) + " end" for _ in range(100)]
+    encoder = bpe.Encoder(*tokenizer())
+    for row, ids, decoded in encoder(bpe.pa.array(texts)):
+        for k, (i, d) in enumerate(zip(ids, decoded)):
+            assert np.frombuffer(i, "<u4").tolist() == library.encode_ordinary(texts[row + k]) and d == texts[row + k].encode()
+
+
 def test_pieces_are_forgotten_without_effect(library, monkeypatch):
     monkeypatch.setattr(bpe, "PIECES", 3)
     encoder = bpe.Encoder(*tokenizer())
