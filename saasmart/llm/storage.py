@@ -27,11 +27,16 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back."""
+def write(df: DataFrame, name: str) -> str:
+    """Write ``df`` as Parquet to a new folder under the shared folder; its path."""
     path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back."""
+    return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
 
 
 def free_name(df_columns: list[str], wanted: str) -> str:
