@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from saasmart.llm import bpe, decontaminate, language_id, secret_scan, simhash
 from saasmart.llm.queries import tokenizer
-from saasmart.llm.storage import cut, free_name, moderate_batches
+from saasmart.llm.storage import free_name, moderate_batches, write
+from saasmart.session import remove_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -91,8 +92,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``; a stage's table goes when the next one's is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        result = stage(spark, docs, sf_dir)
+        path = write(result, name)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before is not None:
+            remove_folder(spark, before)
+        before = path
     return docs
