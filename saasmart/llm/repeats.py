@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .textops import mix
 
 #: Rows that a task settles at a time.
-POOL = 1 << 20
+POOL = 1 << 19
 ALONE, MANY, SETTLED = 0, 1, 2
 
 #: From batches of a partition: (hash, further bits of the hash, document) arrays.
@@ -37,7 +37,10 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
 
 
 def _settle(h: np.ndarray, more: np.ndarray, doc: np.ndarray, smaller: bool) -> list[np.ndarray]:
-    """(shuffle key, hash, more, document, state) rows for the hashes seen by one task."""
+    """(shuffle key, more, document, state, hash) rows for the hashes seen by one task.
+
+    A hash is its own shuffle key; what is settled goes by document and takes its hash along.
+    """
     order = np.lexsort((doc, more, h))
     h, more, doc = h[order], more[order], doc[order]
     once = _starts(h, more, doc)
@@ -50,15 +53,14 @@ def _settle(h: np.ndarray, more: np.ndarray, doc: np.ndarray, smaller: bool) ->
         state[start] = ALONE
     else:  # two documents settle each other; one row tells other tasks
         state[np.repeat(size == 1, size)] = ALONE
-    spread = mix(doc.view(np.uint64) + np.uint64(0x51ED27))
-    key = np.where(state == SETTLED, spread, mix(h ^ more.astype(np.uint64)))
-    out = [key.view(np.int64), h.view(np.int64), more, doc, state]
+    settled = state == SETTLED
+    key = np.where(settled, mix(doc.view(np.uint64) + np.uint64(0x51ED27)), h)
+    out = [key, more, doc, state, np.where(settled, h, np.uint64(0))]
     if not smaller and (size > 1).any():
         tell = start[size > 1]
-        told = mix(h[tell] ^ more[tell].astype(np.uint64))
         out = [np.concatenate(x) for x in zip(out, [
-            told.view(np.int64), h.view(np.int64)[tell], more[tell], doc[tell], np.full(len(tell), MANY, np.int8)])]
-    return out
+            h[tell], more[tell], doc[tell], np.full(len(tell), MANY, np.int8), np.zeros(len(tell), np.uint64)])]
+    return [x.view(np.int64) if x.dtype == np.uint64 else x for x in out]
 
 
 def _map(emit: Emit, smaller: bool):
@@ -68,7 +70,7 @@ def _map(emit: Emit, smaller: bool):
         def flush() -> pa.RecordBatch:
             rows = _settle(*(np.concatenate(x) for x in zip(*held)), smaller)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["k", "h", "more", "doc", "state"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["k", "more", "doc", "state", "h"])
 
         n = 0
         for found in emit(batches):
@@ -85,7 +87,7 @@ def _map(emit: Emit, smaller: bool):
 
 def _reduce(smaller: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (k, h, more, doc); a key may go over several batches."""
+        """Rows sorted by (k, more, doc); a key may go over several batches."""
         held = None
         columns = ([c.to_numpy() for c in b.columns] for b in batches if b.num_rows)
         for now in chain(columns, [None]):
@@ -98,9 +100,9 @@ def _reduce(smaller: bool):
                     now = [np.concatenate(x) for x in zip(held, now)]
                 cut = int(np.searchsorted(now[0], now[0][-1], "left"))
                 now, held = [x[:cut] for x in now], [x[cut:] for x in now]
-            _, h, more, doc, state = now
+            h, more, doc, state, taken = now
             settled = state == SETTLED
-            out_h, out_doc = [h[settled]], [doc[settled]]
+            out_h, out_doc = [taken[settled]], [doc[settled]]
             h, more, doc, state = (x[~settled] for x in (h, more, doc, state))
             if len(h):
                 start = np.flatnonzero(_starts(h, more))
@@ -126,8 +128,8 @@ def repeated(source: DataFrame, emit: Emit, smaller: bool = False) -> DataFrame:
 
     ``smaller``: another document with a smaller id. Documents without any are not listed.
     """
-    rows = source.mapInArrow(_map(emit, smaller), "k long, h long, more int, doc long, state byte")
-    rows = rows.repartition("k").sortWithinPartitions("k", "h", "more", "doc")
+    rows = source.mapInArrow(_map(emit, smaller), "k long, more int, doc long, state byte, h long")
+    rows = rows.repartition("k").sortWithinPartitions("k", "more", "doc")
     found = rows.mapInArrow(_reduce(smaller), "doc long, h long")
     return found.groupBy("doc").agg(F.collect_list("h").alias("hashes"))
 
