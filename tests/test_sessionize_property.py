@@ -44,7 +44,7 @@ def test_split_equals_plain_with_many_ties(spark, rows, slice_rows):
 WIDE_IDS = st.sampled_from([-(2**63), -(2**63) + 1, -9 * 10**18, -1, 0, 1, 9 * 10**18, 2**63 - 2, 2**63 - 1])
 
 
-@settings(max_examples=10, deadline=None,
+@settings(max_examples=5, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(WIDE_IDS, st.integers(0, 1), st.one_of(st.none(), st.integers(0, 3))), min_size=1, max_size=40),
        slice_rows=st.integers(1, 4))
@@ -55,7 +55,7 @@ def test_split_equals_plain_with_wide_ids(spark, rows, slice_rows):
 TEXT_IDS = st.one_of(st.none(), st.text(alphabet="ab\u00e9\U0001f600", max_size=4))
 
 
-@settings(max_examples=10, deadline=None,
+@settings(max_examples=5, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(TEXT_IDS, st.integers(0, 1), st.one_of(st.none(), st.none(), st.integers(0, 2))),
                      min_size=1, max_size=40, unique=True),
