@@ -39,8 +39,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Language ID: documents that it rejects go."""
     model = language_id.fit(docs, key="doc_id")
     found = free_name(docs.columns, "_found")
-    return docs.withColumn(found, language_id.predict(model, F.col("text"))) \
-        .where(F.col(f"{found}.accepted")).drop(found)
+    return language_id.identify(model, docs, into=found).where(F.col(f"{found}.accepted")).drop(found)
 
 
 @_stage

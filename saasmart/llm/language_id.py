@@ -2,11 +2,15 @@
 
 Fit: Spark counts the character 4-grams of every labelled text, per language. A
 4-gram is packed in 48 bits (12 bits a character; letters in lower case, every run
-of other characters is one boundary) and falls into one of ``2**bits`` slots; the
-counts of a slot are pooled under its most frequent key. ``bits`` follows from the number of languages alone,
-so that the model has a proven size bound (``MODEL_BYTES``) whatever the corpus.
-From the slots the lower orders' continuation counts, the discounts and the
-interpolation weights follow on the driver, as sorted hash arrays.
+of other characters is one boundary). All distinct 4-grams are kept under their whole
+keys; from them follow the lower orders' continuation counts, the discounts and the
+interpolation weights. Where the arrays of all that take ``MODEL_BYTES`` at most, the
+driver smooths, and the tasks look keys up in sorted hash arrays.
+
+A larger model is smoothed in Spark and stays a table. A character's log probability is
+there a sum of what each order's n-gram and context add, one row per key and language
+that has it. The sum may be taken in any order: the table is read in parts of
+``MODEL_BYTES``, every part is broadcast and adds to the sums of all texts.
 
 Score: each text gets the language of the lowest cross-entropy per character.
 A text is accepted if that cross-entropy is near what texts of the language have
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +34,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import cut
+from .storage import cut, free_name
 
 ORDER = 4
 CHAR_BITS = 12
-#: Most that the arrays of a model may take, whatever the corpus.
+HASH_BITS = 63
+#: Most that the arrays of a model, or of a part of a larger one, may take.
 MODEL_BYTES = 1 << 26
 MAX_SLOT_BITS = 18
-#: Labelled texts that calibrate the rejection; they are left out of the counts.
+#: Bytes of a row of a model's table in the sorted arrays.
+ENTRY_BYTES = 24
+#: Labelled texts that calibrate the rejection; only they are left out of the counts.
 CALIBRATION_ROWS = 2000
 CALIBRATION_SHARE = 20
 #: Accepted: within so many times the calibration sample's 99.9 % deviation.
@@ -148,9 +156,8 @@ def _count_grams(classes: np.ndarray):
         def emit(lang: str) -> pa.RecordBatch:
             key, count = held.pop(lang)
             return pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(key[0])), pa.array(key[0].view(np.int64)),
-                 pa.array(_slot(key[0], MAX_SLOT_BITS)), pa.array(count[0].astype(np.int64))],
-                names=["lang", "key", "slot", "n"])
+                [pa.array([lang] * len(key[0])), pa.array(key[0].view(np.int64)), pa.array(count[0].astype(np.int64))],
+                names=["lang", "key", "n"])
 
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
@@ -174,13 +181,15 @@ def _count_grams(classes: np.ndarray):
 
 @dataclass
 class Model:
-    """Sorted hash arrays per order: for each slot, a value per language."""
+    """Sorted hash arrays per order: for each key, a value per language; or a table in parts."""
 
     langs: list[str]
-    bits: int
-    grams: list[tuple]     # per order: slots (sorted), their keys, log probabilities (slots x languages)
-    contexts: list[tuple]  # per order: slots (sorted), their keys, log interpolation weights
+    bits: int              # widest directory of the hashes
+    grams: list[tuple]     # per order: hashes (sorted), their keys, log probabilities (keys x languages)
+    contexts: list[tuple]  # per order: hashes (sorted), their keys, log interpolation weights
     floor: float           # log probability of an unknown character
+    table: DataFrame = None                        # of a large model: key with its table, language, value
+    parts: int = 1
     mean: np.ndarray = None                        # calibration, per language
     spread: np.ndarray = None
     reach: float = 0.0
@@ -188,7 +197,7 @@ class Model:
 
 
 def slot_bits(n_langs: int, model_bytes: int = MODEL_BYTES) -> int:
-    """The widest slots with which all arrays stay within ``model_bytes``."""
+    """The most bits with which all arrays, of ``2**bits`` keys each, stay within ``model_bytes``."""
     bits = MAX_SLOT_BITS
     while bits > 8 and 2 * ORDER * (1 << bits) * (8 + 4 * n_langs) > model_bytes:
         bits -= 1
@@ -198,7 +207,7 @@ def slot_bits(n_langs: int, model_bytes: int = MODEL_BYTES) -> int:
 
 
 def _smooth(langs: list[str], bits: int, lang: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model:
-    """Interpolated Kneser-Ney from the pooled n-grams (lang: index, key, count)."""
+    """Interpolated Kneser-Ney from the n-grams (lang: index, key, count)."""
     by_order = {ORDER: (lang, key, count.astype(np.float64))}
     for order in range(ORDER - 1, 0, -1):
         # the continuation count of a gram: in how many longer gram types it is the suffix
@@ -217,7 +226,7 @@ def _smooth(langs: list[str], bits: int, lang: np.ndarray, key: np.ndarray, coun
         keys, at = np.unique(key, return_inverse=True)
         context_of = keys >> np.uint64(CHAR_BITS) if order > 1 else np.zeros(len(keys), np.uint64)
         ctx_keys, ctx_at = np.unique(context_of, return_inverse=True)
-        total, types, ones, twos = (np.zeros((n, len(ctx_keys))) for _ in range(4))
+        total, types = (np.zeros((n, len(ctx_keys))) for _ in range(2))
         np.add.at(total, (who, ctx_at[at]), count)
         np.add.at(types, (who, ctx_at[at]), 1)
         discount = np.empty(n)
@@ -235,31 +244,111 @@ def _smooth(langs: list[str], bits: int, lang: np.ndarray, key: np.ndarray, coun
         below = own + weight[:, ctx_at] * lower
         below_keys = keys
         for out, k, values in ((grams, keys, np.log(below)), (contexts, ctx_keys, np.log(weight))):
-            slots = _slot(k, bits)
-            sort = np.lexsort((k, slots))
-            once = np.append(True, np.diff(slots[sort]) != 0) if len(sort) else np.zeros(0, bool)
-            out.append((slots[sort][once], k[sort][once], np.ascontiguousarray(values[:, sort][:, once].T.astype(np.float32))))
+            hashes = _slot(k, HASH_BITS)
+            sort = np.argsort(hashes, kind="stable")
+            out.append((hashes[sort], k[sort], np.ascontiguousarray(values.astype(np.float32)[:, sort].T)))
     return Model(langs, bits, grams, contexts, floor)
 
 
+def _sub_keys(key, part: int):
+    """What a 4-gram looks up in table ``part``: its n-grams (0..), then its contexts (ORDER..)."""
+    order = part % ORDER + 1
+    mask = (1 << CHAR_BITS * order) - 1
+    if isinstance(key, Column):
+        gram = key.bitwiseAND(F.lit(mask))
+        return gram if part < ORDER else F.shiftright(gram, CHAR_BITS)
+    gram = key & np.uint64(mask)
+    return gram if part < ORDER else gram >> np.uint64(CHAR_BITS)
+
+
+def _tagged(key, part: int):
+    tag = part << CHAR_BITS * ORDER
+    return key + F.lit(tag) if isinstance(key, Column) else key | np.uint64(tag)
+
+
+def _smooth_table(langs: list[str], grams: DataFrame) -> tuple[DataFrame, float]:
+    """The same from (lang, key, n) in Spark: (k, who, value) rows of all tables, and the floor.
+
+    An n-gram's value is its log probability less what the next lower order and the
+    context's weight give; a context's is its log weight. So the values that a character
+    finds, and the floor, add up to its log probability.
+    """
+    by_order = {ORDER: grams}
+    for order in range(ORDER - 1, 0, -1):
+        by_order[order] = cut(by_order[order + 1].groupBy("lang", _sub_keys(F.col("key"), order - 1).alias("key"))
+                              .agg(F.count("*").alias("n")), "language-orders")
+    floor = -CHAR_BITS * float(np.log(2.0))
+    below, tables = None, []
+    for order in range(1, ORDER + 1):
+        one, two = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        discounts = by_order[order].groupBy("lang").agg(
+            F.when((one > 0) & (two > 0), one / (one + 2 * two)).otherwise(0.5).alias("discount"))
+        rows = by_order[order].withColumn("context", _sub_keys(F.col("key"), ORDER + order - 1))
+        contexts = rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("types")) \
+            .join(F.broadcast(discounts), "lang").withColumn("weight", F.col("discount") * F.col("types") / F.col("total"))
+        contexts = cut(contexts, "language-contexts")
+        rows = rows.join(contexts, ["lang", "context"])
+        if below is None:
+            rows = rows.withColumn("lower", F.exp(F.lit(floor)))
+        else:
+            rows = rows.withColumn("suffix", _sub_keys(F.col("key"), order - 2)) \
+                .join(below.select("lang", F.col("key").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
+        own = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
+        below = cut(rows.select("lang", "key", "weight", "lower", (own + F.col("weight") * F.col("lower")).alias("p")),
+                    "language-smoothed")
+        tables.append(below.select("lang", _tagged(F.col("key"), order - 1).alias("k"),
+                                   F.log(F.col("p") / (F.col("weight") * F.col("lower"))).alias("value")))
+        tables.append(contexts.select("lang", _tagged(F.col("context"), ORDER + order - 1).alias("k"),
+                                      F.log("weight").alias("value")))
+    names = F.array(*map(F.lit, langs))
+    table = reduce(DataFrame.union, tables) \
+        .select("k", (F.array_position(names, F.col("lang")) - 1).cast("int").alias("who"), F.col("value").cast("float"))
+    return cut(table, "language-model"), floor
+
+
+def _fits(grams: DataFrame, n_langs: int, model_bytes: int) -> int | None:
+    """The number of distinct 4-grams, None if the driver's arrays would take more than ``model_bytes``."""
+    row = 8 + 4 * n_langs
+    keys = grams.select("key").distinct()
+    n = keys.count()
+    if n * row > model_bytes:
+        return None
+    if 2 * ORDER * n * row > model_bytes:  # the lower orders and contexts are fewer: count them
+        every = F.explode(F.array(*(_tagged(_sub_keys(F.col("key"), t), t) for t in range(2 * ORDER))))
+        if keys.select(every.alias("k")).distinct().count() * row > model_bytes:
+            return None
+    return n
+
+
 class Scorer:
     """Cross-entropies of texts; looks each slot up in the sorted arrays by its rank."""
 
     def __init__(self, model: Model):
         self.model = model
         self.classes = _classes_of_chars()
-        self.rank = []
-        for slots, _, _ in (*model.grams, *model.contexts):
-            where = np.full(1 << model.bits, -1, dtype=np.int32)
-            where[slots] = np.arange(len(slots), dtype=np.int32)
-            self.rank.append(where)
+        self.starts = []  # per table: bits of its directory, and where each slot's keys start
+        for hashes, _, _ in (*model.grams, *model.contexts):
+            bits = max(1, min(model.bits, (2 * len(hashes)).bit_length()))
+            size = np.bincount(hashes >> (HASH_BITS - bits), minlength=1 << bits)
+            self.starts.append((bits, np.append(0, np.cumsum(size)).astype(np.int32)))
 
     def find(self, table: int, key: np.ndarray) -> np.ndarray:
         """Rows of the keys in the sorted arrays of grams (0..) or contexts (ORDER..); -1: not there."""
         m = self.model
-        row = self.rank[table][_slot(key, m.bits)]
         keys = (m.grams[table] if table < ORDER else m.contexts[table - ORDER])[1]
-        return np.where(keys[row] == key, row, -1) if len(keys) else row
+        out = np.full(len(key), -1, dtype=np.int32)
+        bits, start = self.starts[table]
+        slot = _slot(key, bits)
+        row, end = start[slot], start[slot + 1]
+        left = np.flatnonzero(row < end)
+        while len(left):
+            at = row[left]
+            hit = keys[at] == key[left]
+            out[left[hit]] = at[hit]
+            left = left[~hit]
+            row[left] += 1
+            left = left[row[left] < end[left]]
+        return out
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: cross-entropy for each language, characters, if it has a letter."""
@@ -296,6 +385,35 @@ class Scorer:
         return out, count, count > 0  # no boundary opens a text: the first kept character is a letter
 
 
+class PartScorer:
+    """Per text, for each language: the sum of what one part of a model's table adds."""
+
+    def __init__(self, n_langs: int, k: np.ndarray, who: np.ndarray, value: np.ndarray):
+        self.n_langs, self.who, self.value = n_langs, who, value
+        at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+        self.keys, self.start = k[at], np.append(at, len(k))
+        self.classes = _classes_of_chars()
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        key, count = _stream(texts, self.classes)
+        out = np.zeros((len(texts), self.n_langs))
+        some = np.flatnonzero(count)
+        if len(some) and len(self.keys):
+            once, back = np.unique(key, return_inverse=True)
+            log = np.zeros((len(once), self.n_langs), dtype=np.float32)
+            for t in range(2 * ORDER):
+                k = _tagged(_sub_keys(once, t), t)
+                at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+                hit = np.flatnonzero(self.keys[at] == k)
+                first = self.start[at[hit]]
+                size = self.start[at[hit] + 1] - first
+                entry = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+                log[np.repeat(hit, size), self.who[entry]] += self.value[entry]
+            start = (np.cumsum(count) - count)[some]
+            out[some] = np.add.reduceat(log[back], start, axis=0, dtype=np.float64)
+        return out, count
+
+
 def _calibrate(model: Model, rows: list[tuple[int, list[float], int]]) -> Model:
     """Fit the rejection and the score's scale to (language, entropies, characters) of the sample."""
     n = len(model.langs)
@@ -335,35 +453,41 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str |
         model_bytes: int = MODEL_BYTES, calibration_rows: int = CALIBRATION_ROWS) -> Model | None:
     """A model of all rows with a text and a language; None if there are none.
 
-    One labelled row in ``CALIBRATION_SHARE`` (by a hash of its text and ``key``) is
-    set aside; of those, ``calibration_rows`` calibrate the rejection. If a language
-    has no other rows, its set-aside rows are not counted either.
+    Of one labelled row in ``CALIBRATION_SHARE`` (by a hash of its text and ``key``),
+    ``calibration_rows`` at most are set aside and calibrate the rejection; all others
+    are counted. Rows of one hash stay together, and a language keeps a row to be counted.
     """
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
                            F.xxhash64(F.col(key) if key else F.col(text), F.col(lang)).alias("dice")) \
         .where("lang is not null and text is not null")
-    aside = F.pmod("dice", F.lit(CALIBRATION_SHARE)) == 0
+    of_lang = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    thin = max(1, sum(of_lang.values()) // (CALIBRATION_SHARE * calibration_rows))
+    chosen, room = [], calibration_rows
+    for r in rows.where(F.pmod("dice", F.lit(CALIBRATION_SHARE * thin)) == 0).groupBy("dice", "lang") \
+            .agg(F.count("*").alias("n")).orderBy("dice", "lang").limit(calibration_rows).collect():
+        if r.n <= room and r.n < of_lang[r.lang]:
+            chosen.append(r.dice)
+            room -= r.n
+            of_lang[r.lang] -= r.n
+    aside = F.expr(f"dice in ({', '.join(f'{d}L' for d in chosen)})") if chosen else F.lit(False)
     classes = _classes_of_chars()
-    grams = rows.where(~aside).select("lang", "text") \
-        .mapInArrow(_count_grams(classes), "lang string, key long, slot long, n long")
-    grams = cut(grams.groupBy("lang", "slot", "key").agg(F.sum("n").alias("n")), "language-grams")
+    grams = rows.where(~aside).select("lang", "text").mapInArrow(_count_grams(classes), "lang string, key long, n long")
+    grams = cut(grams.groupBy("lang", "key").agg(F.sum("n").alias("n")), "language-grams")
     langs = sorted(r[0] for r in grams.select("lang").distinct().collect())
     if not langs:
         return None
-    bits = slot_bits(len(langs), model_bytes)
-    pooled = grams.withColumn("slot", F.shiftright("slot", MAX_SLOT_BITS - bits))
-    one_key = pooled.groupBy("slot").agg(F.max(F.struct("n", "key")).alias("most")).select("slot", "most.key")
-    names = F.array(*map(F.lit, langs))
-    pooled = pooled.groupBy("slot", "lang").agg(F.sum("n").alias("n")).join(one_key, "slot") \
-        .select((F.array_position(names, F.col("lang")) - 1).alias("lang"), "key", "n").toArrow()
-    who, key, count = (pooled.column(i).to_numpy() for i in range(3))
-    model = _smooth(langs, bits, who, key.astype(np.uint64), count)
-    del pooled, who, key, count
-    # thin the set-aside rows first, so that no task gets a full sample from every partition
-    thin = max(1, labelled.where(F.col(lang).isNotNull()).count() // (CALIBRATION_SHARE * calibration_rows))
-    sample = rows.where((F.pmod("dice", F.lit(CALIBRATION_SHARE * thin)) == 0) & F.col("lang").isin(langs)) \
-        .orderBy("dice", "lang", "text").limit(calibration_rows)
-    sample = sample.select("lang", _entropies(model, F.col("text")).alias("x")).select("lang", "x.*").collect()
+    keys = _fits(grams, len(langs), model_bytes)
+    if keys is not None:
+        names = F.array(*map(F.lit, langs))
+        held = grams.select((F.array_position(names, F.col("lang")) - 1).alias("lang"), "key", "n").toArrow()
+        who, key, count = (held.column(i).to_numpy() for i in range(3))
+        model = _smooth(langs, (2 * keys).bit_length(), who, key.astype(np.uint64), count)
+        del held, who, key, count
+    else:
+        table, floor = _smooth_table(langs, grams)
+        model = Model(langs, 0, [], [], floor, table=table, parts=-(-table.count() * ENTRY_BYTES // model_bytes))
+    sample = rows.where(aside & F.col("lang").isin(langs)).select("lang", "text")
+    sample = _measured(model, sample, "text", "x").select("lang", "x.*").collect()
     return _calibrate(model, [(langs.index(r.lang), r.entropy, r.n_chars) for r in sample if r.n_chars])
 
 
@@ -389,8 +513,88 @@ def _entropies(model: Model, text: Column) -> Column:
     return measure.asNondeterministic()(text)
 
 
+def _sums(model: Model, part: int, text: Column) -> Column:
+    """Per text: for each language what a part of the model adds, and the number of characters."""
+    held = model.table.where(F.pmod(F.xxhash64("k"), F.lit(model.parts)) == part).toArrow()
+    k, who, value = (held.column(i).to_numpy() for i in range(3))
+    order = np.argsort(k, kind="stable")
+    shipped = SparkContext.getOrCreate().broadcast((len(model.langs), k[order].view(np.uint64), who[order], value[order]))
+
+    @F.arrow_udf("sums array<double>, n_chars long")
+    def add(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = PartScorer(*shipped.value)
+        for column in batches:
+            rows = []
+            for _, some in _slices(column.to_pylist()):
+                sums, count = scorer(some)
+                rows += [{"sums": e, "n_chars": n} for e, n in zip(sums.tolist(), count.tolist())]
+            yield pa.array(rows, pa.struct([("sums", pa.list_(pa.float64())), ("n_chars", pa.int64())]))
+
+    return add.asNondeterministic()(text)
+
+
+def _measured(model: Model, docs: DataFrame, text: str, into: str) -> DataFrame:
+    """``docs`` with a struct per text: the cross-entropy for each language, the number of characters."""
+    if model.table is None:
+        return docs.withColumn(into, _entropies(model, F.col(text).cast("string")))
+    row = free_name([*docs.columns, into], "_row")
+    docs = cut(docs.withColumn(row, F.monotonically_increasing_id()), "language-rows")
+    parts = []
+    for part in range(model.parts):  # one part at a time is held
+        x = cut(docs.select(row, _sums(model, part, F.col(text).cast("string")).alias("x")), "language-sums")
+        parts.append(x.select(row, "x.*"))
+    n = F.max("n_chars")
+    entropy = F.array(*(-(F.sum(F.col("sums")[i]) / n + model.floor) for i in range(len(model.langs))))
+    none = F.array_repeat(F.lit(0.0), len(model.langs))
+    sums = reduce(DataFrame.union, parts).groupBy(row).agg(
+        F.struct(F.when(n > 0, entropy).otherwise(none).alias("entropy"), n.alias("n_chars")).alias(into))
+    return docs.join(sums, row).drop(row)
+
+
+def identify(model: Model | None, docs: DataFrame, text: str = "text", into: str = "found") -> DataFrame:
+    """``docs`` with the struct of ``predict`` in the column ``into``, by a model of any size."""
+    if model is None or model.table is None:
+        return docs.withColumn(into, predict(model, F.col(text)))
+    measured = _measured(model, docs, text, into)
+    return measured.withColumn(into, _judged(model, F.col(into)))
+
+
+def _verdict(m: Model, entropy: np.ndarray, count: np.ndarray) -> tuple[list, list, list, list]:
+    """Languages, scores, if accepted, and cross-entropies of texts with ``count`` characters."""
+    best = entropy.argmin(1)
+    least = entropy[np.arange(len(best)), best]
+    sure = _posterior(entropy, m.heat)[np.arange(len(best)), best]
+    room = np.maximum(SLACK, m.reach * m.spread[best] / np.sqrt(np.maximum(count, 1)))
+    near, letters = least - m.mean[best] <= room, count > 0
+    return ([m.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters)], np.where(letters, sure, 0.0).tolist(),
+            (letters & near).tolist(), np.where(letters, least, 0.0).tolist())
+
+
+def _judged(model: Model, measured: Column) -> Column:
+    """The struct of ``predict`` from measured cross-entropies."""
+    shipped = SparkContext.getOrCreate().broadcast({**vars(model), "table": None})
+
+    @F.arrow_udf(RESULT)
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m = Model(**shipped.value)
+        for column in batches:
+            count = column.field("n_chars").to_numpy()
+            entropy = column.field("entropy").flatten().to_numpy().reshape(len(count), len(m.langs))
+            langs, scores, accepted, entropies = _verdict(m, entropy, count)
+            yield pa.StructArray.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_()),
+                 pa.array(entropies, pa.float64()), pa.array(count, pa.int64())], names=RESULT.names)
+
+    return judge.asNondeterministic()(measured)
+
+
 def predict(model: Model | None, text: Column) -> Column:
-    """A struct per text: lang_pred, score, accepted, cross_entropy, n_chars."""
+    """A struct per text: lang_pred, score, accepted, cross_entropy, n_chars.
+
+    For models that can be broadcast; ``identify`` takes any.
+    """
+    if model and model.table is not None:
+        raise ValueError("a model in parts scores tables: use identify")
     shipped = _shipped(model) if model else None
     arrow = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_()),
                        ("cross_entropy", pa.float64()), ("n_chars", pa.int64())])
@@ -406,16 +610,9 @@ def predict(model: Model | None, text: Column) -> Column:
                 continue
             m = scorer.model
             for _, some in _slices(texts):
-                entropy, count, letters = scorer(some)
-                best = entropy.argmin(1)
-                least = entropy[np.arange(len(best)), best]
-                sure = _posterior(entropy, m.heat)[np.arange(len(best)), best]
-                room = np.maximum(SLACK, m.reach * m.spread[best] / np.sqrt(np.maximum(count, 1)))
-                near = least - m.mean[best] <= room
-                langs += [m.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters)]
-                scores += np.where(letters, sure, 0.0).tolist()
-                accepted += (letters & near).tolist()
-                entropies += np.where(letters, least, 0.0).tolist()
+                entropy, count, _ = scorer(some)
+                for out, more in zip((langs, scores, accepted, entropies), _verdict(m, entropy, count)):
+                    out += more
                 sizes += count.tolist()
             yield pa.StructArray.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_()),

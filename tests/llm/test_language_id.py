@@ -104,3 +104,50 @@ def test_model_size_bound():
     for n in (1, 4, 50, 200):
         bits = li.slot_bits(n)
         assert 2 * li.ORDER * (1 << bits) * (8 + 4 * n) <= li.MODEL_BYTES
+
+
+def rare_beside_hot(spark):
+    """600 texts of a language with many n-grams, 6 of one with few of its own."""
+    rng = random.Random(2)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    rows = [(i, " ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(60)), "hot") for i in range(600)]
+    rows += [(600 + i, " ".join(word("klmnopäöüß") for _ in range(60)), "rare") for i in range(6)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_a_model_has_all_ngrams_whole_or_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(li, "CALIBRATION_SHARE", 1 << 40)  # all rows are counted
+    df = rare_beside_hot(spark)
+    rows = df.orderBy("doc_id").collect()
+    whole = li.fit(df, key="doc_id")
+    parts = li.fit(df, key="doc_id", model_bytes=1 << 20)
+    assert whole.table is None and parts.parts > 1
+    found = [li._tally(li._stream([r.text for r in rows if r.lang == name], li._classes_of_chars())[0]) for name in ("hot", "rare")]
+    who = np.repeat([0, 1], [len(k) for k, _ in found])
+    brute = li._smooth(["hot", "rare"], 1, who, *map(np.concatenate, zip(*found)))
+    assert set(whole.grams[3][1].tolist()) == {int(k) for some, _ in found for k in some}
+    texts = [r.text for r in rows] + ["", None, "12", "жзш kab"]
+    want, count, _ = li.Scorer(brute)([t or "" for t in texts])
+    probe = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for model in (whole, parts):
+        got = li._measured(model, probe, "text", "x").orderBy("doc_id").select("x.*").collect()
+        assert np.allclose([r.entropy for r in got], want, atol=1e-4)
+        assert [r.n_chars for r in got] == count.tolist()
+    a, b = (li.identify(m, probe).orderBy("doc_id").select("found.*").collect() for m in (whole, parts))
+    assert [(r.lang_pred, r.accepted, r.n_chars) for r in a] == [(r.lang_pred, r.accepted, r.n_chars) for r in b]
+    assert [r.lang_pred for r in a[:len(rows)]] == [r.lang for r in rows]
+
+
+def test_only_rows_that_calibrate_are_left_out(spark, monkeypatch):
+    df = rare_beside_hot(spark).union(spark.createDataFrame([(900, "einzig", "one")], "doc_id long, text string, lang string"))
+    seen = []
+    monkeypatch.setattr(li, "_calibrate", lambda model, rows: seen.append(rows) or model)
+    smooth, real = [], li._smooth
+    monkeypatch.setattr(li, "_smooth", lambda langs, bits, who, key, n: smooth.append((langs, n.sum())) or real(langs, bits, who, key, n))
+    every = sum(sum(grams(r.text).values()) for r in df.collect())
+    for rows in (3, 10):
+        li.fit(df, key="doc_id", calibration_rows=rows)
+        langs, counted = smooth.pop()
+        aside = seen.pop()
+        assert langs == ["hot", "one", "rare"] and len(aside) <= rows
+        assert counted + sum(n for _, _, n in aside) == every
