@@ -6,7 +6,7 @@ of it stands a target name, right of it a value: a quoted string, a bare token,
 constants of their text; a value that refers to them stands for their literals. Each
 (target, literals) pair is scored by the words of its target name and by what the
 literal looks like. From ``THRESHOLD`` on, its literals become spans of the kind
-``named``, where no base span lies already.
+``named``, but for those that lie wholly in the secret parts of base spans.
 
 All spans are in code points, end exclusive. Defined results: a null text counts as
 empty; empty texts have no spans; repeated rows are answered each on its own.
@@ -17,8 +17,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -125,18 +126,30 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
     """Base spans and the spans that the lexer adds, by start and kind."""
     spans = base_spans(text)
     if "=" in text or ":" in text:
-        taken = sorted((s, e) for _, s, e, _ in spans)
+        taken = _merged((s, e) for _, _, e, s in spans)
         added = set()
         for name, literal, parts in name_literal_pairs(text):
             weight = name_weight(name)
             if weight and weight * literal_weight(literal) >= THRESHOLD:
-                added.update((s, e) for s, e in parts if e > s and not _touches(taken, s, e))
+                added.update((s, e) for s, e in parts if e > s and not _covered(taken, s, e))
         spans += [("named", s, e, s) for s, e in added]
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
-def _touches(taken: list[tuple[int, int]], start: int, end: int) -> bool:
-    return any(s < end and start < e for s, e in taken)
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans by start, those that overlap or adjoin as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], end)
+        else:
+            out.append((start, end))
+    return out
+
+
+def _covered(merged: list[tuple[int, int]], start: int, end: int) -> bool:
+    at = bisect_right(merged, (start, math.inf)) - 1
+    return at >= 0 and end <= merged[at][1]
 
 
 def redact(text: str, spans: list[tuple[str, int, int, int]], mark: str = "[SECRET]") -> str:

@@ -52,6 +52,14 @@ def test_redaction():
     assert ss.redact(text, ss.find_secrets(text)) == 'é token = "[SECRET]" end'
 
 
+def test_a_literal_that_a_base_span_covers_in_part_is_redacted_whole():
+    for value in ("abcdef!ghijk9", "abcdef12#$%xyz", "!abcdef-ghijk9", "f33e61083db5dbdf4bd2369d2f80176e!tail9"):
+        text = f'password = "{value}" end'
+        assert named(text) == [value]
+        assert ss.redact(text, ss.find_secrets(text)) == 'password = "[SECRET]" end'
+    assert named('password = "abcdef12ghijk9"') == []  # a base span has all of it
+
+
 def test_query_over_documents(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     got = QUERIES["op8_secret_scan"](spark, SF001).collect()
