@@ -2,8 +2,10 @@
 
 The lexer goes from one assignment sign (``=``, ``:=``, ``=>``, ``:``) to the next. Left
 of it stands a target name, right of it a value: a quoted string, a bare token, a name,
-``${name}``, or several of these joined with ``+``. Names bound to literals are
-constants of their text; a value that refers to them stands for their literals. Each
+``${name}``, or several of these joined with ``+``. Signs inside a value are read as
+well. Names bound to literals are constants of their text (those bound inside a value
+only if nothing else binds them); a value that refers to them stands for their literals,
+by reference, so that the work is linear however constants are joined. Each
 (target, literals) pair is scored by the words of its target name and by what the
 literal looks like. From ``THRESHOLD`` on, its literals become spans of the kind
 ``named``, but for those that lie wholly in the secret parts of base spans.
@@ -20,6 +22,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -46,13 +49,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that are long enough
 
 SIGN = re.compile(r"[=:]")
-NAME = re.compile(r"([A-Za-z_][A-Za-z0-9_.\-]*)[\"']?\]?[ \t]*:?$")
-VALUE = re.compile(r"""[ \t]*(?:(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*)(?P=quote)"""
-                   r"""|\$\{?(?P<ref>[A-Za-z_][A-Za-z0-9_.]*)\}?|(?P<bare>[^\s"'`,;#&|<>()\[\]{}+]+))""")
+NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+NAME_START = re.compile(r"[A-Za-z_]")
+VALUE = re.compile(r"""[ \t]*(?:(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*+)(?P=quote)"""
+                   r"""|\$\{?(?P<ref>[A-Za-z_][A-Za-z0-9_.]*+)\}?|(?P<bare>[^\s"'`,;#&|<>()\[\]{}+]))""")
+BARE = re.compile(r"""[^\s"'`,;#&|<>()\[\]{}+]++""")
 JOIN = re.compile(r"[ \t]*\+")
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
-_REACH = 120  # of a target name, back from its sign
+_KEEP = 32  # parts after which a chain's statistics are kept
+_HEAD = 16  # characters by which placeholders are known, with the last one and the counts
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, int]]:
@@ -77,49 +83,202 @@ def name_weight(name: str) -> float:
     return most
 
 
+@dataclass(slots=True)
+class Stats:
+    """What is known of a literal: length, characters, how it starts and ends."""
+
+    n: int = 0
+    count: Counter = field(default_factory=Counter)
+    head: str = ""
+    tail: str = ""
+
+    def copy(self) -> Stats:
+        return Stats(self.n, Counter(self.count), self.head, self.tail)
+
+    def put_before(self, other: Stats) -> None:
+        self.n += other.n
+        for c, n in other.count.items():
+            self.count[c] += n
+        self.head = (other.head + self.head)[:_HEAD]
+        self.tail = self.tail or other.tail
+
+    @property
+    def placeholder(self) -> bool:
+        if self.n <= _HEAD:
+            return bool(PLACEHOLDER.match(self.head))
+        return self.count.keys() <= {"x", "X"} or len(self.count) == 1 and self.tail in "*." \
+            or self.head[0] + self.tail in ("<>", "{}") or bool(re.match("(?i)your[-_ ]", self.head))
+
+    def weight(self) -> float:
+        if self.n < 8 or self.placeholder:
+            return 0.0
+        entropy = -sum(n / self.n * math.log2(n / self.n) for n in self.count.values() if n / self.n)
+        mixed = any(c.isdigit() for c in self.count) and any(c.isalpha() for c in self.count)
+        return 0.4 + 0.3 * (entropy >= 2.75) + 0.3 * mixed
+
+
+def _stats_of(part: str) -> Stats:
+    return Stats(len(part), Counter(part), part[:_HEAD], part[-1:])
+
+
 def literal_weight(literal: str) -> float:
     """How much a literal looks like a secret."""
-    if len(literal) < 8 or len(literal) > 4096 or PLACEHOLDER.match(literal) or any(c.isspace() for c in literal):
-        return 0.0
-    count = Counter(literal)
-    entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in count.values())
-    mixed = any(c.isdigit() for c in literal) and any(c.isalpha() for c in literal)
-    return 0.4 + 0.3 * (entropy >= 2.75) + 0.3 * mixed
-
-
-def name_literal_pairs(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
-    """(target name, literal, its parts' spans) in text order, constants propagated."""
-    constants: dict[str, tuple[str, list[tuple[int, int]]]] = {}
-    after = 0
-    for sign in SIGN.finditer(text):
-        at = sign.start()
-        if at < after:
-            continue
-        name = NAME.search(text[max(0, at - _REACH):at])
-        if not name or text[at:at + 2] in ("==", "=~", "::", ":/"):
-            continue
-        at += 1 + (text[at:at + 2] in (":=", "=>"))
-        literal, parts = "", []
-        while value := VALUE.match(text, at, at + 8192):
-            if value["text"] is not None:
-                literal += value["text"]
-                parts.append(value.span("text"))
+    return _stats_of(literal).weight()
+
+
+@dataclass(slots=True, eq=False)
+class Value:
+    """A value from one of its parts on: a literal of the text or a constant, then what is joined to it."""
+
+    span: tuple[int, int] | None
+    refers: Value | None
+    more: Value | None
+    end: int
+    stats: Stats | None = None
+    reported: bool = False
+
+    def chain(self) -> Iterator[Value]:
+        part = self
+        while part is not None:
+            yield part
+            part = part.more
+
+
+class Lexer:
+    """(target name, value) pairs of a text, and what the values' literals look like."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.constants: dict[str, Value] = {}
+        self.inner: dict[str, Value] = {}
+        self.values: dict[int, tuple[Value | None, int]] = {}
+        self.run = (0, 0)                      # the last run of bare characters
+        self.part = (0, 0, Counter())          # the last part measured: start, end, characters
+        self.longest = 0                       # of the names bound so far
+
+    def name(self, at: int) -> str:
+        """The target name that ends before a sign, empty if there is none."""
+        text = self.text
+        if at and text[at - 1] == ":":
+            at -= 1
+        while at and text[at - 1] in " \t":
+            at -= 1
+        at -= at > 0 and text[at - 1] == "]"
+        at -= at > 0 and text[at - 1] in "\"'"
+        start = at
+        while start and text[start - 1] in NAME_CHARS:
+            start -= 1
+        first = NAME_START.search(text, start, at)
+        return text[first.start():at] if first else ""
+
+    def value(self, at: int) -> Value | None:
+        """The value that starts at ``at``; parts that were read before are not read again."""
+        read, text = [], self.text
+        while at not in self.values:
+            found = VALUE.match(text, at)
+            if not found:
+                self.values[at] = None, at
+                break
+            span, refers, end = None, None, found.end()
+            if found["text"] is not None:
+                span = found.span("text")
             else:
-                refers = value["ref"] or value["bare"]
-                if refers in constants:
-                    literal += constants[refers][0]
-                    parts += constants[refers][1]
-                elif value["bare"]:
-                    literal += refers
-                    parts.append(value.span("bare"))
-            at = value.end()
-            if not (more := JOIN.match(text, at)):
+                name = found["ref"]
+                if found["bare"]:
+                    start = found.start("bare")
+                    if not self.run[0] <= start < self.run[1]:
+                        self.run = BARE.match(text, start).span()
+                    span, end = (start, self.run[1]), self.run[1]
+                    name = text[start:end] if end - start <= self.longest else None
+                refers = self.constants.get(name) or self.inner.get(name)
+                span = None if refers else span
+            joined = JOIN.match(text, end)
+            read.append((at, span, refers, end))
+            if not joined:
+                at = -1
                 break
-            at = more.end()
-        if parts:
-            after = max(after, at)
-            constants[name[1]] = literal, parts[:16]
-            yield name[1], literal, parts
+            at = joined.end()
+        more = self.values[at][0] if at >= 0 else None
+        for at, span, refers, end in reversed(read):
+            if span or refers:
+                more = Value(span, refers, more, max(end, more.end if more else 0))
+            self.values[at] = more, end
+        return more
+
+    def pairs(self) -> Iterator[tuple[str, Value]]:
+        text, after = self.text, 0
+        for sign in SIGN.finditer(text):
+            at = sign.start()
+            if text[at:at + 2] in ("==", "=~", "::", ":/") or at and text[at - 1:at + 1] == ":=":
+                continue
+            name = self.name(at)
+            if not name:
+                continue
+            at += 1 + (text[at:at + 2] in (":=", "=>"))
+            value = self.value(at)
+            if value is None:
+                continue
+            (self.inner if sign.start() < after else self.constants)[name] = value
+            self.longest = max(self.longest, len(name))
+            after = max(after, value.end)
+            yield name, value
+
+    def _own(self, part: Value) -> Stats:
+        if part.refers:
+            return part.refers.stats
+        start, end = part.span
+        s, e, count = self.part
+        if e == end and s <= start:  # the end of the last one
+            count.subtract(text := self.text[s:start])
+            for c in set(text):
+                if not count[c]:
+                    del count[c]
+        else:
+            count = Counter(self.text[start:end])
+        self.part = start, end, count
+        return Stats(end - start, Counter(count), self.text[start:min(end, start + _HEAD)], self.text[max(start, end - 1):end])
+
+    def measure(self, value: Value) -> Stats:
+        """Statistics of the value's literals, joined."""
+        todo = [value]
+        while todo:
+            now = todo[-1]
+            missing = []
+            for part in now.chain():
+                if part.stats is not None:
+                    break
+                if part.refers and part.refers.stats is None:
+                    missing.append(part.refers)
+            if missing:
+                todo += missing
+                continue
+            if now.stats is None:
+                parts, known = [], Stats()
+                for part in now.chain():
+                    if part.stats is not None:
+                        known = part.stats.copy()
+                        break
+                    parts.append(part)
+                for k, part in enumerate(reversed(parts), 1):
+                    known.put_before(self._own(part))
+                    if k % _KEEP == 0:  # for values that start farther on in the chain
+                        part.stats = known.copy()
+                now.stats = known
+            todo.pop()
+        return value.stats
+
+    def report(self, value: Value) -> Iterator[tuple[int, int]]:
+        """Spans of the value's parts and its constants', each once."""
+        todo = [value]
+        while todo:
+            for part in todo.pop().chain():
+                if part.reported:
+                    break
+                part.reported = True
+                if part.refers:
+                    todo.append(part.refers)
+                elif part.span[1] > part.span[0]:
+                    yield part.span
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
@@ -127,12 +286,19 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
     spans = base_spans(text)
     if "=" in text or ":" in text:
         taken = _merged((s, e) for _, _, e, s in spans)
-        added = set()
-        for name, literal, parts in name_literal_pairs(text):
+        added, lexer, last = set(), Lexer(text), (0, 0)
+        for name, value in lexer.pairs():
             weight = name_weight(name)
-            if weight and weight * literal_weight(literal) >= THRESHOLD:
-                added.update((s, e) for s, e in parts if e > s and not _covered(taken, s, e))
-        spans += [("named", s, e, s) for s, e in added]
+            if not weight or value.reported or value.more is None and value.span and last[0] <= value.span[0] and value.span[1] <= last[1]:
+                continue
+            if weight * lexer.measure(value).weight() >= THRESHOLD:
+                added.update(lexer.report(value))
+                last = value.span or last
+        end = 0
+        for s, e in sorted(added, key=lambda x: (x[0], -x[1])):
+            if e > end and not _covered(taken, s, e):  # one inside another is the other's
+                spans.append(("named", s, e, s))
+            end = max(end, e)
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
