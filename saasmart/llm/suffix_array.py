@@ -4,47 +4,34 @@ Of all suffixes only those at minimisers are retained: the positions whose run o
 ``GRAM`` words has the least hash among ``SPAN`` neighbouring positions. They are chosen
 by content alone, so a run of words that two documents share has the same minimisers in
 both, the first of them within ``SPAN`` words of its start. Suffixes whose first
-``GRAM`` words no other document has are dropped before their words travel.
+``GRAM`` words no other document has are dropped.
 
-The others are sorted by their words across the cluster (range partitions; the rows at
-the partitions' edges are compared in a step of their own). Each suffix is compared with
-the nearest suffixes of other documents on both sides; a match is extended right along
-the suffix and left along the words before it. If it comes to ``words`` words, it is a
-span of both documents. Consecutive minimisers are at most ``SPAN`` words apart, so the
-spans of a long run join up. Every run that the suffix order brings next to another
-document's is found; at its left end up to ``SPAN - 1`` words may lack that only a
-document farther off in the order shares as well.
+The others are extended exactly: every run of ``words`` words that starts up to
+``SPAN - 1`` words before a shared minimiser is compared with all other documents', by
+96 bits of hashes and without pairs of documents (``repeats``). As each run of ``words``
+words that two documents share has such a minimiser, all of them are found, also where
+many other documents have only a part of the run. Runs that overlap or adjoin are one
+span.
 
-Equal suffixes within a task are settled there: one row goes on for all of them, so
-that copies, however many, don't meet in one task.
-
-Words are compared by 24 bits of their hashes. Defined results: a null text counts as
-empty; texts of fewer than ``words`` words have no span; a document with a null id and
-rows that repeat an id give no match with themselves.
+Defined results: a null text counts as empty; texts of fewer than ``words`` words have no
+span; a document with a null id and rows that repeat an id give no match with themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .repeats import repeated, with_hashes
-from .storage import cut
-from .textops import Hasher, Words, mix, split_words, text_chunks, windows_in_text
+from .textops import Hasher, Words, split_words, text_chunks, windows_in_text
 
 WORDS = 50
 GRAM = 8
 SPAN = 16
-#: Bytes by which a word is compared.
-BYTES = 3
-
-SUFFIX, SETTLED, EDGE = 0, 1, 2
-_ROW = "suffix binary, doc long, at int, ahead short, behind short, state byte"
 
 
 def layout(words: int) -> tuple[int, int]:
@@ -98,53 +85,27 @@ def _emit_grams(size: int):
     return emit
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    """A binary value per row of a byte matrix."""
-    rows = np.ascontiguousarray(rows)
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
-
-
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
-    data = column.buffers()[2]
-    data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return data.reshape(len(column), width)
-
-
-def _batch(suffix: np.ndarray, doc, at, ahead, behind, state) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [_binary(suffix), pa.array(doc), pa.array(at.astype(np.int32)), pa.array(ahead.astype(np.int16)),
-         pa.array(behind.astype(np.int16)), pa.array(state.astype(np.int8))],
-        names=["suffix", "doc", "at", "ahead", "behind", "state"])
+def _starts(words: Words, at: np.ndarray, size: int) -> np.ndarray:
+    """Word indexes of the whole runs of ``size`` words that start up to SPAN - 1 words before ``at``."""
+    _, span = layout(size)
+    text = np.searchsorted(words.of_text, at, "right") - 1
+    low = np.maximum(at - span + 1, words.of_text[text])
+    high = np.minimum(at, words.of_text[text + 1] - size)
+    edge = np.zeros(words.of_text[-1] + 1, dtype=np.int64)
+    some = high >= low
+    np.add.at(edge, low[some], 1)
+    np.add.at(edge, high[some] + 1, -1)
+    return np.flatnonzero(np.cumsum(edge) > 0)
 
 
-def _suffixes(size: int):
-    """Suffixes at the shared minimisers: the words ahead, then the words behind, backwards."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher.seeded(31)
-        gram, span = layout(size)
-        held: list[list] = []
+def _listed(column: pa.Array, row: int) -> np.ndarray:
+    return column[row].values.to_numpy() if column[row].is_valid else np.zeros(0, np.int64)
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            suffix, doc, at, ahead, behind = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            key = hasher.values[suffix] * hasher.in_word.to(suffix.shape[1])[0][:suffix.shape[1]]
-            key = mix(key.sum(1, dtype=np.uint64) ^ (ahead.astype(np.uint64) << np.uint64(16)) ^ behind.astype(np.uint64))
-            order = np.lexsort((at, doc, key))
-            key, doc_of = key[order], doc[order]
-            new = np.append(True, key[1:] != key[:-1])
-            start = np.flatnonzero(new)
-            first = np.repeat(doc_of[start], np.diff(np.append(start, len(key))))
-            several = np.repeat(np.maximum.reduceat(doc_of, start) != doc_of[start], np.diff(np.append(start, len(key))))
-            # equal all over, two documents: each has the whole span; the first row speaks for all
-            done = order[several & (ahead[order] + behind[order] >= size)]
-            speaks = order[new | ((doc_of == first) & ~several) | (ahead[order] + behind[order] < size)]
-            yield _batch(suffix[speaks], doc[speaks], at[speaks], ahead[speaks], behind[speaks], np.full(len(speaks), SUFFIX))
-            spread = mix(doc[done].view(np.uint64)).view(np.uint8).reshape(-1, 8)
-            yield _batch(spread, doc[done], at[done], ahead[done], behind[done], np.full(len(done), SETTLED))
 
-        n = 0
+def _emit_runs(size: int):
+    """Runs of ``size`` words around shared minimisers."""
+    def emit(batches: Iterator[pa.RecordBatch]):
+        hasher, check = Hasher.seeded(31), Hasher.seeded(32)
         for batch in batches:
             batch = batch.filter(batch.column(0).is_valid())
             ids, lists = batch.column(0).to_numpy(), batch.column(2)
@@ -154,102 +115,47 @@ def _suffixes(size: int):
                 words = split_words(data, offsets)
                 of_word, at, hashes = _chosen(words, hasher, size)
                 edge = np.searchsorted(at, words.of_text)
-                take = []
-                for t in range(end - row):
-                    if lists[row + t].is_valid and edge[t + 1] > edge[t]:
-                        shared = lists[row + t].values.to_numpy().view(np.uint64)
-                        take.append(edge[t] + np.flatnonzero(np.isin(hashes[edge[t]:edge[t + 1]], shared)))
-                if not take or not sum(map(len, take)):
-                    continue
-                at = at[np.concatenate(take)]
-                text = np.searchsorted(words.of_text, at, "right") - 1
-                ahead = np.minimum(words.of_text[text + 1] - at, size)
-                behind = np.minimum(at - words.of_text[text], span - 1)
-                low = of_word.view(np.uint8).reshape(-1, 8)[:, :BYTES]
-                steps = np.arange(size)
-                right = low[np.minimum(at[:, None] + steps, len(low) - 1)]
-                right[steps >= ahead[:, None]] = 0
-                steps = np.arange(span - 1)
-                left = low[np.maximum(at[:, None] - 1 - steps, 0)]
-                left[steps >= behind[:, None]] = 0
-                suffix = np.concatenate((right.reshape(len(at), -1), left.reshape(len(at), -1)), axis=1)
-                held.append([suffix, ids[row + text], at - words.of_text[text], ahead, behind])
-                n += len(at)
-                if n >= 1 << 16:
-                    yield from flush()
-                    n = 0
-        if n:
-            yield from flush()
-
-    return run
-
-
-def _common(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Equal leading words of two byte matrices, ``most`` at most."""
-    differ = a != b
-    n = np.where(differ.any(1), differ.argmax(1), a.shape[1]) // BYTES
-    return np.minimum(n, most)
-
-
-def _neighbours(size: int, edges: bool):
-    """Spans (doc, first, last, other) found between suffixes that are neighbours; rows come sorted."""
-    gram, span = layout(size)
-    width = (size + span - 1) * BYTES
+                take = [edge[t] + np.flatnonzero(np.isin(hashes[edge[t]:edge[t + 1]], _listed(lists, row + t).view(np.uint64)))
+                        for t in range(end - row)]
+                take = _starts(words, at[np.concatenate(take).astype(np.int64)], size)
+                if len(take):
+                    second = check.runs(check.prefix(check.words(words.kept, words.start)), take, size)
+                    doc = ids[row + np.searchsorted(words.of_text, take, "right") - 1]
+                    yield hasher.runs(hasher.prefix(of_word), take, size), (second >> np.uint64(33)).astype(np.int32), doc
 
-    def spans(suffix, doc, at, ahead, behind) -> list[np.ndarray]:
-        run = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))  # runs of one document
-        length = np.diff(np.append(run, len(doc)))
-        rows = np.arange(len(doc))
-        which = np.repeat(np.arange(len(run)), length)
-        before, after = run[which] - 1, run[which] + length[which]
-        x = np.concatenate((rows[before >= 0], rows[after < len(doc)]))
-        y = np.concatenate((before[before >= 0], after[after < len(doc)]))
-        right = _common(suffix[x, :size * BYTES], suffix[y, :size * BYTES], np.minimum(ahead[x], ahead[y]))
-        left = _common(suffix[x, size * BYTES:], suffix[y, size * BYTES:], np.minimum(behind[x], behind[y]))
-        hit = left + right >= size
-        x, y, left, right = x[hit], y[hit], left[hit], right[hit]
-        return [np.concatenate(p) for p in ((doc[x], doc[y]), (at[x] - left, at[y] - left),
-                                            (at[x] + right, at[y] + right), (doc[y], doc[x]))]
+    return emit
 
-    def out(found: list[np.ndarray], edge: pa.Array | None = None, rows=None) -> pa.RecordBatch:
-        doc, first, last, other = found
-        n = len(doc)
-        none = pa.nulls(n, pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [none, pa.array(doc), pa.array(first.astype(np.int32)), pa.array((last - first).astype(np.int16)),
-             pa.array(np.zeros(n, np.int16)), pa.array(np.full(n, SETTLED, np.int8)), pa.array(other)],
-            names=["suffix", "doc", "at", "ahead", "behind", "state", "other"])
 
+def _spans(size: int):
+    """(id, first_word, end_word, other): the found runs of each text, joined."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, opening, last = None, None, None
-        for batch in chain(batches, [None]):
-            if batch is None:
-                now = held
-            else:
-                state = batch.column(5).to_numpy()
-                settled = batch.filter(pa.array(state == SETTLED))
-                if settled.num_rows:
-                    doc, at, ahead, behind = (settled.column(i).to_numpy().astype(np.int64) for i in (1, 2, 3, 4))
-                    yield out([doc, at - behind, at + ahead, doc])
-                rest = batch.filter(pa.array(state != SETTLED))
-                if not rest.num_rows:
+        hasher = Hasher.seeded(31)
+        for batch in batches:
+            ids, found = batch.column(0), []
+            for row, end, data, offsets in text_chunks(batch.column(1)):
+                if not any(batch.column(2)[i].is_valid for i in range(row, end)):
                     continue
-                now = [_matrix(rest.column(0), width), *(rest.column(i).to_numpy().astype(np.int64) for i in (1, 2, 3, 4))]
-                opening = opening or [x[:1] for x in now]
-                last = [x[-1:] for x in now]
-                if held is not None:
-                    now = [np.concatenate(x) for x in zip(held, now)]
-                starts = np.flatnonzero(np.append(True, now[1][1:] != now[1][:-1]))
-                # keep the last two runs: the last may go on, the one before meets it later
-                cut_at = starts[-2] if len(starts) > 1 else 0
-                held = [x[cut_at:] for x in now]
-                now = [x[:starts[-1]] for x in now]
-            if now is not None and len(now[1]) > 1:
-                yield out(spans(*now))
-        if edges and opening is not None:
-            suffix, doc, at, ahead, behind = (np.concatenate(x) for x in zip(opening, last))
-            rows = _batch(suffix, doc, at, ahead, behind, np.full(2, EDGE))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(doc)], names=[*rows.schema.names, "other"])
+                words = split_words(data, offsets)
+                prefix = hasher.prefix(hasher.words(words.kept, words.start))
+                for t in range(end - row):
+                    lo, hi = words.of_text[t], words.of_text[t + 1]
+                    shared = _listed(batch.column(2), row + t).view(np.uint64)
+                    if not len(shared) or hi - lo < size:
+                        continue
+                    order = np.argsort(shared, kind="stable")
+                    shared, partner = shared[order], _listed(batch.column(3), row + t)[order]
+                    hashes = hasher.runs(prefix, np.arange(lo, hi - size + 1), size)
+                    place = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
+                    first = np.flatnonzero(shared[place] == hashes)
+                    if not len(first):
+                        continue
+                    opens = np.flatnonzero(np.append(True, first[1:] > first[:-1] + size))
+                    last = first[np.append(opens[1:], len(first)) - 1] + size
+                    other = np.minimum.reduceat(partner[place[first]], opens)
+                    found.append((np.full(len(opens), ids[row + t].as_py()), first[opens], last, other))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)],
+                                                 names=["id", "first_word", "end_word", "other"])
 
     return run
 
@@ -257,23 +163,11 @@ def _neighbours(size: int, edges: bool):
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """(id, first_word, end_word, other): runs of ``words`` words or more that another document has, too.
 
-    ``other``: the smallest id among the documents met in the comparisons, the document's
-    own where only copies in its own task were.
+    ``other``: the smallest other document met in the comparisons. A document whose run
+    others read by the same task have, too, meets only those.
     """
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     shared = with_hashes(texts, repeated(texts, _emit_grams(words)))
-    rows = shared.where("hashes is not null").mapInArrow(_suffixes(words), _ROW)
-    rows = rows.repartitionByRange("suffix").sortWithinPartitions("suffix", "doc", "at")
-    kinds = _ROW + ", other long"
-    found = cut(rows.mapInArrow(_neighbours(words, edges=True), kinds), "suffix-neighbours")
-    edge = found.where(F.col("state") == EDGE).drop("other").coalesce(1).sortWithinPartitions("suffix", "doc", "at")
-    spans = found.where(F.col("state") == SETTLED).union(edge.mapInArrow(_neighbours(words, edges=False), kinds)) \
-        .groupBy(F.col("doc").alias("id"), F.col("at").alias("first"), (F.col("at") + F.col("ahead")).alias("last")) \
-        .agg(F.min("other").alias("other"))
-    by_doc = Window.partitionBy("id").orderBy("first", "last")
-    reach = F.max("last").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    joined = spans.withColumn("opens", (F.coalesce(reach, F.lit(-1)) < F.col("first")).cast("int")) \
-        .withColumn("island", F.sum("opens").over(by_doc))
-    return joined.groupBy("id", "island").agg(
-        F.min("first").cast("long").alias("first_word"), F.max("last").cast("long").alias("end_word"),
-        F.min("other").alias("other")).drop("island")
+    marked = with_hashes(texts, repeated(shared.where("hashes is not null"), _emit_runs(words), partners=True))
+    return marked.where("hashes is not null").mapInArrow(_spans(words), "id long, first_word long, end_word long, other long") \
+        .distinct()

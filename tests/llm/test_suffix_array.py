@@ -83,3 +83,20 @@ def test_minimisers_take_the_first_least():
 
 def test_empty_table(spark):
     assert sa.repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_run_with_a_passage_that_many_documents_have(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for case in range(12):
+        footer, before = [word() for _ in range(45)], [word() for _ in range(10)]
+        texts = [[word() for _ in range(20)] + footer for _ in range(40)]
+        texts += [[word() for _ in range(20)] + before + footer for _ in range(2)]
+        rows += [(1000 * case + k, " ".join(t)) for k, t in enumerate(texts)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (4, 1):
+        got = sa.repeated_spans(df.repartition(n)).collect()
+        assert covered(got) == brute(rows) and len(got) == 24
+        assert {(r.id, r.other) for r in got} == {(1000 * c + 40 + k, 1000 * c + 41 - k) for c in range(12) for k in (0, 1)}
