@@ -1,11 +1,12 @@
-"""Registered queries of the ten operators: thin readings of the operators' results."""
+"""Registered queries of the operators: thin readings of the operators' results."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, difference_cover, language_id, pii, quality, secret_scan, simhash, suffix_array
+from . import (bpe, chat, decontaminate, difference_cover, language_id, pii, quality, secret_scan, simhash, structure, suffix_array,
+               url_filter, whitening)
 from .storage import moderate_batches
 
 
@@ -105,6 +106,28 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+#: (host, path, verdict) of the rules that the contract of op11 fixes.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES)).select("page_id", "found.*")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened values of every embedding."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors)).select("vec_id", "found.*")
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest edits and the digest of what they give."""
+    damaged, here = structure.damage(_table(spark, sf_dir, "conversations"))
+    return structure.repair(damaged, present=F.col(here)).withColumnRenamed("id", "conv_id").drop("repaired")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -116,6 +139,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_difference_cover": op10_difference_cover,
+    "op11_url_filter": op11_url_filter,
+    "op12_whitening": op12_whitening,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -171,4 +197,20 @@ ORACLE_SQL: dict[str, str] = {
             from placed anti join gone using (doc_id, pos) group by doc_id)
         select d.doc_id, len(w) as n_words, len(w) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
         from docs d left join kept k on d.doc_id = k.doc_id""",
+    "op11_url_filter": r"""
+        with parts as (
+            select page_id,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) as path
+            from pages),
+        ruled as (
+            select *, case
+                when (host = 'example.net' or suffix(host, '.example.net')) and prefix(path, '/en/') then 'example.net/en/'
+                when (host = 'example.com' or suffix(host, '.example.com')) and prefix(path, '/de/') then 'example.com/de/'
+                when (host = 'org' or suffix(host, '.org')) and prefix(path, '/fr/') then 'org/fr/'
+                when (host = 'net' or suffix(host, '.net')) and prefix(path, '/') then 'net/' end as rule
+            from parts)
+        select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/') then 'block' else 'allow' end as verdict
+        from ruled""",
 }
