@@ -45,30 +45,45 @@ LARGEST = 1 << 52
 LIMB = 40
 
 
-def _integers(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, x vector) of the rows of a list column that are whole and finite."""
+def _integers(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, x vectors) of the rows of a list column that are whole and finite, by length."""
     column = column.cast(pa.list_(pa.float64()))
-    for row, vector in enumerate(column):
-        if not vector.is_valid or not len(vector) or vector.values.null_count:
-            continue
-        c = vector.values.to_numpy()
-        if np.isfinite(c).all():
-            with np.errstate(over="ignore"):
-                yield row, np.clip(np.floor(SCALE * c), -LARGEST, LARGEST).astype(np.int64)
+    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    c = column.flatten().to_numpy(zero_copy_only=False)  # a null entry is not a number
+    start = np.cumsum(size) - size
+    bad = np.concatenate(([0], np.cumsum(~np.isfinite(c))))
+    whole = (size > 0) & (bad[start + size] == bad[start])
+    for length in np.unique(size[whole]):
+        rows = np.flatnonzero(whole & (size == length))
+        with np.errstate(over="ignore"):
+            x = np.floor(SCALE * c[start[rows][:, None] + np.arange(length)])
+        yield rows, np.clip(x, -LARGEST, LARGEST).astype(np.int64)
 
 
 _KINDS = [np.dtype(k) for k in ("<i1", "<i2", "<i4", "<i8")]
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """The vector in the narrowest integers that hold it, after one byte that names them."""
-    low, high = int(x.min()), int(x.max())
-    kind = next(k for k, t in enumerate(_KINDS) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
-    return bytes([kind]) + x.astype(_KINDS[kind]).tobytes()
+def _pack(x: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """(rows, bytes): each vector in the narrowest integers that hold it, after one byte that names them."""
+    low, high = x.min(axis=1), x.max(axis=1)
+    fits = np.array([(np.iinfo(t).min <= low) & (high <= np.iinfo(t).max) for t in _KINDS])
+    narrowest = fits.argmax(axis=0)
+    for kind in np.unique(narrowest):
+        rows = np.flatnonzero(narrowest == kind)
+        data = x[rows].astype(_KINDS[kind]).tobytes()
+        size = len(data) // len(rows)
+        yield rows, [bytes([kind]) + data[at:at + size] for at in range(0, len(data), size)]
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, _KINDS[packed[0]], offset=1).astype(np.int64)
+def _unpack(vectors: list[bytes]) -> np.ndarray:
+    """Vectors of one length, in any order of kinds."""
+    kinds = np.array([v[0] for v in vectors])
+    d = (len(vectors[0]) - 1) // _KINDS[kinds[0]].itemsize
+    out = np.empty((len(vectors), d), dtype=np.int64)
+    for kind in np.unique(kinds):
+        rows = np.flatnonzero(kinds == kind)
+        out[rows] = np.frombuffer(b"".join(vectors[r][1:] for r in rows), _KINDS[kind]).reshape(-1, d)
+    return out
 
 
 def packed(vector: Column) -> Column:
@@ -77,53 +92,64 @@ def packed(vector: Column) -> Column:
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             out: list[bytes | None] = [None] * len(column)
-            for row, x in _integers(column):
-                out[row] = _pack(x)
+            for rows, x in _integers(column):
+                for some, data in _pack(x):
+                    for row, value in zip(rows[some].tolist(), data):
+                        out[row] = value
             yield pa.array(out, pa.binary())
 
     return run(vector)
 
 
-def planes(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of counts (rows x dimensions): the planes that have a bit, as words, and their dimension and bit."""
+def planes(y: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Of counts (rows x dimensions): for each bit, the dimensions that have it and their planes as words."""
     rows, d = y.shape
-    padded = np.zeros((-(-rows // 64) * 64, d), dtype=np.uint64)
-    padded[:rows] = y
-    words, dims, bits = [], [], []
+    padded = np.zeros((d, -(-rows // 64) * 64), dtype=np.uint64)
+    padded[:, :rows] = y.T
+    out = []
     for bit in range(int(y.max(initial=0)).bit_length()):
-        own = ((padded >> np.uint64(bit)) & np.uint64(1)).astype(np.uint8)
-        some = np.flatnonzero(own.any(axis=0))
-        words.append(np.packbits(own[:, some].T, axis=1, bitorder="little").view(np.uint64))
-        dims.append(some)
-        bits.append(np.full(len(some), bit))
-    if not words:
-        return np.zeros((0, len(padded) // 64), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(words), np.concatenate(dims), np.concatenate(bits)
+        own = ((padded >> np.uint64(bit)) & np.uint64(1)).astype(bool)
+        dims = np.flatnonzero(own.any(axis=1))
+        out.append((bit, dims, np.packbits(own[dims], axis=1, bitorder="little").view(np.uint64)))
+    return out
+
+
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that each plane of ``a`` has in common with each of ``b``."""
+    out = np.empty((len(a), len(b)), dtype=np.int64)
+    for p, plane in enumerate(a):
+        out[p] = np.bitwise_count(plane & b).sum(axis=1, dtype=np.uint32)
+    return out
 
 
 def cross_products(x: np.ndarray) -> np.ndarray:
     """The matrix of the sums of x_i x_j over the rows, as Python integers."""
     rows, d = x.shape
     shift = x.min(axis=0)
-    words, dims, bits = planes(x - shift)
     by_weight: dict[int, np.ndarray] = {}
-    for p in range(len(words)):
-        both = np.bitwise_count(words[p] & words[p:]).sum(axis=1, dtype=np.int64)
-        for weight in np.unique(bits[p:]):
-            own = p + np.flatnonzero(bits[p:] == weight)
-            sums = by_weight.setdefault(int(bits[p] + weight), np.zeros((d, d), dtype=np.int64))
-            sums[dims[p], dims[own]] += both[own - p]
-            other = own[own > p]
-            sums[dims[other], dims[p]] += both[other - p]
+    sliced = planes(x - shift)
+    for k, (bit, dims, words) in enumerate(sliced):
+        for other_bit, other_dims, other_words in sliced[k:]:
+            sums = by_weight.setdefault(bit + other_bit, np.zeros((d, d), dtype=np.int64))
+            both = _both(words, other_words)
+            sums[np.ix_(dims, other_dims)] += both
+            if other_bit != bit:
+                sums[np.ix_(other_dims, dims)] += both.T
     out = np.zeros((d, d), dtype=object)
     for weight, sums in by_weight.items():
         out += sums.astype(object) << weight
     # x = y + shift
     low = shift.astype(object)
-    total = x.astype(object).sum(axis=0) - rows * low
+    total = _total(x) - rows * low
     return out + np.outer(total, low) + np.outer(low, total) + rows * np.outer(low, low)
 
 
+def _total(x: np.ndarray) -> np.ndarray:
+    """Sums over the rows as Python integers: of the low and of the high half."""
+    low = (x & 0xFFFFFFFF).sum(axis=0).astype(object)
+    return low + ((x >> 32).sum(axis=0).astype(object) << 32)
+
+
 def _limbs(value: int) -> Iterator[tuple[int, int]]:
     """The integer in pieces of LIMB bits, the last with the sign."""
     place = 0
@@ -138,13 +164,13 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(i, j, limb, part): sums of a task's vectors; row (-1, -1) counts them, rows (-1, j) are sums of x_j."""
     count, total, cross = 0, None, None
     for batch in batches:
-        vectors = [_unpack(p) for p in batch.column(0).to_pylist()]
+        vectors = batch.column(0).to_pylist()
         for first in range(0, len(vectors), RUN):
-            x = np.stack(vectors[first:first + RUN])
+            x = _unpack(vectors[first:first + RUN])
             if total is None:
                 total, cross = np.zeros(x.shape[1], dtype=object), np.zeros((x.shape[1],) * 2, dtype=object)
             count += len(x)
-            total += x.astype(object).sum(axis=0)
+            total += _total(x)
             cross += cross_products(x)
     if not count:
         return
@@ -228,6 +254,7 @@ def _ragged(vectors: DataFrame, vector: str) -> bool:
 RESULT = T.ArrayType(T.StructType([
     T.StructField("component", T.IntegerType()), T.StructField("deviation", T.LongType()), T.StructField("whitened", T.DoubleType()),
     T.StructField("explained", T.DoubleType())]))
+_FIELDS = RESULT.elementType.names
 
 
 def _whitened(x: np.ndarray, model: Whitener) -> tuple[list, np.ndarray]:
@@ -254,14 +281,15 @@ def whiten(vectors: DataFrame, model: Whitener | None, vector: str = "embedding"
     @F.arrow_udf(RESULT)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            found = [(row, x) for row, x in _integers(column) if len(x) == model.dimension]
-            out: list[list[dict] | None] = [None] * len(column)
-            if found:
-                deviation, values = _whitened(np.stack([x for _, x in found]), model)
-                for (row, _), away, own in zip(found, deviation, values.tolist()):
-                    out[row] = [{"component": k + 1, "deviation": away, "whitened": w, "explained": float(model.explained[k])}
-                                for k, w in enumerate(own)]
-            yield pa.array(out, _ARROW)
+            rows, x = next(((r, x) for r, x in _integers(column) if x.shape[1] == model.dimension), (np.zeros(0, np.int64), None))
+            k = len(model.explained)
+            count = np.zeros(len(column), dtype=np.int32)
+            count[rows] = k
+            deviation, values = _whitened(x, model) if len(rows) else ([], np.zeros(0))
+            yield pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)), pa.StructArray.from_arrays(
+                    [pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(rows))), pa.array([v for v in deviation for _ in range(k)], pa.int64()),
+                     pa.array(values.ravel()), pa.array(np.tile(model.explained, len(rows)))], names=_FIELDS))
 
     found = F.lit(None).cast(RESULT) if model is None else run(F.col(vector))
     one = free_name([*columns, whole], "_one")
@@ -272,5 +300,3 @@ def whiten(vectors: DataFrame, model: Whitener | None, vector: str = "embedding"
         F.col(f"{one}.whitened").alias("whitened"), F.col(f"{one}.explained").alias("explained"),
         fixed[1].cast("double").alias("identity_error")).alias(into))
 
-
-_ARROW = pa.list_(pa.struct([("component", pa.int32()), ("deviation", pa.int64()), ("whitened", pa.float64()), ("explained", pa.float64())]))

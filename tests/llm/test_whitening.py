@@ -82,9 +82,13 @@ def test_limbs_give_the_number_back():
 
 
 def test_packing_keeps_vectors_apart():
-    for x in ([0, 1], [-128, 127], [128, 0], [40000, -1], [1 << 40, 3]):
-        assert w._unpack(w._pack(np.array(x))).tolist() == x
-    assert w._pack(np.array([1, 0])) != w._pack(np.array([1, 256]))
+    x = np.array([[0, 1], [-128, 127], [128, 0], [40000, -1], [1 << 40, 3], [1, 0], [1, 256]])
+    packed = [b""] * len(x)
+    for rows, data in w._pack(x):
+        for row, value in zip(rows, data):
+            packed[row] = value
+    assert (w._unpack(packed) == x).all() and len(set(packed)) == len(x)
+    assert [p[0] for p in packed] == [0, 0, 1, 2, 3, 0, 1]
 
 
 def test_odd_rows(spark, monkeypatch):
