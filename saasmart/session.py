@@ -98,3 +98,60 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, hpath = _filesystem(spark, path)
     fs.delete(hpath, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _filesystem(spark, path)
+    fs.mkdirs(hpath)
+
+
+def children(spark: SparkSession, pattern: str) -> list[tuple[str, bool]]:
+    """(name, if it is a folder) of the paths that match a glob, by name."""
+    fs, hpath = _filesystem(spark, pattern)
+    return sorted((s.getPath().getName(), s.isDirectory()) for s in fs.globStatus(hpath) or [])
+
+
+def files_of(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path below ``path``, bytes) of its data files by name; of a plain file itself, with no path below."""
+    fs, hpath = _filesystem(spark, path)
+    base = fs.getFileStatus(hpath).getPath().toString()
+    found, listed = [], fs.listFiles(hpath, True)
+    while listed.hasNext():
+        status = listed.next()
+        below = status.getPath().toString()[len(base):]
+        if not any(part.startswith(("_", ".")) for part in below.split("/")):
+            found.append((below, status.getLen()))
+    return sorted(found)
+
+
+def footer_rows(spark: SparkSession, path: str) -> int:
+    """Rows of one Parquet file, from its footer."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        return int(reader.getRecordCount())
+    finally:
+        reader.close()
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file if there is none; if this call made it."""
+    fs, hpath = _filesystem(spark, path)
+    fs.mkdirs(hpath.getParent())
+    return bool(fs.createNewFile(hpath))
+
+
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears with all its text or not at all; an existing one is never overwritten."""
+    fs, hpath = _filesystem(spark, path)
+    hidden = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(hidden, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(hpath) or not fs.rename(hidden, hpath):
+        fs.delete(hidden, False)
+        raise FileExistsError(path)

@@ -1,34 +1,46 @@
 """Landing zone -> raw layer.
 
 * ``replace_load``: users are read whole into a new generation of the raw table.
-* ``append_incremental``: each activity table is a file-source stream over
-  ``<table>/batch_*.parquet`` drained with ``trigger(availableNow=True)``;
-  the stream checkpoint (one per table, so cursors are independent)
-  remembers which files were loaded, so a rerun loads only new files.
-* ``append_by_mtime``: the batch form with a modification-time cursor over
-  whole batches, kept in the load ledger.
+* ``append_incremental``: each activity table is a stream of batches drained with
+  ``trigger(availableNow=True)``; the stream checkpoint (one per table, so cursors are
+  independent) remembers what was loaded, so a rerun loads only new batches.
+* ``append_by_mtime``: the batch form with a modification-time cursor, file by file,
+  kept in the load ledger.
+
+Batches of an open table (``sources.landing``) count from their manifest on: the stream
+reads manifests, which name the files to load, and the mtime cursor takes the files of
+batches that are all there with the sizes that the manifest states. Other tables are read
+file by file, each as it appears.
 
 Layout: ``<raw>/<table>/<generation>/load_<id>/``. A replace writes a new
 generation and then its ledger rows; the ledger names the current generation,
 so readers have the old rows until the new ones are complete, and a failed
-write changes nothing. An append writes its load folder in the current
-generation, then its ledger rows, both with mode overwrite under an id that
-follows from what was loaded before: a load that is repeated after a failure
-rewrites the same folders instead of duplicating rows.
-
-The ledger has one row per file loaded (table, load, batch, file, rows).
+write changes nothing. Generations are numbered, each number claimed by a file that only
+one writer can create; the highest one in the ledger is the current one, whatever a
+driver's clock says. An append writes its load folder in the current
+generation, then its ledger rows, both with mode overwrite. A load's id follows from what
+is in it (the stream's batch number, or the files with their times), and a folder that
+an earlier run left without ledger rows goes before the next load is written: so a load that is
+repeated after a failure gives its rows once, also if more files have come since. One
+ingest per table runs at a time.
+
+The ledger has one row per file loaded (table, load, batch, file, rows); no file is loaded
+twice in a state that it has been loaded in.
 
 Cursor differences, stated once:
 
 =====================================  =======================  ==================
-situation                              file stream (default)    mtime cursor
+situation                              stream (default)         mtime cursor
 =====================================  =======================  ==================
-cursor                                 set of paths             newest mtime and the
-                                                                batches at it
+cursor                                 set of manifests         newest mtime, and the
+                                       (paths if not open)      files with their times
 same path rewritten / touched later    not loaded again         loaded again
 late batch carrying an older mtime     loaded                   skipped
 new batch with the newest mtime        loaded                   loaded
-batch of several files                 file by file             whole or not at all
+batch without its manifest             not seen                 not seen
+file added to a batch that is loaded   not seen                 the new file is loaded,
+                                                                once its manifest has it
+                                                                (not open: at once)
 rerun with nothing new                 nothing loaded           nothing loaded
 =====================================  =======================  ==================
 
@@ -38,6 +50,8 @@ Appends keep duplicates (ids can repeat across batches); no dedupe.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -47,7 +61,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from saasmart import schemas
-from saasmart.session import child_folders, glob_exists, path_exists, remove_folder, scratch_dir
+from saasmart.session import child_folders, children, create_new, glob_exists, path_exists, remove_folder, scratch_dir
 from saasmart.sources import landing as L
 
 LEDGER_SCHEMA = T.StructType([
@@ -96,6 +110,10 @@ class Lake:
     def warehouse(self) -> str:
         return f"{self.root}/warehouse"
 
+    @property
+    def claims(self) -> str:
+        return f"{self.root}/claims"
+
     def raw_path(self, table: str, generation: str = FIRST_GENERATION) -> str:
         return f"{self.raw}/{table}/{generation}"
 
@@ -109,9 +127,19 @@ def _with_source(df: DataFrame, schema: T.StructType) -> DataFrame:
                      F.col("_metadata.file_modification_time").alias(_MTIME))
 
 
+def _plain(path: Column) -> Column:
+    """A path without percent signs for odd characters."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _batch_of(path: str) -> Column:
     """The batch that a file belongs to: its landing folder or file name."""
-    return F.regexp_extract(path, r"/((?:batch_|users)[^/]*\.parquet)", 1)
+    return _plain(F.regexp_extract(path, r"/((?:batch_|users)[^/]*\.parquet)", 1))
+
+
+def _relative(path: str) -> Column:
+    """A data file's path below its table's landing folder."""
+    return _plain(F.regexp_extract(path, r"/((?:batch_|users)[^/]*\.parquet(?:/.+)?)$", 1))
 
 
 def _load(df: DataFrame, path: str, lake: Lake, table: str, mode: str, load_id: str) -> int:
@@ -147,13 +175,29 @@ def compact_ledger(spark: SparkSession, lake: Lake, table: str, at: int = COMPAC
     return True
 
 
+def _number(generation_id: str) -> int:
+    """The claimed number of a generation; 0 for one that was named otherwise."""
+    found = re.fullmatch("[a-z]+([0-9]+)", generation_id)
+    return int(found.group(1)) if found else 0
+
+
 def generation(spark: SparkSession, lake: Lake, table: str) -> str:
-    """The generation that the last complete replace wrote."""
+    """The highest generation that a complete replace wrote."""
+    number = F.regexp_extract("load_id", "^[a-z]+([0-9]+)$", 1).try_cast("long")
     last = (read_ledger(spark, lake, table).where("load_mode = 'replace'")
-            .agg(F.max(F.struct("loaded_at", "load_id")).alias("last")).first().last)
+            .agg(F.max(F.struct(F.coalesce(number, F.lit(0)).alias("number"), "loaded_at", "load_id")).alias("last")).first().last)
     return last.load_id if last else FIRST_GENERATION
 
 
+def _claim(spark: SparkSession, lake: Lake, table: str) -> int:
+    """A generation number above all that were claimed or written; no two writers get the same."""
+    claimed = [int(name) for name, _ in children(spark, f"{lake.claims}/{table}/*")]
+    number = max([*claimed, _number(generation(spark, lake, table))]) + 1
+    while not create_new(spark, f"{lake.claims}/{table}/{number:010d}"):
+        number += 1
+    return number
+
+
 def current_path(spark: SparkSession, lake: Lake, table: str) -> str:
     return lake.raw_path(table, generation(spark, lake, table))
 
@@ -164,16 +208,16 @@ def read_raw(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
             .option("recursiveFileLookup", "true").parquet(current_path(spark, lake, table)))
 
 
-def _stamp() -> str:
-    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
-
-
 def _replace(df: DataFrame, lake: Lake, table: str, prefix: str) -> int:
     """A new generation of a raw table; older ones than the one before go."""
-    load_id = f"{prefix}{_stamp()}"
+    spark = df.sparkSession
+    load_id = f"{prefix}{_claim(spark, lake, table):010d}"
     rows = _load(df, f"{lake.raw_path(table, load_id)}/load_{load_id}", lake, table, "replace", load_id)
-    for old in child_folders(df.sparkSession, f"{lake.raw}/{table}")[:-KEEP_GENERATIONS]:
-        remove_folder(df.sparkSession, old)
+    now = _number(generation(spark, lake, table))
+    older = sorted((n, path) for path in child_folders(spark, f"{lake.raw}/{table}")
+                   if (n := _number(path.rsplit("/", 1)[-1])) < now)
+    for _, old in older[:len(older) - KEEP_GENERATIONS + 1]:
+        remove_folder(spark, old)
     return rows
 
 
@@ -195,27 +239,68 @@ MAX_FILES_PER_TRIGGER = 1000
 MAX_FILE_AGE = "36500d"
 
 
+def _sweep(spark: SparkSession, folder: str, known: set[str]) -> None:
+    """Remove load folders that the ledger doesn't have: a run that failed between the two left them."""
+    for path in child_folders(spark, folder):
+        name = path.rsplit("/", 1)[-1]
+        if name.startswith("load_") and name.removeprefix("load_") not in known:
+            remove_folder(spark, path)
+
+
+def _load_ids(ledger: DataFrame) -> set[str]:
+    return {r.load_id for r in ledger.select("load_id").distinct().collect()}
+
+
+def _read_files(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
+    schema = schemas.nullable(schemas.RAW_TABLES[table])
+    return _with_source(spark.read.schema(schema).parquet(*paths), schema)
+
+
+def _start(stream: DataFrame, sink, checkpoint: str, table: str) -> StreamingQuery:
+    return (stream.writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .queryName(f"ingest_{table}_{uuid.uuid4().hex[:8]}")
+            .start())
+
+
 def start_incremental(spark: SparkSession, lake: Lake, table: str,
                       max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery | None:
-    """Start draining new ``batch_*.parquet`` files of one table; None before the first batch."""
-    if not glob_exists(spark, L.batch_glob(lake.landing, table)):
+    """Start draining the new batches of one table; None before the first batch."""
+    is_open = L.is_open(spark, lake.landing, table)
+    if is_open:
+        L.adopt_files(spark, lake.landing, table)
+    pattern = (L.manifest_glob if is_open else L.batch_glob)(lake.landing, table)
+    if not glob_exists(spark, pattern):
         return None
     schema = schemas.nullable(schemas.RAW_TABLES[table])
-    stream = _with_source(spark.readStream.schema(schema)
-                          .option("maxFilesPerTrigger", str(max_files_per_trigger))
-                          .option("maxFileAge", MAX_FILE_AGE)
-                          .parquet(L.batch_glob(lake.landing, table)), schema)
     folder = current_path(spark, lake, table)
+    ledger = read_ledger(spark, lake, table)
+    _sweep(spark, folder, _load_ids(ledger))
+    reader = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).option("maxFileAge", MAX_FILE_AGE)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def load_files(batch: DataFrame, batch_id: int) -> None:
         load_id = f"s{batch_id:010d}"
         _load(batch, f"{folder}/load_{load_id}", lake, table, "append", load_id)
 
-    return (stream.writeStream.foreachBatch(sink)
-            .option("checkpointLocation", f"{lake.checkpoints}/{table}")
-            .trigger(availableNow=True)
-            .queryName(f"ingest_{table}_{uuid.uuid4().hex[:8]}")
-            .start())
+    def load_manifests(batch: DataFrame, batch_id: int) -> None:
+        load_id = f"c{batch_id:010d}"
+        half = batch.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.max("files").alias("files")).where("n <> files").first()
+        if half is not None:
+            raise ValueError(f"{table}: the manifest of {half.batch} is incomplete")
+        before = read_ledger(spark, lake, table).where(F.col("load_id") != load_id).select(_relative("file").alias("file"))
+        new = batch.join(before, "file", "left_anti").select("file", "rows").collect()  # names that the scan lists in any case
+        if not new:
+            return
+        df = _read_files(spark, table, [f"{L.table_dir(lake.landing, table)}/{r.file}" for r in new])
+        stated, here = sum(r.rows for r in new), df.count()  # from footers
+        if stated != here:
+            raise ValueError(f"{table}: manifests state {stated} rows, the files have {here}")
+        _load(df, f"{folder}/load_{load_id}", lake, table, "append", load_id)
+
+    if is_open:
+        return _start(reader.schema(L.MANIFEST_SCHEMA).json(pattern), load_manifests, f"{lake.checkpoints}/{table}-manifests", table)
+    return _start(_with_source(reader.schema(schema).parquet(pattern), schema), load_files, f"{lake.checkpoints}/{table}", table)
 
 
 def append_incremental(spark: SparkSession, lake: Lake, table: str,
@@ -227,31 +312,50 @@ def append_incremental(spark: SparkSession, lake: Lake, table: str,
         compact_ledger(spark, lake, table)
 
 
+def _landed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """(batch, file, file_mtime): files of batches that count; nothing is read but names, times and sizes."""
+    listed = spark.read.format("binaryFile").load(L.batch_glob(lake.landing, table)) \
+        .select(_batch_of("_metadata.file_path").alias("batch"), F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_modification_time").alias("file_mtime"), F.col("_metadata.file_size").alias("bytes"))
+    if not L.is_open(spark, lake.landing, table):
+        return listed.select("batch", "file", "file_mtime")
+    stated = spark.read.schema(L.MANIFEST_SCHEMA).json(L.manifest_glob(lake.landing, table)) \
+        .select("batch", "files", F.col("file").alias("relative"), "bytes")
+    here = listed.withColumn("relative", _relative("file")).join(stated, ["batch", "relative", "bytes"])
+    whole = here.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.max("files").alias("files")).where("n = files")
+    return here.join(whole.select("batch"), "batch").select("batch", "file", "file_mtime")
+
+
 def append_by_mtime(spark: SparkSession, lake: Lake, table: str) -> int:
-    """Batch form: load whole batches that are as new as the newest one loaded, and not loaded.
+    """Batch form: load files that aren't loaded, of batches as new as the newest file that is.
 
-    A batch's time is that of its newest file. Only the names of the new batches come
-    to the driver, which lists their files to read them in any case.
+    A batch's time is that of its newest file. A file counts as loaded if the ledger has
+    it with the time that it has now. Only the names of the new files come to the driver,
+    which lists them to read them in any case.
     """
-    pattern = L.batch_glob(lake.landing, table)
-    if not glob_exists(spark, pattern):
+    if L.is_open(spark, lake.landing, table):
+        L.adopt_files(spark, lake.landing, table)
+        if not glob_exists(spark, L.manifest_glob(lake.landing, table)):
+            return 0
+    if not glob_exists(spark, L.batch_glob(lake.landing, table)):
         return 0
-    ledger = read_ledger(spark, lake, table).where("load_mode = 'append'")
-    loaded = ledger.groupBy("batch").agg(F.max("file_mtime").alias("newest"))
-    state = ledger.agg(F.max("file_mtime").alias("cursor"), F.count_distinct("load_id").alias("loads")).first()
-    listed = (spark.read.format("binaryFile").load(pattern)
-              .groupBy(_batch_of("path").alias("batch")).agg(F.max("modificationTime").alias("newest")))
-    if state.cursor is not None:
-        listed = listed.where(F.col("newest") >= F.lit(state.cursor))
-    new = sorted(r.batch for r in listed.join(loaded, ["batch", "newest"], "left_anti").select("batch").collect())
+    ledger = read_ledger(spark, lake, table)
+    appended = ledger.where("load_mode = 'append'")
+    cursor = appended.agg(F.max("file_mtime").alias("cursor")).first().cursor
+    landed = _landed(spark, lake, table)
+    if cursor is not None:
+        recent = landed.groupBy("batch").agg(F.max("file_mtime").alias("newest")).where(F.col("newest") >= F.lit(cursor))
+        landed = landed.join(recent.select("batch"), "batch")
+    landed = landed.join(appended, ["file", "file_mtime"], "left_anti").select(_relative("file").alias("file"), "file_mtime")
+    new = sorted((r.file, r.file_mtime) for r in landed.collect())
     if not new:
         return 0
-    schema = schemas.nullable(schemas.RAW_TABLES[table])
-    src = _with_source(spark.read.schema(schema).parquet(*(f"{L.table_dir(lake.landing, table)}/{b}" for b in new)), schema)
-    # from what was loaded before alone: a repeated load has the same id
-    stamp = f"{state.cursor:%Y%m%dT%H%M%S%f}" if state.cursor is not None else "0"
-    load_id = f"m{stamp}_{state.loads}"
-    rows = _load(src, f"{current_path(spark, lake, table)}/load_{load_id}", lake, table, "append", load_id)
+    src = _read_files(spark, table, [f"{L.table_dir(lake.landing, table)}/{file}" for file, _ in new])
+    load_id = "m" + hashlib.sha256("\n".join(f"{file} {when:%Y%m%dT%H%M%S%f}" for file, when in new).encode()).hexdigest()[:32]
+    known = _load_ids(ledger)
+    folder = current_path(spark, lake, table)
+    _sweep(spark, folder, known)
+    rows = _load(src, f"{folder}/load_{load_id}", lake, table, "append", load_id)
     compact_ledger(spark, lake, table)
     return rows
 
