@@ -7,23 +7,24 @@
 * Raw tables and the load ledger are external parquet tables; every build
   points them at the folders of the lake it is given.
 * Staging models and SQL intermediates are persistent SQL views.
-* Marts, and intermediates that are no plain SQL view (sessions), are tables:
-  written to a fresh versioned folder, then the table is pointed at it (CREATE,
-  or ALTER TABLE ... SET LOCATION; recreated if the columns changed). A failed
-  write leaves the previous version in place. Folders of older versions go,
-  but for the last ``keep_versions``.
+* Marts, and intermediates that are no plain SQL view (sessions), are tables with
+  versions: each build writes a fresh folder and makes a table over it,
+  ``<name>__v<number>``; the name itself is a view of one version, replaced by one
+  statement. So a reader finds the old version or the new one at any time, also
+  when the columns change, and a failed write leaves the old one in place. The numbers
+  are claimed by files that only one writer can create. All but the last
+  ``keep_versions`` go; a query that started on a version has that long to finish.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from saasmart import schemas
 from saasmart.plans import staging
-from saasmart.session import child_folders, remove_folder
+from saasmart.session import child_folders, children, create_new, remove_folder
 from saasmart.streaming.ingest import LEDGER_SCHEMA, Lake, current_path
 
 LEDGER_TABLE = "_load_ledger"
@@ -118,21 +119,65 @@ def table_exists(spark: SparkSession, layer: str, name: str) -> bool:
     return spark.catalog.tableExists(f"`{layer}`.`{name}`")
 
 
+def _versions(spark: SparkSession, layer: str, name: str) -> list[int]:
+    """Numbers of a table's versions in the catalog."""
+    if not spark.catalog.databaseExists(layer):
+        return []
+    prefix = f"{name}__v".lower()
+    found = [t.name.lower() for t in spark.catalog.listTables(layer, f"{name}__v*")]
+    return sorted(int(t.removeprefix(prefix)) for t in found if t.startswith(prefix) and t.removeprefix(prefix).isdigit())
+
+
+def _claim_version(spark: SparkSession, layer: str, name: str, warehouse: str) -> int:
+    """A number above all that were claimed or written; no two writers get the same."""
+    claims = f"{warehouse}/{layer}.db/_claims/{name}"
+    number = max([*_versions(spark, layer, name), *(int(n) for n, _ in children(spark, f"{claims}/*"))], default=0) + 1
+    while not create_new(spark, f"{claims}/{number}"):
+        number += 1
+    return number
+
+
+def _is_table(spark: SparkSession, layer: str, name: str) -> bool:
+    """If the name is a table of its own, not a view of versions."""
+    return table_exists(spark, layer, name) and spark.catalog.getTable(f"`{layer}`.`{name}`").tableType != "VIEW"
+
+
 def materialize_table(df: DataFrame, layer: str, name: str, warehouse: str, keep_versions: int = 2) -> DataFrame:
-    """Write a new version, then point the table at it; all but the last versions go."""
+    """Write a new version, then show it under the table's name; all but the last versions go."""
     spark = df.sparkSession
     folder = f"{warehouse}/{layer}.db/{name}"
-    path = f"{folder}/v_{uuid.uuid4().hex}"
+    number = _claim_version(spark, layer, name, warehouse)
+    path = f"{folder}/v{number}"
     df.write.mode("errorifexists").parquet(path)
-    table = _point_table(spark, layer, name, schemas.nullable(df.schema), path)
-    for old in child_folders(spark, folder)[:-max(1, keep_versions)]:
-        if _plain(old) != _plain(path):
+    version, schema = f"{name}__v{number}", schemas.nullable(df.schema)
+    spark.sql(f"CREATE TABLE `{layer}`.`{version}` ({_ddl_columns(schema)}) USING parquet LOCATION '{path}'")
+    if _is_table(spark, layer, name):  # of a lake built before names were views
+        spark.sql(f"DROP TABLE `{layer}`.`{name}`")
+    if number == _versions(spark, layer, name)[-1]:  # a build that began later may have ended sooner
+        columns = ", ".join(f"`{c}`" for c in schema.fieldNames())
+        spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS SELECT {columns} FROM `{layer}`.`{version}`")
+    _keep(spark, layer, name, folder, number, keep_versions)
+    return spark.table(f"`{layer}`.`{name}`")
+
+
+def _keep(spark: SparkSession, layer: str, name: str, folder: str, current: int, keep_versions: int) -> None:
+    """Drop the versions below the current one but for the last; folders that have no table go with them."""
+    kept = [n for n in _versions(spark, layer, name) if n <= current][-max(1, keep_versions):]
+    for number in _versions(spark, layer, name):
+        if number < kept[0]:
+            spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{name}__v{number}`")
+    for old in child_folders(spark, folder):
+        label = old.rsplit("/", 1)[-1]
+        number = int(label[1:]) if label[1:].isdigit() else -1
+        if number < kept[0]:
             remove_folder(spark, old)
-    return table
 
 
 def drop_table(spark: SparkSession, layer: str, name: str, warehouse: str | None = None) -> None:
-    """Drop the table if it exists; with ``warehouse``, its versions' folders as well."""
-    spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{name}`")
+    """Drop the table and its versions if they exist; with ``warehouse``, their folders as well."""
+    kind = "TABLE" if _is_table(spark, layer, name) else "VIEW"
+    spark.sql(f"DROP {kind} IF EXISTS `{layer}`.`{name}`")
+    for number in _versions(spark, layer, name):
+        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{name}__v{number}`")
     if warehouse is not None:
         remove_folder(spark, f"{warehouse}/{layer}.db/{name}")

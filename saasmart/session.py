@@ -14,6 +14,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -140,7 +141,13 @@ def create_new(spark: SparkSession, path: str) -> bool:
     """Create an empty file if there is none; if this call made it."""
     fs, hpath = _filesystem(spark, path)
     fs.mkdirs(hpath.getParent())
-    return bool(fs.createNewFile(hpath))
+    try:
+        fs.create(hpath, False).close()
+    except Py4JJavaError:
+        if fs.exists(hpath):
+            return False
+        raise
+    return True
 
 
 def write_whole(spark: SparkSession, path: str, text: str) -> None:

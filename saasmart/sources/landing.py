@@ -4,7 +4,7 @@
 
     <landing>/users/users.parquet/                 users, replaced whole
     <landing>/<table>/batch_<tag>.parquet/         one folder per activity batch
-    <landing>/<table>/_manifests/batch_<tag>.json  its manifest, written last
+    <landing>/_manifests/<table>/batch_<tag>.json  its manifest, written last
 
 Spark names its own part files, so each batch is a folder named like the
 single file the layout calls for; readers match it with the path glob
@@ -14,13 +14,13 @@ files of that name). The root may be any Hadoop filesystem URI.
 A folder of part files doesn't appear at once, least of all where a rename copies file
 by file. So a batch counts from its manifest on: one line of JSON per file (batch,
 number of files, file, bytes, rows from the footer). It is one small file and
-appears whole. A table folder with ``_manifests`` is *open*: the writers here open it before
+appears whole. A table with a folder of manifests is *open*: the writers here open it before
 their first byte, and readers then take only batches with a manifest. Data without one is
 a landing cut short; landing the same tag again replaces it.
 
 Others may land as well. A plain file ``batch_*.parquet`` is whole as it is and gets its
 manifest by ``adopt_files``; a folder of an open table needs ``commit_batch``. A table
-folder that was never opened has no manifests, and readers go file by file. Opening it
+that was never opened has no manifests, and readers go file by file. Opening it
 commits what is there.
 """
 
@@ -72,7 +72,7 @@ def write_users(users: DataFrame, landing: str) -> str:
 
 
 def manifest_dir(landing: str, table: str) -> str:
-    return f"{table_dir(landing, table)}/{MANIFESTS}"
+    return f"{landing}/{MANIFESTS}/{table}"
 
 
 def manifest_glob(landing: str, table: str) -> str:

@@ -81,11 +81,70 @@ def test_replaced_table_takes_new_columns_and_types(spark):
     assert not os.path.exists(folder) and not C.table_exists(spark, layers.marts, "m")
 
 
+def test_a_reader_never_misses_a_table_that_is_replaced(spark):
+    import threading
+    lake, layers = I.Lake.fresh(spark, "t-poll"), C.Layers.suffixed("tpoll")
+    C.create_layers(spark, layers, lake.warehouse)
+    name, stop, seen, failed = f"{layers.marts}.m", threading.Event(), [], []
+
+    def poll():
+        while not stop.is_set():
+            try:
+                seen.append(tuple(spark.table(name).first().asDict().items()))
+            except Exception as error:  # noqa: BLE001
+                failed.append(error)
+
+    makes = [f"select {n} as a" + ", 'x' as b" * (n % 2) + f", {n}.5 as c{n}" * (n % 3 == 0) for n in range(12)]
+    C.materialize_table(spark.sql(makes[0]), layers.marts, "m", lake.warehouse, keep_versions=len(makes))
+    reader = threading.Thread(target=poll)
+    reader.start()
+    try:
+        for sql in makes[1:]:
+            C.materialize_table(spark.sql(sql), layers.marts, "m", lake.warehouse, keep_versions=len(makes))
+    finally:
+        stop.set()
+        reader.join()
+    assert not failed and len({len(s) for s in seen}) > 1
+    firsts = [s[0][1] for s in seen]
+    assert firsts == sorted(firsts)
+
+
+def test_a_build_that_ends_late_does_not_hide_a_later_one(spark):
+    lake, layers = I.Lake.fresh(spark, "t-late"), C.Layers.suffixed("tlate")
+    C.create_layers(spark, layers, lake.warehouse)
+    real, late = C._claim_version, []
+
+    def slow(*args):
+        number = real(*args)
+        if not late:
+            late.append(number)
+            C.materialize_table(spark.sql("select 2 as a"), layers.marts, "m", lake.warehouse)
+        return number
+
+    C._claim_version = slow
+    try:
+        C.materialize_table(spark.sql("select 1 as a"), layers.marts, "m", lake.warehouse)
+    finally:
+        C._claim_version = real
+    assert late == [1] and spark.table(f"{layers.marts}.m").first().a == 2
+
+
+def test_a_table_of_an_older_lake_becomes_a_view(spark):
+    lake, layers = I.Lake.fresh(spark, "t-older"), C.Layers.suffixed("tolder")
+    C.create_layers(spark, layers, lake.warehouse)
+    spark.sql(f"create table {layers.marts}.m using parquet location '{lake.root}/old' as select 1 as a")
+    C.materialize_table(spark.sql("select 2 as a, 3 as b"), layers.marts, "m", lake.warehouse)
+    assert tuple(spark.table(f"{layers.marts}.m").first()) == (2, 3)
+    C.drop_table(spark, layers.marts, "m", lake.warehouse)
+    assert not spark.catalog.listTables(layers.marts)
+
+
 def test_intermediates_and_ledger_are_in_the_catalog(spark):
     layers = C.Layers.suffixed("tinter")
     PL.build(spark, _lake_of(spark, "t-inter", 40), layers)
     kinds = {t.name: t.tableType for t in spark.catalog.listTables(layers.intermediate) if not t.isTemporary}
-    assert kinds == {"int_revenue_by_user": "VIEW", PL.SESSIONS: "EXTERNAL"}
+    # the name of a table is a view of its current version
+    assert kinds == {"int_revenue_by_user": "VIEW", PL.SESSIONS: "VIEW", f"{PL.SESSIONS}__v1": "EXTERNAL"}
     ledger = spark.table(f"{layers.raw}.{C.LEDGER_TABLE}")
     assert ledger.where("table_name = 'events'").agg(F.sum("rows_loaded")).first()[0] == 40
 
