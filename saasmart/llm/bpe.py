@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding, by DuckDB recursive queries per partition.
 
 A text is split into pieces as the tokenizer's pattern does; each distinct piece of a
-run of texts is encoded once. In DuckDB, each piece's bytes are token-position rows;
+run of texts is encoded once; one that is known by its hash is compared byte for byte. In DuckDB, each piece's bytes are token-position rows;
 every row joins the merge table with the token after it. A recursive query then
 contracts, in each piece, the leftmost pair of the least rank, joins the two pairs that
 this makes with the merge table, and goes on until no piece has a pair that merges. An
@@ -15,7 +15,8 @@ Texts are taken in runs of bounded size, and the pieces of ``PIECES`` are kept f
 run to the next, so a partition's memory doesn't grow with its rows.
 
 Defined results: a null text counts as empty; an empty text has no ids. Texts of any
-length are encoded whole. Repeated rows are answered each on its own.
+length are encoded whole. Repeated rows are answered each on its own; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -142,6 +143,7 @@ class Encoder:
         self.place = np.zeros(0, dtype=np.int64)    # of each: its place in what follows
         self.ids, self.id_at = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
         self.back, self.back_at = np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+        self.odd: dict[bytes, int] = {}             # places of pieces whose hash another piece has
 
     def contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids and decoded bytes of all pieces end to end, with the length of each."""
@@ -261,7 +263,34 @@ class Encoder:
             known = np.concatenate((self.known, some))
             order = np.argsort(known, kind="stable")
             self.known, self.place = known[order], place[order]
-        return self.place[np.searchsorted(self.known, hashes)]
+        return self.verified(self.place[np.searchsorted(self.known, hashes)], data, start, stop)
+
+    def verified(self, place: np.ndarray, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The places, but for pieces that share another one's hash: those are looked up by their bytes.
+
+        What a place decodes to is its piece, so that is what a piece is compared with.
+        """
+        same = self.back_at[place + 1] - self.back_at[place] == stop - start
+        some = np.flatnonzero(same)
+        width = (stop - start)[some]
+        differs = self.back[_ranges(self.back_at[place[some]], width)] != data[_ranges(start[some], width)]
+        if len(some):
+            same[some] = ~np.logical_or.reduceat(differs, np.cumsum(width) - width)
+        wrong = np.flatnonzero(~same)
+        if not len(wrong):
+            return place
+        pieces = [data[start[k]:stop[k]].tobytes() for k in wrong]
+        new = [p for p in dict.fromkeys(pieces) if p not in self.odd]
+        if new:
+            ids, n_ids, back, n_back = self.contract_all(new)
+            for k, p in enumerate(new):
+                self.odd[p] = len(self.id_at) - 1 + k
+            self.id_at = np.concatenate((self.id_at, self.id_at[-1] + np.cumsum(n_ids)))
+            self.back_at = np.concatenate((self.back_at, self.back_at[-1] + np.cumsum(n_back)))
+            self.ids, self.back = np.concatenate((self.ids, ids)), np.concatenate((self.back, back))
+        place = place.copy()
+        place[wrong] = [self.odd[p] for p in pieces]
+        return place
 
     def hashes(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """A hash per piece."""

@@ -58,14 +58,14 @@ def _index(texts: list[str], shingle: int, threshold: float) -> dict:
     for row, end, data, offsets in text_chunks(_lower(pa.array(texts, pa.string()))):
         words = split_words(data, offsets, PARTS)
         spaced, at, stop = words.spaced()
-        prefix = hasher.prefix(hasher.words(words.kept, words.start))
+        of_words = hasher.words(words.kept, words.start)
         for i in range(end - row):
             lo, hi = words.of_text[i], words.of_text[i + 1]
             length = min(shingle, hi - lo)
             if not length:
                 continue
             first = np.arange(lo, hi - length + 1)
-            hashes = hasher.runs(prefix, first, length)
+            hashes = hasher.runs(of_words[lo:hi], first - lo, length)
             strings = {spaced[at[f]:stop[f + length - 1]]: h for f, h in zip(first, hashes)}
             m = len(strings)
             total[row + i], need[row + i] = m, math.ceil(threshold * m - 1e-9)
@@ -97,11 +97,11 @@ class Search:
         """(row, item, distinct shingles of the item in the row's text) of what passes."""
         for row, _, data, offsets in text_chunks(_lower(column)):
             words = split_words(data, offsets, PARTS)
-            prefix = self.hasher.prefix(self.hasher.words(words.kept, words.start))
+            of_words = self.hasher.words(words.kept, words.start)
             spaced = None
             for length, table in self.index["tables"].items():
                 at = windows_in_text(words, length)
-                hashes = self.hasher.runs(prefix, at, length)
+                hashes = self.hasher.runs(of_words, at, length)
                 maybe = np.flatnonzero(self.sieves[length][hashes >> np.uint64(64 - _SIEVE_BITS)])
                 maybe = maybe[np.isin(hashes[maybe], table["sketch"])]
                 if not len(maybe):

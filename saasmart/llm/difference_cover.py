@@ -12,7 +12,7 @@ both its ends without setting documents against each other pair by pair.
 A window whose words also start in a document with a smaller id is removed from this
 document; windows are judged on the texts as they came.
 
-Windows are compared by 96-bit hashes of their words. Defined results: a null text
+Windows are compared by hashes of 64 and 31 bits of their words. Defined results: a null text
 counts as empty; texts of fewer than ``words`` words stay whole; a document with a null
 id stays whole and lends no window; repeated rows of one id don't remove each other.
 """
@@ -82,7 +82,7 @@ def _emit_anchors(size: int):
             for row, _, data, offsets in text_chunks(batch.column(1)):
                 words = split_words(data, offsets)
                 at, length = _anchors(words, size)
-                hashes = hasher.runs(hasher.prefix(hasher.words(words.kept, words.start)), at, length)
+                hashes = hasher.runs(hasher.words(words.kept, words.start), at, length)
                 doc = ids[row + np.searchsorted(words.of_text, at, "right") - 1]
                 yield hashes, np.zeros(len(at), np.int32), doc
 
@@ -109,9 +109,9 @@ def _emit_windows(size: int):
                 if not any(f is not None for f in found):
                     continue
                 words = split_words(data, offsets)
-                prefix = hasher.prefix(hasher.words(words.kept, words.start))
+                of_words = hasher.words(words.kept, words.start)
                 at, length = _anchors(words, size)
-                hashes = hasher.runs(prefix, at, length)
+                hashes = hasher.runs(of_words, at, length)
                 edge = np.searchsorted(at, words.of_text)
                 take = []
                 for t, shared in enumerate(found):
@@ -124,9 +124,9 @@ def _emit_windows(size: int):
                 if not take:
                     continue
                 take = np.concatenate(take)
-                second = check.runs(check.prefix(check.words(words.kept, words.start)), take, size)
+                second = check.runs(check.words(words.kept, words.start), take, size)
                 doc = ids[row + np.searchsorted(words.of_text, take, "right") - 1]
-                yield hasher.runs(prefix, take, size), (second >> np.uint64(33)).astype(np.int32), doc
+                yield hasher.runs(of_words, take, size), (second >> np.uint64(33)).astype(np.int32), doc
 
     return emit
 
@@ -139,14 +139,14 @@ def _cut(size: int, keep: bool):
             for _, data, offsets, found in _some(batch):
                 words = split_words(data, offsets)
                 spaced, start, stop = words.spaced()
-                prefix = None
+                of_words = None
                 for t, shared in enumerate(found):
                     lo, hi = words.of_text[t], words.of_text[t + 1]
                     kept = spaced[start[lo]:stop[hi - 1]] if hi > lo else b""
                     gone = 0
                     if shared is not None and hi - lo >= size:
-                        prefix = hasher.prefix(hasher.words(words.kept, words.start)) if prefix is None else prefix
-                        windows = hasher.runs(prefix, np.arange(lo, hi - size + 1), size)
+                        of_words = hasher.words(words.kept, words.start) if of_words is None else of_words
+                        windows = hasher.runs(of_words[lo:hi], np.arange(hi - lo - size + 1), size)
                         drop = _spread(np.flatnonzero(_hit(windows, shared)), hi - lo, 0, size)
                         gone = int(drop.sum())
                         kept = b" ".join(spaced[start[w]:stop[w]] for w in (lo + np.flatnonzero(~drop)).tolist())

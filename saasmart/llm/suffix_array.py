@@ -8,7 +8,7 @@ both, the first of them within ``SPAN`` words of its start. Suffixes whose first
 
 The others are extended exactly: every run of ``words`` words that starts up to
 ``SPAN - 1`` words before a shared minimiser is compared with all other documents', by
-96 bits of hashes and without pairs of documents (``repeats``). As each run of ``words``
+hashes of 64 and 31 bits and without pairs of documents (``repeats``). As each run of ``words``
 words that two documents share has such a minimiser, all of them are found, also where
 many other documents have only a part of the run. Runs that overlap or adjoin are one
 span.
@@ -66,7 +66,7 @@ def _chosen(words: Words, hasher: Hasher, size: int) -> tuple[np.ndarray, np.nda
     at = windows_in_text(words, gram)
     long = np.repeat(words.count() >= size, words.count())
     at = at[long[at]]
-    hashes = hasher.runs(hasher.prefix(of_word), at, gram)
+    hashes = hasher.runs(of_word, at, gram)
     pick = minimisers(words, hashes, at, span)
     return of_word, at[pick], hashes[pick]
 
@@ -119,9 +119,9 @@ def _emit_runs(size: int):
                         for t in range(end - row)]
                 take = _starts(words, at[np.concatenate(take).astype(np.int64)], size)
                 if len(take):
-                    second = check.runs(check.prefix(check.words(words.kept, words.start)), take, size)
+                    second = check.runs(check.words(words.kept, words.start), take, size)
                     doc = ids[row + np.searchsorted(words.of_text, take, "right") - 1]
-                    yield hasher.runs(hasher.prefix(of_word), take, size), (second >> np.uint64(33)).astype(np.int32), doc
+                    yield hasher.runs(of_word, take, size), (second >> np.uint64(33)).astype(np.int32), doc
 
     return emit
 
@@ -136,7 +136,7 @@ def _spans(size: int):
                 if not any(batch.column(2)[i].is_valid for i in range(row, end)):
                     continue
                 words = split_words(data, offsets)
-                prefix = hasher.prefix(hasher.words(words.kept, words.start))
+                of_words = hasher.words(words.kept, words.start)
                 for t in range(end - row):
                     lo, hi = words.of_text[t], words.of_text[t + 1]
                     shared = _listed(batch.column(2), row + t).view(np.uint64)
@@ -144,7 +144,7 @@ def _spans(size: int):
                         continue
                     order = np.argsort(shared, kind="stable")
                     shared, partner = shared[order], _listed(batch.column(3), row + t)[order]
-                    hashes = hasher.runs(prefix, np.arange(lo, hi - size + 1), size)
+                    hashes = hasher.runs(of_words[lo:hi], np.arange(hi - lo - size + 1), size)
                     place = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
                     first = np.flatnonzero(shared[place] == hashes)
                     if not len(first):

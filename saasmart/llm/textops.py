@@ -14,9 +14,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 1 << 19
 
+#: Bytes from which a word is hashed by XXH64. A sum over powers modulo 2**64 serves shorter
+#: ones; words built for it (those of Thue and Morse) collide from 1,024 letters on.
+LONG_WORD = 64
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -57,36 +62,54 @@ class Powers:
         return self.up, self.down
 
 
+def _join(a: np.ndarray, b: np.ndarray, salt: np.uint64) -> np.ndarray:
+    """A hash of pairs of hashes; a scramble between any two steps leaves sums over powers no structure to meet."""
+    return mix(a * np.uint64(0xD6E8FEB86659FD93) + b * np.uint64(0xA0761D6478BD642F) + salt)
+
+
 @dataclass
 class Hasher:
     """One 64-bit hash family for words and for runs of words."""
 
+    seed: int
     values: np.ndarray
     in_word: Powers
-    of_words: Powers
+    salt: np.uint64
+    lower: bool = False
 
     @staticmethod
     def seeded(seed: int, lower: bool = False) -> Hasher:
-        a, b = (int(x) for x in mix(np.array([seed * 2 + 1, seed * 2 + 2], dtype=np.uint64) * _ODD))
-        return Hasher(byte_values(seed, lower), Powers(a), Powers(b))
+        a, b = mix(np.array([seed * 2 + 1, seed * 2 + 2], dtype=np.uint64) * _ODD)
+        return Hasher(seed, byte_values(seed, lower), Powers(int(a)), b, lower)
 
     def words(self, kept: np.ndarray, start: np.ndarray) -> np.ndarray:
         """A hash per word; ``kept`` are the words' bytes end to end."""
         if not len(start):
             return np.zeros(0, dtype=np.uint64)
         up, down = self.in_word.to(len(kept))
-        return mix(np.add.reduceat(self.values[kept] * up[: len(kept)], start) * down[start])
-
-    def prefix(self, words: np.ndarray) -> np.ndarray:
-        up, _ = self.of_words.to(len(words) + 1)
-        out = np.zeros(len(words) + 1, dtype=np.uint64)
-        np.cumsum(words * up[: len(words)], out=out[1:])
+        out = mix(np.add.reduceat(self.values[kept] * up[: len(kept)], start) * down[start])
+        end = np.append(start[1:], len(kept))
+        for w in np.flatnonzero(end - start >= LONG_WORD).tolist():
+            word = kept[start[w]:end[w]].tobytes()
+            out[w] = xxhash.xxh64_intdigest(word.lower() if self.lower else word, self.seed)
         return out
 
-    def runs(self, prefix: np.ndarray, at: np.ndarray, length) -> np.ndarray:
-        """Hashes of the runs of ``length`` words that start at word ``at``."""
-        _, down = self.of_words.to(len(prefix))
-        return mix((prefix[at + length] - prefix[at]) * down[at] + np.uint64(1))
+    def runs(self, words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the runs of ``length`` words, given their hashes, that start at word ``at``.
+
+        Runs of 2, 4, 8, .. words are hashed from two halves each, and those that make up
+        ``length`` are joined.
+        """
+        out, taken, width = None, 0, 1
+        while True:
+            if length & width:
+                own = words[at + taken]
+                out = own if out is None else _join(out, own, self.salt)
+                taken += width
+            if taken == length:
+                return mix(out + np.uint64(length))
+            words = _join(words[:-width], words[width:], self.salt)
+            width *= 2
 
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
