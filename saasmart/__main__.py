@@ -39,6 +39,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--batches", type=int, default=1, help="activity batches to generate")
     p.add_argument("--seeds", type=int, nargs="*", help="one seed per batch")
     p.add_argument("--users", type=int, default=None, help="number of users (default 2000)")
+    p.add_argument("--buckets", type=int, default=0,
+                   help="keep users, invoices and tickets of a new lake in so many buckets by user")
     for layer in ("raw", "staging", "intermediate", "marts"):
         p.add_argument(f"--{layer}", dest=f"layer_{layer}", default=None,
                        help=f"database name of the {layer} layer (used verbatim)")
@@ -51,6 +53,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     lake = I.Lake(args.root or f"{shared_root(spark)}/saasmart/lake")
     layers = C.Layers.named(args.layer_raw, args.layer_staging, args.layer_intermediate,
                             args.layer_marts)
+    if args.buckets and not I.buckets(spark, lake):
+        I.set_buckets(spark, lake, args.buckets)
     report: dict = {"step": args.step, "root": lake.root}
 
     if args.step in ("generate", "run"):

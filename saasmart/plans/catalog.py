@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from saasmart import schemas
 from saasmart.plans import staging
 from saasmart.session import child_folders, children, create_new, remove_folder
-from saasmart.streaming.ingest import LEDGER_SCHEMA, Lake, current_path
+from saasmart.streaming.ingest import LEDGER_SCHEMA, Lake, buckets, current_path
 
 LEDGER_TABLE = "_load_ledger"
 
@@ -79,11 +79,19 @@ def _columns(schema) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def _point_table(spark: SparkSession, layer: str, name: str, schema, path: str, options: str = "") -> DataFrame:
-    """Make ``layer.name`` a parquet table with these columns over ``path``."""
-    ident = f"`{layer}`.`{name}`"
+def _bucket_count(spark: SparkSession, ident: str) -> int:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {ident}").where("col_name = 'Num Buckets'").collect()
+    return int(rows[0].data_type) if rows else 0
+
+
+def _point_table(spark: SparkSession, layer: str, name: str, schema, path: str, options: str = "", buckets: int = 0) -> DataFrame:
+    """Make ``layer.name`` a parquet table with these columns over ``path``, in ``buckets`` by its key if it has one."""
+    ident, key = f"`{layer}`.`{name}`", schemas.BUCKET_KEYS.get(name)
+    buckets = buckets if key else 0
+    if buckets:
+        options += f" CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS"
     if table_exists(spark, layer, name):
-        if _columns(spark.table(ident).schema) != _columns(schema):
+        if _columns(spark.table(ident).schema) != _columns(schema) or _bucket_count(spark, ident) != buckets:
             spark.sql(f"DROP TABLE {ident}")  # external: its files stay
         elif _plain(_location(spark, ident)) != _plain(path):
             spark.sql(f"ALTER TABLE {ident} SET LOCATION '{path}'")
@@ -94,9 +102,9 @@ def _point_table(spark: SparkSession, layer: str, name: str, schema, path: str,
 
 def register_raw_tables(spark: SparkSession, layers: Layers, lake: Lake) -> None:
     """External tables over the current generation of each raw table, and over the load ledger."""
-    files = "OPTIONS (recursiveFileLookup 'true')"
+    files, count = "OPTIONS (recursiveFileLookup 'true')", buckets(spark, lake)
     for table, schema in schemas.RAW_TABLES.items():
-        _point_table(spark, layers.raw, table, schemas.nullable(schema), current_path(spark, lake, table), files)
+        _point_table(spark, layers.raw, table, schemas.nullable(schema), current_path(spark, lake, table), files, count)
     _point_table(spark, layers.raw, LEDGER_TABLE, LEDGER_SCHEMA, lake.ledger, files)
 
 

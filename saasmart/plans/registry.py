@@ -142,9 +142,11 @@ def _new_lake(spark: SparkSession, name: str) -> tuple[I.Lake, C.Layers]:
     return lake, C.Layers.suffixed(lake.root.rsplit("-", 1)[-1])
 
 
-def _loaded(spark: SparkSession, sf: str, name: str, batches: int = 1) -> tuple[I.Lake, C.Layers]:
+def _loaded(spark: SparkSession, sf: str, name: str, batches: int = 1, buckets: int = 0) -> tuple[I.Lake, C.Layers]:
     """A new lake with all four tables landed and ingested, so many times."""
     lake, layers = _new_lake(spark, name)
+    if buckets:
+        I.set_buckets(spark, lake, buckets)
     raw = _raw_tables(spark, sf)
     for n in range(batches):
         PL.land(spark, lake, raw_tables=raw, tag=L.batch_tag(n))
@@ -186,6 +188,13 @@ def mart_drop_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"`{layers.marts}`.`dim_users`")
 
 
+def dim_users_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """The user dimension as a mart of a lake in buckets, read back from the catalog."""
+    lake, layers = _loaded(spark, sf, "buckets", buckets=8)
+    PL.build(spark, lake, layers, tables=["dim_users"])
+    return spark.table(f"`{layers.marts}`.`dim_users`")
+
+
 def int_revenue_view(spark: SparkSession, sf: str) -> DataFrame:
     """The revenue-by-user view of the intermediate layer, from the catalog."""
     lake, layers = _loaded(spark, sf, "int-view")
@@ -225,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "synth_events_batch": synth_events_batch,
     "synth_invoices_batch": synth_invoices_batch,
     "synth_tickets_batch": synth_tickets_batch,
+    "dim_users_colocated": dim_users_colocated,
     "ingest_users_replace": ingest_users_replace,
     "ingest_append_incremental": ingest_append_incremental,
     "ingest_append_mtime": ingest_append_mtime,
@@ -254,6 +264,7 @@ ORACLE_SQL: dict[str, str] = {
     "synth_events_batch": O.synth_events_sql(O.EVENT_IDS),
     "synth_invoices_batch": O.synth_invoices_sql(O.ORDER_IDS),
     "synth_tickets_batch": O.synth_tickets_sql(O.EVENT_IDS),
+    "dim_users_colocated": O.DIM_USERS,
     "ingest_users_replace": O.INGEST_USERS_REPLACE,
     "ingest_append_incremental": O.INGEST_APPEND_TWICE,
     "ingest_append_mtime": O.INGEST_APPEND_TWICE,

@@ -58,6 +58,9 @@ RAW_TABLES = {
 # Activity tables are appended batch by batch; users are replaced whole.
 ACTIVITY_TABLES = ("events", "invoices", "support_tickets")
 
+# Tables that a lake with buckets keeps by user: joins and sums on that key need no exchange.
+BUCKET_KEYS = {"users": "id", "invoices": "user_id", "support_tickets": "user_id"}
+
 # Default layer (database) names; a custom name is used verbatim.
 DEFAULT_LAYERS = {
     "raw": "raw",

@@ -137,6 +137,18 @@ def footer_rows(spark: SparkSession, path: str) -> int:
         reader.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, hpath = _filesystem(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def create_new(spark: SparkSession, path: str) -> bool:
     """Create an empty file if there is none; if this call made it."""
     fs, hpath = _filesystem(spark, path)

@@ -45,6 +45,13 @@ rerun with nothing new                 nothing loaded           nothing loaded
 =====================================  =======================  ==================
 
 Appends keep duplicates (ids can repeat across batches); no dedupe.
+
+A lake may keep users, invoices and tickets in buckets by user (``set_buckets``, before its
+first load). Each load is then dealt by user once, at ingest, into one file per bucket of its
+folder; the catalog's tables state the buckets, so that sums by user and joins on it read them
+side by side without an exchange, however many loads there are. One task reads a bucket, so
+a lake where one user holds a large share of all rows is better left without: partial
+sums and AQE then spread that user.
 """
 
 from __future__ import annotations
@@ -61,7 +68,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from saasmart import schemas
-from saasmart.session import child_folders, children, create_new, glob_exists, path_exists, remove_folder, scratch_dir
+from saasmart.session import (child_folders, children, create_new, glob_exists, path_exists, read_text, remove_folder, scratch_dir,
+                              write_whole)
 from saasmart.sources import landing as L
 
 LEDGER_SCHEMA = T.StructType([
@@ -142,9 +150,34 @@ def _relative(path: str) -> Column:
     return _plain(F.regexp_extract(path, r"/((?:batch_|users)[^/]*\.parquet(?:/.+)?)$", 1))
 
 
+def set_buckets(spark: SparkSession, lake: Lake, count: int) -> None:
+    """Keep the tables of ``schemas.BUCKET_KEYS`` in so many buckets; for a lake without loads, once and for all."""
+    if path_exists(spark, lake.raw):
+        raise ValueError(f"{lake.root} has loads that are not in {count} buckets")
+    write_whole(spark, f"{lake.root}/buckets", str(count))
+
+
+def buckets(spark: SparkSession, lake: Lake) -> int:
+    """Buckets by user of the lake's tables; 0: none."""
+    return int(read_text(spark, f"{lake.root}/buckets") or 0)
+
+
+def _write_rows(df: DataFrame, path: str, lake: Lake, table: str) -> None:
+    """Write a load's rows, by bucket if the lake has buckets; what an earlier try left there goes."""
+    spark, count = df.sparkSession, buckets(df.sparkSession, lake)
+    if not count or table not in schemas.BUCKET_KEYS:
+        df.write.mode("overwrite").parquet(path)
+        return
+    key, name = schemas.BUCKET_KEYS[table], f"_load_{uuid.uuid4().hex}"
+    # only a table's writer names files by bucket; the table is external, so that they stay when it goes
+    # rebalance deals by bucket, and splits the share of a hot user over several tasks (files of one bucket)
+    df.hint("rebalance", count, key).write.bucketBy(count, key).mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
 def _load(df: DataFrame, path: str, lake: Lake, table: str, mode: str, load_id: str) -> int:
     """Write the rows, then one ledger row per source file; rows in all."""
-    df.drop(_FILE, _MTIME).write.mode("overwrite").parquet(path)
+    _write_rows(df.drop(_FILE, _MTIME), path, lake, table)
     files = (df.groupBy(_FILE, _MTIME).agg(F.count(F.lit(1)).alias("rows_loaded"))
              .select(F.lit(table).alias("table_name"), F.lit(mode).alias("load_mode"), F.lit(load_id).alias("load_id"),
                      _batch_of(_FILE).alias("batch"), F.col(_FILE).alias("file"), "rows_loaded",

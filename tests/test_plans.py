@@ -58,3 +58,40 @@ def test_dim_users_joins_share_one_partitioning(spark):
                if l.startswith("Arguments: hashpartitioning(") and "user_id" in l]
     # users, invoices (after partial agg) and tickets (after partial agg): one each
     assert len(by_user) == 3
+
+
+def _exchanges(df) -> list[str]:
+    top = plan(df).split("\n\n")[0]
+    return [line for line in top.splitlines() if "Exchange" in line]
+
+
+def test_buckets_by_user_need_no_exchange(spark):
+    from saasmart.plans import catalog as C
+    from saasmart.plans import models as M
+    from saasmart.plans import runner as PL
+    from saasmart.streaming import ingest as I
+    from tests.conftest import SF001
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lake, layers = registry._loaded(spark, SF001, "t-buckets", batches=2, buckets=4)
+        stg = C.create_staging_views(spark, layers)
+        revenue, tickets = M.revenue_by_user(stg["stg_invoices"]), M.tickets_by_user(stg["stg_tickets"])
+        users = M.dim_users(stg["stg_users"], revenue, tickets)
+        assert _exchanges(revenue) == [] == _exchanges(tickets) == _exchanges(users)
+        joined = stg["stg_invoices"].join(stg["stg_users"], "user_id")
+        assert _exchanges(joined) == []
+        # the same rows as without buckets
+        plain, plain_layers = registry._loaded(spark, SF001, "t-plain", batches=2)
+        other = C.create_staging_views(spark, plain_layers)
+        want = M.dim_users(other["stg_users"], M.revenue_by_user(other["stg_invoices"]), M.tickets_by_user(other["stg_tickets"]))
+        assert users.count() == want.count() and users.exceptAll(want).count() == 0
+        assert len(_exchanges(want)) == 3
+        built = PL.build(spark, lake, layers, tables=["dim_users"])["dim_users"]
+        assert built.exceptAll(want).count() == 0
+        with pytest.raises(ValueError):
+            I.set_buckets(spark, lake, 8)
+        # a lake without buckets under the same names
+        C.register_raw_tables(spark, layers, plain)
+        assert spark.table(f"{layers.raw}.invoices").count() == spark.table(f"{plain_layers.raw}.invoices").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
