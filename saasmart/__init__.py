@@ -2,7 +2,7 @@
 
 Layers: ``sources`` (synthesis, landing files, test-table adapters),
 ``streaming`` (incremental ingest), ``plans`` (staging, models, catalog,
-audit, runner), ``operators`` (skew-safe sessionize and rollups),
+audit, runner), ``operators`` (skew-safe sessionize),
 ``functions`` (column expressions).
 """
 

@@ -3,7 +3,7 @@
     spark-submit -m saasmart run --root s3a://bucket/saas --batches 10
     python -m saasmart generate --root R --batches 2 [--seeds 7 11]
     python -m saasmart ingest   --root R
-    python -m saasmart build    --root R [--marts gold ...]
+    python -m saasmart build    --root R [--marts gold ...] [--select dim_users ...]
     python -m saasmart audit    --root R
     python -m saasmart bootstrap --root R   (seed-0 tables straight into raw)
 
@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--batches", type=int, default=1, help="activity batches to generate")
     p.add_argument("--seeds", type=int, nargs="*", help="one seed per batch")
     p.add_argument("--users", type=int, default=None, help="number of users (default 2000)")
+    p.add_argument("--select", nargs="*", help="models to build, with what they need (default: all)")
     p.add_argument("--buckets", type=int, default=0,
                    help="keep users, invoices and tickets of a new lake in so many buckets by user")
     for layer in ("raw", "staging", "intermediate", "marts"):
@@ -66,8 +67,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.step in ("ingest", "run"):
         I.ingest_all(spark, lake)
     if args.step in ("build", "run"):
-        models = PL.build(spark, lake, layers)
-        report["marts"] = {f"{layers.marts}.{m}": models[m].count() for m in PL.MART_TABLES}
+        models = PL.build_models(spark, lake, args.select, layers) if args.select else PL.build(spark, lake, layers)
+        report["marts"] = {f"{layers.marts}.{m}": models[m].count() for m in PL.MART_TABLES if m in models}
     if args.step in ("audit", "run", "bootstrap"):
         raw = {t: I.read_raw(spark, lake, t) for t in schemas.RAW_TABLES}
         report["row_counts"] = {r.table_name: r.row_count

@@ -108,13 +108,14 @@ def register_raw_tables(spark: SparkSession, layers: Layers, lake: Lake) -> None
     _point_table(spark, layers.raw, LEDGER_TABLE, LEDGER_SCHEMA, lake.ledger, files)
 
 
+def create_staging_view(spark: SparkSession, layers: Layers, name: str) -> DataFrame:
+    spark.sql(f"CREATE OR REPLACE VIEW `{layers.staging}`.`{name}` AS "
+              f"{staging.view_sql(name, layers.raw)}")
+    return spark.table(f"`{layers.staging}`.`{name}`")
+
+
 def create_staging_views(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
-    out = {}
-    for name in staging.STAGING:
-        spark.sql(f"CREATE OR REPLACE VIEW `{layers.staging}`.`{name}` AS "
-                  f"{staging.view_sql(name, layers.raw)}")
-        out[name] = spark.table(f"`{layers.staging}`.`{name}`")
-    return out
+    return {name: create_staging_view(spark, layers, name) for name in staging.STAGING}
 
 
 def create_sql_view(spark: SparkSession, layer: str, name: str, model: str, **upstream: str) -> DataFrame:

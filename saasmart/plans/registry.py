@@ -19,6 +19,7 @@ from saasmart.plans import catalog as C
 from saasmart.plans import models as M
 from saasmart.plans import runner as PL
 from saasmart.plans import staging as S
+from saasmart.plans import state
 from saasmart.sources import adapters as A
 from saasmart.sources import landing as L
 from saasmart.sources import synth
@@ -163,11 +164,56 @@ def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def row_count_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Land and ingest, then count the raw tables of the catalog."""
-    _, layers = _loaded(spark, sf, "audit")
+    """Land and ingest, then count the raw tables from the catalog's load ledger."""
+    lake, layers = _loaded(spark, sf, "audit")
+    return audit.recorded_counts(spark.table(f"`{layers.raw}`.`{C.LEDGER_TABLE}`"),
+                                 {t: I.generation(spark, lake, t) for t in schemas.RAW_TABLES})
+
+
+def row_count_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Land and ingest, then count the raw tables of the catalog themselves."""
+    _, layers = _loaded(spark, sf, "audit-scan")
     return audit.row_counts({t: spark.table(f"`{layers.raw}`.`{t}`") for t in schemas.RAW_TABLES})
 
 
+def _in_batches(spark: SparkSession, sf: str, name: str, table: str, update, batches: int = 3) -> I.Lake:
+    """A new lake with users, and one table landed in batches; ``update`` runs after each ingest."""
+    lake = I.Lake.fresh(spark, name)
+    raw = _raw_tables(spark, sf)
+    L.write_users(raw["users"], lake.landing)
+    I.replace_load(spark, lake)
+    for n in range(batches):
+        # not by time, so that later batches bring days and users of earlier ones
+        L.write_batch(raw[table].where(F.pmod(F.xxhash64("id"), F.lit(batches)) == n), lake.landing, table, L.batch_tag(n))
+        I.append_incremental(spark, lake, table)
+        update(lake)
+    return lake
+
+
+def daily_active_users_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily-active-users mart from bitmaps per load, after three loads."""
+    lake = _in_batches(spark, sf, "daily", "events", lambda lake: state.DailyUsers(spark, lake).update())
+    return state.DailyUsers(spark, lake).read(O.TEST_DAU_EVENTS)
+
+
+def fct_revenue_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The revenue fact from partial sums per load, after three loads."""
+    lake = _in_batches(spark, sf, "revenue", "invoices", lambda lake: state.Revenue(spark, lake).update())
+    return state.Revenue(spark, lake).read()
+
+
+def sessionize_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Session numbers carried over three loads, each with events from before and after the others'."""
+    lake = _in_batches(spark, sf, "sessions", "events", lambda lake: state.Sessions(spark, lake).update())
+    return state.Sessions(spark, lake).read()
+
+
+def build_selected(spark: SparkSession, sf: str) -> DataFrame:
+    """One chosen model, built with what it needs."""
+    lake, layers = _loaded(spark, sf, "select")
+    return PL.build_models(spark, lake, ["dim_users"], layers)["dim_users"]
+
+
 def mart_materialize(spark: SparkSession, sf: str) -> DataFrame:
     """A mart table, first with fewer columns, then replaced: read back from the catalog."""
     lake, layers = _loaded(spark, sf, "marts")
@@ -240,6 +286,11 @@ QUERIES: dict[str, Query] = {
     "ingest_append_mtime": ingest_append_mtime,
     "load_ledger": load_ledger,
     "row_count_audit": row_count_audit,
+    "row_count_scan": row_count_scan,
+    "daily_active_users_merged": daily_active_users_merged,
+    "fct_revenue_merged": fct_revenue_merged,
+    "sessionize_batches": sessionize_batches,
+    "build_selected": build_selected,
     "mart_materialize": mart_materialize,
     "mart_drop_rebuild": mart_drop_rebuild,
     "int_revenue_view": int_revenue_view,
@@ -270,6 +321,11 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_append_mtime": O.INGEST_APPEND_TWICE,
     "load_ledger": O.LOAD_LEDGER,
     "row_count_audit": O.ROW_COUNT_AUDIT,
+    "row_count_scan": O.ROW_COUNT_AUDIT,
+    "daily_active_users_merged": O.DAILY_ACTIVE_USERS,
+    "fct_revenue_merged": O.FCT_REVENUE,
+    "sessionize_batches": O.SESSIONIZE,
+    "build_selected": O.DIM_USERS,
     "mart_materialize": O.FCT_REVENUE,
     "mart_drop_rebuild": O.DIM_USERS,
     "int_revenue_view": O.REVENUE_BY_USER,
