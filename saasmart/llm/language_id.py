@@ -1,8 +1,10 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 Fit: Spark counts the character 4-grams of every labelled text, per language. A
-4-gram is packed in 48 bits (12 bits a character; letters in lower case, every run
-of other characters is one boundary). All distinct 4-grams are kept under their whole
+4-gram is packed in 60 bits (15 bits a character; letters in lower case, every run
+of other characters is one boundary). The letters of the labelled texts are numbered,
+so that no two of them share a code; a letter that they don't have is none of theirs.
+Beyond 32,766 distinct letters the rarest share one code. All distinct 4-grams are kept under their whole
 keys; from them follow the lower orders' continuation counts, the discounts and the
 interpolation weights. Where the arrays of all that take ``MODEL_BYTES`` at most, the
 driver smooths, and the tasks look keys up in sorted hash arrays.
@@ -23,6 +25,7 @@ that sorts first. Repeated rows are counted and answered each on its own.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -37,11 +40,12 @@ from pyspark.sql import types as T
 from .storage import cut, free_name
 
 ORDER = 4
-CHAR_BITS = 12
+CHAR_BITS = 15
+#: Letters that have a code of their own; only a corpus of more distinct letters has some that share one.
+LETTERS = (1 << CHAR_BITS) - 2
 HASH_BITS = 63
 #: Most that the arrays of a model, or of a part of a larger one, may take.
 MODEL_BYTES = 1 << 26
-MAX_SLOT_BITS = 18
 #: Bytes of a row of a model's table in the sorted arrays.
 ENTRY_BYTES = 24
 #: Labelled texts that calibrate the rejection; only they are left out of the counts.
@@ -64,26 +68,73 @@ RESULT = T.StructType([
 ])
 
 
-def _classes_of_chars() -> np.ndarray:
-    """A 12-bit class per code point of the basic plane; 0: not a letter."""
-    point = np.arange(0x10000, dtype=np.uint32)
-    letter = np.array([c < 0xD800 and chr(c).isalpha() or c > 0xDFFF and chr(c).isalpha() for c in range(0x10000)])
-    code = (point ^ (point >> 12) * 0x5BD) & 0xFFF
-    return np.where(letter, np.maximum(code, 1), 0).astype(np.uint64)
+class Alphabet:
+    """Codes of characters: 0 no letter, 1 a letter without a code of its own, from 2 on the letters in order."""
+
+    def __init__(self, letters: np.ndarray | list[int]):
+        self.letters = np.unique(np.asarray(letters, dtype=np.uint32))
+        self.low = _LETTER.astype(np.uint64)
+        own = self.letters < 0x10000
+        self.low[self.letters[own]] = 2 + np.flatnonzero(own).astype(np.uint64)
+
+    @staticmethod
+    def of(texts: list[str]) -> Alphabet:
+        points, count = _letters_of(texts)
+        return Alphabet(points)
+
+    def codes(self, points: np.ndarray) -> np.ndarray:
+        high = points > 0xFFFF
+        if not high.any():
+            return self.low[points]
+        out = self.low[np.where(high, 0, points)]
+        some, at = np.unique(points[high], return_inverse=True)
+        code = np.array([chr(p).isalpha() for p in some.tolist()], dtype=np.uint64)
+        if len(self.letters):
+            place = np.minimum(np.searchsorted(self.letters, some), len(self.letters) - 1)
+            code = np.where(self.letters[place] == some, 2 + place.astype(np.uint64), code)
+        out[high] = code[at]
+        return out
+
+
+#: If a code point of the basic plane is a letter.
+_LETTER = np.array([not 0xD800 <= c <= 0xDFFF and chr(c).isalpha() for c in range(0x10000)])
+
+
+def _points(texts: list[str]) -> list[np.ndarray]:
+    return [np.frombuffer(t.lower().encode("utf-32-le", "replace"), np.uint32) for t in texts]
+
+
+def _letters_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of texts, and how often each is there."""
+    points = np.concatenate([np.zeros(0, np.uint32), *_points(texts)])
+    low = np.bincount(points[points < 0x10000], minlength=0x10000) * _LETTER
+    high, count = np.unique(points[points >= 0x10000], return_counts=True)
+    rare = np.array([chr(p).isalpha() for p in high.tolist()], dtype=bool)
+    seen = np.flatnonzero(low)
+    return np.concatenate((seen, high[rare])).astype(np.uint32), np.concatenate((low[seen], count[rare])).astype(np.int64)
 
 
-def _stream(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _count_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: Counter[int] = Counter()
+    for batch in batches:
+        for _, some in _slices(batch.column(0).to_pylist()):
+            points, count = _letters_of(some)
+            total.update(dict(zip(points.tolist(), count.tolist())))
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["point", "n"])
+
+
+def _alphabet(texts: DataFrame) -> Alphabet:
+    """The letters of a column of texts. Unicode bounds their number; the most frequent ``LETTERS`` get codes."""
+    found = texts.mapInArrow(_count_letters, "point int, n long").groupBy("point").agg(F.sum("n").alias("n"))
+    return Alphabet([r.point for r in found.orderBy(F.desc("n"), "point").limit(LETTERS).collect()])
+
+
+def _stream(texts: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the n-grams that end at each kept character, and the characters per text."""
-    points = [np.frombuffer(t.lower().encode("utf-32-le", "replace"), np.uint32) for t in texts]
+    points = _points(texts)
     size = np.array([len(p) for p in points], dtype=np.int64)
     joined = np.concatenate(points) if points else np.zeros(0, np.uint32)
-    high = joined > 0xFFFF
-    if high.any():
-        code = classes[np.where(high, 0, joined)]
-        rare, at = np.unique(joined[high], return_inverse=True)
-        code[high] = np.array([(1 + (p ^ p >> 12) % 0xFFF) * chr(p).isalpha() for p in rare.tolist()], np.uint64)[at]
-    else:
-        code = classes[joined]
+    code = alphabet.codes(joined)
     first = np.zeros(len(joined) + 1, dtype=bool)
     first[np.cumsum(size) - size] = True
     first = first[:-1]
@@ -139,7 +190,7 @@ def _tally(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[at], np.diff(np.append(at, len(key)))
 
 
-def _count_grams(classes: np.ndarray):
+def _count_grams(alphabet: Alphabet):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[list, list]] = {}
         waiting: dict[str, list] = {}
@@ -165,7 +216,7 @@ def _count_grams(classes: np.ndarray):
             for lang in sorted(set(langs)):
                 rows = np.flatnonzero(langs == lang)
                 for _, some in _slices(texts.take(pa.array(rows)).to_pylist()):
-                    key, _ = _stream(some, classes)
+                    key, _ = _stream(some, alphabet)
                     waiting.setdefault(lang, []).append(key)
                     if sum(map(len, waiting[lang])) >= POOL:
                         settle(lang)
@@ -188,6 +239,7 @@ class Model:
     grams: list[tuple]     # per order: hashes (sorted), their keys, log probabilities (keys x languages)
     contexts: list[tuple]  # per order: hashes (sorted), their keys, log interpolation weights
     floor: float           # log probability of an unknown character
+    alphabet: Alphabet = None
     table: DataFrame = None                        # of a large model: key with its table, language, value
     parts: int = 1
     mean: np.ndarray = None                        # calibration, per language
@@ -196,16 +248,6 @@ class Model:
     heat: float = 1.0
 
 
-def slot_bits(n_langs: int, model_bytes: int = MODEL_BYTES) -> int:
-    """The most bits with which all arrays, of ``2**bits`` keys each, stay within ``model_bytes``."""
-    bits = MAX_SLOT_BITS
-    while bits > 8 and 2 * ORDER * (1 << bits) * (8 + 4 * n_langs) > model_bytes:
-        bits -= 1
-    if 2 * ORDER * (1 << bits) * (8 + 4 * n_langs) > model_bytes:
-        raise ValueError(f"{n_langs} languages need a larger model_bytes")
-    return bits
-
-
 def _smooth(langs: list[str], bits: int, lang: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model:
     """Interpolated Kneser-Ney from the n-grams (lang: index, key, count)."""
     by_order = {ORDER: (lang, key, count.astype(np.float64))}
@@ -325,7 +367,6 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.classes = _classes_of_chars()
         self.starts = []  # per table: bits of its directory, and where each slot's keys start
         for hashes, _, _ in (*model.grams, *model.contexts):
             bits = max(1, min(model.bits, (2 * len(hashes)).bit_length()))
@@ -353,7 +394,7 @@ class Scorer:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: cross-entropy for each language, characters, if it has a letter."""
         m = self.model
-        key, count = _stream(texts, self.classes)
+        key, count = _stream(texts, m.alphabet)
         log = np.zeros((len(key), len(m.langs)), dtype=np.float32)
         open_at, left = None, key
         for order in range(ORDER, 0, -1):
@@ -388,14 +429,13 @@ class Scorer:
 class PartScorer:
     """Per text, for each language: the sum of what one part of a model's table adds."""
 
-    def __init__(self, n_langs: int, k: np.ndarray, who: np.ndarray, value: np.ndarray):
-        self.n_langs, self.who, self.value = n_langs, who, value
+    def __init__(self, alphabet: Alphabet, n_langs: int, k: np.ndarray, who: np.ndarray, value: np.ndarray):
+        self.alphabet, self.n_langs, self.who, self.value = alphabet, n_langs, who, value
         at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
         self.keys, self.start = k[at], np.append(at, len(k))
-        self.classes = _classes_of_chars()
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        key, count = _stream(texts, self.classes)
+        key, count = _stream(texts, self.alphabet)
         out = np.zeros((len(texts), self.n_langs))
         some = np.flatnonzero(count)
         if len(some) and len(self.keys):
@@ -470,8 +510,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str |
             room -= r.n
             of_lang[r.lang] -= r.n
     aside = F.expr(f"dice in ({', '.join(f'{d}L' for d in chosen)})") if chosen else F.lit(False)
-    classes = _classes_of_chars()
-    grams = rows.where(~aside).select("lang", "text").mapInArrow(_count_grams(classes), "lang string, key long, n long")
+    alphabet = _alphabet(rows.where(~aside).select("text"))
+    grams = rows.where(~aside).select("lang", "text").mapInArrow(_count_grams(alphabet), "lang string, key long, n long")
     grams = cut(grams.groupBy("lang", "key").agg(F.sum("n").alias("n")), "language-grams")
     langs = sorted(r[0] for r in grams.select("lang").distinct().collect())
     if not langs:
@@ -486,6 +526,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str |
     else:
         table, floor = _smooth_table(langs, grams)
         model = Model(langs, 0, [], [], floor, table=table, parts=-(-table.count() * ENTRY_BYTES // model_bytes))
+    model.alphabet = alphabet
     sample = rows.where(aside & F.col("lang").isin(langs)).select("lang", "text")
     sample = _measured(model, sample, "text", "x").select("lang", "x.*").collect()
     return _calibrate(model, [(langs.index(r.lang), r.entropy, r.n_chars) for r in sample if r.n_chars])
@@ -518,7 +559,7 @@ def _sums(model: Model, part: int, text: Column) -> Column:
     held = model.table.where(F.pmod(F.xxhash64("k"), F.lit(model.parts)) == part).toArrow()
     k, who, value = (held.column(i).to_numpy() for i in range(3))
     order = np.argsort(k, kind="stable")
-    shipped = SparkContext.getOrCreate().broadcast((len(model.langs), k[order].view(np.uint64), who[order], value[order]))
+    shipped = SparkContext.getOrCreate().broadcast((model.alphabet, len(model.langs), k[order].view(np.uint64), who[order], value[order]))
 
     @F.arrow_udf("sums array<double>, n_chars long")
     def add(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

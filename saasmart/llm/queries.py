@@ -20,7 +20,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3))
     docs = docs.withColumn("held_out", fold == 1)
-    model = language_id.fit(docs.where(~F.col("held_out")), key="doc_id")
+    model = language_id.fit(docs.where(~F.col("held_out")).select("text", "lang"))
     return language_id.identify(model, docs.select("doc_id", "held_out", "text")).select("doc_id", "held_out", "found.*")
 
 

@@ -36,12 +36,13 @@ def grams(text):
 
 def test_counts_match_brute_force():
     texts = ["Ab1 -- cd", "", "...", "éÀ x", "  lead", "a" * 10]
-    classes = li._classes_of_chars()
-    key, count = li._stream(texts, classes)
+    alphabet = li.Alphabet.of(texts)
+    key, count = li._stream(texts, alphabet)
     want = Counter()
     for t in texts:
         want.update(grams(t))
-    got = Counter(tuple(int(k) >> 12 * b & 0xFFF for b in (3, 2, 1, 0)) for k in key)
+    letter = [0, None, *alphabet.letters.tolist()]
+    got = Counter(tuple(letter[int(k) >> 15 * b & 0x7FFF] for b in (3, 2, 1, 0)) for k in key)
     assert got == want
     assert count.tolist() == [sum(grams(t).values()) for t in texts]
 
@@ -49,28 +50,29 @@ def test_counts_match_brute_force():
 def test_probabilities_sum_to_one():
     rng = random.Random(4)
     text = "".join(rng.choice("abc ") for _ in range(400))
-    key, _ = li._stream([text], li._classes_of_chars())
+    alphabet = li.Alphabet([ord(c) for c in "abcz"])
+    key, _ = li._stream([text], alphabet)
     keys, counts = li._tally(key)
     model = li._smooth(["x"], 18, np.zeros(len(keys), int), keys, counts)
     scorer = li.Scorer(model)
     for context in ("abc", "zzz", "ab ", "cab"):
         total = 0.0
-        for code in range(1, 0x1000, 1):
-            grams_of = np.array([ord(c) if c.isalpha() else 0 for c in context] + [code], dtype=np.uint64)
-            k = sum(int(g) << 12 * (3 - i) for i, g in enumerate(grams_of))
-            total += np.exp(probability(scorer, k))
-        total += np.exp(probability(scorer, sum((ord(c) if c.isalpha() else 0) << 12 * (3 - i) for i, c in enumerate(context))))
+        for code in range(100):  # all others are as likely as the last
+            k = sum(int(g) << 15 * (3 - i) for i, g in enumerate([*alphabet.codes(np.array([ord(c) for c in context])), code]))
+            p = np.exp(probability(scorer, k))
+            total += p
+        total += p * ((1 << 15) - 100)
         assert abs(total - 1) < 0.01, (context, total)
 
 
 def probability(scorer, key):
     m, log, left = scorer.model, 0.0, key
     for order in range(li.ORDER, 0, -1):
-        k = np.array([left & ((1 << 12 * order) - 1)], dtype=np.uint64)
+        k = np.array([left & ((1 << 15 * order) - 1)], dtype=np.uint64)
         row = scorer.find(order - 1, k)[0]
         if row >= 0:
             return log + m.grams[order - 1][2][row, 0]
-        context = k >> np.uint64(12) if order > 1 else np.zeros_like(k)
+        context = k >> np.uint64(15) if order > 1 else np.zeros_like(k)
         row = scorer.find(li.ORDER + order - 1, context)[0]
         if row >= 0:
             log += m.contexts[order - 1][2][row, 0]
@@ -100,10 +102,32 @@ def test_no_labels_and_empty_table(spark):
     assert (row.lang_pred, row.score, row.accepted) == ("und", 0.0, False)
 
 
-def test_model_size_bound():
-    for n in (1, 4, 50, 200):
-        bits = li.slot_bits(n)
-        assert 2 * li.ORDER * (1 << bits) * (8 + 4 * n) <= li.MODEL_BYTES
+def test_no_two_letters_share_a_code():
+    letters = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and chr(c).isalpha()]
+    rng = random.Random(6)
+    some = sorted(rng.sample(letters, li.LETTERS - 10) + [ord(c) for c in "бあŵé"] + [0x10400, 0x20000])
+    alphabet = li.Alphabet(some)
+    codes = alphabet.codes(np.array(sorted(set(some)), np.uint32))
+    assert len(set(codes.tolist())) == len(set(some)) and codes.min() == 2 and codes.max() < 1 << li.CHAR_BITS
+    others = alphabet.codes(np.setdiff1d(letters, some)[:500].astype(np.uint32))
+    assert set(others.tolist()) == {1}
+    assert alphabet.codes(np.array([ord(" "), ord("1"), 0x1F600], np.uint32)).tolist() == [0, 0, 0]
+
+
+def test_letters_of_other_scripts_are_told_apart(spark):
+    """Two languages whose letters met in one code when codes were folded to 12 bits."""
+    rng = random.Random(3)
+    def fold(c):
+        return (c ^ (c >> 12) * 0x5BD) & 0xFFF
+    pool = [c for c in range(0x4E00, 0x9000)]
+    one = [c for c in range(0x3041, 0x3097)]
+    two = [next(p for p in pool if fold(p) == fold(c)) for c in one]
+    texts = lambda own: ["".join(chr(rng.choice(own)) for _ in range(60)) for _ in range(40)]
+    rows = [(i, t, lang) for lang, own in (("one", one), ("two", two)) for i, t in enumerate(texts(own))]
+    model = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    probe = [(t, lang) for lang, own in (("one", one), ("two", two)) for t in texts(own)]
+    df = spark.createDataFrame(probe, "text string, lang string")
+    assert all(r.x.lang_pred == r.lang for r in df.select("lang", li.predict(model, df.text).alias("x")).collect())
 
 
 def rare_beside_hot(spark):
@@ -122,9 +146,11 @@ def test_a_model_has_all_ngrams_whole_or_in_parts(spark, monkeypatch):
     whole = li.fit(df, key="doc_id")
     parts = li.fit(df, key="doc_id", model_bytes=1 << 20)
     assert whole.table is None and parts.parts > 1
-    found = [li._tally(li._stream([r.text for r in rows if r.lang == name], li._classes_of_chars())[0]) for name in ("hot", "rare")]
+    alphabet = li.Alphabet.of([r.text for r in rows])
+    found = [li._tally(li._stream([r.text for r in rows if r.lang == name], alphabet)[0]) for name in ("hot", "rare")]
     who = np.repeat([0, 1], [len(k) for k, _ in found])
     brute = li._smooth(["hot", "rare"], 1, who, *map(np.concatenate, zip(*found)))
+    brute.alphabet = alphabet
     assert set(whole.grams[3][1].tolist()) == {int(k) for some, _ in found for k in some}
     texts = [r.text for r in rows] + ["", None, "12", "жзш kab"]
     want, count, _ = li.Scorer(brute)([t or "" for t in texts])
