@@ -37,7 +37,7 @@ def _stage(function: Stage) -> Stage:
 @_stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents that it rejects go."""
-    model = language_id.fit(docs, key="doc_id")
+    model = language_id.fit(docs)
     found = free_name(docs.columns, "_found")
     return language_id.identify(model, docs, into=found).where(F.col(f"{found}.accepted")).drop(found)
 
