@@ -62,7 +62,7 @@ class Powers:
         return self.up, self.down
 
 
-def _join(a: np.ndarray, b: np.ndarray, salt: np.uint64) -> np.ndarray:
+def pair_hash(a: np.ndarray, b: np.ndarray, salt: np.uint64 = np.uint64(0)) -> np.ndarray:
     """A hash of pairs of hashes; a scramble between any two steps leaves sums over powers no structure to meet."""
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + b * np.uint64(0xA0761D6478BD642F) + salt)
 
@@ -104,11 +104,11 @@ class Hasher:
         while True:
             if length & width:
                 own = words[at + taken]
-                out = own if out is None else _join(out, own, self.salt)
+                out = own if out is None else pair_hash(out, own, self.salt)
                 taken += width
             if taken == length:
                 return mix(out + np.uint64(length))
-            words = _join(words[:-width], words[width:], self.salt)
+            words = pair_hash(words[:-width], words[width:], self.salt)
             width *= 2
 
 
