@@ -17,8 +17,8 @@ documents of a run are seen, not only the nearest, so that a passage that many d
 have doesn't hide a longer match. Matches that overlap or adjoin are one span.
 
 Skew: equal suffixes (with equal words before them) of a task are one row, which speaks
-for the two smallest of their documents; the others get their partner by a join that AQE
-may split. A prefix with more than ``1 / (SHARE * partitions)`` of all rows goes deeper:
+for the two smallest of their documents; the others' spans are joined up in the task and
+get their partner by a join that AQE may split. A prefix with more than ``1 / (SHARE * partitions)`` of all rows goes deeper:
 its suffixes are dealt by each whole match that they could be part of. At most ``SHARE *
 partitions`` prefixes are, so the list of them is broadcast.
 
@@ -148,21 +148,38 @@ def _around(of_word: np.ndarray, words: Words, at: np.ndarray, size: int):
     return np.concatenate((right, left), axis=1), ahead, behind
 
 
+def _joined_up(rows: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of spans of a document that overlap or adjoin, those that start first, one of them with the end of all."""
+    if not len(rows):
+        return rows, last
+    order = np.lexsort((first, doc))
+    rows, doc, first, last = (x[order] for x in (rows, doc, first, last))
+    apart = np.cumsum(np.append(False, doc[1:] != doc[:-1])) << 33  # documents far from each other
+    reach = np.maximum.accumulate(last + apart)
+    opens = np.flatnonzero(np.append(True, (first + apart)[1:] > reach[:-1]))
+    size = np.diff(np.append(opens, len(rows)))
+    last[opens] = np.maximum.reduceat(last, opens)
+    keep = first == np.repeat(first[opens], size)
+    return rows[keep], last[keep]
+
+
 def _settled(k, more, around, doc, at, ahead, behind) -> pa.RecordBatch:
     """One row for equal suffixes with equal words before them; the documents it doesn't name are settled."""
-    n = len(k)
     key = pair_hash(k, more.astype(np.uint64) ^ (ahead.astype(np.uint64) << np.uint64(40)) ^ (behind.astype(np.uint64) << np.uint64(52)))
     for column in around.T:
         key = pair_hash(key, column)
     order = np.lexsort((at, doc, key))
+    repeats = (key[order][1:] == key[order][:-1]) & (doc[order][1:] == doc[order][:-1]) & (at[order][1:] == at[order][:-1])
+    order = order[np.append(True, ~repeats)]
     new_key = np.append(True, key[order][1:] != key[order][:-1])
     sub = np.flatnonzero(new_key | np.append(True, doc[order][1:] != doc[order][:-1]))  # a key and document
-    sizes = np.diff(np.append(sub, n))
+    sizes = np.diff(np.append(sub, len(order)))
     speaks = new_key[sub]
     row = order[sub]
     several = np.append(~speaks[1:], False) & speaks
     second = np.where(several, doc[np.append(row[1:], row[-1:])], doc[row])
     told, rest = row[speaks], order[~np.repeat(speaks, sizes)]
+    rest, last = _joined_up(rest, doc[rest], (at - behind)[rest], (at + ahead)[rest])
     take = np.concatenate((told, rest))
     spread = mix(key[rest] ^ mix(doc[rest].view(np.uint64)))
     suffix = np.ascontiguousarray(around[told]).view(np.uint8).reshape(len(told), around.shape[1], 8)[:, :, :BYTES]
@@ -174,7 +191,7 @@ def _settled(k, more, around, doc, at, ahead, behind) -> pa.RecordBatch:
         _binary(suffix.reshape(-1), np.concatenate((np.full(len(told), width), ones * 0))), pa.array(doc[take]),
         pa.array(np.concatenate((second[speaks], doc[rest]))),
         _binary(places.view(np.uint8), 4 * np.concatenate((sizes[speaks], ones))),
-        pa.array(ahead[take].astype(np.int32)), pa.array(behind[take].astype(np.int32)), pa.array(key[take].view(np.int64)),
+        pa.array(np.concatenate((ahead[told], last - at[rest])).astype(np.int32)), pa.array(behind[take].astype(np.int32)), pa.array(key[take].view(np.int64)),
         pa.array(np.arange(len(take)) >= len(told))],
         names=["k", "more", "suffix", "doc", "second", "at", "ahead", "behind", "key", "settled"])
 
@@ -221,7 +238,7 @@ def _suffixes(size: int, heavy: np.ndarray):
 
 
 def _deepened(words: Words, size: int, heavy: np.ndarray, hashers, hashes, at, k, more):
-    """(key, check, words around, position, words ahead, words behind); whole matches instead, for heavy prefixes."""
+    """(key, check, words around, position, words ahead, words behind); for heavy prefixes whole matches instead, with no words around."""
     around, ahead, behind = _around(hashes[0], words, at, size)
     deep = np.isin(k, heavy)
     if not deep.all():
@@ -230,8 +247,8 @@ def _deepened(words: Words, size: int, heavy: np.ndarray, hashers, hashes, at, k
         fits = deep & (behind >= left) & (ahead >= size - left)
         if fits.any():
             first = at[fits] - left
-            yield (*(h.runs(w, first, size) for h, w in zip(hashers, hashes)), np.zeros_like(around[fits]), at[fits],
-                   np.full(len(first), size - left), np.full(len(first), left))
+            yield (*(h.runs(w, first, size) for h, w in zip(hashers, hashes)), np.zeros_like(around[fits]), first,
+                   np.full(len(first), size), np.zeros(len(first), np.int64))
 
 
 def _prefixes(size: int):
@@ -256,10 +273,10 @@ def _common(words: np.ndarray, same: np.ndarray) -> np.ndarray:
 
 
 def _compare(size: int, k, more, suffix, doc, second, ahead, behind):
-    """(least and greatest words before the suffix that a match has, two smallest documents) of each suffix.
+    """(least and most words before the suffix that a match has, two smallest documents) of each suffix.
 
-    The rows are whole prefixes, sorted by prefix and words. A row without a match has
-    no words before (least above greatest).
+    The documents are those of the match that starts first. The rows are whole prefixes,
+    sorted by prefix and words. For a row without a match the most is -1.
     """
     _, span = layout(size)
     side, n = span - 1, len(k)
@@ -292,9 +309,7 @@ def _compare(size: int, k, more, suffix, doc, second, ahead, behind):
         row, lowest, next_ = row[hit], lowest[hit], next_[hit]
         least[row] = np.minimum(least[row], before)
         most[row] = before
-        low = np.minimum(a[row], lowest)
-        b[row] = np.minimum(np.where(a[row] != low, a[row], b[row]), np.where(lowest != low, lowest, next_))
-        a[row] = low
+        a[row], b[row] = lowest, next_
     return least, most, a, b
 
 
@@ -363,7 +378,7 @@ def _heavy(suffixes: DataFrame, size: int) -> np.ndarray:
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """(id, first_word, end_word, other): runs of ``words`` words or more that another document has, too.
 
-    ``other``: the smallest other document that has ``words`` consecutive words of the span.
+    ``other``: the smallest other document that has the span's first ``words`` words.
     """
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     shared = with_hashes(texts, repeated(texts, _emit_grams(words))).where("hashes is not null")
@@ -381,4 +396,4 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
         .withColumn("island", F.sum("opens").over(by_doc))
     return joined.groupBy("id", "island").agg(
         F.min("first").cast("long").alias("first_word"), F.max("last").cast("long").alias("end_word"),
-        F.min("other").alias("other")).drop("island")
+        F.min(F.struct("first", "other"))["other"].alias("other")).drop("island")

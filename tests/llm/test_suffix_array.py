@@ -13,7 +13,7 @@ from tests.conftest import SF01
 
 
 def brute(rows, size=50):
-    """(document, first word, end word, smallest other document) of the runs that another document has."""
+    """(document, first word, end word, smallest other document with its first words) of runs that another has."""
     split = [(i, re.findall("[^\x20\x09-\x0D]+", t or "")) for i, t in rows if i is not None]
     owners = {}
     for i, words in split:
@@ -25,7 +25,7 @@ def brute(rows, size=50):
         for k in range(len(words) - size + 1):
             others = owners[tuple(words[k:k + size])] - {i}
             if others and spans and k <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], k + size, min(spans[-1][2], *others))
+                spans[-1] = (spans[-1][0], k + size, spans[-1][2])
             elif others:
                 spans.append((k, k + size, min(others)))
         out.update((i, *x) for x in spans)
