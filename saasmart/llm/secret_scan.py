@@ -2,8 +2,10 @@
 
 The lexer goes from one assignment sign (``=``, ``:=``, ``=>``, ``:``) to the next. Left
 of it stands a target name, right of it a value: a quoted string, a bare token, a name,
-``${name}``, or several of these joined with ``+``. Signs inside a value are read as
-well. Names bound to literals are constants of their text (those bound inside a value
+``${name}``, or several of these joined with ``+``. A string in three quotes may go over
+several lines. Signs inside a value are read as well. Three more forms bind a name: a call
+with a string as its first argument, an XML element that holds only text, and an armoured
+block (``BEGIN .. PRIVATE KEY``). Names bound to literals are constants of their text (those bound inside a value
 only if nothing else binds them); a value that refers to them stands for their literals,
 by reference, so that the work is linear however constants are joined. Each
 (target, literals) pair is scored by the words of its target name and by what the
@@ -23,6 +25,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -51,10 +54,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that are long enough
 SIGN = re.compile(r"[=:]")
 NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
 NAME_START = re.compile(r"[A-Za-z_]")
-VALUE = re.compile(r"""[ \t]*(?:(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*+)(?P=quote)"""
+VALUE = re.compile(r"""[ \t]*(?:(?P<triple>\"{3}|'{3})(?P<long>(?:\\[\s\S]|(?!(?P=triple))[^\\])*+)(?P=triple)|(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*+)(?P=quote)"""
                    r"""|\$\{?(?P<ref>[A-Za-z_][A-Za-z0-9_.]*+)\}?|(?P<bare>[^\s"'`,;#&|<>()\[\]{}+]))""")
 BARE = re.compile(r"""[^\s"'`,;#&|<>()\[\]{}+]++""")
 JOIN = re.compile(r"[ \t]*\+")
+CALL = re.compile(r"\([ \t]*+(?=[\"'`])")
+AFTER_ARGUMENT = re.compile(r"[ \t]*+[,)]")
+ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.:-]*+)(?:\s[^<>]*+)?>\s*+([^<>]++)</\1\s*+>")
+BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]++)-----")
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 _KEEP = 32  # parts after which a chain's statistics are kept
@@ -180,7 +187,9 @@ class Lexer:
                 self.values[at] = None, at
                 break
             span, refers, end = None, None, found.end()
-            if found["text"] is not None:
+            if found["long"] is not None:
+                span = found.span("long")
+            elif found["text"] is not None:
                 span = found.span("text")
             else:
                 name = found["ref"]
@@ -223,6 +232,32 @@ class Lexer:
             after = max(after, value.end)
             yield name, value
 
+    def marked(self) -> Iterator[tuple[str, Value]]:
+        """(name, value) of calls with a string as first argument, of elements and of armoured blocks."""
+        text = self.text
+        for m in CALL.finditer(text):
+            name = self.name(m.start()) if text[m.start() - 1:m.start()] in NAME_CHARS else ""  # prose has a blank there
+            value = name_weight(name) and self.value(m.end())
+            if value and AFTER_ARGUMENT.match(text, value.end):
+                yield name, value
+        for m in ELEMENT.finditer(text):
+            start, end = m.span(2)
+            end = start + len(m[2].rstrip())
+            yield m[1], Value((start, end), None, None, end)
+        at, open_ended = 0, set()
+        for m in BLOCK.finditer(text):
+            if m.start() < at or m[1] in open_ended:
+                continue
+            end = text.find(f"-----END {m[1]}-----", m.end())
+            if end < 0:
+                open_ended.add(m[1])
+                continue
+            at = end
+            body = text[m.end():end]
+            start = m.end() + len(body) - len(body.lstrip())
+            end = max(start, m.end() + len(body.rstrip()))
+            yield m[1], Value((start, end), None, None, end)
+
     def _own(self, part: Value) -> Stats:
         if part.refers:
             return part.refers.stats
@@ -284,10 +319,10 @@ class Lexer:
 def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
     """Base spans and the spans that the lexer adds, by start and kind."""
     spans = base_spans(text)
-    if "=" in text or ":" in text:
+    if any(mark in text for mark in ("=", ":", "(", "</", "-----BEGIN ")):
         taken = _merged((s, e) for _, _, e, s in spans)
         added, lexer, last = set(), Lexer(text), (0, 0)
-        for name, value in lexer.pairs():
+        for name, value in chain(lexer.pairs(), lexer.marked()):
             weight = name_weight(name)
             if not weight or value.reported or value.more is None and value.span and last[0] <= value.span[0] and value.span[1] <= last[1]:
                 continue

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from saasmart.llm import secret_scan as ss
 from saasmart.llm.queries import QUERIES
@@ -97,3 +98,29 @@ def test_query_over_documents(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert empty.select(ss.scan(empty.text)).count() == 0
+
+
+def test_calls_elements_blocks_and_long_strings():
+    def named(text):
+        return [text[s:e] for k, s, e, _ in ss.find_secrets(text) if k == "named"]
+    assert named('conn.setPassword("Sup3rS3cret99")') == ["Sup3rS3cret99"]
+    assert named("set_password( 'Sup3rS3' + 'cret99', 1)") == ["Sup3rS3", "cret99"]
+    assert named('pw = "Sup3rS3cret99"\nsetPassword("" + pw)') == ["Sup3rS3cret99"]
+    assert named("<password>Sup3rS3cret99</password>") == ["Sup3rS3cret99"]
+    assert named('<c><password type="x">\n Sup3rS3cret99 \n</password></c>') == ["Sup3rS3cret99"]
+    assert named('password = """Sup3r\nS3cret"99"""') == ['Sup3r\nS3cret"99']
+    block = "MIIEow1BAAKCAQ\nEAx7bZ+Qw/9k2"
+    assert named(f"a\n-----BEGIN RSA PRIVATE KEY-----\n{block}\n-----END RSA PRIVATE KEY-----\n") == [block]
+    for clean in ('print("Sup3rS3cret99")', "<title>Sup3rS3cret99</title>", "<password>Sup3rS3cret99</token>", "<password></password>",
+                  'setPassword("Sup3rS3cret99"', "setPassword(Sup3rS3cret99)", 'setPassword("changeme")',
+                  f"-----BEGIN CERTIFICATE-----\n{block}\n-----END CERTIFICATE-----", f"-----BEGIN RSA PRIVATE KEY-----\n{block}",
+                  'the token ("see below, chapter 7") is', ):
+        assert named(clean) == [], clean
+
+
+def test_long_odd_texts_take_linear_time():
+    for text in ("(" * 200000, "a(\"" * 60000, "<a>" * 60000, "<password " * 30000, "-----BEGIN PRIVATE KEY-----" * 20000,
+                 "password('" * 30000, "<password>" + "x" * 300000, "x = \"\"\"" * 30000, "x = '''a" * 30001, "token(  " * 40000):
+        began = time.perf_counter()
+        ss.find_secrets(text)
+        assert time.perf_counter() - began < 10
