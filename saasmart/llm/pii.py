@@ -1,24 +1,38 @@
 """Personal data: base patterns, and a bootstrapped contextual extraction.
 
 The base patterns give the seed entities. Every occurrence of a seed, and of any other
-token that looks like an identifier, induces two lexical patterns: the two words before
-it, and the word before it with the word after it. Patterns and instances form a
-bipartite graph that Spark scores in rounds: a pattern is worth the mean confidence of
-its distinct instances (one more counted as worthless), an instance what its patterns
-leave open multiplied up; seeds stay certain. Patterns of ``PATTERN_SCORE`` and at least
-``SUPPORT`` distinct certain instances discover the identifiers that no base pattern
-knows, if their own score is ``INSTANCE_SCORE``; their spans have the kind ``context``.
+run of groups that have digits (``030 123 4567``, ``abx-k2``, of any length), induces two
+lexical patterns: the two words before it, and the word before it with the word after it.
+Patterns and instances form a bipartite graph that Spark scores round by round:
+
+- a pattern scores the mean confidence of its distinct instances, one more counted as
+  worthless; it is accepted from ``PATTERN_SCORE`` on if ``SUPPORT`` or more of its
+  instances are accepted. Seeds are accepted from the start, with certainty;
+- an instance scores what its accepted patterns leave open, multiplied up; it is accepted
+  from ``INSTANCE_SCORE`` on and then supports further patterns.
+
+What is accepted keeps its score, so a round that accepts nothing is the fixpoint, and each
+round reads only the edges of what the last one accepted. Scores are whole millionths and
+sums of logarithms whole, too: no order of addition can move a score over its threshold.
+Occurrences of accepted instances in accepted patterns are added with the kind ``context``.
 
 One pass over the texts writes the spans and occurrences to the shared folder; texts are
-never shuffled, and each round's scores are written there, too.
+never shuffled, and each round's gains are written there, too. Patterns of fewer than
+``SUPPORT`` distinct instances can't be accepted and leave the graph at once.
+
+A run joins neighbouring groups over one blank (with a hyphen, slash or bracket at it),
+never over a base span; groups of up to four capitals count inside a run. Words are runs
+of letters, digits and underscores, digits read as 0; one of over 64 characters stands
+as its hash.
 
 All spans are in code points, end exclusive. Defined results: a null text counts as
 empty; empty texts have no spans; repeated rows are answered each on its own, and count
-once as instances.
+once as instances; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -31,7 +45,6 @@ from pyspark.sql import types as T
 from .storage import cut
 
 KINDS = ("email", "ip", "card", "phone", "context")
-ROUNDS = 3
 PATTERN_SCORE = 0.6
 INSTANCE_SCORE = 0.6
 SUPPORT = 3
@@ -44,11 +57,13 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 MAYBE = re.compile(r"[0-9@]")
-TOKEN = re.compile(r"\S+")
+WORD = re.compile(r"\w+")
+GROUP = re.compile(r"\+?\w+(?:(?:[-._/]|(?<=[0-9]):(?=[0-9]))\w+)*")
 DIGIT = re.compile("[0-9]")
-BODY = re.compile(r"\w(?:\S*\w)?")
-EDGES = re.compile(r"^\W+|\W+$")
-_LOOK = 160  # code points of context on a side
+CAPITALS = re.compile("[A-Z]{1,4}")
+JOINT = re.compile(r"\)?[ \t\xa0](?:[-/\u2013][ \t\xa0])?\(?")
+_LOOK = 64  # code points of context to try first
+_ONE = 1_000_000
 
 
 def luhn(digits: str) -> bool:
@@ -88,31 +103,50 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def _groups(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, has a digit) of the groups between the spans ``taken`` (by start)."""
+    at = 0
+    for low, high in [*taken, (len(text), len(text))]:
+        for m in GROUP.finditer(text, at, max(at, low)):
+            if DIGIT.search(m[0]):
+                yield *m.span(), True
+            elif CAPITALS.fullmatch(m[0]):
+                yield *m.span(), False
+        at = max(at, high)
+
+
 def _identifiers(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
-    """Tokens like identifiers (6 to 64 characters, 4 digits or more) outside the spans."""
-    taken = iter(sorted((s, e) for _, s, e in spans))
-    now = next(taken, None)
-    for m in TOKEN.finditer(text):
-        if not DIGIT.search(m[0]):
-            continue
-        body = BODY.search(m[0])
-        start, end = m.start() + body.start(), m.start() + body.end()
-        while now and now[1] <= start:
-            now = next(taken, None)
-        if now and now[0] < end:
-            continue
-        if 6 <= end - start <= 64 and sum(c.isdigit() for c in body[0]) >= 4:
-            yield start, end
+    """Runs of groups with digits outside the spans."""
+    begin = stop = last = None  # the run, and the end of its last group of any kind
+    for start, end, digits in _groups(text, sorted((s, e) for _, s, e in spans)):
+        if begin is not None and JOINT.fullmatch(text, last, start):
+            last, stop = end, end if digits else stop
+        else:
+            if begin is not None:
+                yield begin, stop
+            begin, stop, last = (start, end, end) if digits else (None, None, None)
+    if begin is not None:
+        yield begin, stop
 
 
 def _plain(word: str) -> str:
-    return re.sub("[0-9]", "0", EDGES.sub("", word.lower())) or word[:3]
+    word = re.sub("[0-9]", "0", word.lower())
+    return word if len(word) <= 64 else xxhash.xxh3_128_hexdigest(word.encode())
+
+
+def _before(text: str, start: int) -> list[str]:
+    """The two words before ``start``."""
+    look = _LOOK
+    while True:
+        low = max(0, start - look)
+        words = WORD.findall(text, low, start)
+        if len(words) > 2 or low == 0:  # the first one may be cut
+            return ["^"] * (2 - len(words)) + [_plain(w) for w in words[-2:]]
+        look *= 4
 
 
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    before = text[max(0, start - _LOOK):start].split()[-2:]
-    after = text[end:end + _LOOK].split()[:1]
-    before = ["^"] * (2 - len(before)) + [_plain(w) for w in before]
+    before, after = _before(text, start), WORD.search(text, end)
     return [f"{before[0]} {before[1]} _", f"{before[1]} _ {_plain(after[0]) if after else '$'}"]
 
 
@@ -121,11 +155,11 @@ FOUND = T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
     T.StructField("seen", T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("seed", T.BooleanType()),
-        T.StructField("instance", T.LongType()), T.StructField("patterns", T.ArrayType(T.StringType()))]))),
+        T.StructField("instance", T.BinaryType()), T.StructField("patterns", T.ArrayType(T.StringType()))]))),
 ])
 _ARROW = pa.struct([
     ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
-    ("seen", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("seed", pa.bool_()), ("instance", pa.int64()),
+    ("seen", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("seed", pa.bool_()), ("instance", pa.binary()),
                                  ("patterns", pa.list_(pa.string()))]))),
 ])
 
@@ -133,7 +167,7 @@ _ARROW = pa.struct([
 def occurrences(text: Column) -> Column:
     """A struct per text: base spans, and the seeds and identifiers seen with their patterns."""
     def seen(text: str, start: int, end: int, seed: bool) -> dict:
-        name = xxhash.xxh64_intdigest(text[start:end].lower().encode()) - (1 << 63)
+        name = xxhash.xxh3_128_digest(text[start:end].lower().encode())
         return {"start": start, "end": end, "seed": seed, "instance": name, "patterns": _patterns(text, start, end)}
 
     @F.arrow_udf(FOUND)
@@ -152,35 +186,56 @@ def occurrences(text: Column) -> Column:
     return run.asNondeterministic()(text.cast("string"))
 
 
-def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(pattern, score, support) and (instance, score) from edges (pattern, instance, seed)."""
-    edges = cut(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
-    instances = cut(edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score")), "pii-instances")
-    seeds = instances.where("score = 1").select("instance", F.lit(True).alias("certain"))
-    patterns = None
-    for _ in range(rounds):
-        patterns = cut(edges.join(instances, "instance").groupBy("pattern").agg(
-            (F.sum("score") / (F.count("*") + 1)).alias("score"), F.count_if(F.col("score") == 1).alias("support")), "pii-patterns")
-        worth = F.when(F.col("support") >= SUPPORT, F.col("score")).otherwise(0.0)
-        scored = edges.join(patterns.select("pattern", worth.alias("worth")), "pattern") \
-            .groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least("worth", F.lit(0.999999)))))).alias("score"))
-        instances = cut(scored.join(seeds, "instance", "left")
-                        .select("instance", F.when(F.col("certain"), 1.0).otherwise(F.col("score")).alias("score")), "pii-instances")
-    return patterns, instances
-
-
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def _left_open(score: float) -> int:
+    """Minus the logarithm of what a score leaves open, in millionths."""
+    return round(-math.log1p(-score) * _ONE)
+
+
+def score_graph(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accepted (pattern, score) and (instance, score), in millionths, from edges (pattern, instance, seed)."""
+    edges = edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    edges = cut(edges, "pii-edges")
+    seeds = cut(edges.where("seed").select("instance", F.lit(_ONE).cast("long").alias("score")).distinct(), "pii-seeds")
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT)
+    edges = cut(edges.select("pattern", "instance").join(sizes, "pattern"), "pii-graph")
+    patterns = edges.select("pattern", F.lit(0).cast("long").alias("score")).where("false")
+    instances, fresh, gains, opened = seeds, seeds, None, None
+    while True:
+        gained = edges.join(fresh, "instance").groupBy("pattern").agg(
+            F.first("n").alias("n"), F.sum("score").alias("total"), F.count("*").alias("support"))
+        if gains is not None:
+            gained = gains.unionByName(gained).groupBy("pattern").agg(
+                F.first("n").alias("n"), F.sum("total").alias("total"), F.sum("support").alias("support"))
+        gains = cut(gained, "pii-gains")
+        score = F.expr("total div (n + 1)")
+        fresh_patterns = cut(gains.where((score >= round(PATTERN_SCORE * _ONE)) & (F.col("support") >= SUPPORT))
+                             .select("pattern", score.alias("score")).join(patterns, "pattern", "left_anti"), "pii-patterns")
+        if fresh_patterns.isEmpty():
+            return patterns, instances
+        patterns = patterns.unionByName(fresh_patterns)
+        left = F.round(-F.log1p(-F.col("score") / _ONE) * _ONE).cast("long")
+        found = edges.join(fresh_patterns, "pattern").join(instances.select("instance"), "instance", "left_anti") \
+            .groupBy("instance").agg(F.sum(left).alias("left"))
+        if opened is not None:
+            found = opened.join(instances.select("instance"), "instance", "left_anti") \
+                .unionByName(found).groupBy("instance").agg(F.sum("left").alias("left"))
+        opened = cut(found, "pii-opened")
+        fresh = cut(opened.where(F.col("left") >= _left_open(INSTANCE_SCORE))
+                    .select("instance", F.round((1 - F.exp(-F.col("left") / _ONE)) * _ONE).cast("long").alias("score")), "pii-instances")
+        if fresh.isEmpty():
+            return patterns, instances
+        instances = instances.unionByName(fresh)
+
+
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, spans, added): per row the base spans and those that contexts add, each by start."""
     rows = cut(docs.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"),
                            occurrences(F.col(text)).alias("x")).select("id", "row", "x.*"), "pii-occurrences")
     seen = rows.select("row", F.explode("seen").alias("o")).select("row", "o.*")
-    edges = seen.select("instance", "seed", F.explode("patterns").alias("pattern"))
-    patterns, instances = score_graph(edges, rounds)
-    strong = patterns.where((F.col("score") >= PATTERN_SCORE) & (F.col("support") >= SUPPORT)).select("pattern")
-    likely = instances.where(F.col("score") >= INSTANCE_SCORE).select("instance")
-    added = seen.where("not seed").join(likely, "instance") \
+    patterns, instances = score_graph(seen.select("instance", "seed", F.explode("patterns").alias("pattern")))
+    added = seen.where("not seed").join(instances.select("instance"), "instance") \
         .select("row", "start", "end", F.explode("patterns").alias("pattern")) \
-        .join(strong, "pattern").groupBy("row").agg(
+        .join(patterns.select("pattern"), "pattern").groupBy("row").agg(
             F.sort_array(F.collect_set(F.struct(F.lit("context").alias("kind"), "start", "end"))).alias("added"))
     empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
     return rows.select("id", "row", "spans").join(added, "row", "left") \
