@@ -204,3 +204,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     labels = distinct.join(found, distinct["id"] == found["node"], "left") \
         .select("fp", F.coalesce("component", "id").alias("component"))
     return prints.join(labels, "fp", "left").select("id", "fp", "component")
+
+
+def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4,
+                  distance: int = 4, block: int = BLOCK) -> DataFrame:
+    """(id, h): of each group of near-duplicate texts the smallest id, and the hash of its text.
+
+    Groups are those of fingerprints, not of ids: rows that repeat an id with texts of several
+    groups are in each of them. h is ``xxhash64`` of the text, the least one of the id in its
+    group. Null ids are in no group.
+    """
+    marked = docs.where(F.col(key).isNotNull()) \
+        .select(F.struct(F.col(key).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("h")).alias("mark"), F.col(text).alias("text"))
+    prints = fingerprints(marked, "mark", "text", shingle)
+    firsts = cut(prints.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
+    # a fingerprint stands for itself in the graph
+    found = components(links(firsts.select("fp", F.col("fp").alias("id")), distance, block))
+    return firsts.join(found, firsts["fp"] == found["node"], "left").groupBy(F.coalesce("component", "fp").alias("component")) \
+        .agg(F.min("first").alias("first")).select("first.*")

@@ -8,9 +8,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import remove_folder
+
+_KEPT = "llm"
+_folder = ContextVar("folder", default=_KEPT)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -27,16 +35,31 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def write(df: DataFrame, name: str) -> str:
+def write(df: DataFrame, name: str, folder: str = _KEPT) -> str:
     """Write ``df`` as Parquet to a new folder under the shared folder; its path."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back."""
-    return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
+    return df.sparkSession.read.schema(df.schema).parquet(write(df, name, _folder.get()))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``cut`` writes inside this block is deleted at its end; what ``write`` writes stays.
+
+    Results that read those tables must be written or collected inside the block.
+    """
+    own = f"{_KEPT}/scratch-{uuid.uuid4().hex}"
+    before = _folder.set(own)
+    try:
+        yield
+    finally:
+        _folder.reset(before)
+        remove_folder(spark, f"{shared_folder(spark)}/{own}")
 
 
 def free_name(df_columns: list[str], wanted: str) -> str:

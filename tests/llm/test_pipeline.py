@@ -1,13 +1,14 @@
 """The pipeline's stages against the operators' brute forces, stage by stage."""
 
 import hashlib
+import os
 
 import numpy as np
 import tiktoken
 from pyspark.sql import Row
 
 import corpus_pipeline as cp
-from saasmart.llm import language_id, secret_scan
+from saasmart.llm import language_id, secret_scan, storage
 from saasmart.llm.queries import tokenizer
 from tests.conftest import SF001
 from tests.llm.test_decontaminate import brute as leaks
@@ -81,3 +82,23 @@ def test_odd_rows_extra_columns_and_empty_table(spark, tmp_path):
     for _, stage in cp.STAGES:
         empty = stage(spark, empty, str(tmp_path))
         assert empty.count() == 0
+
+
+def test_rows_of_one_id_with_texts_far_apart_stay(spark):
+    far = ["one two three four five six seven eight nine ten", "red green blue white black brown grey pink teal gold"]
+    rows = [(1, far[0], "a"), (1, far[1], "b"), (1, far[1], "c"), (2, far[0], "d"), (3, far[1].upper(), "e"), (None, far[0], "f"), (4, None, "g"), (5, "", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _mark string")
+    got = [tuple(r) for r in cp.one_of_each(spark, docs, SF001).collect()]
+    assert sorted((str(i), str(t)) for i, t, _ in got) == sorted((str(i), str(t)) for i, t, _ in [rows[0], rows[1], rows[5], rows[6]])
+    again = [tuple(r) for r in cp.one_of_each(spark, docs.repartition(5), SF001).collect()]
+    assert sorted(got, key=str) == sorted(again, key=str)
+
+
+def test_tables_of_a_stage_go_with_it(spark):
+    with storage.scratch(spark):
+        table = storage.cut(spark.range(5), "some")
+        files, kept = table.inputFiles(), storage.write(table, "some")
+        assert all(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert spark.read.parquet(kept).count() == 5
+    assert spark.read.parquet(storage.write(storage.cut(spark.range(3), "some"), "some")).count() == 3
