@@ -5,7 +5,8 @@ stage's result as Parquet in the shared folder and reads it back as the next one
 ``docs``. All stages but the last return the columns of ``docs``.
 
 Defined results: rows with a null id pass near-dedup and are otherwise treated as any;
-rows that repeat an id are one document to near-dedup; null and empty texts go at the
+rows that repeat an id with one text are one document to near-dedup, those with
+texts of several groups are one in each; null and empty texts go at the
 language stage, as they have no language; an empty table gives an empty result.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from saasmart.llm import bpe, decontaminate, language_id, secret_scan, simhash
 from saasmart.llm.queries import tokenizer
-from saasmart.llm.storage import free_name, moderate_batches, write
+from saasmart.llm.storage import free_name, moderate_batches, scratch, write
 from saasmart.session import remove_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -44,14 +45,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @_stage
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each component the document with the smallest id stays."""
-    found = simhash.near_duplicates(docs, shingle=4, distance=4)
-    firsts = found.where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    place = free_name(docs.columns, "_place")
-    # the window takes over the join's partitioning by id
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(firsts, "doc_id", "left_semi").withColumn(place, F.row_number().over(once)) \
-        .where(F.col(place) == 1).select(*docs.columns)
+    """SimHash near-dedup: of each group the document with the smallest id stays."""
+    columns = docs.columns
+    place, mark = free_name(columns, "_place"), free_name(columns, "_mark")
+    firsts = simhash.first_of_each(docs, shingle=4, distance=4).select(F.col("id").alias("doc_id"), F.col("h").alias(mark))
+    # repeated rows are one document; the window takes over the join's partitioning
+    sortable = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    once = Window.partitionBy("doc_id", mark).orderBy(F.xxhash64(*sortable))
+    kept = docs.withColumn(mark, F.xxhash64("text")).join(firsts, ["doc_id", mark], "left_semi") \
+        .withColumn(place, F.row_number().over(once)).where(F.col(place) == 1).select(*columns)
     return kept.union(docs.where(F.col("doc_id").isNull()))
 
 
@@ -59,7 +61,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that contain a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return docs.where(~decontaminate.contaminated(F.col("text"), items))
+    return decontaminate.without_items(docs, items)
 
 
 @_stage
@@ -91,12 +93,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; a stage's table goes when the next one's is written."""
+    """All stages over the documents of ``sf_dir``.
+
+    A stage's own tables go when its result is written, its result when the next one's is.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = None
     for name, stage in STAGES:
-        result = stage(spark, docs, sf_dir)
-        path = write(result, name)
+        with scratch(spark):
+            result = stage(spark, docs, sf_dir)
+            path = write(result, name)
         docs = spark.read.schema(result.schema).parquet(path)
         if before is not None:
             remove_folder(spark, before)
