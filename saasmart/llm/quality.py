@@ -3,18 +3,20 @@
 Each text's words and pairs of neighbouring words fall into ``BUCKETS`` by hash. Two
 multinomials over the buckets are counted, with one added to each bucket: the raw
 corpus (every document) and the trusted target (documents named as trusted). A text's
-score is the mean over its n-grams of log(target / raw). The trusted documents are a
-sample bounded by ``TRUSTED_ROWS`` (those with the smallest hash of their id), so that
-their ids can be broadcast and no text is shuffled; half of it (by another hash) counts,
-the other half sets the threshold: its ``LOWEST`` quantile, lowered once more by the
-distance from its median. Every document is held against that one threshold.
+score is the mean over its n-grams of log(target / raw). Every trusted document counts in
+the target, and every one sets the threshold: a hash of the id deals them into two halves,
+each is scored by a target that only the other half counted in, and the threshold is the
+``LOWEST`` quantile of these scores, lowered once more by the distance from their median.
+Every document is held against that one threshold.
 
-Counting and scoring are two passes; only bucket counts leave the tasks of the first.
+Documents are joined with the trusted ids by a shuffle, as both grow with the corpus; only
+bucket counts leave the tasks after it. A second pass gives each document its statistics,
+its score and the score that it would set the threshold with.
 
 Defined results: a null text counts as empty; a text without words has score 0 and
 passes the threshold (the rules on words catch it); without trusted documents every
-score is 0 and every document passes. Repeated rows count and are answered each on its
-own; a null id is never trusted.
+score is 0 and every document passes, and every one passes if all trusted words are in one
+half. Repeated rows count and are answered each on its own; a null id is never trusted.
 """
 
 from __future__ import annotations
@@ -28,8 +30,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
-#: Most trusted documents that the target and the threshold are fitted to.
-TRUSTED_ROWS = 20_000
 LOWEST = 0.01
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -102,46 +102,74 @@ def base_statistics(text: Column, words: Column) -> list[Column]:
 
 @dataclass
 class Ratio:
-    """log(target / raw) per bucket, and the least score that passes."""
+    """log(target / raw) per bucket: with all trusted documents in the target, and with those of either half."""
 
     weights: list[float] = field(default_factory=list)
-    threshold: float = -math.inf
+    halves: tuple[list[float], list[float]] = ([], [])
 
     def score(self, words: Column) -> Column:
         if not self.weights:
             return F.lit(0.0)
-        weights = F.lit(np.array(self.weights))  # one literal, not an expression per bucket
-        return let(buckets_of(words, len(self.weights)), lambda b: F.when(F.size(b) > 0, F.aggregate(
-            b, F.lit(0.0), lambda s, x: s + weights[x]) / F.size(b)).otherwise(F.lit(0.0)))
+        return let(buckets_of(words, len(self.weights)), lambda b: _mean(b, self.weights))
+
+    def scores(self, words: Column, half: Column) -> Column:
+        """A struct: ``score``, and ``unseen`` by the target of the half that the text is not in (null if that is empty)."""
+        none = F.lit(None).cast("double")
+        if not self.weights:
+            return F.struct(F.lit(0.0).alias("score"), none.alias("unseen"))
+        by = lambda b, k: _mean(b, self.halves[k]) if self.halves[k] else none
+        return let(buckets_of(words, len(self.weights)), lambda b: F.struct(
+            _mean(b, self.weights).alias("score"), F.when(half == 0, by(b, 1)).otherwise(by(b, 0)).alias("unseen")))
+
+
+def _mean(buckets: Column, weights: list[float]) -> Column:
+    weights = F.lit(np.array(weights))  # one literal, not an expression per bucket
+    return F.when(F.size(buckets) > 0, F.aggregate(
+        buckets, F.lit(0.0), lambda s, x: s + weights[x]) / F.size(buckets)).otherwise(F.lit(0.0))
+
+
+def half_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("half")), F.lit(2))
+
+
+def _ids(trusted: DataFrame, key: str) -> DataFrame:
+    return trusted.select(F.col(key).alias("id")).where("id is not null").distinct()
 
 
-def fit(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-        trusted_rows: int = TRUSTED_ROWS, lowest: float = LOWEST) -> Ratio:
+def fit(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> Ratio:
     """``trusted``: rows whose ``key`` names the trusted documents."""
-    ids = trusted.select(F.col(key).alias("id")).where("id is not null")
-    # thinned by hash first, so that the top of the order gets little from each partition
-    thin = max(1, ids.count() // trusted_rows)
-    sample = ids.where(F.pmod(F.xxhash64("id"), F.lit(thin)) == 0).distinct() \
-        .orderBy(F.xxhash64("id"), "id").limit(trusted_rows)
-    sample = F.broadcast(sample.withColumn("counts", F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)) == 0))
-    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).join(sample, "id", "left")
-    counts = rows.select("counts", F.explode(let(words_of(F.col("text")), lambda w: buckets_of(w, buckets))).alias("bucket")) \
-        .groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("counts").alias("target")).collect()
-    raw, target = [1] * buckets, [1] * buckets
+    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    ids = _ids(trusted, key).withColumn("half", half_of(F.col("id")))
+    # hashed, not sorted, as the other side is texts; null ids would all go to one task
+    rows = rows.where("id is not null").join(ids.hint("shuffle_hash"), "id", "left").select("half", "text") \
+        .union(rows.where("id is null").select(F.lit(None).cast("long"), "text"))
+    counts = rows.select("half", F.explode(let(words_of(F.col("text")), lambda w: buckets_of(w, buckets))).alias("bucket")) \
+        .groupBy("bucket").agg(F.count("*").alias("raw"), *(F.count_if(F.col("half") == k).alias(f"half_{k}") for k in (0, 1))).collect()
+    raw, halves = [1] * buckets, ([0] * buckets, [0] * buckets)
     for r in counts:
         raw[r.bucket] += r.raw
-        target[r.bucket] += r.target
-    if sum(target) == buckets:
-        return Ratio()
-    all_raw, all_target = sum(raw), sum(target)
-    ratio = Ratio([math.log(t / all_target) - math.log(r / all_raw) for t, r in zip(target, raw)])
-    held = rows.where("not counts").select(F.round(let(words_of(F.col("text")), ratio.score), 3).alias("score"))
-    low, middle = held.agg(F.percentile("score", F.array(F.lit(lowest), F.lit(0.5))).alias("q")).first().q or (None, None)
-    if low is not None:
-        ratio.threshold = low - (middle - low)
-    return ratio
-
-
-def measure(text: Column, ratio: Ratio) -> Column:
-    """A struct per text: the base statistics and ``score``."""
-    return let(words_of(text), lambda w: F.struct(*base_statistics(text, w), ratio.score(w).alias("score")))
+        halves[0][r.bucket], halves[1][r.bucket] = r.half_0, r.half_1
+
+    def weights(target: list[int]) -> list[float]:
+        all_raw, all_target = sum(raw), sum(target) + buckets
+        return [math.log((t + 1) / all_target) - math.log(r / all_raw) for t, r in zip(target, raw)] if any(target) else []
+
+    return Ratio(weights([a + b for a, b in zip(*halves)]), tuple(map(weights, halves)))
+
+
+def threshold(found: DataFrame, trusted: DataFrame, key: str = "doc_id", lowest: float = LOWEST) -> float:
+    """The least score that passes. ``found``: all documents' ``key`` and ``unseen``; ``trusted``: as in ``fit``."""
+    unseen = found.select(F.col(key).alias("id"), F.round("unseen", 3).alias("unseen")).join(_ids(trusted, key), "id")
+    low, middle = unseen.agg(F.percentile("unseen", F.array(F.lit(lowest), F.lit(0.5))).alias("q")).first().q or (None, None)
+    return -math.inf if low is None else low - (middle - low)
+
+
+def measure(text: Column, ratio: Ratio, key: Column | None = None) -> Column:
+    """A struct per text: the base statistics and ``score``; with the text's ``key`` also ``unseen``."""
+    def of(w: Column) -> Column:
+        stats = base_statistics(text, w)
+        if key is None:
+            return F.struct(*stats, ratio.score(w).alias("score"))
+        return let(ratio.scores(w, half_of(key)), lambda s: F.struct(*stats, s["score"].alias("score"), s["unseen"].alias("unseen")))
+
+    return let(words_of(text), of)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (bpe, chat, decontaminate, difference_cover, language_id, pii, quality, secret_scan, simhash, structure, suffix_array,
                url_filter, whitening)
-from .storage import moderate_batches
+from .storage import cut, moderate_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,12 +92,13 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics of every document, and the verdict of rules and n-gram ratio; trusted: quality 1."""
-    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    ratio = quality.fit(docs, labels.where("quality = 1"))
-    found = docs.select("doc_id", quality.measure(F.col("text"), ratio).alias("x")).select("doc_id", "x.*")
+    docs, trusted = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels").where("quality = 1")
+    ratio = quality.fit(docs, trusted)
+    found = docs.select("doc_id", quality.measure(F.col("text"), ratio, F.col("doc_id")).alias("x")).select("doc_id", "x.*")
+    found = cut(found, "quality")  # texts are measured once, for the threshold and for the verdicts
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return found.withColumn("base_failed", failed) \
-        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= ratio.threshold))
+        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= quality.threshold(found, trusted))).drop("unseen")
 
 
 def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:

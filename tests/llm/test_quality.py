@@ -1,9 +1,12 @@
 """Quality rules against brute force; verdicts on labelled documents."""
 
+import math
 import random
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from saasmart.llm import quality
@@ -72,6 +75,52 @@ def test_ratio_matches_brute_force(spark):
         assert r.b == [place[x] for x in w] + [pairs[p] for p in zip(w, w[1:])]
 
 
+def test_every_trusted_document_counts_and_sets_the_threshold(spark):
+    # more trusted documents than a bounded sample would take; ids repeat and are null, and so are trusted ones
+    n = 45_000
+    docs = spark.range(n).selectExpr(
+        "if(id % 1000 = 7, null, if(id % 1000 = 8, id - 1000, id)) as doc_id",
+        "if(id % 97 = 0, null, concat('a', id % 11, ' b', id % 7, if(id % 3 = 0, ' junk', ''), if(id = 30001, ' once', ''))) as text")
+    trusted = spark.range(n).where("id % 3 > 0").selectExpr("id as doc_id").unionAll(
+        spark.createDataFrame([(None,), (30001,)], "doc_id long"))
+    ids = {r.doc_id for r in trusted.collect()} - {None}
+    assert len(ids) == 30_000
+    rows = docs.select("doc_id", "text", quality.half_of(F.col("doc_id")).alias("half"),
+                       quality.let(quality.words_of(F.col("text")), lambda w: quality.buckets_of(w, 64)).alias("b")).collect()
+    raw, halves = Counter(range(64)), (Counter(), Counter())
+    for r in rows:
+        raw.update(r.b)
+        if r.doc_id in ids:
+            halves[r.half].update(r.b)
+
+    def weights(target):
+        return [math.log((target[k] + 1) / (target.total() + 64)) - math.log(raw[k] / raw.total()) for k in range(64)]
+
+    ratio = quality.fit(docs, trusted, buckets=64)
+    assert ratio.weights == pytest.approx(weights(halves[0] + halves[1]))
+    by = weights(halves[0]), weights(halves[1])
+    assert ratio.halves[0] == pytest.approx(by[0]) and ratio.halves[1] == pytest.approx(by[1])
+
+    def mean(b, w):
+        return sum(w[x] for x in b) / len(b) if b else 0
+
+    unseen = [round(mean(r.b, by[1 - r.half]), 3) for r in rows if r.doc_id in ids]
+    low, middle = np.percentile(unseen, [1, 50])
+    found = docs.select("doc_id", "text", quality.measure(F.col("text"), ratio, F.col("doc_id")).alias("x")).select("doc_id", "text", "x.*")
+    assert quality.threshold(found, trusted) == pytest.approx(low - (middle - low), abs=0.002)
+    score = {r.text: mean(r.b, ratio.weights) for r in rows}
+    for r in found.where("doc_id is null or doc_id % 500 = 1").collect():
+        assert r.score == pytest.approx(score[r.text])
+
+
+def test_trusted_words_in_one_half_let_all_pass(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "x y z")], "doc_id long, text string")
+    trusted = docs.where("doc_id = 1")
+    ratio = quality.fit(docs, trusted)
+    found = docs.select("doc_id", quality.measure(F.col("text"), ratio, F.col("doc_id")).alias("x")).select("doc_id", "x.*")
+    assert ratio.weights and quality.threshold(found, trusted) == -math.inf
+
+
 def test_no_trusted_documents_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     ratio = quality.fit(df, df.limit(0))
